@@ -30,9 +30,12 @@ KEPT = "0-9a-zA-ZÀ-ỹ"
 # Every form may come off once, in list order, so the leading forms are one run of optional groups
 # from the start of the name, and the trailing forms one run, last form first, up to its end.
 _LEAD = "(?iu)^" + "".join(f"(?:{p}[{WS}]+)?" for p in PREFIXES)
-_TAIL = "(?iu)" + "".join(
-    f"(?:(?:[{WS}]+|,[{WS}]*){s})?".replace(r"\s?", f"[{WS}]?") for s in reversed(SUFFIXES)
-) + "$"
+# the look-ahead lets the scan pass over places where no form can begin
+_TAIL = (
+    f"(?iu)(?=[{WS},][{WS}]*[{''.join(sorted({s[0] for s in SUFFIXES}))}])"
+    + "".join(f"(?:(?:[{WS}]+|,[{WS}]*){s})?".replace(r"\s?", f"[{WS}]?") for s in reversed(SUFFIXES))
+    + "$"
+)
 
 
 def name_key(col: Column, drop_brackets_first: bool = False, composed: bool = False) -> Column:

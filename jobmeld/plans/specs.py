@@ -11,20 +11,48 @@ from jobmeld.functions.numbers import as_array, salary, to_decimal, to_text
 
 # ---- canonical tables ---------------------------------------------------------------------------
 
-IDENTITY_SCHEMA = T._parse_datatype_string(
-    "company_id string, corporate_number string, identify_method int, updated_at timestamp, created_at timestamp"
+_TEXT, _MONEY = T.StringType(), T.DecimalType(18, 2)
+
+
+def _struct(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in types.items()])
+
+
+IDENTITY_SCHEMA = _struct(
+    company_id=_TEXT,
+    corporate_number=_TEXT,
+    identify_method=T.IntegerType(),
+    updated_at=T.TimestampType(),
+    created_at=T.TimestampType(),
 )
 
 # One type per master column, whatever the sources send.
-JOB_SCHEMA = T._parse_datatype_string(
-    """
-    media_internal_id string, media_code string, corporate_number string, company_id string,
-    company_name string, company_url string, province string, title string, description string,
-    benefits string, requirements string, degree string, employment_type array<string>,
-    experience string, industries string, skills string,
-    min_salary decimal(18,2), max_salary decimal(18,2), posted_at string, end_at string, url string,
-    age string, gender string, address string, recruit_count string
-    """
+JOB_SCHEMA = _struct(
+    media_internal_id=_TEXT,
+    media_code=_TEXT,
+    corporate_number=_TEXT,
+    company_id=_TEXT,
+    company_name=_TEXT,
+    company_url=_TEXT,
+    province=_TEXT,
+    title=_TEXT,
+    description=_TEXT,
+    benefits=_TEXT,
+    requirements=_TEXT,
+    degree=_TEXT,
+    employment_type=T.ArrayType(_TEXT),
+    experience=_TEXT,
+    industries=_TEXT,
+    skills=_TEXT,
+    min_salary=_MONEY,
+    max_salary=_MONEY,
+    posted_at=_TEXT,
+    end_at=_TEXT,
+    url=_TEXT,
+    age=_TEXT,
+    gender=_TEXT,
+    address=_TEXT,
+    recruit_count=_TEXT,
 )
 
 COMPANY_TYPES = {

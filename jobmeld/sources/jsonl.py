@@ -21,7 +21,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None
     if schema is None:
         return reader.json(path)
     if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
+        schema = T.StructType.fromDDL(schema)
     if CORRUPT not in schema.names:
         schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     return reader.option("columnNameOfCorruptRecord", CORRUPT).schema(schema).json(path)
