@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from jobmeld.functions.binding import bind
+
 
 def strip_slashes(col: Column) -> Column:
     """Without trailing slashes, null as blank (NRM10)."""
@@ -43,26 +45,25 @@ def resolve(base: Column, link: Column) -> Column:
     """
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    no_fragment = F.regexp_replace(base, "#.*$", "")
-    no_query = F.regexp_replace(no_fragment, r"\?.*$", "")
-    path = F.regexp_replace(no_query, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/]*", "")
-    folder = F.regexp_replace(path, "[^/]*$", "")
-    target = F.when(link.startswith("/"), link).otherwise(
-        F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), link)
+    page = F.regexp_replace(base, "#.*$", "")
+    plain = F.regexp_replace(base, r"[?#].*$", "")
+    folder = F.coalesce(
+        F.nullif(F.regexp_extract(plain, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/]*(/(?:.*/)?)", 1), F.lit("")), F.lit("/")
     )
-    tail = F.regexp_extract(target, r"([?#].*)$", 1)
-    bare = F.regexp_replace(target, r"[?#].*$", "")
+
+    def on_site(target: Column) -> Column:
+        tail = F.regexp_extract(target, r"([?#].*)$", 1)
+        path = F.substring(target, F.lit(1), F.length(target) - F.length(tail))
+        return F.concat(origin, F.when(path.rlike(r"/\.\.?(/|$)"), _without_dots(path)).otherwise(path), tail)
+
     return (
         F.when(link.isNull() | (link == ""), base)
         .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("#"), F.concat(no_fragment, link))
-        .when(link.startswith("?"), F.concat(no_query, link))
-        .otherwise(
-            F.concat(
-                origin, F.when(bare.rlike(r"/\.\.?(/|$)"), _without_dots(bare)).otherwise(bare), tail
-            )
-        )
+        .when(link.startswith("#"), F.concat(page, link))
+        .when(link.startswith("?"), F.concat(plain, link))
+        .when(link.startswith("/"), bind(link, on_site))
+        .otherwise(bind(F.concat(folder, link), on_site))
     )
 
 

@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from jobmeld.functions.binding import bind
 from jobmeld.functions.text import words
 
 # Education rules, first hit wins, and the level where none hits
@@ -179,34 +180,47 @@ def education(col: Column, rules: Sequence[tuple[str, str]] = EDUCATION_RULES, d
     return level.otherwise(default)
 
 
-def _hits(text: Column, keywords: Sequence[str]) -> Column:
-    marks = [text.contains(f" {k} ").cast("int") for k in keywords]
-    return sum(marks[1:], marks[0])
+def _found(col: Column, rules: Rules) -> Column:
+    """Distinct keywords of all rules that occur in the text as whole words, in one regex pass.
+
+    Each word is tried as the start of a keyword, longest first. A keyword that begins another one
+    ("sql", "sql server") is implied by the longer.
+    """
+    keywords = sorted({k for ks in rules.values() for k in ks}, key=lambda k: (-len(k), k))
+    begins = {k: [p for p in keywords if k == p or k.startswith(p + " ")] for k in keywords}
+    hits = F.regexp_extract_all(words(col), F.lit(f" (?=({'|'.join(keywords)}) )"), F.lit(1))
+    if any(len(ps) > 1 for ps in begins.values()):
+        table = F.create_map(*[x for k, ps in begins.items() for x in (F.lit(k), F.array(*[F.lit(p) for p in ps]))])
+        hits = F.flatten(F.transform(F.array_distinct(hits), lambda k: F.element_at(table, k)))
+    return F.array_distinct(hits)
+
+
+def _count(found: Column, keywords: Sequence[str]) -> Column:
+    return F.size(F.array_intersect(found, F.array(*[F.lit(k) for k in keywords])))
 
 
 def classify_single(col: Column, rules: Rules) -> Column:
     """The label with the most keywords in the text, the first such label on a tie (ENR2, ENR3).
 
-    Null for a null text or when no keyword occurs. The text is reduced to words once.
+    Null for a null text or when no keyword occurs.
     """
-    def best(text: Column) -> Column:
-        scores = F.array(
-            *[F.struct((-_hits(text, k)).alias("n"), F.lit(i).alias("i"), F.lit(l).alias("label")) for i, (l, k) in enumerate(rules.items())]
-        )
-        top = F.array_min(scores)
-        return F.when(top["n"] < 0, top["label"])
+    def best(found: Column) -> Column:
+        scores = [
+            F.struct((-_count(found, ks)).alias("n"), F.lit(i).alias("i"), F.lit(label).alias("label"))
+            for i, (label, ks) in enumerate(rules.items())
+        ]
+        return F.when(F.size(found) > 0, F.array_min(F.array(*scores))["label"])
 
-    # transform over a one-element array binds the prepared text to a name, so it is computed once
-    return F.element_at(F.transform(F.array(words(col)), best), 1)
+    return bind(_found(col, rules), best)
 
 
 def classify_multi(col: Column, rules: Rules, sep: str = ", ") -> Column:
     """All labels with a keyword in the text, in rule order, joined; null when none (ENR4)."""
-    def found(text: Column) -> Column:
-        labels = [F.when(_hits(text, k) > 0, F.lit(l)) for l, k in rules.items()]
-        return F.nullif(F.concat_ws(sep, *labels), F.lit(""))
+    def labels(found: Column) -> Column:
+        hit = [F.when(_count(found, ks) > 0, F.lit(label)) for label, ks in rules.items()]
+        return F.when(F.size(found) > 0, F.concat_ws(sep, *hit))
 
-    return F.element_at(F.transform(F.array(words(col)), found), 1)
+    return bind(_found(col, rules), labels)
 
 
 def prompt(col: Column, labels: Sequence[str], many: bool = False) -> Column:

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmeld.functions import text as tx, urls
+from jobmeld.functions.binding import bind
 from jobmeld.functions.names import name_key
 
 # What marks a block as a job or as a company profile
@@ -41,7 +42,8 @@ def jsonld_blocks(pages: DataFrame, marker: str | None = JOB_MARKER) -> DataFram
 
 def at(path: str, dtype: str = "string", doc: str = "doc") -> Column:
     """A value of the parsed block by path."""
-    return F.try_variant_get(F.col(doc), f"$.{path}", dtype)
+    dot = "" if path.startswith("[") else "."
+    return F.try_variant_get(F.col(doc), f"${dot}{path}", dtype)
 
 
 def either(path_a: str, path_b: str, dtype: str = "string", doc: str = "doc") -> Column:
@@ -490,7 +492,7 @@ def next_page(url: Column, html: Column) -> Column:
     rel = tag_attr(html, "a", "href", "next", "rel")
     listed = F.regexp_extract(html, r'(?is)<li(?=[\s>])[^>]*class="(?:next-page|pagi_pre)"[^>]*>\s*<a[^>]*?href="([^"]*)"', 1)
     target = F.coalesce(rel, F.nullif(listed, F.lit("")))
-    return F.when(target.isNotNull(), urls.resolve(url, target))
+    return bind(target, lambda t: F.when(t.isNotNull(), urls.resolve(url, t)))
 
 
 def last_link(html: Column) -> Column:

@@ -137,3 +137,72 @@ def held(spark: SparkSession, sf: str) -> DataFrame:
 
 def claims(spark: SparkSession, sf: str) -> DataFrame:
     return _ident_df(spark, sf, CLAIM_EXPRS, "2024-01-01 00:00:00")
+
+
+# ---- pages ----------------------------------------------------------------------------------------
+SITE = "https://jobs.example.vn"
+_MIN = "CAST(floor(o_totalprice) AS BIGINT)"
+_DAY = "CAST(CAST(o_orderdate AS DATE) AS {s})"
+
+
+def job_pages(spark: SparkSession, sf: str, tail: str = ".html") -> DataFrame:
+    """One job page per order: two structured blocks, a heading and a link to the employer.
+
+    The job's location is a list, an object or missing; its skills a list or a text; its experience
+    an object, a text or missing. A line break stands inside a JSON string, as on real pages.
+    """
+    spread = "o_orderkey % 3"
+    loc = """concat('{"address":{"streetAddress":"street ', o_custkey, '","postalCode":"', o_custkey % 100, '"}}')"""
+    doc = f"""concat('{{"@type":"JobPosting","title":"Job ', o_orderpriority, '","description":"<li>Line one&\\nA &amp; B</li>',
+      o_orderkey, '","datePosted":"', {_DAY.format(s='STRING')}, '","industry":"', o_orderpriority, '","jobBenefits":"<br>', o_orderstatus,
+      '","hiringOrganization":{{"name":"Công ty TNHH Firm ', o_custkey, '","url":"{SITE}/nha-tuyen-dung/firm.', o_custkey,
+      '.html","sameAs":"http://d', o_custkey, '.vn/","logo":"l', o_custkey, '.png","description":"about ', o_custkey, '"}}',
+      ',"identifier":{{"name":"n","value":"', o_custkey, '"}},"employmentType":["FULL_TIME","', o_orderstatus, '"]',
+      ',"baseSalary":{{"currency":"VND","minValue":', {_MIN}, ',"value":{{"minValue":', {_MIN}, ',"maxValue":', {_MIN} + 1000, ',"unitText":"MONTH"}}}}',
+      CASE {spread} WHEN 0 THEN concat(',"jobLocation":[', {loc}, ']') WHEN 1 THEN concat(',"jobLocation":', {loc}) ELSE '' END,
+      CASE {spread} WHEN 0 THEN ',"skills":["a","b"]' ELSE ',"skills":"c"' END,
+      CASE {spread} WHEN 0 THEN concat(',"experienceRequirements":{{"monthsOfExperience":', o_custkey % 24, '}}')
+        WHEN 1 THEN ',"experienceRequirements":"2 năm"' ELSE '' END, '}}')"""
+    html = f"""concat('<!DOCTYPE html><html lang="vi"><head><title>Job &amp; ', o_orderkey, '</title>',
+      '<link rel="canonical" href="{SITE}/c/', o_orderkey, '"><meta name="description" content="d', o_custkey, '">',
+      '<script type="application/ld+json">{{"@type":"BreadcrumbList"}}</script>',
+      '<script type="application/ld+json">', {doc}, '</script></head><body><div class="job-desc"><h1>Job ', o_orderpriority, '</h1></div>',
+      '<a class="employer job-company-name" href="{SITE}/nha-tuyen-dung/firm.', o_custkey, '.html">Firm ', o_custkey, '</a>',
+      '<a href="/viec-lam/', o_custkey, '.html">similar</a><a href="/viec-lam/', o_custkey, '.html">similar</a>',
+      CASE WHEN o_orderkey % 2 = 0 THEN concat('<a rel="next" href="?page=', o_orderkey % 10 + 1, '">next</a>') ELSE '' END,
+      '</body></html>')"""
+    return table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS page_id", f"concat('{SITE}/viec-lam/', o_orderkey, '{tail}') AS url", f"{html} AS html"
+    )
+
+
+def profile_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """One employer page per customer: business-profile block, embedded state, labelled details."""
+    profile = """concat('{"@type":"Professionalservice","name":"Công ty Cổ phần Firm ', c_custkey, '","founder":"F', c_custkey,
+      '","email":"e', c_custkey, '@x.vn","location":{"address":{"streetAddress":"street ', c_custkey % 97, '","addressRegion":"R', c_nationkey, '"}}',
+      ',"sameAs":["s1","s', c_custkey, '"],"openingHoursSpecification":[{"dayOfWeek":["Mo","Tu"],"opens":"08:00","closes":"17:00"}',
+      CASE WHEN c_custkey % 2 = 0 THEN ',{"dayOfWeek":["Sa"],"opens":"09:00","closes":"12:00"}' ELSE '' END, ']}')"""
+    state = """concat('{"props":{"initialState":{"api":{"employerDetail":{"data":{"id":', c_custkey, ',"name":"CÔNG TY TNHH Firm ', c_custkey,
+      '","slug":"firm-', c_custkey, '","address":"street ', c_custkey % 97, '","province":', c_nationkey,
+      CASE WHEN c_custkey % 3 = 0 THEN '' ELSE concat(',"tax_code":"T', c_custkey, '"') END, '}}}}}}')"""
+    html = f"""concat('<html><head><script type="application/ld+json">', {profile}, '</script>',
+      CASE WHEN c_custkey % 4 = 0 THEN '' ELSE concat('<script id="__NEXT_DATA__" type="application/json">', {state}, '</script>') END,
+      '</head><body><i class="cli-map-pin-line d-flex mr-2">at ', c_custkey % 97, '</i>',
+      '<div class="element_detail"><div class="in"><span>Quy mô:</span></div><p> ', c_nationkey, '&ndash;99 <b>người</b></p></div>',
+      '<div class="element_detail"><span>Email</span><p>Email</p><p>e', c_custkey, '@x.vn</p></div>',
+      '<p class="item_if">Bằng cấp</p> <span>Đại  học <i>', c_custkey % 7, '</i></span>',
+      '</body></html>')"""
+    return table(spark, sf, "customer").selectExpr(
+        "c_custkey AS page_id", f"concat('{SITE}/viec-lam-cua/', c_custkey) AS url", f"{html} AS html"
+    )
+
+
+def answers(spark: SparkSession, sf: str) -> DataFrame:
+    """One search answer per order, with two jobs in it."""
+    item = """concat('{{"jobId":', o_orderkey * 2 + {i}, ',"jobUrl":"u', o_orderkey, '","jobTitle":"T ', o_orderpriority, '","companyName":"Công ty TNHH Firm ', o_custkey,
+      '","companyId":', o_custkey, ',"companySize":"', o_custkey % 50, '","companyProfile":"<li>p&amp;q</li>","address":"street ', o_custkey,
+      '","workingLocations":[{{"address":"a', o_custkey, '"}},{{"city":"x"}}],"salaryMin":', CAST(floor(o_totalprice) AS BIGINT),
+      ',"salaryMax":', CAST(floor(o_totalprice) AS BIGINT) * 2, ',"skills":[{{"skillName":"s{i}"}},{{"skillName":"t"}}],"benefits":[{{"benefitValue":"b"}}],',
+      '"jobDescription":"<li>x</li><br> y ","industriesV3":[{{"industryV3Name":"', o_orderstatus, '"}}]}}')"""
+    body = f"""concat('{{"meta":{{"nbPages":', o_orderkey % 4, '}},"data":[', {item.format(i=0)}, ',', {item.format(i=1)}, ']}}')"""
+    return table(spark, sf, "orders").selectExpr("o_orderkey AS answer_id", f"{body} AS body")
