@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobmeld.operators import enrich
-from jobmeld.queries.base import query, table
+from jobmeld.queries.base import query, table, texts
 
 
 def _sql_case(rules, default) -> str:
@@ -18,7 +18,7 @@ _EDU = _sql_case(enrich.EDUCATION_RULES, enrich.EDUCATION_DEFAULT)
 
 @query("enr1_education", f"SELECT doc_id, {_EDU} AS edu FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", enrich.education(F.col("text")).alias("edu"))
+    return texts(spark, sf, "documents").select("doc_id", enrich.education(F.col("text")).alias("edu"))
 
 
 @query(
@@ -26,7 +26,7 @@ def _(spark, sf):
     f"SELECT conv_id, turn, {_sql_case([('THPT', 'th.n|ph')], 'Đại học')} AS edu FROM conversations",
 )
 def _(spark, sf):
-    return table(spark, sf, "conversations").select(
+    return texts(spark, sf, "conversations").select(
         "conv_id", "turn", enrich.education(F.col("text"), [("THPT", "th.n|ph")]).alias("edu")
     )
 
@@ -52,31 +52,22 @@ def _sql_multi(rules) -> str:
 
 @query("enr2_category", _sql_single(enrich.CATEGORY_RULES))
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", enrich.classify_single(F.col("text"), enrich.CATEGORY_RULES).alias("label"))
+    return texts(spark, sf, "documents").select("doc_id", enrich.classify_single(F.col("text"), enrich.CATEGORY_RULES).alias("label"))
 
 
 @query("enr3_industry", _sql_single(enrich.INDUSTRY_RULES))
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", enrich.classify_single(F.col("text"), enrich.INDUSTRY_RULES).alias("label"))
+    return texts(spark, sf, "documents").select("doc_id", enrich.classify_single(F.col("text"), enrich.INDUSTRY_RULES).alias("label"))
 
 
 @query("enr4_skills", _sql_multi(enrich.SKILL_RULES))
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", enrich.classify_multi(F.col("text"), enrich.SKILL_RULES).alias("skills"))
-
-
-def _prompt_head(many: bool) -> str:
-    task = (
-        "Name every label from the list that applies to the text, separated by commas."
-        if many
-        else "Name the one label from the list that fits the text best."
-    )
-    return task
+    return texts(spark, sf, "documents").select("doc_id", enrich.classify_multi(F.col("text"), enrich.SKILL_RULES).alias("skills"))
 
 
 @query(
     "enr5_prompt",
-    "SELECT item_id, concat('" + _prompt_head(False) + "', chr(10), 'Labels:', chr(10), "
+    "SELECT item_id, concat('Name the one label from the list that fits the text best.', chr(10), 'Labels:', chr(10), "
     + ", chr(10), ".join(f"'- {l}'" for l in enrich.JOB_CATEGORIES)
     + ", chr(10), 'Answer with labels only.', chr(10), 'Text:', chr(10), text) AS prompt FROM benchmark",
 )
@@ -117,7 +108,7 @@ def _old(df):
 
 @query("udf1_scorer", f"SELECT doc_id, CASE WHEN {_N} > 200 THEN 'long' WHEN {_N} >= 5 THEN 'short' END AS label FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", enrich.scorer_udf(_by_length)(F.col("text"))["label"].alias("label"))
+    return texts(spark, sf, "documents").select("doc_id", enrich.scorer_udf(_by_length)(F.col("text"))["label"].alias("label"))
 
 
 @query(
@@ -125,7 +116,7 @@ def _(spark, sf):
     f"""SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'given' WHEN {_N} > 50 THEN 'long' WHEN {_N} >= 1 THEN 'short' END AS expertise FROM documents""",
 )
 def _(spark, sf):
-    docs = _old(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = _old(texts(spark, sf, "documents").select("doc_id", "text"))
     return enrich.score_texts(docs, "text", _by_length, "expertise", limit=50, least=1).select("doc_id", "expertise")
 
 
@@ -135,5 +126,5 @@ def _(spark, sf):
           CASE WHEN {_N} < 30 THEN concat('ValueError: ', {_N}, ' words') END AS label_error FROM documents""",
 )
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     return enrich.score_texts(docs, "text", _by_length, "label", least=30).select("doc_id", "label", "label_error")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobmeld.operators import extract as ex
-from jobmeld.queries.base import query, table
+from jobmeld.queries.base import query, texts
 from jobmeld.queries.lookalikes import SITE, answers, job_pages, profile_pages
 
 _MIN = "CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)"
@@ -178,7 +178,7 @@ _SQL_TEXT = "replace(nullif(regexp_extract(html, '(?s)<{t}[^>]*>([^<]*)', 1), ''
           regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang FROM pages""",
 )
 def _(spark, sf):
-    return ex.page_facts(table(spark, sf, "pages")).select("page_id", "title", "heading", "lang")
+    return ex.page_facts(texts(spark, sf, "pages")).select("page_id", "title", "heading", "lang")
 
 
 @query(
@@ -194,12 +194,12 @@ _HREFS = """SELECT page_id, regexp_extract(url, '^[a-z]+://[^/]+') AS site, unne
 
 @query("ext10_links", f"SELECT DISTINCT page_id, concat(site, href) AS link FROM ({_HREFS})")
 def _(spark, sf):
-    return ex.outgoing(table(spark, sf, "pages")).select("page_id", "link")
+    return ex.outgoing(texts(spark, sf, "pages")).select("page_id", "link")
 
 
 @query("ext10_links_containing", f"SELECT DISTINCT concat(site, href) AS link FROM ({_HREFS}) WHERE contains(href, '/th')")
 def _(spark, sf):
-    links = ex.outgoing(table(spark, sf, "pages"), "/th")
+    links = ex.outgoing(texts(spark, sf, "pages"), "/th")
     return links.select("link").distinct()
 
 
@@ -207,12 +207,12 @@ def _(spark, sf):
   array_to_string(list_slice(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1, 4), ' ') AS links FROM pages""")
 def _(spark, sf):
     links = ex.first_links(F.col("html"), 4)
-    return table(spark, sf, "pages").select("page_id", F.size(links).alias("n"), F.array_join(links, " ").alias("links"))
+    return texts(spark, sf, "pages").select("page_id", F.size(links).alias("n"), F.array_join(links, " ").alias("links"))
 
 
 @query("lim3_last_link", """SELECT page_id, list_extract(regexp_extract_all(html, '<a href="([^"]*)"', 1), -1) AS link FROM pages""")
 def _(spark, sf):
-    return table(spark, sf, "pages").select("page_id", ex.last_link(F.col("html")).alias("link"))
+    return texts(spark, sf, "pages").select("page_id", ex.last_link(F.col("html")).alias("link"))
 
 
 @query(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobmeld.functions.names import PREFIXES, SUFFIXES, name_key
-from jobmeld.queries.base import table
+from jobmeld.queries.base import table, texts
 
 _RAW_M = "(s_suppkey * 3 - CASE WHEN (s_suppkey * 3) % 7 = 6 THEN 3 ELSE 0 END)"
 _RAW_NAME = f"""concat(CASE s_suppkey % 4 WHEN 0 THEN 'Công ty TNHH ' WHEN 1 THEN 'Công ty Cổ phần '
@@ -171,7 +171,7 @@ def job_pages(spark: SparkSession, sf: str, tail: str = ".html") -> DataFrame:
       '<a href="/viec-lam/', o_custkey, '.html">similar</a><a href="/viec-lam/', o_custkey, '.html">similar</a>',
       CASE WHEN o_orderkey % 2 = 0 THEN concat('<a rel="next" href="?page=', o_orderkey % 10 + 1, '">next</a>') ELSE '' END,
       '</body></html>')"""
-    return table(spark, sf, "orders").selectExpr(
+    return texts(spark, sf, "orders").selectExpr(
         "o_orderkey AS page_id", f"concat('{SITE}/viec-lam/', o_orderkey, '{tail}') AS url", f"{html} AS html"
     )
 
@@ -192,7 +192,7 @@ def profile_pages(spark: SparkSession, sf: str) -> DataFrame:
       '<div class="element_detail"><span>Email</span><p>Email</p><p>e', c_custkey, '@x.vn</p></div>',
       '<p class="item_if">Bằng cấp</p> <span>Đại  học <i>', c_custkey % 7, '</i></span>',
       '</body></html>')"""
-    return table(spark, sf, "customer").selectExpr(
+    return texts(spark, sf, "customer").selectExpr(
         "c_custkey AS page_id", f"concat('{SITE}/viec-lam-cua/', c_custkey) AS url", f"{html} AS html"
     )
 
@@ -205,4 +205,4 @@ def answers(spark: SparkSession, sf: str) -> DataFrame:
       ',"salaryMax":', CAST(floor(o_totalprice) AS BIGINT) * 2, ',"skills":[{{"skillName":"s{i}"}},{{"skillName":"t"}}],"benefits":[{{"benefitValue":"b"}}],',
       '"jobDescription":"<li>x</li><br> y ","industriesV3":[{{"industryV3Name":"', o_orderstatus, '"}}]}}')"""
     body = f"""concat('{{"meta":{{"nbPages":', o_orderkey % 4, '}},"data":[', {item.format(i=0)}, ',', {item.format(i=1)}, ']}}')"""
-    return table(spark, sf, "orders").selectExpr("o_orderkey AS answer_id", f"{body} AS body")
+    return texts(spark, sf, "orders").selectExpr("o_orderkey AS answer_id", f"{body} AS body")

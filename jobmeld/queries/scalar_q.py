@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from jobmeld.functions import address, names, numbers, predicates as pr, text as tx, urls
 from jobmeld.operators import survivorship, upsert
-from jobmeld.queries.base import query, table, when
+from jobmeld.queries.base import query, table, texts, when
 from jobmeld.queries.lookalikes import _MASTER_NAME, _RAW_NAME, SALARY_TEXT, sql_name_key
 
 # blank and null text out of a table that has neither
@@ -105,7 +105,7 @@ _WORDS = "string_split(lower(regexp_replace(c.text, '[^\\p{L}\\p{N}]+', ' ', 'g'
 )
 def _(spark, sf):
     ws = F.split(F.lower(F.regexp_replace("text", r"[^\p{L}\p{N}]+", " ")), " ")
-    return table(spark, sf, "conversations").select(
+    return texts(spark, sf, "conversations").select(
         "conv_id", "turn", F.array_join(tx.drop_tokens(ws, "th"), " ").alias("kept")
     )
 
@@ -169,7 +169,7 @@ def _(spark, sf):
 
 @query("fn8_rlike_any_case", "SELECT doc_id, regexp_matches(text, '(?i)license|version [0-9]') AS hit FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.col("text").rlike("(?iu)license|version [0-9]").alias("hit"))
+    return texts(spark, sf, "documents").select("doc_id", F.col("text").rlike("(?iu)license|version [0-9]").alias("hit"))
 
 
 @query("fn9_as_of", "SELECT s_suppkey, '2024-01-01 00:00:00' AS updated_at FROM supplier")
@@ -200,7 +200,7 @@ def _(spark, sf):
 
 @query("fn12_dotted_token", "SELECT page_id, list_extract(string_split(url, '.'), -2) AS token FROM pages")
 def _(spark, sf):
-    return table(spark, sf, "pages").select("page_id", urls.dotted_id(F.col("url"), -2).alias("token"))
+    return texts(spark, sf, "pages").select("page_id", urls.dotted_id(F.col("url"), -2).alias("token"))
 
 
 # ---- normalisation --------------------------------------------------------------------------------
@@ -213,13 +213,13 @@ def _(spark, sf):
 def _(spark, sf):
     raw = table(spark, sf, "supplier").selectExpr("'raw' AS side", "s_suppkey AS id", f"{_RAW_NAME} AS name")
     master = table(spark, sf, "customer").selectExpr("'master' AS side", "c_custkey AS id", f"{_MASTER_NAME} AS name")
-    docs = table(spark, sf, "documents").selectExpr("'text' AS side", "doc_id AS id", "text AS name")
+    docs = texts(spark, sf, "documents").selectExpr("'text' AS side", "doc_id AS id", "text AS name")
     return raw.unionByName(master).unionByName(docs).select("side", "id", names.name_key(F.col("name")).alias("name_key"))
 
 
 @query("nrm2_fold_text", "SELECT doc_id, lower(trim(regexp_replace(nfc_normalize(text), '\\s+', ' ', 'g'))) AS folded FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.fold_text(F.col("text")).alias("folded"))
+    return texts(spark, sf, "documents").select("doc_id", tx.fold_text(F.col("text")).alias("folded"))
 
 
 _BRACKETED = "concat(c_name, ' (', c_mktsegment, ') x', CASE WHEN c_custkey % 2 = 0 THEN '(b)' ELSE '' END)"
@@ -278,7 +278,7 @@ def _sql_clean(expr: str) -> str:
 
 @query("nrm5_clean_html", f"SELECT page_id, {_sql_clean('html')} AS body FROM pages")
 def _(spark, sf):
-    return table(spark, sf, "pages").select("page_id", tx.clean_html(F.col("html")).alias("body"))
+    return texts(spark, sf, "pages").select("page_id", tx.clean_html(F.col("html")).alias("body"))
 
 
 @query(
@@ -287,17 +287,17 @@ def _(spark, sf):
 )
 def _(spark, sf):
     h = F.when(F.col("page_id") % 5 != 0, F.col("html"))
-    return table(spark, sf, "pages").select("page_id", tx.clean_html_or_blank(h).alias("body"))
+    return texts(spark, sf, "pages").select("page_id", tx.clean_html_or_blank(h).alias("body"))
 
 
 @query("nrm7_clean_text", "SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("t"))
+    return texts(spark, sf, "documents").select("doc_id", tx.clean_text(F.col("text")).alias("t"))
 
 
 @query("nrm8_squeeze", "SELECT conv_id, turn, regexp_replace(text, '\\s+', ' ', 'g') AS t FROM conversations")
 def _(spark, sf):
-    return table(spark, sf, "conversations").select("conv_id", "turn", tx.squeeze(F.col("text")).alias("t"))
+    return texts(spark, sf, "conversations").select("conv_id", "turn", tx.squeeze(F.col("text")).alias("t"))
 
 
 @query(
@@ -308,12 +308,12 @@ def _(spark, sf):
     # raw line breaks inside a JSON string: unreadable until the control characters are gone
     raw = F.concat(F.lit('{"t":"'), F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"}'))
     doc = F.try_parse_json(tx.strip_controls(raw))
-    return table(spark, sf, "documents").select("doc_id", F.try_variant_get(doc, "$.t", "string").alias("body"))
+    return texts(spark, sf, "documents").select("doc_id", F.try_variant_get(doc, "$.t", "string").alias("body"))
 
 
 @query("nrm10_strip_slashes", "SELECT page_id, regexp_replace(coalesce(url, ''), '/+$', '') AS domain FROM pages")
 def _(spark, sf):
-    return table(spark, sf, "pages").select("page_id", urls.strip_slashes(F.col("url")).alias("domain"))
+    return texts(spark, sf, "pages").select("page_id", urls.strip_slashes(F.col("url")).alias("domain"))
 
 
 _SEG = "list_extract(string_split(url, '/'), -1)"
@@ -327,7 +327,7 @@ _SEG = "list_extract(string_split(url, '/'), -1)"
 )
 def _(spark, sf):
     u = F.col("url")
-    return table(spark, sf, "pages").select(
+    return texts(spark, sf, "pages").select(
         "page_id",
         urls.last_segment(u).alias("last_segment"),
         urls.page_id(u).alias("page_key"),
@@ -347,7 +347,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     u = F.col("url")
-    return table(spark, sf, "pages").select(
+    return texts(spark, sf, "pages").select(
         "page_id",
         urls.resolve(u, F.concat(F.lit("/jobs/"), F.col("page_id"), F.lit(".html"))).alias("rooted"),
         urls.resolve(u, F.lit("./x/../next")).alias("beside"),
@@ -405,7 +405,7 @@ def _(spark, sf):
     """SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda s: trim(s) <> ''), ' | ') AS t FROM documents""",
 )
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.join_filled(F.split("text", "\n"), " | ").alias("t"))
+    return texts(spark, sf, "documents").select("doc_id", tx.join_filled(F.split("text", "\n"), " | ").alias("t"))
 
 
 @query("nrm17_first_filled", f"SELECT c_custkey, coalesce(nullif({SEGMENT}, ''), c_name) AS t FROM customer")

@@ -113,3 +113,13 @@ def profile(df: DataFrame) -> DataFrame:
 def preview(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """The first `n` rows by a stated order (LIM1)."""
     return df.orderBy(*order).limit(n)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small input over all cores, ahead of work that is heavy per row.
+
+    For a plain scan. One with at least as many splits as cores, so every large table, is returned
+    as it is and not shuffled.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

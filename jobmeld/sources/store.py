@@ -71,8 +71,15 @@ class SnapshotStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(self._path(name, number))
+        if partition_by and not self._has_data(name, number):
+            # partitions of no rows leave no file, and so no schema to read back
+            return self.write(empty_like(self.spark, df.schema), name)
         return self.read(name)
 
+    def _has_data(self, name: str, number: int) -> bool:
+        fs, p = self._fs(self._path(name, number))
+        return any(not s.getPath().getName().startswith("_") for s in fs.listStatus(p))
+
     def create(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """First write; refuses when the table is there already (SNK3)."""
         if self.exists(name):
