@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmeld.functions.predicates import any_of, has_value
-from jobmeld.sources.schema import backfill, evolve
+from jobmeld.sources.schema import backfill, consolidate, evolve
 
 KEY = "corporate_number"
 
@@ -28,6 +28,29 @@ def scored(src: DataFrame, columns: Sequence[tuple[str, str]], quality: int, as_
     return src.select(*out, as_of.alias("updated_at"), as_of.alias("created_at"))
 
 
+def fold(feeds: Sequence[DataFrame], key: str = KEY) -> DataFrame:
+    """Scored rows of several sources as one row per key, equal to merging them one after the other (SET2).
+
+    Per column the filled value of the highest quality, of the last such feed on a tie; where no feed
+    has a value, what the first feed with this key holds. One aggregate and one later merge take the
+    place of a rewrite of the master table per source. All feeds carry the same time.
+    """
+    union = consolidate([f.select("*", F.lit(i).alias("_feed")) for i, f in enumerate(feeds)])
+    carried = [c[: -len("_quality")] for c in union.columns if c.endswith("_quality")]
+    types = {f.name: f.dataType for f in union.schema.fields}
+    picks, out = [], [F.col(key)]
+    for c in carried:
+        triple = F.struct(*[F.col(x) for x in (c, f"{c}_quality", f"{c}_updated_at")])
+        rank = F.when(has_value(F.col(c), types[c]), F.struct(F.col(f"{c}_quality"), F.col("_feed")))
+        picks += [F.max_by(triple, rank).alias(f"_best_{c}"), F.min_by(triple, F.col("_feed")).alias(f"_first_{c}")]
+        for x in (c, f"{c}_quality", f"{c}_updated_at"):
+            best = F.col(f"_best_{c}")
+            out.append(F.when(best.isNotNull(), best[x]).otherwise(F.col(f"_first_{c}")[x]).alias(x))
+    times = ["updated_at", "created_at"]
+    picks += [F.min(t).alias(t) for t in times]
+    return union.groupBy(key).agg(*picks).select(*out, *times)
+
+
 def survive(dest: DataFrame, src: DataFrame, key: str = KEY) -> DataFrame:
     """Merge scored rows into the master table (UPS1, JN6).
 

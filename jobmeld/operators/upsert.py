@@ -26,6 +26,29 @@ def stamped(df: DataFrame, as_of: Column) -> DataFrame:
     return df.select("*", as_of.alias("created_at"), as_of.alias("updated_at"))
 
 
+def fold(
+    changes: DataFrame,
+    seq: str,
+    keys: Sequence[str] = JOB_KEYS,
+    created: str = "created_at",
+    first_wins: Sequence[str] = ("_ingest_id",),
+) -> DataFrame:
+    """Several batches as one row per key, equal to upserting them in the order of `seq`.
+
+    Per column the last non-null value, the first one for `created` and `first_wins`. One aggregate
+    and one merge take the place of a merge per batch.
+    """
+    one = keep_first(changes, [*keys, seq])
+    picks = []
+    for c in changes.columns:
+        if c in keys or c == seq:
+            continue
+        rank = F.when(F.col(c).isNotNull(), F.col(seq))
+        pick = F.min_by if c == created or c in first_wins else F.max_by
+        picks.append(pick(F.col(c), rank).alias(c))
+    return one.groupBy(*keys).agg(*picks).select(*[c for c in changes.columns if c != seq])
+
+
 def upsert(
     dest: DataFrame,
     src: DataFrame,

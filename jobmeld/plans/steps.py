@@ -6,6 +6,8 @@ Jobs are kept per source, so an upsert reads and rewrites one source's rows only
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from jobmeld.operators import dedupe, enrich, identity, lookup, matching, survivorship, upsert
@@ -32,7 +34,7 @@ def run_identify(store: SnapshotStore, media: str, as_of: Column, conflict: str
     name = f"uuid/{media}"
     held = store.read(name) if store.exists(name) else None
     pairs = matching.stamp(matching.candidates(raw, master), as_of)
-    return store.write(identity.cascade(held, pairs, conflict=conflict), name)
+    return store.write(conform(identity.cascade(held, pairs, conflict=conflict), IDENTITY_SCHEMA), name)
 
 
 def company_feed(raw: DataFrame, idmap: DataFrame | None, spec: SourceSpec, as_of: Column) -> DataFrame:
@@ -61,15 +63,28 @@ def run_master(store: SnapshotStore, media: str, as_of: Column) -> tuple[DataFra
 
 
 def upsert_companies(store: SnapshotStore, media: str, as_of: Column) -> DataFrame:
+    return _merge_companies(store, [_feed(store, media, as_of)], as_of)
+
+
+def upsert_all_companies(store: SnapshotStore, medias: Sequence[str], as_of: Column) -> DataFrame:
+    """Companies of several identified sources in one merge, later sources winning ties (SET2, UPS4)."""
+    return _merge_companies(store, [_feed(store, m, as_of) for m in medias], as_of)
+
+
+def _feed(store: SnapshotStore, media: str, as_of: Column) -> DataFrame:
     spec = SOURCES[media]
     idmap = store.read(f"uuid/{media}") if store.exists(f"uuid/{media}") else None
-    feed = company_feed(_companies(store, spec), idmap, spec, as_of)
+    return company_feed(_companies(store, spec), idmap, spec, as_of)
+
+
+def _merge_companies(store: SnapshotStore, feeds: Sequence[DataFrame], as_of: Column) -> DataFrame:
+    batch = feeds[0] if len(feeds) == 1 else survivorship.fold(feeds)
     if store.exists("master/company"):
         dest = store.read("master/company")
     else:
         # start from every canonical column, so that matchers find their keys whichever source came first
         dest = empty_like(store.spark, _scored_schema(as_of, store))
-    return store.write(survivorship.survive(dest, feed), "master/company")
+    return store.write(survivorship.survive(dest, batch), "master/company")
 
 
 def upsert_jobs(store: SnapshotStore, media: str, as_of: Column) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
-from jobmeld.operators import identity, matching
 from jobmeld.plans import specs, steps
 from jobmeld.queries.base import AS_OF, LATER, query, store, table, when
 from jobmeld.queries.identity_q import BOTH, _sql_cascade, texts
@@ -275,5 +274,4 @@ def _(spark, sf):
     ).write.mode("append").json(f"{root}/landed")
     s = store(spark, "st3")
     items = st.read_stream(spark, f"{root}/landed", _JOB, per_batch=1)
-    st.upsert_stream(items, s, "master/recruit", f"{root}/checkpoint").awaitTermination()
-    return s.read("master/recruit")
+    return st.upsert_stream(items, s, "master/recruit", f"{root}/checkpoint")

@@ -4,12 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobmeld.operators import identity, lookup, survivorship, upsert
-from jobmeld.plans import specs, steps
-from jobmeld.queries.base import AS_OF, LATER, query, store, table, when
-from jobmeld.queries.lookalikes import HELD_SQL, RAW_SQL, SALARY_TEXT, held, raw_companies
-from jobmeld.session import scratch_path
-from jobmeld.sources import jsonl
+from jobmeld.operators import survivorship, upsert
+from jobmeld.queries.base import AS_OF, LATER, query, table, when
 
 # ---- survivorship ---------------------------------------------------------------------------------
 _D = """dst AS (SELECT c_custkey AS corporate_number, c_name AS company_name,
@@ -155,3 +151,45 @@ def _(spark, sf):
     src = _job_batch(spark, sf).select(*keys, F.lit(True).alias("in_batch"))
     merged = upsert.upsert(dest, src, keys)
     return merged.select(*keys, F.coalesce("in_table", F.lit(False)).alias("in_table"), F.coalesce("in_batch", F.lit(False)).alias("in_batch"))
+
+
+# ---- several sources, several batches ---------------------------------------------------------------
+@query(
+    "set2_fold_feeds",
+    f"""WITH a AS (SELECT c_custkey AS k, c_name AS name, CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE c_mktsegment END AS industry FROM customer),
+          b AS (SELECT s_suppkey * 20 AS k, s_name AS name, CASE s_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'steel' END AS industry FROM supplier)
+        SELECT coalesce(a.k, b.k) AS corporate_number, coalesce(b.name, a.name) AS company_name,
+          CASE WHEN coalesce(b.industry, '') <> '' THEN b.industry WHEN a.k IS NOT NULL THEN a.industry ELSE b.industry END AS industry,
+          CASE WHEN coalesce(b.industry, '') <> '' OR coalesce(a.industry, '') <> '' THEN 28000 ELSE 0 END AS industry_quality
+        FROM a FULL JOIN b ON a.k = b.k""",
+)
+def _(spark, sf):
+    a = table(spark, sf, "customer").selectExpr(
+        "c_custkey AS corporate_number", "c_name AS name", "CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE c_mktsegment END AS industry"
+    )
+    b = table(spark, sf, "supplier").selectExpr(
+        "s_suppkey * 20 AS corporate_number", "s_name AS name", "CASE s_suppkey % 4 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE 'steel' END AS industry"
+    )
+    columns = [("name", "company_name"), ("industry", "industry")]
+    feeds = [survivorship.scored(df, columns, 28000, when()) for df in (a, b)]
+    return survivorship.fold(feeds).select("corporate_number", "company_name", "industry", "industry_quality")
+
+
+_LINES = """SELECT CAST(l_orderkey AS {s}) AS media_internal_id, 'topcv' AS media_code, l_linenumber AS _batch,
+    CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_returnflag END AS title, CAST(l_suppkey AS {s}) AS _ingest_id"""
+
+
+@query(
+    "ups3_fold_batches",
+    f"""WITH x AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY media_internal_id, _batch ORDER BY title NULLS FIRST, _ingest_id) AS rn
+          FROM ({_LINES.format(s='VARCHAR')} FROM lineitem)) WHERE rn = 1)
+        SELECT media_internal_id, media_code, arg_max(title, _batch) FILTER (WHERE title IS NOT NULL) AS title,
+          arg_min(_ingest_id, _batch) AS _ingest_id FROM x GROUP BY media_internal_id, media_code""",
+)
+def _(spark, sf):
+    exprs = _LINES.format(s="STRING").removeprefix("SELECT ")
+    parts = [
+        "CAST(l_orderkey AS STRING) AS media_internal_id", "'topcv' AS media_code", "l_linenumber AS _batch",
+        "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_returnflag END AS title", "CAST(l_suppkey AS STRING) AS _ingest_id",
+    ]
+    return upsert.fold(table(spark, sf, "lineitem").selectExpr(*parts), "_batch")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobmeld.operators import dedupe, identity, lookup, matching, upsert
+from jobmeld.operators import dedupe, identity, lookup, matching
 from jobmeld.queries.base import AS_OF, query, table, when
 from jobmeld.queries.lookalikes import (
     CLAIM_SQL,

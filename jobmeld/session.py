@@ -16,6 +16,12 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # whole pages and documents go through the Arrow functions: keep a batch of them small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # first-seen state outgrows the heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
 }
 

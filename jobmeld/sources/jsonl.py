@@ -45,8 +45,13 @@ def dated(df: DataFrame, spider: str, at: Column) -> DataFrame:
 
 
 def land_dated(df: DataFrame, root: str, spider: str, at: Column) -> None:
-    """Append below `root/year=…/month=…/day=…/spider=…` as JSON Lines (SNK4)."""
-    dated(df, spider, at).write.mode("append").partitionBy("year", "month", "day", "spider").json(root)
+    """Append below `root/year=…/month=…/day=…/spider=…` as JSON Lines (SNK4).
+
+    Rows are brought together by day, so that not every task writes a file for every day; adaptive
+    execution splits a day that holds much more than the others.
+    """
+    days = dated(df, spider, at).hint("rebalance", "year", "month", "day")
+    days.write.mode("append").partitionBy("year", "month", "day", "spider").json(root)
 
 
 def require_output(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

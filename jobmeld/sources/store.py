@@ -92,12 +92,23 @@ class SnapshotStore:
             self.write(empty_like(self.spark, df.schema), name, partition_by)
         return self.read(name)
 
+    def folders(self, path: str) -> list[str]:
+        """Complete output folders directly below `path`."""
+        fs, base = self._fs(path)
+        if not fs.exists(base):
+            return []
+        found = sorted(s.getPath().toString() for s in fs.listStatus(base) if s.isDirectory())
+        return [f for f in found if fs.exists(self._fs(f + "/_SUCCESS")[1])]
+
+    def drop_folders(self, paths: Sequence[str]) -> None:
+        for path in paths:
+            fs, p = self._fs(path)
+            fs.delete(p, True)
+
     def expire(self, name: str, keep: int = 2) -> int:
         """Delete all but the newest `keep` complete snapshots; returns how many went."""
         old = self._complete(name)[:-keep] if keep else []
-        for n in old:
-            fs, p = self._fs(self._path(name, n))
-            fs.delete(p, True)
+        self.drop_folders([self._path(name, n) for n in old])
         return len(old)
 
 

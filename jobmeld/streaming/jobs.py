@@ -11,11 +11,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from jobmeld.operators.upsert import JOB_KEYS, upsert
+from jobmeld.operators.upsert import JOB_KEYS, fold, upsert
 from jobmeld.sources.jsonl import dated
 from jobmeld.sources.schema import empty_like
 from jobmeld.sources.store import SnapshotStore
 
+# the batch number as a column of the changes put aside
+SEQ = "_batch"
+
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.format(fmt).schema(schema)
@@ -51,21 +54,43 @@ def upsert_stream(
     keys: Sequence[str] = JOB_KEYS,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     keep: int = 2,
-) -> StreamingQuery:
-    """Upsert every micro-batch into a stored table (ST3).
+) -> DataFrame:
+    """Upsert what has arrived into a stored table and return the table (ST3).
 
-    A batch that is run again after a failure gives the same table: the upsert is by key, and the
-    batch is reduced to one row per key first.
+    Each micro-batch is only written aside, to a folder of its number, so a batch that runs again
+    after a failure replaces itself. At the end all batches are folded and merged in one rewrite of
+    the table, whatever their number.
     """
-    def apply(batch: DataFrame, batch_id: int) -> None:
+    pending = f"{checkpoint.rstrip('/')}-changes"
+
+    def put_aside(batch: DataFrame, batch_id: int) -> None:
         src = prepare(batch) if prepare else batch
-        dest = store.read(table) if store.exists(table) else empty_like(store.spark, src.schema)
-        store.write(upsert(dest, src, keys), table)
-        store.expire(table, keep)
+        src.write.mode("overwrite").parquet(f"{pending}/{SEQ}={batch_id}")
 
-    return (
-        items.writeStream.foreachBatch(apply)
+    (
+        items.writeStream.foreachBatch(put_aside)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
+        .awaitTermination()
     )
+    return merge_pending(store, table, pending, keys, keep)
+
+
+def merge_pending(store: SnapshotStore, table: str, pending: str, keys: Sequence[str] = JOB_KEYS, keep: int = 2) -> DataFrame:
+    """Merge the batches put aside into the table, then drop them.
+
+    Should it stop before they are dropped, the next run merges them again, which changes nothing:
+    the upsert is by key.
+    """
+    batches = store.folders(pending)
+    if not batches:
+        return store.read(table)
+    changes = store.spark.read.option("basePath", pending).parquet(*batches)
+    changes = changes.withColumn(SEQ, F.col(SEQ).cast("bigint"))
+    src = fold(changes, SEQ, keys)
+    dest = store.read(table) if store.exists(table) else empty_like(store.spark, src.schema)
+    merged = store.write(upsert(dest, src, keys), table)
+    store.drop_folders(batches)
+    store.expire(table, keep)
+    return merged

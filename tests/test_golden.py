@@ -109,3 +109,42 @@ def test_conform_unifies_the_shapes_of_a_column(spark):
     got = [tuple(r) for r in a.collect()]
     assert got[0][0] == ["FULL"] and float(got[0][1]) == 12 and got[0][2] == "x, y"
     assert got[1] == (None, None, None)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_folding_feeds_equals_merging_them_in_turn(spark, rows, seed):
+    rnd = random.Random(seed)
+
+    def feed(quality, cols):
+        data = [(f"C{k}", *[rnd.choice(["", None, f"{c}{quality}"]) for c in cols]) for k in rnd.sample(range(20), 12)]
+        df = spark.createDataFrame(data, "corporate_number string, " + ", ".join(f"{c} string" for c in cols))
+        return survivorship.scored(df, [(c, c) for c in cols], quality, F.lit("t1"))
+
+    feeds = [feed(30000, ["a", "b"]), feed(24000, ["a", "c"]), feed(30000, ["b", "c", "a"]), feed(28000, ["c"])]
+    base = survivorship.scored(
+        spark.createDataFrame([(f"C{k}", rnd.choice(["", "old"]), None) for k in range(10)], "corporate_number string, a string, b string"),
+        [("a", "a"), ("b", "b")], 28000, F.lit("t0"),
+    )
+    turn = base
+    for f in feeds:
+        turn = survivorship.survive(turn, f)
+    once = survivorship.survive(base, survivorship.fold(feeds)).select(*turn.columns)
+    assert rows(once) == rows(turn)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_folding_batches_equals_upserting_them_in_turn(spark, rows, seed):
+    rnd = random.Random(seed)
+    ddl = "media_internal_id string, media_code string, a string, _ingest_id string, created_at string"
+
+    def batch(n):
+        return spark.createDataFrame(
+            [(str(rnd.randrange(6)), "m", rnd.choice([None, f"a{n}", f"b{n}"]), rnd.choice([None, f"i{n}"]), f"t{n}") for _ in range(8)], ddl
+        )
+
+    batches = [batch(n) for n in range(4)]
+    turn = schema.empty_like(spark, batches[0].schema)
+    for b in batches:
+        turn = upsert.upsert(turn, b)
+    changes = schema.consolidate([b.withColumn("_batch", F.lit(n)) for n, b in enumerate(batches)])
+    assert rows(upsert.fold(changes, "_batch").select(*turn.columns)) == rows(turn)

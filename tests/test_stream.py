@@ -1,3 +1,5 @@
+import os
+
 from pyspark.sql import functions as F, types as T
 
 from jobmeld.sources.store import SnapshotStore
@@ -23,8 +25,7 @@ def test_upsert_stream_continues_and_repeats_safely(spark, tmp_path, rows):
 
     def run(checkpoint="cp"):
         items = st.read_stream(spark, str(src), JOB).drop("at")
-        st.upsert_stream(items, store, "jobs", str(tmp_path / checkpoint)).awaitTermination()
-        return rows(store.read("jobs"))
+        return rows(st.upsert_stream(items, store, "jobs", str(tmp_path / checkpoint)))
 
     assert run() == [("1", "topcv", "a"), ("2", "topcv", "b")]
     put(src, "2.json", line(2, None), line(3, "c"))
@@ -36,6 +37,31 @@ def test_upsert_stream_continues_and_repeats_safely(spark, tmp_path, rows):
     assert len(store._complete("jobs")) <= 2
 
 
+def test_many_batches_are_merged_in_one_rewrite(spark, tmp_path, rows):
+    src = tmp_path / "in"
+    store = SnapshotStore(spark, str(tmp_path / "tables"))
+    for n in range(4):
+        put(src, f"{n}.json", line(1, f"v{n}"), line(10 + n, None))
+        os.utime(src / f"{n}.json", (1000 + n, 1000 + n))
+    items = st.read_stream(spark, str(src), JOB, per_batch=1).drop("at")
+    got = rows(st.upsert_stream(items, store, "jobs", str(tmp_path / "cp")))
+    assert got == [("1", "topcv", "v3")] + [(str(10 + n), "topcv", None) for n in range(4)]
+    assert store._complete("jobs") == [1]
+
+
+def test_a_merge_that_stopped_half_way_is_made_up_for(spark, tmp_path, rows):
+    store = SnapshotStore(spark, str(tmp_path / "tables"))
+    pending = str(tmp_path / "changes")
+    for n, title in enumerate(["a", None]):
+        batch = spark.createDataFrame([("1", "topcv", title)], "media_internal_id string, media_code string, title string")
+        batch.write.parquet(f"{pending}/_batch={n}")
+    # a batch folder whose write did not finish
+    batch.write.parquet(f"{pending}/_batch=2")
+    os.remove(f"{pending}/_batch=2/_SUCCESS")
+    assert rows(st.merge_pending(store, "jobs", pending)) == [("1", "topcv", "a")]
+    assert rows(st.merge_pending(store, "jobs", pending)) == [("1", "topcv", "a")]
+
+
 def test_first_seen_drops_late_repeats(spark, tmp_path, rows):
     src = tmp_path / "in"
     put(src, "1.json", line(1, "a"), line(2, "b"))
