@@ -7,15 +7,15 @@ read by path; a path that is absent or of another shape gives null.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
-from html.parser import HTMLParser
+from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmeld.functions import text as tx, urls
+from jobmeld.functions.address import split_address
 from jobmeld.functions.binding import bind
 from jobmeld.functions.names import name_key
+from jobmeld.operators.markup import Field, element_texts, labelled_values
 
 # What marks a block as a job or as a company profile
 JOB_MARKER = "JobPosting"
@@ -381,84 +381,218 @@ def page_facts(pages: DataFrame) -> DataFrame:
     )
 
 
-# elements that have no end tag
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+def sibling_value(html: Column, label: str, label_tag: str = "p", value_tag: str = "span", exact: bool = True) -> Column:
+    """Text of the element that directly follows the one holding the label (EXT8)."""
+    around = r"\s*" if exact else "[^<]*"
+    return element_text(
+        F.regexp_extract(
+            html,
+            rf"(?is)<{label_tag}(?=[\s>])[^>]*>{around}{re.escape(label)}{around}</{label_tag}>\s*(<{value_tag}(?=[\s>]).*)$",
+            1,
+        ),
+        value_tag,
+    )
 
 
-class _Blocks(HTMLParser):
-    """Label and paragraph texts of each `<div class=…>` block, nested markup included."""
+def icon_value(html: Column, icon: str, tag: str = "span") -> Column:
+    """Text of the element that directly follows an icon (EXT9)."""
+    return element_text(
+        F.regexp_extract(html, rf'(?is)<i(?=[\s>])(?=[^>]*\sclass="[^"]*{re.escape(icon)})[^>]*>\s*</i>\s*(<{tag}(?=[\s>]).*)$', 1), tag
+    )
 
-    def __init__(self, css: str):
-        super().__init__(convert_charrefs=True)
-        self.css, self.open, self.blocks, self.done = css, [], [], []
 
-    def handle_starttag(self, tag, attrs):
-        if tag in _VOID:
-            return
-        if tag == "div" and dict(attrs).get("class") == self.css:
-            self.blocks.append((len(self.open), [], []))
-        self.open.append(tag)
+def element_text(html: Column, tag: str, css: str | None = None) -> Column:
+    """All text of the first such element, tags removed, white space collapsed; blank if none (EXT9).
 
-    def handle_endtag(self, tag):
-        if tag not in self.open:
-            return
-        while self.open and self.open.pop() != tag:
-            pass
-        while self.blocks and self.blocks[-1][0] >= len(self.open):
-            self.done.append(self.blocks.pop()[1:])
+    For elements that do not contain one of their own kind. The class has to contain `css`.
+    """
+    mark = "" if css is None else rf'(?=[^>]*\sclass="[^"]*{re.escape(css)})'
+    inner = F.regexp_extract(html, rf"(?is)<{tag}(?=[\s>]){mark}[^>]*>(.*?)</{tag}>", 1)
+    return tx.clean_text(tx.unescape(F.regexp_replace(inner, "<[^>]*>", "")))
 
-    def handle_data(self, data):
-        for depth, spans, paragraphs in self.blocks:
-            inside = self.open[depth:]
-            if inside and inside[-1] == "span":
-                spans.append(data)
-            if "p" in inside:
-                paragraphs.append(data)
 
+def tagged_texts(html: Column, outer: str, css: str, naming: str, tag: str, exact: str) -> Column:
+    """Texts of `tag` elements inside the `outer` elements that name something (EXT9)."""
+    blocks = F.regexp_extract_all(
+        html, F.lit(rf'(?is)<{outer}(?=[\s>])(?=[^>]*\sclass="[^"]*{re.escape(css)})[^>]*>(.*?)</{outer}>'), F.lit(1)
+    )
+    inner = rf'(?is)<{tag}(?=[\s>])(?=[^>]*\sclass="{re.escape(exact)}")[^>]*>([^<]*)'
+    return F.flatten(
+        F.transform(F.filter(blocks, lambda b: b.contains(naming)), lambda b: F.regexp_extract_all(b, F.lit(inner), F.lit(1)))
+    )
 
-def labelled_values(pages: DataFrame, labels: Sequence[str], css: str = "element_detail") -> DataFrame:
-    """Values next to labels in page markup, one column per label (EXT8).
 
-    A value is the paragraph text of the blocks whose `<span>` names the label, without the pieces
-    that hold the label itself; blank when the label is absent. Markup of any nesting, so this one
-    runs on an HTML parser inside the tasks.
-    """
-    names = list(labels)
-
-    def value(blocks, label):
-        texts = [t for spans, paragraphs in blocks if any(label in s for s in spans) for t in paragraphs]
-        joined = " ".join(texts)
-        for t in texts:
-            if label in t:
-                joined = joined.replace(t, "")
-        return " ".join(joined.split())
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for html in pdf["html"]:
-                parser = _Blocks(css)
-                parser.feed(html or "")
-                parser.close()
-                found = parser.done + [b[1:] for b in parser.blocks]
-                rows.append([value(found, n) for n in names])
-            out = pd.DataFrame(rows, columns=names, dtype=object)
-            out.insert(0, "page_id", pdf["page_id"].values)
-            yield out
-
-    key = pages.schema["page_id"].dataType.simpleString()
-    schema = f"page_id {key}, " + ", ".join(f"`{n}` string" for n in names)
-    return pages.select("page_id", "html").mapInPandas(run, schema)
-
-
-def sibling_value(html: Column, label: str, label_tag: str = "p", value_tag: str = "span") -> Column:
-    """Text of the element that directly follows the one holding exactly `label` (EXT8)."""
-    found = F.regexp_extract(
-        html,
-        rf"(?is)<{label_tag}(?=[\s>])[^>]*>\s*{re.escape(label)}\s*</{label_tag}>\s*<{value_tag}(?=[\s>])[^>]*>(.*?)</{value_tag}>",
-        1,
+def attr_like(html: Column, tag: str, name: str, attr: str, part: str) -> Column:
+    """An attribute of the first element whose `attr` contains a text (EXT9)."""
+    return F.nullif(
+        F.regexp_extract(
+            html, rf'(?is)<{tag}(?=[\s>])(?=[^>]*\s{attr}="[^"]*{re.escape(part)})[^>]*?\s{name}="([^"]*)"', 1
+        ),
+        F.lit(""),
+    )
+
+
+# ---- records of sources without structured blocks --------------------------------------------------
+def page_jobs(pages: DataFrame, media: str) -> DataFrame:
+    """Job rows from the markup of detail pages (EXT8, EXT9)."""
+    html, url = F.col("html"), F.col("url")
+    if media == "timviec365":
+        read = element_texts(
+            pages.select("url", "html"),
+            [
+                Field("_desc", "div", value="text_content", after="Mô tả công việc"),
+                Field("_need", "div", value="ycau_tdung"),
+                Field("_gain", "div", value="text_content", after="Quyền lợi"),
+            ],
+        )
+        company_url = blank(attr_like(html, "a", "href", "class", "com_name"))
+        return read.select(
+            tx.clean_text(attr_like(html, "h1", "data-id", "class", "com_post")).alias("job_id"),
+            element_text(html, "h1", "com_post").alias("job_title"),
+            tx.first_filled(element_text(html, "p", "mluong_mbi"), element_text(html, "p", "mluong")).alias("job_salary"),
+            element_text(html, "p", "com_name_text").alias("job_company_name"),
+            company_url.alias("job_company_url"),
+            urls.last_segment(company_url).alias("job_company_id"),
+            tagged_texts(html, "p", "index", "Ngành nghề", "a", "tag").alias("industries"),
+            tagged_texts(html, "p", "index", "Lĩnh vực", "a", "tag").alias("fields"),
+            tx.clean_text(tag_text(html, r"\w+", "diachi")).alias("address"),
+            sibling_value(html, "Hình thức làm việc").alias("job_employment_type"),
+            sibling_value(html, "Số lượng cần tuyển", exact=False).alias("headcount"),
+            sibling_value(html, "Thời gian thử việc").alias("probation"),
+            sibling_value(html, "Bằng cấp").alias("degree"),
+            sibling_value(html, "Giới tính").alias("gender"),
+            sibling_value(html, "Độ tuổi").alias("age"),
+            F.array_join("_desc", "\n").alias("job_description"),
+            F.array_join("_need", "\n").alias("requirements"),
+            F.array_join("_gain", "\n").alias("benefits"),
+            url.alias("source_url"),
+        )
+    if media == "careerlink":
+        read = element_texts(
+            pages.select("url", "html"),
+            [
+                Field("_place", "div", "id", "job-location", exact=True),
+                Field("_desc", "div", after_id="job-description"),
+                Field("_gain", "div", value="job-benefit-item", inside="span"),
+                Field("_skill", "div", value="raw-content rich-text-content", exact=True),
+                Field("_class", "div", value="job-summary-item", inside="a", having="Ngành nghề", having_in="div"),
+            ],
+        )
+        company_url = attr_like(html, "a", "href", "href", "/viec-lam-cua/")
+        return read.select(
+            F.lit("job").alias("type"),
+            urls.last_segment(url).alias("job_id"),
+            url.alias("source_job_url"),
+            tag_text(html, "h1", "job-title", "id").alias("job_title"),
+            attr_like(html, "a", "title", "href", "/viec-lam-cua/").alias("job_company_name"),
+            company_url.alias("job_company_url"),
+            urls.last_segment(company_url).alias("job_company_id"),
+            tag_text(html, "span", "text-primary").alias("job_salary"),
+            tx.squeeze(F.array_join("_place", " ")).alias("job_location"),
+            icon_value(html, "cli-suitcase-simple").alias("job_experience_requirement"),
+            F.array_join("_desc", "\n").alias("job_description"),
+            F.array_join("_gain", " ").alias("job_benefits"),
+            tx.drop_tokens(F.col("_skill"), "*").alias("job_skills"),
+            sibling_value(html, "Loại công việc", "div", "div", exact=False).alias("job_employment_type"),
+            sibling_value(html, "Cấp bậc", "div", "div", exact=False).alias("job_position"),
+            sibling_value(html, "Học vấn", "div", "div", exact=False).alias("job_education_requirements"),
+            F.array_join("_class", ", ").alias("job_industry"),
+        )
+    raise KeyError(media)
+
+
+# Detail labels of one source's company pages
+_DETAIL_LABELS = {
+    "company_industry": "Lĩnh vực hoạt động",
+    "company_scale": "Quy mô",
+    "tax_code": "Mã số thuế",
+    "company_domain": "Website",
+    "company_address": "Trụ sở chính",
+    "company_established_date": "Ngày thành lập",
+    "company_representative": "Người đại diện",
+    "company_phone": "Điện thoại",
+    "company_email": "Email",
+}
+
+
+def page_companies(pages: DataFrame, media: str) -> DataFrame:
+    """Company rows from the markup of profile pages (EXT8, EXT9)."""
+    html, url = F.col("html"), F.col("url")
+    if media == "topcv":
+        read = element_texts(
+            pages.select("url", "html"),
+            [
+                Field("_about", "div", value="content", exact=True, inside="p"),
+                Field("_facts", "span", value="company-subdetail-info-text", exact=True),
+            ],
+        )
+        name = tag_text(html, "h1", "company-detail-name text-highlight")
+        site = F.regexp_extract(
+            html, r'(?is)<div(?=[\s>])(?=[^>]*\sclass="[^"]*company-subdetail-info[^"]*website).*?<a(?=[\s>])[^>]*?\shref="([^"]*)"', 1
+        )
+        return read.select(
+            url.alias("source_company_url"),
+            urls.page_id(url).alias("company_id"),
+            name.alias("company_name"),
+            name_key(name).alias("company_only_name"),
+            F.array_join("_about", "\n").alias("company_description"),
+            tx.clean_text(tag_text(html, "div", "desc")).alias("company_address"),
+            urls.strip_slashes(site).alias("company_domain"),
+            tx.headcount(F.col("_facts")).alias("company_size"),
+        )
+    if media == "jobsgo":
+        name = tx.remove_brackets(tag_text_within(html, "div", "company-name", "h1"))
+        globe = rf'(?is)<i(?=[\s>])(?=[^>]*\sclass="[^"]*pb-heroicons-globe-alt)[^>]*>.*?<a(?=[\s>])[^>]*?\shref="([^"]*)"'
+        return pages.select(
+            tag_attr(html, "link", "href", "canonical", "rel").alias("source_company_url"),
+            urls.last_segment(url).alias("company_id"),
+            name.alias("company_name"),
+            name_key(name).alias("company_only_name"),
+            F.coalesce(
+                tag_attr(html, "meta", "content", "description", "name"),
+                tag_attr(html, "meta", "content", "og:description", "property"),
+            ).alias("company_description"),
+            icon_value(html, "pb-heroicons-map-pin").alias("company_address"),
+            F.nullif(F.regexp_extract(html, globe, 1), F.lit("")).alias("company_domain"),
+            tag_text_within(html, "span", "company-category-list", "span").alias("company_industry"),
+        )
+    if media == "timviec365":
+        labels = list(_DETAIL_LABELS.values())
+        name = tx.clean_text(tag_text_within(html, "a", "name_com", "h1"))
+        return labelled_values(pages.select("url", "html"), labels).select(
+            urls.last_segment(url).alias("company_id"),
+            name.alias("company_name"),
+            name_key(name).alias("company_only_name"),
+            tx.clean_text(tag_attr(html, "a", "href", "name_com")).alias("company_url"),
+            *[F.col(label).alias(c) for c, label in _DETAIL_LABELS.items()],
+        )
+    raise KeyError(media)
+
+
+def extract_jobs(pages: DataFrame, media: str) -> DataFrame:
+    """A source's job pages, or search answers with a `body`, as raw job rows (EXT2, EXT6, EXT8)."""
+    if media == "vietnamworks":
+        return api_jobs(pages)
+    if media in ("timviec365", "careerlink"):
+        return page_jobs(pages, media)
+    return job_postings(pages, media)
+
+
+def extract_companies(pages: DataFrame, media: str, units: DataFrame | None = None) -> DataFrame:
+    """A source's company pages as raw company rows, with the parts of the address when the
+    administrative units are given (EXT3-EXT6, EXT8, NRM4)."""
+    by_media = {
+        "careerviet": posting_companies,
+        "careerlink": service_companies,
+        "vieclam24h": state_companies,
+        "vietnamworks": api_companies,
+    }
+    rows = by_media[media](pages) if media in by_media else page_companies(pages, media)
+    if units is None:
+        return rows
+    return split_address(rows, "company_address", units, "_addr").select(
+        *rows.columns, *[F.col(f"_addr.{p}").alias(p) for p in ("province", "district", "ward", "street")]
     )
-    return tx.clean_text(F.regexp_replace(found, "<[^>]*>", ""))
 
 
 # ---- links --------------------------------------------------------------------------------------

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobmeld.operators import extract as ex
+from jobmeld.operators import extract as ex, markup
 from jobmeld.queries.base import query, texts
-from jobmeld.queries.lookalikes import SITE, answers, job_pages, profile_pages
+from jobmeld.queries.lookalikes import SITE, answers, job_pages, markup_pages, profile_pages
 
 _MIN = "CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)"
 _MAX = "CAST(CAST(floor(o_totalprice) AS BIGINT) + 1000 AS VARCHAR)"
@@ -161,7 +161,7 @@ def _(spark, sf):
     """SELECT c_custkey AS page_id, concat(c_nationkey, '–99 người') AS "Quy mô", concat('e', c_custkey, '@x.vn') AS "Email", '' AS "Website" FROM customer""",
 )
 def _(spark, sf):
-    return ex.labelled_values(profile_pages(spark, sf), ["Quy mô", "Email", "Website"])
+    return markup.labelled_values(profile_pages(spark, sf), ["Quy mô", "Email", "Website"]).drop("url", "html")
 
 
 @query("ext8_sibling_value", "SELECT c_custkey AS page_id, concat('Đại học ', c_custkey % 7) AS degree FROM customer")
@@ -169,6 +169,31 @@ def _(spark, sf):
     return profile_pages(spark, sf).select("page_id", ex.sibling_value(F.col("html"), "Bằng cấp").alias("degree"))
 
 
+@query(
+    "ext8_markup_jobs",
+    """SELECT CAST(c_custkey AS VARCHAR) AS job_id, concat('Job ', c_mktsegment, ' & co') AS job_title,
+         CASE WHEN c_custkey % 2 = 0 THEN concat(c_nationkey, ' triệu') ELSE 'Thỏa thuận' END AS job_salary, concat('Firm ', c_nationkey) AS job_company_name,
+         CAST(c_nationkey AS VARCHAR) AS job_company_id, concat(c_mktsegment, '|Khác') AS industries, 'Đại học' AS degree, concat(c_custkey % 9, ' người') AS headcount,
+         concat('line ', c_custkey, chr(10), 'more') AS job_description, concat('need ', c_custkey % 5) AS requirements, '' AS benefits FROM customer""",
+)
+def _(spark, sf):
+    return ex.extract_jobs(markup_pages(spark, sf), "timviec365").select(
+        "job_id", "job_title", "job_salary", "job_company_name", "job_company_id", F.array_join("industries", "|").alias("industries"),
+        "degree", "headcount", "job_description", "requirements", "benefits",
+    )
+
+
+@query(
+    "ext9_markup_companies",
+    """SELECT CAST(c_custkey AS VARCHAR) AS company_id, concat('firm ', c_custkey) AS company_only_name, concat('about ', c_custkey, chr(10), 'end') AS company_description,
+         concat('street ', c_custkey % 97, ', X') AS company_address, concat('http://d', c_custkey, '.vn') AS company_domain, concat(c_nationkey, '-99') AS company_size FROM customer""",
+)
+def _(spark, sf):
+    return ex.extract_companies(markup_pages(spark, sf), "topcv").select(
+        "company_id", "company_only_name", "company_description", "company_address", "company_domain", "company_size"
+    )
+
+
 _SQL_TEXT = "replace(nullif(regexp_extract(html, '(?s)<{t}[^>]*>([^<]*)', 1), ''), '&amp;', '&')"
 
 

@@ -206,3 +206,21 @@ def answers(spark: SparkSession, sf: str) -> DataFrame:
       '"jobDescription":"<li>x</li><br> y ","industriesV3":[{{"industryV3Name":"', o_orderstatus, '"}}]}}')"""
     body = f"""concat('{{"meta":{{"nbPages":', o_orderkey % 4, '}},"data":[', {item.format(i=0)}, ',', {item.format(i=1)}, ']}}')"""
     return texts(spark, sf, "orders").selectExpr("o_orderkey AS answer_id", f"{body} AS body")
+
+
+def markup_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """One page per customer in the markup of sources that have no structured blocks."""
+    html = """concat('<h1 class="com_post" data-id="', c_custkey, '">Job <b>', c_mktsegment, '</b> &amp; co</h1>',
+      CASE WHEN c_custkey % 2 = 0 THEN concat('<p class="x mluong_mbi">', c_nationkey, ' triệu</p>') ELSE '<p class="mluong">Thỏa thuận</p>' END,
+      '<a class="com_name" href="https://x.vn/cong-ty/', c_nationkey, '"><p class="com_name_text">Firm ', c_nationkey, '</p></a>',
+      '<p class="index">Ngành nghề: <a class="tag">', c_mktsegment, '</a><a class="tag">Khác</a></p>',
+      '<p class="item_if">Bằng cấp</p><span>Đại học</span><p class="item_if">Số lượng cần tuyển:</p><span>', c_custkey % 9, ' người</span>',
+      '<div><h2>Mô tả công việc</h2></div><div class="text_content"><div>line ', c_custkey, '</div><p>more</p></div><div class="text_content">other</div>',
+      '<div class="a ycau_tdung"><div><div>need ', c_custkey % 5, '</div></div></div>',
+      '<h1 class="company-detail-name text-highlight">Công ty TNHH Firm ', c_custkey, '</h1><div class="desc"> street ', c_custkey % 97, ', X </div>',
+      '<div class="content"><div><p>about ', c_custkey, '</p></div><p>end</p>no</div>',
+      '<div class="company-subdetail-info website"><a href="http://d', c_custkey, '.vn//">w</a></div>',
+      '<span class="company-subdetail-info-text">X</span><span class="company-subdetail-info-text"> ', c_nationkey, '-99 nhân viên </span>')"""
+    return texts(spark, sf, "customer").selectExpr(
+        "c_custkey AS page_id", "concat('https://x.vn/p/', c_custkey, '.html') AS url", f"{html} AS html"
+    )

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from jobmeld.operators import extract as ex
+from jobmeld.operators import extract as ex, markup
 
 PAGES = "page_id int, url string, html string"
 
@@ -81,9 +81,9 @@ def test_labelled_values_in_nested_markup(spark):
       <div class="element_detail"><span>Email</span><p>Email: </p><p>a@b.vn</p></div>
       <div class="other"><span>Website</span><p>no</p></div>
       <p>after</p><div class="element_detail"><span>Open</span><p>end"""
-    got = ex.labelled_values(pages(spark, html, None), ["Quy mô", "Email", "Website", "Open"]).collect()
-    assert tuple(got[0])[1:] == ("10 – 50 người", "a@b.vn", "", "end")
-    assert tuple(got[1])[1:] == ("", "", "", "")
+    got = markup.labelled_values(pages(spark, html, None), ["Quy mô", "Email", "Website", "Open"]).collect()
+    assert tuple(got[0])[3:] == ("10 – 50 người", "a@b.vn", "", "end")
+    assert tuple(got[1])[3:] == ("", "", "", "")
 
 
 def test_tags(spark):
@@ -118,3 +118,61 @@ def test_parent_context(spark):
     )
     got = sorted(tuple(r) for r in ex.with_parent_context(p, ex.tag_text(F.col("html"), "h1")).collect())
     assert got == [(1, "https://x.vn/job/1", "IT", 2), (1, "https://x.vn/job/9", "IT", None)]
+
+
+def test_markup_jobs_of_one_source(spark):
+    html = """
+      <h1 class="x com_post y" data-id=" 77 ">Kế toán <b>trưởng</b> &amp; thuế</h1><p class="a mluong">10 triệu</p>
+      <a class="com_name" href="https://x.vn/cong-ty/may-9"><p class="com_name_text"> Công ty Mây </p></a>
+      <p class="index">Ngành nghề: <a class="tag">Kế toán</a><a class="tag">Thuế</a></p><p class="index">Lĩnh vực: <a class="tag">Dịch vụ</a></p>
+      <span class="diachi"> Hà  Nội </span>
+      <p class="item_if">Hình thức làm việc</p><span>Toàn thời gian</span><p class="item_if">- Số lượng cần tuyển:</p> <span> 3 <i>người</i></span>
+      <p class="item_if">Bằng cấp</p><span>Đại học</span>
+      <div><h2 class="tit_detail_post">Mô tả công việc</h2></div><div class="text_content"><div>a</div><ul><li>b</li></ul></div><div class="text_content">other</div>
+      <div class="box ycau_tdung"><div><p>r1</p></div> r2 </div>
+      <div><h2 class="tit_detail_post">Quyền lợi</h2></div><div class="text_content">g</div>"""
+    r = ex.extract_jobs(pages(spark, html), "timviec365").first().asDict()
+    assert (r["job_id"], r["job_title"], r["job_salary"]) == ("77", "Kế toán trưởng & thuế", "10 triệu")
+    assert (r["job_company_name"], r["job_company_id"], r["address"]) == ("Công ty Mây", "may-9", "Hà Nội")
+    assert (r["industries"], r["fields"]) == (["Kế toán", "Thuế"], ["Dịch vụ"])
+    assert (r["job_employment_type"], r["headcount"], r["degree"], r["age"]) == ("Toàn thời gian", "3 người", "Đại học", "")
+    assert (r["job_description"], r["requirements"], r["benefits"]) == ("a\nb", "r1\n r2 ", "g")
+
+
+def test_markup_jobs_of_another_source(spark):
+    html = """
+      <h1 id="job-title">Dev</h1><a href="/viec-lam-cua/may/55" title="Mây"><img src="x"></a><span class="text-primary">Thương lượng</span>
+      <div id="job-location"><span>1 Kim Mã</span>,  <b>Hà Nội</b></div><i class="cli cli-suitcase-simple d"></i> <span>2 năm</span>
+      <div><div id="job-description"><h5>Mô tả</h5></div><div><p>x</p><p>y</p></div><div>no</div></div>
+      <div id="section-job-benefits"><div class="job-benefit-item">i<span>Bảo hiểm</span></div><div class="job-benefit-item"><span>Thưởng</span></div></div>
+      <div id="section-job-skills"><div class="raw-content rich-text-content"><p>* Kỹ năng</p><p>SQL</p></div></div>
+      <div class="job-summary-item d-block"><div>Ngành nghề</div><a href="#"><span>CNTT</span></a><a href="#"><span>Điện</span></a></div>
+      <div>Loại công việc</div> <div> Chính thức </div><div>Học vấn</div><div>Cao đẳng</div>"""
+    r = ex.extract_jobs(pages(spark, html, url="https://x.vn/tim-viec/dev/301"), "careerlink").first().asDict()
+    assert (r["job_id"], r["job_title"], r["job_company_id"], r["job_company_name"]) == ("301", "Dev", "55", "Mây")
+    assert (r["job_location"], r["job_experience_requirement"], r["job_salary"]) == ("1 Kim Mã , Hà Nội", "2 năm", "Thương lượng")
+    assert (r["job_description"], r["job_benefits"], r["job_skills"], r["job_industry"]) == ("x\ny", "Bảo hiểm Thưởng", ["SQL"], "CNTT, Điện")
+    assert (r["job_employment_type"], r["job_education_requirements"], r["job_position"]) == ("Chính thức", "Cao đẳng", "")
+
+
+def test_markup_companies(spark):
+    top = """<h1 class="company-detail-name text-highlight">Công ty TNHH Mây</h1><div class="desc"> 1 Kim Mã,
+      Hà Nội </div><div class="content"><div><p>a</p></div><p>b</p>c</div>
+      <div class="company-subdetail-info website"><i></i><a target="_blank" href="https://may.vn//">x</a></div>
+      <span class="company-subdetail-info-text">Hà Nội</span><span class="company-subdetail-info-text"> 25-99 nhân viên </span>"""
+    units = spark.createDataFrame([("province", "Hà Nội", None, None)], "level string, name string, district string, province string")
+    r = ex.extract_companies(pages(spark, top, url="https://x.vn/cong-ty/may/12.html"), "topcv", units).first().asDict()
+    assert (r["company_id"], r["company_only_name"], r["company_domain"], r["company_size"]) == ("12", "mây", "https://may.vn", "25-99")
+    assert (r["company_description"], r["company_address"], r["province"], r["street"]) == ("a\nb", "1 Kim Mã, Hà Nội", "Hà Nội", "1 Kim Mã")
+
+    go = """<link rel="canonical" href="https://x.vn/c/9"><meta property="og:description" content="about">
+      <div class="company-name"><h1>Công ty CP Gió (Gio JSC)</h1></div><span class="company-category-list"><a><span>CNTT</span></a></span>
+      <div class="get-touch"><li><i class="pb-heroicons-map-pin"></i><span>Huế</span></li><li><i class="x pb-heroicons-globe-alt"></i> <a href="http://gio.vn">g</a></li></div>"""
+    r = ex.extract_companies(pages(spark, go, url="https://x.vn/tuyen-dung/gio-9"), "jobsgo").first().asDict()
+    assert (r["company_id"], r["company_name"], r["company_only_name"]) == ("gio-9", "Công ty CP Gió", "gió")
+    assert (r["company_address"], r["company_domain"], r["company_industry"], r["company_description"]) == ("Huế", "http://gio.vn", "CNTT", "about")
+
+    tim = """<a class="name_com" href="https://x.vn/may"><h1> Công ty  Mây </h1></a>
+      <div class="element_detail"><span>Quy mô</span><p>10 người</p></div><div class="element_detail"><span>Trụ sở chính</span><p>1 Kim Mã</p></div>"""
+    r = ex.extract_companies(pages(spark, tim, url="https://x.vn/may-3"), "timviec365").first().asDict()
+    assert (r["company_id"], r["company_only_name"], r["company_scale"], r["company_address"], r["tax_code"]) == ("may-3", "mây", "10 người", "1 Kim Mã", "")
