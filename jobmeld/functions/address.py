@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from jobmeld.functions.binding import detached
 from jobmeld.functions.text import squeeze, trim_ws
 
 # Words and abbreviations written before a unit's name
@@ -67,7 +68,7 @@ def split_address(df: DataFrame, address: str, units: DataFrame, out: str = "add
     )
     for level in ("province", "district", "ward"):
         table = known.filter(F.col("level") == level).select(
-            F.col("above").alias("_above"), F.col("key").alias("_key"), F.col("name").alias(f"_{level}")
+            detached(F.col("above")).alias("_above"), detached(F.col("key")).alias("_key"), F.col("name").alias(f"_{level}")
         )
         here = unit_key(F.try_element_at("_parts", (-F.col("_used") - 1).cast("int")))
         hit = F.col("_key").isNotNull()

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from jobmeld.functions.binding import detached
+from jobmeld.functions.predicates import has_value
+
 
 def _orderable(dtype: T.DataType) -> bool:
     if isinstance(dtype, (T.MapType, T.VariantType)):
@@ -39,8 +42,6 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ())
 
 def filled_count(df: DataFrame, columns: Sequence[str]) -> Column:
     """How many of `columns` hold a value."""
-    from jobmeld.functions.predicates import has_value
-
     marks = [has_value(F.col(c), df.schema[c].dataType).cast("int") for c in columns]
     return sum(marks[1:], marks[0])
 
@@ -56,5 +57,9 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def unseen(items: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Items whose key the known table lacks; the known side is read as one column (SRC4, JN4b)."""
-    return items.join(known.select(key), key, "left_anti")
+    """Items whose key the known table lacks (SRC4, JN4b).
+
+    Of the known side only the key is read, reduced to one row per key before the join.
+    """
+    ids = distinct_values(known, key).select(detached(F.col(key)).alias(key))
+    return items.join(ids, key, "left_anti")

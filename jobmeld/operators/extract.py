@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmeld.functions import text as tx, urls
 from jobmeld.functions.address import split_address
-from jobmeld.functions.binding import bind
+from jobmeld.functions.binding import bind, detached
 from jobmeld.functions.names import name_key
 from jobmeld.operators.markup import Field, element_texts, labelled_values
 
@@ -637,10 +637,13 @@ def last_link(html: Column) -> Column:
 def with_parent_context(pages: DataFrame, context: Column, containing: str = "") -> DataFrame:
     """Child pages with a value of the page that links to them (EXT12).
 
-    Links to pages not fetched keep their context with a null child.
+    Links to pages not fetched keep their context with a null child; a page fetched several times is
+    one child, the first by id.
     """
     links = outgoing(pages, containing, context.alias("context")).select(
         F.col("page_id").alias("parent_id"), "link", "context"
     )
-    child = pages.select(F.col("page_id").alias("child_id"), F.col("url").alias("link"))
+    child = (
+        pages.groupBy("url").agg(F.min("page_id").alias("child_id")).select(detached(F.col("url")).alias("link"), "child_id")
+    )
     return links.join(child, "link", "left").select("parent_id", "link", "context", "child_id")

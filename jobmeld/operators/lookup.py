@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from jobmeld.functions.binding import detached
+
 
 def attach_number(company: DataFrame, idmap: DataFrame, ident: str = "company_id") -> DataFrame:
     """Left join to the identity map, which has one row per company (JN3, PRJ4, PRJ5)."""
@@ -21,7 +23,7 @@ def company_lookup(master: DataFrame, id_column: str, key: str = "company_id") -
         .groupBy(F.col(id_column).cast("string").alias(key))
         .agg(F.min(F.struct("corporate_number", "company_name", "province")).alias("_m"))
         .select(
-            key,
+            detached(F.col(key)).alias(key),
             F.col("_m.corporate_number").alias("corporate_number"),
             F.col("_m.company_name").alias("master_company_name"),
             F.col("_m.province").alias("province"),

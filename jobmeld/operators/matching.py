@@ -14,6 +14,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from jobmeld.functions.binding import detached
 from jobmeld.functions.predicates import filled_key
 from jobmeld.operators.dedupe import keep_first
 
@@ -138,47 +139,47 @@ def stamp(pairs: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def join_pairs(raw: DataFrame, master: DataFrame, on: Sequence[tuple[str, str]], raw_id: str, master_id: str) -> DataFrame:
-    """All candidate pairs of an equi join on one or more columns (JN1, JN2).
-
-    The plain join form, for keys known to be selective. Matching itself uses `candidates`.
-    """
-    a = raw.filter(filled_key(*[F.col(l) for l, _ in on])).select(
-        F.col(raw_id), *[F.col(l).alias(f"_j{i}") for i, (l, _) in enumerate(on)]
-    )
-    b = master.select(F.col(master_id), *[F.col(r).alias(f"_j{i}") for i, (_, r) in enumerate(on)])
-    return a.join(b, [f"_j{i}" for i in range(len(on))]).select(raw_id, master_id)
-
-
-def match_repeated(
+def candidate_counts(
     raw: DataFrame,
     master: DataFrame,
     on: Sequence[tuple[str, str]],
     raw_id: str = "company_id",
     master_id: str = "corporate_number",
 ) -> DataFrame:
-    """The one-to-one rule for tables where an id may have several rows.
+    """Equi join on one or more columns: raw id, number of candidates, the smallest one (JN1, JN2, AGG1).
 
-    The master side is first reduced to one row per key (how many candidates, and one of them), so
-    the join adds no rows; a raw id survives when its candidates sum up to one.
+    An id may have several rows on either side. The master side is first reduced to one row per key,
+    so the join adds no rows however many candidates a key has.
     """
     keys = [f"_j{i}" for i in range(len(on))]
     per_key = (
         master.filter(filled_key(*[F.col(r) for _, r in on]))
         .groupBy(*[F.col(r).alias(k) for k, (_, r) in zip(keys, on)])
         .agg(F.count(master_id).alias("_c"), F.min(master_id).alias(master_id))
+        .select(*[detached(F.col(k)).alias(k) for k in keys], "_c", master_id)
     )
     left = raw.filter(filled_key(*[F.col(l) for l, _ in on])).select(
         raw_id, *[F.col(l).alias(k) for k, (l, _) in zip(keys, on)]
     )
-    one = (
+    return (
         left.join(per_key, keys)
         .groupBy(raw_id)
-        .agg(F.sum("_c").alias("_n"), F.min(master_id).alias(master_id))
-        .filter("_n = 1")
+        .agg(F.sum("_c").alias("candidates"), F.min(master_id).alias(master_id))
     )
+
+
+def match_repeated(
+    raw: DataFrame,
+    master: DataFrame,
+    on: Sequence[tuple[str, str]],
+    raw_id: str = "company_id",
+    master_id: str = "corporate_number",
+) -> DataFrame:
+    """The one-to-one rule for tables where an id may have several rows (AGG2)."""
     return (
-        one.groupBy(master_id)
+        candidate_counts(raw, master, on, raw_id, master_id)
+        .filter("candidates = 1")
+        .groupBy(master_id)
         .agg(F.count(raw_id).alias("_n"), F.min(raw_id).alias(raw_id))
         .filter("_n = 1")
         .select(raw_id, master_id)

@@ -67,18 +67,21 @@ def texts(df):
 
 
 # ---- joins ----------------------------------------------------------------------------------------
-@query("jn1_equi_join", f"WITH {BOTH} {sql_pairs(['name'])}")
+_COUNTED = "SELECT company_id, CAST(count(*) AS BIGINT) AS candidates, min(corporate_number) AS corporate_number FROM ({}) GROUP BY company_id"
+
+
+@query("jn1_equi_join", f"WITH {BOTH} {_COUNTED.format(sql_pairs(['name']))}")
 def _(spark, sf):
-    return matching.join_pairs(
-        raw_companies(spark, sf), master_companies(spark, sf), [("company_only_name", "standard_name")], "company_id", "corporate_number"
+    return matching.candidate_counts(
+        raw_companies(spark, sf), master_companies(spark, sf), [("company_only_name", "standard_name")]
     )
 
 
-@query("jn2_composite_join", f"WITH {BOTH} {sql_pairs(['ward', 'province', 'name'])}")
+@query("jn2_composite_join", f"WITH {BOTH} {_COUNTED.format(sql_pairs(['ward', 'province', 'name']))}")
 def _(spark, sf):
-    return matching.join_pairs(
+    return matching.candidate_counts(
         raw_companies(spark, sf), master_companies(spark, sf),
-        [("ward", "ward"), ("province", "province"), ("company_only_name", "standard_name")], "company_id", "corporate_number",
+        [("ward", "ward"), ("province", "province"), ("company_only_name", "standard_name")],
     )
 
 

@@ -6,8 +6,9 @@ their checkpoint on the next run.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,10 +41,22 @@ def land(items: DataFrame, root: str, checkpoint: str, spider: str, at: Column)
 
 
 def first_seen(items: DataFrame, keys: Sequence[str], event_time: str, within: str) -> DataFrame:
-    """Items whose key was not seen within the watermark; state is dropped after it (ST2, DD5)."""
+    """Items whose key was not seen within the watermark; state is dropped after it (ST2, DD5).
+
+    Repeats close together are dropped where they are read: the stateful step sends every row it
+    gets to the task of its key, and so gets at most one row per key and Arrow batch.
+    """
+    keys = list(keys)
     if isinstance(items.schema[event_time].dataType, T.TimestampNTZType):
         items = items.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return items.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(keys))
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = batch.select(keys).to_pandas().drop_duplicates().index
+            yield batch.take(pa.array(first, pa.int64()))
+
+    thinned = items.mapInArrow(thin, items.schema)
+    return thinned.withWatermark(event_time, within).dropDuplicatesWithinWatermark(keys)
 
 
 def upsert_stream(

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from jobmeld.operators import dedupe, identity, matching, survivorship
+from jobmeld.operators import dedupe, extract, identity, lookup, matching, survivorship
 from jobmeld.queries.lookalikes import claims, held
 
 SF = "/root/testdata/sf0.001"
@@ -68,5 +68,65 @@ def test_survive_joins_once(sides, spark):
 
 
 def test_filter_on_the_key_reaches_the_scan(sides):
-    text = plan(matching.join_pairs(*sides, [("street", "street")], "company_id", "corporate_number").filter("company_id = '7'"))
+    text = plan(matching.candidate_counts(*sides, [("street", "street")]).filter("company_id = '7'"))
     assert "PushedFilters" in text and "EqualTo(company_id,7)" in text
+
+
+@pytest.fixture
+def hot_settings(spark):
+    """Limits low enough that a test's hot key counts as one, and no broadcast."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_rows(spark, n=60_000):
+    """Rows of which a third share one key."""
+    i = F.col("id")
+    return spark.range(0, n, 1, 8).select(
+        i, F.when(i % 3 == 0, F.lit("0")).otherwise((i % 5000).cast("string")).alias("k"), F.sha2(i.cast("string"), 512).alias("pad")
+    )
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df)
+
+
+def test_a_hot_company_is_split_in_the_job_lookup(spark, hot_settings):
+    k = F.col("id").cast("string")
+    master = spark.range(5000).select(k.alias("corporate_number"), k.alias("company_name"), k.alias("province"), k.alias("topcv_company_id"))
+    known = lookup.company_lookup(master, "topcv_company_id")
+    jobs = lookup.attach_company(hot_rows(spark), known, "k")
+    assert "skew=true" in final_plan(jobs) and jobs.count() == 60_000
+
+
+def test_a_hot_key_is_split_when_candidates_are_counted(spark, hot_settings):
+    master = spark.range(5000).select(F.col("id").cast("string").alias("c"), F.col("id").cast("string").alias("m"))
+    raw = hot_rows(spark).withColumn("rid", F.col("pad"))
+    counted = matching.candidate_counts(raw, master, [("k", "m")], "rid", "c")
+    assert "skew=true" in final_plan(counted) and counted.count() == 60_000
+
+
+def test_hot_keys_are_split_against_known_ids(spark, hot_settings):
+    known = hot_rows(spark).filter("id % 2 = 0").select("k")
+    left = dedupe.unseen(hot_rows(spark), known, "k")
+    assert "skew=true" in final_plan(left)
+
+
+def test_a_hot_link_is_split_when_context_is_carried(spark, hot_settings):
+    pages = hot_rows(spark).select(
+        F.col("id").alias("page_id"), F.concat(F.lit("https://x.vn/"), "id").alias("url"),
+        F.concat(F.lit('<a href="/'), "k", F.lit('">'), "pad").alias("html"),
+    )
+    out = extract.with_parent_context(pages, F.col("html"))
+    assert "skew=true" in final_plan(out) and out.count() == 60_000
