@@ -256,10 +256,12 @@ def state_companies(pages: DataFrame) -> DataFrame:
         "company_tax_code": "tax_code",
     }
     name = blank(at(f"{base}.name"))
+    site = r'(?is)<div(?=[\s>])(?=[^>]*\sclass="truncate")[^>]*?\stitle="([^"]*https[^"]*)"'
     return app_state(pages).select(
         blank(at(f"{base}.id")).alias("company_id"),
         F.col("url").alias("source_company_url"),
         name.alias("company_name"),
+        F.nullif(F.regexp_extract("html", site, 1), F.lit("")).alias("company_domain"),
         name_key(name).alias("company_only_name"),
         *[blank(at(f"{base}.{p}")).alias(c) for c, p in plain.items()],
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmeld.functions.predicates import text_hash
 from jobmeld.operators.matching import MATCHERS, Matcher
@@ -64,55 +64,41 @@ def merge(held: DataFrame, cand: DataFrame, conflict: str = "parity") -> DataFra
 
     # who holds and who claims a corporate_number
     sides = (
-        held.select("corporate_number", row.alias("d"), F.lit(None).cast(_row_type(cand)).alias("s"))
-        .unionByName(
-            cand.select("corporate_number", F.lit(None).cast(_row_type(held)).alias("d"), row.alias("s"))
-        )
+        held.select("corporate_number", row.alias("d"))
+        .unionByName(cand.select("corporate_number", row.alias("s")), allowMissingColumns=True)
         .groupBy("corporate_number")
         .agg(F.max("d").alias("d"), F.max("s").alias("s"))
-        .withColumn("s", F.expr("CASE WHEN s.identify_method <= d.identify_method THEN NULL ELSE s END"))
-        .withColumn("clash", F.expr("coalesce(d.company_id != s.company_id, false)"))
+        .select(
+            "d",
+            F.expr("CASE WHEN s.identify_method <= d.identify_method THEN NULL ELSE s END").alias("s"),
+        )
+        .select("d", "s", F.expr("coalesce(d.company_id != s.company_id, false)").alias("clash"))
     )
     # then what each company has on either side
+    d_side, s_side = (F.struct(F.col(c).alias("row"), F.col("clash")) for c in ("d", "s"))
+    entries = F.array(
+        F.struct(F.col("d.company_id").alias("company_id"), d_side.alias("d"), _null_like(s_side).alias("s")),
+        F.struct(F.col("s.company_id").alias("company_id"), _null_like(d_side).alias("d"), s_side.alias("s")),
+    )
     per_company = (
-        sides.select(
-            F.inline(
-                F.filter(
-                    F.array(
-                        F.struct(
-                            F.col("d.company_id").alias("company_id"),
-                            F.struct(F.col("d").alias("row"), F.col("clash")).alias("d"),
-                            F.expr("CAST(NULL AS " + _side_type(cand) + ")").alias("s"),
-                        ),
-                        F.struct(
-                            F.col("s.company_id").alias("company_id"),
-                            F.expr("CAST(NULL AS " + _side_type(held) + ")").alias("d"),
-                            F.struct(F.col("s").alias("row"), F.col("clash")).alias("s"),
-                        ),
-                    ),
-                    lambda e: e["company_id"].isNotNull(),
-                )
-            )
-        )
+        sides.select(F.inline(F.filter(entries, lambda e: e["company_id"].isNotNull())))
         .groupBy("company_id")
         .agg(F.max("d").alias("d"), F.max("s").alias("s"))
     )
     takes = F.expr("coalesce(s.row.identify_method >= d.row.identify_method, false)")
     inserts = F.col("d").isNull() if conflict == "replace" else F.col("d").isNull() & ~F.col("s.clash")
+    updated = F.struct(*[F.col(f"{'d' if c == 'created_at' else 's'}.row.{c}").alias(c) for c in COLUMNS])
     result = (
-        F.when(takes, F.expr("struct(s.row.company_id, s.row.corporate_number, s.row.identify_method, s.row.updated_at, d.row.created_at)"))
+        F.when(takes, updated)
         .when(F.col("d").isNotNull() & ~F.col("d.clash"), F.col("d.row"))
         .when(inserts, F.col("s.row"))
     )
     return per_company.select(result.alias("r")).filter("r IS NOT NULL").select("r.*")
 
 
-def _row_type(df: DataFrame) -> str:
-    return "struct<" + ",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in COLUMNS) + ">"
-
-
-def _side_type(df: DataFrame) -> str:
-    return f"struct<row:{_row_type(df)},clash:boolean>"
+def _null_like(col: Column) -> Column:
+    """Null of the type of `col`."""
+    return F.when(F.lit(False), col)
 
 
 def cascade(

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from jobmeld.operators import dedupe, enrich, identity, lookup, matching, survivorship, upsert
+from jobmeld.operators import dedupe, enrich, extract, identity, lookup, matching, survivorship, upsert
 from jobmeld.plans.specs import COMPANY_TYPES, IDENTITY_SCHEMA, JOB_SCHEMA, SOURCES, SourceSpec, fixed
 from jobmeld.sources.jsonl import CORRUPT, read_jsonl
 from jobmeld.sources.schema import conform, consolidate, empty_like
@@ -20,13 +20,28 @@ KEYS = {"company": "company_id", "recruit": "job_id"}
 
 
 def run_ingest(store: SnapshotStore, media: str, kind: str, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """JSON Lines -> one row per id -> `raw/{media}/{kind}` (UPS6, PIP1, PIP2)."""
+    """JSON Lines -> one row per id -> `raw/{media}/{kind}` (UPS6, PIP1, PIP2).
+
+    Give the source's schema (`specs.raw_schema`) to spare the pass that infers one.
+    """
     df = read_jsonl(store.spark, path, schema)
     if CORRUPT in df.columns:
         df = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return store.write(dedupe.keep_first(df, [KEYS[kind]]), f"raw/{media}/{kind}")
 
 
+def run_extract(
+    store: SnapshotStore, media: str, kind: str, pages: DataFrame, units: DataFrame | None = None
+) -> DataFrame:
+    """Crawled pages -> one row per id -> `raw/{media}/{kind}` (PIP1, PIP2 from pages)."""
+    if kind == "company":
+        df = extract.extract_companies(pages, media, units)
+    else:
+        df = extract.extract_jobs(pages, media)
+    key = KEYS[kind]
+    return store.write(dedupe.keep_first(df.filter(F.col(key).isNotNull()), [key]), f"raw/{media}/{kind}")
+
+
 def run_identify(store: SnapshotStore, media: str, as_of: Column, conflict: str = "parity") -> DataFrame:
     """All matchers of one source against the master, merged into `uuid/{media}` (IDR9, PIP3)."""
     raw = dedupe.keep_first(_companies(store, SOURCES[media]), ["company_id"])

@@ -17,8 +17,13 @@ PREFIX = "snapshot="
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
-        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+    """`keep` complete snapshots of each table stay after a write; None keeps them all.
+
+    Keep at least two: a frame read before a write still refers to the older one.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", keep: int | None = 3):
+        self.spark, self.root, self.fmt, self.keep = spark, root.rstrip("/"), fmt, keep
 
     # ---- paths -------------------------------------------------------------------------------
     def _fs(self, path: str):
@@ -74,6 +79,8 @@ class SnapshotStore:
         if partition_by and not self._has_data(name, number):
             # partitions of no rows leave no file, and so no schema to read back
             return self.write(empty_like(self.spark, df.schema), name)
+        if self.keep:
+            self.expire(name, self.keep)
         return self.read(name)
 
     def _has_data(self, name: str, number: int) -> bool:

@@ -66,7 +66,6 @@ def upsert_stream(
     checkpoint: str,
     keys: Sequence[str] = JOB_KEYS,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
-    keep: int = 2,
 ) -> DataFrame:
     """Upsert what has arrived into a stored table and return the table (ST3).
 
@@ -87,10 +86,10 @@ def upsert_stream(
         .start()
         .awaitTermination()
     )
-    return merge_pending(store, table, pending, keys, keep)
+    return merge_pending(store, table, pending, keys)
 
 
-def merge_pending(store: SnapshotStore, table: str, pending: str, keys: Sequence[str] = JOB_KEYS, keep: int = 2) -> DataFrame:
+def merge_pending(store: SnapshotStore, table: str, pending: str, keys: Sequence[str] = JOB_KEYS) -> DataFrame:
     """Merge the batches put aside into the table, then drop them.
 
     Should it stop before they are dropped, the next run merges them again, which changes nothing:
@@ -105,5 +104,4 @@ def merge_pending(store: SnapshotStore, table: str, pending: str, keys: Sequence
     dest = store.read(table) if store.exists(table) else empty_like(store.spark, src.schema)
     merged = store.write(upsert(dest, src, keys), table)
     store.drop_folders(batches)
-    store.expire(table, keep)
     return merged

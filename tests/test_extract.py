@@ -61,9 +61,10 @@ def test_company_without_url_has_no_id(spark):
 
 def test_state_companies_skips_pages_without_state(spark):
     state = {"props": {"initialState": {"api": {"employerDetail": {"data": {"id": 5, "name": "CÔNG TY CP B"}}}}}}
-    p = pages(spark, f'<script id="__NEXT_DATA__" type="application/json">{json.dumps(state)}</script>', "<p>")
+    script = f'<script id="__NEXT_DATA__" type="application/json">{json.dumps(state)}</script>'
+    p = pages(spark, script + '<div class="truncate" title="x"></div><div title="https://b.vn" class="truncate">b</div>', "<p>")
     got = ex.state_companies(p).collect()
-    assert [(r["company_id"], r["company_only_name"], r["company_slug"]) for r in got] == [("5", "b", "")]
+    assert [(r["company_id"], r["company_only_name"], r["company_slug"], r["company_domain"]) for r in got] == [("5", "b", "", "https://b.vn")]
 
 
 def test_api_answers(spark):

@@ -41,7 +41,8 @@ def test_a_snapshot_without_its_marker_does_not_count(spark, store, rows):
 def test_expire_keeps_the_newest(spark, store):
     for n in range(1, 5):
         store.write(spark.range(n), "t")
-    assert store.expire("t", keep=2) == 2
+    assert store._complete("t") == [2, 3, 4]
+    assert store.expire("t", keep=2) == 1
     assert store.read("t").count() == 4 and store._complete("t") == [3, 4]
 
 
@@ -188,3 +189,37 @@ def test_province_delivered_as_a_struct(spark, store):
     store.write(raw, "raw/careerviet/company")
     out = steps.upsert_companies(store, "careerviet", F.lit("2024-01-01").cast("timestamp"))
     assert out.first()["province"] == "Hà Nội"
+
+
+@pytest.mark.parametrize("media,kind", [("careerviet", "company"), ("vietnamworks", "recruit"), ("careerlink", "company")])
+def test_raw_schema_reads_any_json_shape(spark, tmp_path, media, kind):
+    schema_ = specs.raw_schema(media, kind)
+    key = steps.KEYS[kind]
+    # a number or an object where text is expected comes in as its JSON text
+    other = next(f.name for f in schema_.fields if f.name != key and isinstance(f.dataType, T.StringType))
+    (tmp_path / "a.jsonl").write_text(f'{{"{key}": 7, "{other}": {{"x": [1]}}}}\n')
+    row = jsonl.read_jsonl(spark, str(tmp_path), schema_).first()
+    assert str(row[key]) == "7" and row[other] == '{"x": [1]}' and row[jsonl.CORRUPT] is None
+
+
+def test_extracted_records_fit_the_raw_schemas(spark):
+    from jobmeld.operators import extract
+
+    pages = spark.createDataFrame([], "page_id int, url string, html string")
+    answers = spark.createDataFrame([], "body string")
+    units = spark.createDataFrame([], "level string, name string, district string, province string")
+    for media, kind in specs.RAW_COLUMNS:
+        src = answers if media == "vietnamworks" else pages
+        df = extract.extract_companies(src, media, units) if kind == "company" else extract.extract_jobs(src, media)
+        want = specs.raw_schema(media, kind)
+        assert set(df.columns) == set(want.names), (media, kind)
+
+
+def test_run_extract(spark, store, rows):
+    html = '<h1 class="company-detail-name text-highlight">Công ty TNHH Mây</h1><div class="desc">1 Kim Mã, Hà Nội</div>'
+    pages = spark.createDataFrame([(i, "https://x.vn/may/12.html", html) for i in range(3)], "page_id int, url string, html string")
+    units = spark.createDataFrame([("province", "Hà Nội", None, None)], "level string, name string, district string, province string")
+    got = steps.run_extract(store, "topcv", "company", pages, units)
+    assert rows(got.select("company_id", "company_only_name", "province", "street")) == [("12", "mây", "Hà Nội", "1 Kim Mã")]
+    out = steps.upsert_companies(store, "topcv", F.lit("2024-01-01").cast("timestamp"))
+    assert rows(out.select("standard_name", "province")) == [("mây", "Hà Nội")]
