@@ -121,7 +121,7 @@ def _(spark, sf):
     f"""SELECT CAST(c_custkey AS VARCHAR) AS company_id, concat('{SITE}/viec-lam-cua/', c_custkey) AS source_company_url, concat('firm ', c_custkey) AS company_only_name,
           concat('firm-', c_custkey) AS company_slug, CAST(c_nationkey AS VARCHAR) AS company_province_id,
           CASE WHEN c_custkey % 3 = 0 THEN '' ELSE concat('T', c_custkey) END AS company_tax_code
-        FROM customer WHERE c_custkey % 4 <> 0""",
+        FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'""",
 )
 def _(spark, sf):
     return ex.state_companies(profile_pages(spark, sf)).select(

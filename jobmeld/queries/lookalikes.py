@@ -186,7 +186,7 @@ def profile_pages(spark: SparkSession, sf: str) -> DataFrame:
       '","slug":"firm-', c_custkey, '","address":"street ', c_custkey % 97, '","province":', c_nationkey,
       CASE WHEN c_custkey % 3 = 0 THEN '' ELSE concat(',"tax_code":"T', c_custkey, '"') END, '}}}}}}')"""
     html = f"""concat('<html><head><script type="application/ld+json">', {profile}, '</script>',
-      CASE WHEN c_custkey % 4 = 0 THEN '' ELSE concat('<script id="__NEXT_DATA__" type="application/json">', {state}, '</script>') END,
+      CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN '' ELSE concat('<script id="__NEXT_DATA__" type="application/json">', {state}, '</script>') END,
       '</head><body><i class="cli-map-pin-line d-flex mr-2">at ', c_custkey % 97, '</i>',
       '<div class="element_detail"><div class="in"><span>Quy mô:</span></div><p> ', c_nationkey, '&ndash;99 <b>người</b></p></div>',
       '<div class="element_detail"><span>Email</span><p>Email</p><p>e', c_custkey, '@x.vn</p></div>',

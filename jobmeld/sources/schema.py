@@ -118,8 +118,8 @@ def preview(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """A small input over all cores, ahead of work that is heavy per row.
 
-    For a plain scan. One with at least as many splits as cores, so every large table, is returned
+    For a plain scan that would keep less than a quarter of the cores busy. A larger one is returned
     as it is and not shuffled.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
