@@ -15,6 +15,7 @@ from jobmeld.functions import text as tx, urls
 from jobmeld.functions.address import split_address
 from jobmeld.functions.binding import bind, detached
 from jobmeld.functions.names import name_key
+from jobmeld.functions.numbers import as_array
 from jobmeld.operators.markup import Field, element_texts, labelled_values
 
 # What marks a block as a job or as a company profile
@@ -90,7 +91,7 @@ def _job_columns(media: str) -> dict[str, Column]:
             "job_salary_level": blank(at("baseSalary.value.unitText")),
             "job_exp_requirement": blank(at("experienceRequirements.monthsOfExperience")),
             "job_salary_currency": blank(at("baseSalary.value.currency")),
-            "job_employment_type": at("employmentType", "array<string>"),
+            "job_employment_type": F.coalesce(at("employmentType", "array<string>"), as_array(at("employmentType"))),
             "job_skills": blank(at("skills")),
             "job_working_hours": blank(at("workHours")),
             "job_education_requirement": blank(at("educationRequirements.credentialCategory")),

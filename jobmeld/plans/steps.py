@@ -107,7 +107,9 @@ def upsert_jobs(store: SnapshotStore, media: str, as_of: Column) -> DataFrame:
     feed = job_feed(store.read(f"raw/{media}/recruit"), store.read("master/company"), spec, as_of)
     name = f"master/recruit/{media}"
     dest = store.read(name) if store.exists(name) else empty_like(store.spark, feed.schema)
-    return store.write(upsert.upsert(dest, feed), name)
+    # the table holds one source, so its media_code adds nothing to the key; without it, reducing the
+    # batch and joining it share one shuffle
+    return store.write(upsert.upsert(dest, feed, ["media_internal_id"]), name)
 
 
 def read_jobs(store: SnapshotStore) -> DataFrame:

@@ -12,6 +12,8 @@ from jobmeld.queries.lookalikes import (
     RAW_SQL,
     SALARY_TEXT,
     held,
+    job_pages,
+    markup_pages,
     master_companies,
     raw_companies,
 )
@@ -275,3 +277,28 @@ def _(spark, sf):
     s = store(spark, "st3")
     items = st.read_stream(spark, f"{root}/landed", _JOB, per_batch=1)
     return st.upsert_stream(items, s, "master/recruit", f"{root}/checkpoint")
+
+
+# ---- pages straight to raw tables ----------------------------------------------------------------------
+@query(
+    "pip1_extract_jobs",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS job_id, concat('Job ', o_orderpriority) AS job_title, CAST(o_custkey AS VARCHAR) AS job_company_id,
+         CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) AS job_min_salary FROM orders""",
+)
+def _(spark, sf):
+    raw = steps.run_extract(store(spark, "pip1x"), "vieclam24h", "recruit", job_pages(spark, sf))
+    return raw.select("job_id", "job_title", "job_company_id", "job_min_salary")
+
+
+@query(
+    "pip2_extract_companies",
+    """SELECT CAST(c_custkey AS VARCHAR) AS company_id, concat('firm ', c_custkey) AS company_only_name, concat('street ', c_custkey % 97) AS street,
+         'X' AS province FROM customer""",
+)
+def _(spark, sf):
+    # every nation is a province of the address table, and so is the X of the pages
+    names = table(spark, sf, "nation").selectExpr("inline(array(named_struct('name', n_name), named_struct('name', 'X')))")
+    none = F.lit(None).cast("string")
+    units = names.select(F.lit("province").alias("level"), "name", none.alias("district"), none.alias("province"))
+    raw = steps.run_extract(store(spark, "pip2x"), "topcv", "company", markup_pages(spark, sf), units)
+    return raw.select("company_id", "company_only_name", "street", "province")

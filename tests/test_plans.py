@@ -130,3 +130,14 @@ def test_a_hot_link_is_split_when_context_is_carried(spark, hot_settings):
     )
     out = extract.with_parent_context(pages, F.col("html"))
     assert "skew=true" in final_plan(out) and out.count() == 60_000
+
+
+def test_job_upsert_reduces_and_joins_on_one_shuffle(spark, tmp_path):
+    from jobmeld.operators import upsert
+
+    cols = ["media_internal_id", "media_code", "title"]
+    rows_ = spark.range(100).select(F.col("id").cast("string").alias(cols[0]), F.lit("topcv").alias(cols[1]), F.lit("t").alias(cols[2]))
+    rows_.write.parquet(str(tmp_path / "t"))
+    dest = spark.read.parquet(str(tmp_path / "t"))
+    src = upsert.tag_source(dest.drop("media_code"), "topcv")
+    assert exchanges(upsert.upsert(dest, src.select(*cols), ["media_internal_id"])) == 2

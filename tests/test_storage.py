@@ -223,3 +223,20 @@ def test_run_extract(spark, store, rows):
     assert rows(got.select("company_id", "company_only_name", "province", "street")) == [("12", "mây", "Hà Nội", "1 Kim Mã")]
     out = steps.upsert_companies(store, "topcv", F.lit("2024-01-01").cast("timestamp"))
     assert rows(out.select("standard_name", "province")) == [("mây", "Hà Nội")]
+
+
+def test_all_sources_in_one_merge_equal_one_after_the_other(spark, tmp_path, rows):
+    when = F.lit("2024-01-01").cast("timestamp")
+    stores = [SnapshotStore(spark, str(tmp_path / n)) for n in ("a", "b")]
+    place = ("Hà Nội", "", "", "")
+    for s in stores:
+        s.write(company(spark, "jobsgo", [("j1", "Mây", "old", place), ("j2", "Gió", "", place)]), "raw/jobsgo/company")
+        s.write(company(spark, "topcv", [("t1", "Mây", "new", place), ("t2", "Nắng", "c", place)]), "raw/topcv/company")
+        s.write(company(spark, "vieclam24h", [("v1", "Mây", "newer", place), ("v2", "Gió", "d", place)]), "raw/vieclam24h/company")
+    medias = ["jobsgo", "topcv", "vieclam24h"]
+    for m in medias:
+        turn = steps.upsert_companies(stores[0], m, when)
+    once = steps.upsert_all_companies(stores[1], medias, when)
+    assert rows(once.select(*turn.columns)) == rows(turn)
+    assert {r["standard_name"]: r["address"] for r in once.collect()} == {"mây": "newer", "gió": "d", "nắng": "c"}
+    assert len(stores[1]._complete("master/company")) == 1
