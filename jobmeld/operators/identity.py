@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobmeld.functions.predicates import text_hash
 from jobmeld.operators.matching import MATCHERS, Matcher
-from jobmeld.session import cut_lineage
+from jobmeld.session import cut_lineage, written
 
 COLUMNS = ["company_id", "corporate_number", "identify_method", "updated_at", "created_at"]
 
@@ -110,12 +110,11 @@ def cascade(
 ) -> DataFrame:
     """Merge the candidates of all matchers into the map, in run order (IDR9).
 
-    `cands` holds all matchers' pairs. It is written out once, as every step reads its share of it.
-    Each step adds two shuffles of the (narrow) map to a straight chain; with a map of many rows
-    the chain is cut half way as well.
+    `cands` holds all matchers' pairs. It is written out once by method, as each step reads its share
+    of it. Each step adds two shuffles of the (narrow) map to a straight chain, which is cut half way.
     """
     if checkpoint:
-        cands = cut_lineage(cands)
+        cands = written(cands, "candidates", "identify_method")
     for i, m in enumerate(matchers):
         step = cands.filter(F.col("identify_method") == m.code)
         held = step if held is None else merge(held, step, conflict)

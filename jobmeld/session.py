@@ -74,3 +74,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, label: str, partition_by: str) -> DataFrame:
+    """The frame as a table in the shared folder, so that a filter on `partition_by` reads its share only."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.partitionBy(partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
