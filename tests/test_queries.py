@@ -30,4 +30,4 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).columns == ["company_id", "corporate_number", "identify_method", "updated_at", "created_at"]
-    assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) <= set(QUERIES)
+    assert set(QUERIES) <= set(e.queries()) and set(SQL) <= set(e.oracle_sql()) <= set(e.queries())
