@@ -21,14 +21,17 @@ from jobmeld.session import scratch_path
 
 BLOCK_IDS = 1 << 19  # a block ends with the document that fills it
 BUCKET_KEYS = 20_000
-_CACHED = 500_000
+_CACHED = 400_000
+_JOINED = 5000  # runs that the library gets at once
 _LEVEL_ROOM = 2  # places per key on each level of the hash
 
 
 class Encoder:
     """The tokenizers library over runs without ASCII white space, which no token crosses; runs are remembered.
 
-    Holds for vocabularies that drop white space, as the word-end kind does.
+    Stops and commas behind a letter or digit are tokens of their own, so a run is encoded without them and they
+    are added; a run of ASCII letters is encoded in lower case. Holds for vocabularies that drop white space and
+    case, as the word-end kind does.
     """
 
     def __init__(self, path: str):
@@ -37,20 +40,50 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.cores: dict[bytes, bytes] = {b"": b""}
+
+    def _encode_cores(self, cores: set[bytes]) -> dict[bytes, bytes]:
+        """Cores new to the worker, many in one text with blanks between; the tokens' places tell whose they are."""
+        new = list(cores.difference(self.cores))
+        fresh = {}
+        for i in range(0, len(new), _JOINED):
+            part = new[i : i + _JOINED]
+            got = self.library.encode(b" ".join(part).decode(), add_special_tokens=False)
+            ids = np.array(got.ids, "<u4")
+            starts = np.array([a for a, _ in got.offsets], np.int64)
+            ends = np.cumsum([len(c if c.isascii() else c.decode()) + 1 for c in part])
+            cuts = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
+            data = ids.tobytes()
+            fresh.update(zip(part, [data[x:y] for x, y in zip(cuts, cuts[1:])]))
+        self.cores.update(fresh if max(map(len, new), default=0) <= 64 else {c: x for c, x in fresh.items() if len(c) <= 64})
+        return fresh
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         if len(self.known) > _CACHED:
             self.known.clear()
+        if len(self.cores) > 2 * _CACHED:
+            self.cores = {b"": b""}
         cut = [t.split() for t in texts]
         new = list(set().union(*cut).difference(self.known))
-        got = self.library.encode_batch([r.decode() for r in new], add_special_tokens=False) if new else []
-        fresh = {r: np.array(e.ids, "<u4").tobytes() for r, e in zip(new, got)}
-        self.known.update((r, ids) for r, ids in fresh.items() if len(r) <= 64)
-        known = self.known if all(len(r) <= 64 for r in fresh) else {**self.known, **fresh}
+        parts = [_parted(r) for r in new]
+        cores = self._encode_cores({p[0] for p in parts} | {p[1] for p in parts})
+        long = max(map(len, new), default=0) > 64
+        cores = {**self.cores, **cores} if long else self.cores
+        fresh = {run: cores[core] + cores[tail] if tail else cores[core] for run, (core, tail) in zip(new, parts)}
+        self.known.update({r: ids for r, ids in fresh.items() if len(r) <= 64} if long else fresh)
+        known = {**self.known, **fresh} if long else self.known
         return [b"".join(map(known.__getitem__, runs)) for runs in cut]
 
 
+def _parted(run: bytes) -> tuple[bytes, bytes]:
+    """(what is encoded, stops and commas behind it)."""
+    core = run.rstrip(b".,;:!?")
+    if core.isalpha():
+        return core.lower(), run[len(core) :]
+    return (core, run[len(core) :]) if core[-1:].isalnum() else (run, b"")
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
@@ -182,12 +215,13 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 1, wide: bool = Fa
 
     Documents stand in ascending order of doc_id, nulls first; rows that share a doc_id follow one another by
     length and content and are told apart by an occurrence number. `wide` stores 32-bit ids, else 16-bit.
-    One shuffle of the ids, by ranges of doc_id; blocks are cut from the sorted stream, never from a group.
+    One shuffle of the texts, by ranges of doc_id; blocks are cut from the sorted stream, never from a group.
     """
     spark = docs.sparkSession
-    tokens = tokenise(docs, path, end_id)
-    ranges = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.length("ids"), "ids")
-    _blocks(ranges, wide).write.parquet(f"{out}/blocks")
+    # texts are dealt out, not ids: dealing by range looks at its input twice
+    ranges = docs.select("doc_id", "text").repartitionByRange("doc_id")
+    sorted_ = tokenise(ranges, path, end_id).sortWithinPartitions("doc_id", F.length("ids"), "ids")
+    _blocks(sorted_, wide).write.parquet(f"{out}/blocks")
 
     places = (
         spark.read.parquet(f"{out}/blocks")
