@@ -10,13 +10,13 @@ from jobmeld.functions.binding import detached
 from jobmeld.functions.predicates import has_value
 
 
-def _orderable(dtype: T.DataType) -> bool:
+def orderable(dtype: T.DataType) -> bool:
     if isinstance(dtype, (T.MapType, T.VariantType)):
         return False
     if isinstance(dtype, T.ArrayType):
-        return _orderable(dtype.elementType)
+        return orderable(dtype.elementType)
     if isinstance(dtype, T.StructType):
-        return all(_orderable(f.dataType) for f in dtype.fields)
+        return all(orderable(f.dataType) for f in dtype.fields)
     return True
 
 
@@ -30,7 +30,7 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column] = ())
     ranks = [o.alias(f"_o{i}") for i, o in enumerate(order)]
     if not rest:
         return df.select(*keys).distinct()
-    odd = [c for c in rest if not _orderable(df.schema[c].dataType)]
+    odd = [c for c in rest if not orderable(df.schema[c].dataType)]
     if odd:
         tie = [F.to_json(c).alias(c) if c in odd else F.col(c) for c in rest]
         picked = F.min_by(F.struct(*rest), F.struct(*ranks, *tie))
@@ -46,6 +46,21 @@ def filled_count(df: DataFrame, columns: Sequence[str]) -> Column:
     return sum(marks[1:], marks[0])
 
 
+def one_per_id(df: DataFrame, key: str) -> DataFrame:
+    """One row per id: the one with the most values, ties by all columns (DD1, DD2).
+
+    Rows without an id are not repeats of one another; take them out before (`with_id`).
+    """
+    rest = [c for c in df.columns if c != key]
+    return keep_first(df, [key], [-filled_count(df, rest)] if rest else [])
+
+
+def with_id(df: DataFrame, key: str) -> Column:
+    """Whether a row has an id: neither null nor, for text, blank."""
+    col = F.col(key)
+    return F.coalesce(F.trim(col) != "", F.lit(False)) if isinstance(df.schema[key].dataType, T.StringType) else col.isNotNull()
+
+
 def keep_fullest(df: DataFrame, key: str, columns: Sequence[str], tie: str) -> DataFrame:
     """The most complete row of each key, ties by the smallest `tie` (DD3)."""
     return keep_first(df, [key], [-filled_count(df, columns), F.col(tie)])

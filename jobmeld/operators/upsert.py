@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobmeld.operators.dedupe import keep_first
+from jobmeld.operators.dedupe import orderable
 from jobmeld.sources.schema import backfill, evolve
 
 JOB_KEYS = ("media_internal_id", "media_code")
@@ -28,25 +28,30 @@ def stamped(df: DataFrame, as_of: Column) -> DataFrame:
 
 def fold(
     changes: DataFrame,
-    seq: str,
+    seq: str | None = None,
     keys: Sequence[str] = JOB_KEYS,
     created: str = "created_at",
     first_wins: Sequence[str] = ("_ingest_id",),
 ) -> DataFrame:
-    """Several batches as one row per key, equal to upserting them in the order of `seq`.
+    """Changes as one row per key, equal to upserting them in the order of `seq`.
 
-    Per column the last non-null value, the first one for `created` and `first_wins`. One aggregate
-    and one merge take the place of a merge per batch.
+    Each column is reduced by itself, in one aggregate: its last non-null value by `seq`, the first one
+    for `created` and `first_wins`. Among values of the same `seq`, or without one, the largest counts
+    as the last and the smallest as the first. A null never takes the place of a value, and no value
+    depends on how the rows are laid out. A null in `seq` comes before all others.
     """
-    one = keep_first(changes, [*keys, seq])
+    values = [c for c in changes.columns if c not in keys and c != seq]
+    if not values:
+        return changes.select(*keys).distinct()
     picks = []
-    for c in changes.columns:
-        if c in keys or c == seq:
-            continue
-        rank = F.when(F.col(c).isNotNull(), F.col(seq))
-        pick = F.min_by if c == created or c in first_wins else F.max_by
-        picks.append(pick(F.col(c), rank).alias(c))
-    return one.groupBy(*keys).agg(*picks).select(*[c for c in changes.columns if c != seq])
+    for c in values:
+        first = c == created or c in first_wins
+        # maps and variants have no order; their text has
+        tie = F.col(c) if orderable(changes.schema[c].dataType) else F.to_json(c)
+        rank = F.struct(*([F.col(seq)] if seq else []), tie)
+        by = F.when(F.col(c).isNotNull(), rank)
+        picks.append((F.min_by if first else F.max_by)(F.col(c), by).alias(c))
+    return changes.groupBy(*keys).agg(*picks).select(*[c for c in changes.columns if c != seq])
 
 
 def upsert(
@@ -55,15 +60,19 @@ def upsert(
     keys: Sequence[str] = JOB_KEYS,
     created: str = "created_at",
     first_wins: Sequence[str] = ("_ingest_id",),
+    order: str | None = None,
 ) -> DataFrame:
     """Merge a batch into the table on a composite key (UPS3, JN7).
 
     Per column the batch's value if it has one, else the table's; `created` never changes and
-    `first_wins` columns keep the table's value. The batch is first reduced to one row per key, so
-    a repeated key can not fail or multiply rows.
+    `first_wins` columns keep the table's value. A key that the batch repeats is first reduced to one
+    row, column by column (`fold`), by the batch's column `order` if one is named.
     """
     dest = evolve(dest, src)
-    src = keep_first(backfill(src, dest), list(keys))
+    layout = backfill(src, dest)
+    if order:
+        layout = layout.withColumn("_order", F.col(order))
+    src = fold(layout, "_order" if order else None, keys, created, first_wins)
     cond = [F.col(f"d.{k}") == F.col(f"s.{k}") for k in keys]
     out = []
     for c in dest.columns:

@@ -100,8 +100,9 @@ _BATCH = f"""js AS (SELECT CAST(l_orderkey AS VARCHAR) AS media_internal_id,
     CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_returnflag END AS title, l_linestatus AS benefits,
     CAST(l_suppkey AS VARCHAR) AS _ingest_id, concat('p', l_partkey) AS skills,
     '{LATER}' AS created_at, '{LATER}' AS updated_at FROM lineitem)"""
-_ONE = """j1 AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY media_internal_id, media_code
-    ORDER BY title NULLS FIRST, benefits NULLS FIRST, _ingest_id, created_at, updated_at, skills) AS rn FROM js) WHERE rn = 1)"""
+# a key that the batch repeats: each column by itself, its largest value as the last, its smallest as the first
+_ONE = """j1 AS (SELECT media_internal_id, media_code, max(title) AS title, max(benefits) AS benefits, min(_ingest_id) AS _ingest_id,
+    max(skills) AS skills, min(created_at) AS created_at, max(updated_at) AS updated_at FROM js GROUP BY media_internal_id, media_code)"""
 
 
 @query(
@@ -120,6 +121,31 @@ def _(spark, sf):
     )
 
 
+# titles and benefits of a line come as two records of one key, each without the other's value
+_HALVES = """h AS (SELECT media_internal_id, media_code, title, CAST(NULL AS {s}) AS benefits, nth FROM l
+    UNION ALL SELECT media_internal_id, media_code, NULL, benefits, nth FROM l)"""
+
+
+@query(
+    "ups3_repeated_key",
+    f"""WITH {_JOBS}, l AS (SELECT CAST(l_orderkey AS VARCHAR) AS media_internal_id, 'topcv' AS media_code, l_linenumber AS nth,
+            CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_returnflag END AS title, CASE WHEN l_partkey % 2 = 0 THEN l_linestatus END AS benefits FROM lineitem),
+          {_HALVES.format(s='VARCHAR')},
+          s AS (SELECT media_internal_id, media_code, (max(struct_pack(n := nth, v := title)) FILTER (WHERE title IS NOT NULL)).v AS title,
+            (max(struct_pack(n := nth, v := benefits)) FILTER (WHERE benefits IS NOT NULL)).v AS benefits FROM h GROUP BY media_internal_id, media_code)
+        SELECT coalesce(s.media_internal_id, d.media_internal_id) AS media_internal_id, coalesce(s.title, d.title) AS title,
+          coalesce(s.benefits, d.benefits) AS benefits FROM jd d FULL JOIN s ON d.media_internal_id = s.media_internal_id""",
+)
+def _(spark, sf):
+    lines = table(spark, sf, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS media_internal_id", "'topcv' AS media_code", "l_linenumber AS nth",
+        "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_returnflag END AS title", "CASE WHEN l_partkey % 2 = 0 THEN l_linestatus END AS benefits",
+    )
+    none = F.lit(None).cast("string")
+    halves = lines.withColumn("benefits", none).unionByName(lines.withColumn("title", none))
+    return upsert.upsert(_job_table(spark, sf), halves, order="nth").select("media_internal_id", "title", "benefits")
+
+
 def _job_table(spark, sf):
     return table(spark, sf, "orders").selectExpr(
         "CAST(o_orderkey AS STRING) AS media_internal_id", "'topcv' AS media_code", "o_orderpriority AS title",
@@ -181,10 +207,9 @@ _LINES = """SELECT CAST(l_orderkey AS {s}) AS media_internal_id, 'topcv' AS medi
 
 @query(
     "ups3_fold_batches",
-    f"""WITH x AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY media_internal_id, _batch ORDER BY title NULLS FIRST, _ingest_id) AS rn
-          FROM ({_LINES.format(s='VARCHAR')} FROM lineitem)) WHERE rn = 1)
-        SELECT media_internal_id, media_code, arg_max(title, _batch) FILTER (WHERE title IS NOT NULL) AS title,
-          arg_min(_ingest_id, _batch) AS _ingest_id FROM x GROUP BY media_internal_id, media_code""",
+    f"""WITH x AS ({_LINES.format(s='VARCHAR')} FROM lineitem)
+        SELECT media_internal_id, media_code, (max(struct_pack(b := _batch, t := title)) FILTER (WHERE title IS NOT NULL)).t AS title,
+          (min(struct_pack(b := _batch, i := _ingest_id))).i AS _ingest_id FROM x GROUP BY media_internal_id, media_code""",
 )
 def _(spark, sf):
     exprs = _LINES.format(s="STRING").removeprefix("SELECT ")

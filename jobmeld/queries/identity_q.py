@@ -207,7 +207,23 @@ _ITEM = "l_orderkey AS job_id, l_linenumber, l_partkey, l_quantity"
 )
 def _(spark, sf):
     df = table(spark, sf, "lineitem").selectExpr(*[c.strip() for c in _ITEM.split(",")])
-    return dedupe.keep_first(df, ["job_id"])
+    return dedupe.one_per_id(df, "job_id")
+
+
+@query(
+    "dd1_fullest",
+    """SELECT job_id, title, part, mode FROM (SELECT *, row_number() OVER (PARTITION BY job_id
+         ORDER BY (coalesce(title, '') <> '')::INT + (part IS NOT NULL)::INT + (mode IS NOT NULL)::INT DESC,
+           title NULLS FIRST, part NULLS FIRST, mode NULLS FIRST) AS rn
+       FROM (SELECT l_orderkey AS job_id, CASE l_linenumber % 3 WHEN 0 THEN '' WHEN 1 THEN l_returnflag END AS title,
+         CASE WHEN l_partkey % 2 = 0 THEN l_partkey END AS part, CASE WHEN l_suppkey % 2 = 0 THEN l_linestatus END AS mode FROM lineitem)) WHERE rn = 1""",
+)
+def _(spark, sf):
+    df = table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS job_id", "CASE l_linenumber % 3 WHEN 0 THEN '' WHEN 1 THEN l_returnflag END AS title",
+        "CASE WHEN l_partkey % 2 = 0 THEN l_partkey END AS part", "CASE WHEN l_suppkey % 2 = 0 THEN l_linestatus END AS mode",
+    )
+    return dedupe.one_per_id(df, "job_id")
 
 
 @query(
@@ -219,7 +235,7 @@ def _(spark, sf):
     df = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("company_id"), F.col("o_orderdate").cast("date").cast("string").alias("day"), "o_orderkey"
     )
-    return dedupe.keep_first(df, ["company_id"])
+    return dedupe.one_per_id(df, "company_id")
 
 
 _DD3 = """SELECT CAST(o_custkey AS VARCHAR) AS corporate_number, CAST(o_orderkey AS VARCHAR) AS company_id,

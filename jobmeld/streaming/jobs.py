@@ -66,9 +66,14 @@ def upsert_stream(
     checkpoint: str,
     keys: Sequence[str] = JOB_KEYS,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    order: str | None = None,
 ) -> DataFrame:
     """Upsert what has arrived into a stored table and return the table (ST3).
 
+    Later values win, nulls never do. What is later within a run is said by the records' column `order`;
+    then the result is the same for any division into micro-batches. Without one it is the batch number,
+    and among the values of one batch the largest is taken as the last.
+
     Each micro-batch is only written aside, to a folder of its number, so a batch that runs again
     after a failure replaces itself. At the end all batches are folded and merged in one rewrite of
     the table, whatever their number.
@@ -86,10 +91,12 @@ def upsert_stream(
         .start()
         .awaitTermination()
     )
-    return merge_pending(store, table, pending, keys)
+    return merge_pending(store, table, pending, keys, order)
 
 
-def merge_pending(store: SnapshotStore, table: str, pending: str, keys: Sequence[str] = JOB_KEYS) -> DataFrame:
+def merge_pending(
+    store: SnapshotStore, table: str, pending: str, keys: Sequence[str] = JOB_KEYS, order: str | None = None
+) -> DataFrame:
     """Merge the batches put aside into the table, then drop them.
 
     Should it stop before they are dropped, the next run merges them again, which changes nothing:
@@ -99,7 +106,8 @@ def merge_pending(store: SnapshotStore, table: str, pending: str, keys: Sequence
     if not batches:
         return store.read(table)
     changes = store.spark.read.option("basePath", pending).parquet(*batches)
-    changes = changes.withColumn(SEQ, F.col(SEQ).cast("bigint"))
+    # the order column stays a column of the table
+    changes = changes.withColumn(SEQ, F.col(order) if order else F.col(SEQ).cast("bigint"))
     src = fold(changes, SEQ, keys)
     dest = store.read(table) if store.exists(table) else empty_like(store.spark, src.schema)
     merged = store.write(upsert(dest, src, keys), table)

@@ -86,7 +86,35 @@ def test_upsert(spark, rows):
 def test_upsert_takes_a_key_that_the_batch_repeats_once(spark):
     dest = schema.empty_like(spark, spark.createDataFrame([], JOB).schema)
     src = spark.createDataFrame([("1", "a", t, None, "t1", "t1") for t in "zyx"], JOB)
-    assert [r["title"] for r in upsert.upsert(dest, src).collect()] == ["x"]
+    assert [r["title"] for r in upsert.upsert(dest, src).collect()] == ["z"]
+
+
+def test_a_null_in_a_repeated_key_erases_nothing(spark, rows):
+    dest = spark.createDataFrame([("1", "a", "old", None, "t0", "t0")], JOB)
+    src = spark.createDataFrame([("1", "a", None, "b", "t1", "t1"), ("1", "a", "new", None, "t1", "t1")], JOB)
+    assert rows(upsert.upsert(dest, src)) == [("1", "a", "new", "b", "t0", "t1")]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_any_division_into_batches_gives_the_same_table(spark, tmp_path, rows, seed):
+    from jobmeld.sources.store import SnapshotStore
+    from jobmeld.streaming import jobs as st
+
+    rnd = random.Random(seed)
+    data = [(str(rnd.randrange(5)), "m", rnd.choice([None, "a", "b"]), rnd.choice([None, "c", "d"]), rnd.randrange(9)) for _ in range(30)]
+    ddl = "media_internal_id string, media_code string, a string, b string, at int"
+    got = []
+    for parts in (1, 4):
+        shuffled = rnd.sample(data, len(data))
+        for n in range(parts):
+            spark.createDataFrame(shuffled[n::parts], ddl).write.parquet(str(tmp_path / f"p{parts}" / f"_batch={n}"))
+        store = SnapshotStore(spark, str(tmp_path / f"t{parts}"))
+        got.append(rows(st.merge_pending(store, "jobs", str(tmp_path / f"p{parts}"), order="at")))
+    assert got[0] == got[1]
+    for key, _, a, b, _ in got[0]:
+        for i, value in ((2, a), (3, b)):
+            known = [(r[4], r[i]) for r in data if r[0] == key and r[i] is not None]
+            assert value == (max(known)[1] if known else None)
 
 
 def test_first_ingest_id_wins(spark):
