@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobmeld.session import scratch_path
-from jobmeld.sources.schema import spread
 from jobmeld.sources.store import SnapshotStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +35,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table of long texts, spread over the cores."""
-    return spread(table(spark, sf, name))
-
-
 def store(spark: SparkSession, label: str) -> SnapshotStore:
     return SnapshotStore(spark, scratch_path(spark, label))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CORRUPT = "_corrupt_record"
@@ -58,7 +59,9 @@ def require_output(spark: SparkSession, path: str, fmt: str = "json") -> DataFra
     """The output at `path`; raises when it is missing or holds no row (SNK6)."""
     try:
         df = spark.read.format(fmt).load(path)
-    except Exception as e:
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         raise MissingOutput(f"output {path} not found") from e
     if not df.columns or df.isEmpty():
         raise MissingOutput(f"output {path} is empty")

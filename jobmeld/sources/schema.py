@@ -113,14 +113,3 @@ def profile(df: DataFrame) -> DataFrame:
 def preview(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """The first `n` rows by a stated order (LIM1)."""
     return df.orderBy(*order).limit(n)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """A small input over all cores, ahead of work that is heavy per row.
-
-    For a plain scan. Spark sizes splits so that there are fewer of them than cores only below some
-    4 MB per core, and such a file may still hold all its rows in one split. Anything larger is
-    returned as it is and not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -6,6 +6,7 @@ its `_SUCCESS` marker is there, so a job that dies half way leaves the table as
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,10 @@ PREFIX = "snapshot="
 
 
 class SnapshotStore:
-    """`keep` complete snapshots of each table stay after a write; None keeps them all.
+    """Every snapshot stays until `expire` is called, so a frame read earlier can still be used."""
 
-    Keep at least two: a frame read before a write still refers to the older one.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", keep: int | None = 3):
-        self.spark, self.root, self.fmt, self.keep = spark, root.rstrip("/"), fmt, keep
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
+        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
 
     # ---- paths -------------------------------------------------------------------------------
     def _fs(self, path: str):
@@ -79,8 +77,6 @@ class SnapshotStore:
         if partition_by and not self._has_data(name, number):
             # partitions of no rows leave no file, and so no schema to read back
             return self.write(empty_like(self.spark, df.schema), name)
-        if self.keep:
-            self.expire(name, self.keep)
         return self.read(name)
 
     def _has_data(self, name: str, number: int) -> bool:
@@ -112,17 +108,28 @@ class SnapshotStore:
             fs, p = self._fs(path)
             fs.delete(p, True)
 
-    def expire(self, name: str, keep: int = 2) -> int:
-        """Delete all but the newest `keep` complete snapshots; returns how many went."""
-        old = self._complete(name)[:-keep] if keep else []
+    def expire(self, name: str, age_seconds: float) -> int:
+        """Delete snapshots that a newer one replaced at least `age_seconds` ago; returns how many went.
+
+        Never called by a write. The age must exceed the longest time a frame stays in use.
+        """
+        done = self._complete(name)
+        limit = time.time() - age_seconds
+        old = [n for n, newer in zip(done, done[1:]) if self._finished(name, newer) <= limit]
         self.drop_folders([self._path(name, n) for n in old])
         return len(old)
 
+    def _finished(self, name: str, number: int) -> float:
+        fs, marker = self._fs(self._path(name, number) + "/_SUCCESS")
+        return fs.getFileStatus(marker).getModificationTime() / 1000
+
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     """Whether `path` can be read as a table (SRC5), for tables outside a store."""
     try:
         spark.read.format(fmt).load(path)
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
