@@ -20,26 +20,50 @@ KEYS = {"company": "company_id", "recruit": "job_id"}
 
 
 def run_ingest(store: SnapshotStore, media: str, kind: str, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """JSON Lines -> one row per id -> `raw/{media}/{kind}` (UPS6, PIP1, PIP2).
+    """JSON Lines -> one row per id, the fullest, -> `raw/{media}/{kind}` (UPS6, PIP1, PIP2).
 
-    Give the source's schema (`specs.raw_schema`) to spare the pass that infers one.
+    Lines that do not parse and records without an id go to `raw/{media}/{kind}_rejected` (reason, record),
+    so nothing is lost and nothing without an id counts as a repeat. Give the source's schema
+    (`specs.raw_schema`) to spare the pass that infers one.
     """
     df = read_jsonl(store.spark, path, schema)
-    if CORRUPT in df.columns:
-        df = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return store.write(dedupe.keep_first(df, [KEYS[kind]]), f"raw/{media}/{kind}")
+    if df.columns == [CORRUPT]:
+        # not one line parses; Spark refuses to read this column alone
+        df = store.spark.read.text(path).select(F.col("value").alias(CORRUPT))
+    return _land_raw(store, df, media, kind)
+
+
+def _land_raw(store: SnapshotStore, df: DataFrame, media: str, kind: str) -> DataFrame:
+    key = KEYS[kind]
+    values = [c for c in df.columns if c != CORRUPT]
+    line = F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
+    if key in values:
+        usable = dedupe.with_id(df, key) & line.isNull()
+        kept = dedupe.one_per_id(df.filter(usable).select(*values), key)
+    else:
+        # no record names the id, as in a file of broken lines
+        usable = F.lit(False)
+        kept = df.filter(usable).select(*values, F.lit(None).cast("string").alias(key))
+    reason = F.when(line.isNotNull(), "unreadable").otherwise("no id")
+    as_text = F.to_json(F.struct(*values)) if values else line
+    rejected = df.filter(~usable).select(reason.alias("reason"), F.coalesce(line, as_text).alias("record"))
+    store.write(rejected, f"raw/{media}/{kind}_rejected")
+    return store.write(kept, f"raw/{media}/{kind}")
 
 
 def run_extract(
     store: SnapshotStore, media: str, kind: str, pages: DataFrame, units: DataFrame | None = None
 ) -> DataFrame:
-    """Crawled pages -> one row per id -> `raw/{media}/{kind}` (PIP1, PIP2 from pages)."""
+    """Crawled pages -> one row per id -> `raw/{media}/{kind}` (PIP1, PIP2 from pages).
+
+    The records are written once before they are parted, as for `run_ingest`, into those with an id and
+    the others, so a page is read once.
+    """
     if kind == "company":
         df = extract.extract_companies(pages, media, units)
     else:
         df = extract.extract_jobs(pages, media)
-    key = KEYS[kind]
-    return store.write(dedupe.keep_first(df.filter(F.col(key).isNotNull()), [key]), f"raw/{media}/{kind}")
+    return _land_raw(store, store.write(df, f"raw/{media}/{kind}_extracted"), media, kind)
 
 
 def run_identify(store: SnapshotStore, media: str, as_of: Column, conflict: str = "parity") -> DataFrame:

@@ -142,6 +142,24 @@ def _(spark, sf):
     return steps.run_ingest(store(spark, "ups6"), "topcv", "recruit", _land_lines(spark, sf, "ups6"), _LINE_SCHEMA)
 
 
+@query(
+    "ups6_rejected",
+    """SELECT CASE l_linenumber % 3 WHEN 0 THEN 'unreadable' ELSE 'no id' END AS reason,
+         CASE l_linenumber % 3 WHEN 0 THEN concat('cut ', l_orderkey) ELSE concat('{"job_title":"', l_linestatus, '","amount":', CAST(l_partkey AS VARCHAR), '.0}') END AS record
+       FROM lineitem WHERE l_linenumber % 3 < 2""",
+)
+def _(spark, sf):
+    # broken lines, records without an id and whole records in one file
+    path = scratch_path(spark, "ups6r")
+    table(spark, sf, "lineitem").selectExpr(
+        """CASE l_linenumber % 3 WHEN 0 THEN concat('cut ', l_orderkey)
+             ELSE concat('{', if(l_linenumber % 3 = 2, concat('"job_id":"', l_orderkey, '",'), ''), '"job_title":"', l_linestatus, '","amount":', l_partkey, '}') END AS value"""
+    ).write.text(path)
+    s = store(spark, "ups6r")
+    steps.run_ingest(s, "topcv", "recruit", path, _LINE_SCHEMA)
+    return s.read("raw/topcv/recruit_rejected")
+
+
 @query("pip1_ingest_jobs", _FIRST_LINE.format(order="amount, job_company_id, job_title"))
 def _(spark, sf):
     # without a schema the columns come out in alphabetical order, and so does the order of preference
@@ -260,25 +278,37 @@ def _(spark, sf):
 _JOB = T.StructType([T.StructField(n, T.StringType()) for n in ("media_internal_id", "media_code", "title", "benefits")])
 
 
-@query(
-    "st3_upsert",
-    """SELECT CAST(o_orderkey AS VARCHAR) AS media_internal_id, 'topcv' AS media_code, o_orderpriority AS title,
-         CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) THEN 'covered' END AS benefits FROM orders""",
-)
+_ST3_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS media_internal_id, 'topcv' AS media_code, o_orderpriority AS title,
+         CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) THEN 'covered' END AS benefits FROM orders"""
+
+
+@query("st3_upsert", _ST3_SQL)
 def _(spark, sf):
-    # titles and benefits arrive in separate batches, so the result is the same in either order
+    return _st3(spark, sf, None)
+
+
+def _st3(spark, sf, per_batch, whole=False):
+    """Titles and benefits of the same jobs, as separate records; `whole` brings them into one file and so one batch."""
     root = scratch_path(spark, "st3")
-    table(spark, sf, "orders").selectExpr(
+    titles = table(spark, sf, "orders").selectExpr(
         "CAST(o_orderkey AS STRING) AS media_internal_id", "'topcv' AS media_code", "o_orderpriority AS title"
-    ).write.mode("append").json(f"{root}/landed")
-    table(spark, sf, "lineitem").selectExpr(
+    )
+    benefits = table(spark, sf, "lineitem").selectExpr(
         "CAST(l_orderkey AS STRING) AS media_internal_id", "'topcv' AS media_code", "'covered' AS benefits"
-    ).write.mode("append").json(f"{root}/landed")
+    )
+    for df in [titles.unionByName(benefits, allowMissingColumns=True)] if whole else [titles, benefits]:
+        df.write.mode("append").json(f"{root}/landed")
     s = store(spark, "st3")
-    items = st.read_stream(spark, f"{root}/landed", _JOB, per_batch=1)
+    items = st.read_stream(spark, f"{root}/landed", _JOB, per_batch=per_batch)
     return st.upsert_stream(items, s, "master/recruit", f"{root}/checkpoint")
 
 
+@query("st3_one_batch", _ST3_SQL)
+def _(spark, sf):
+    # a key's title and benefits meet in one micro-batch
+    return _st3(spark, sf, None, whole=True)
+
+
 # ---- pages straight to raw tables ----------------------------------------------------------------------
 @query(
     "pip1_extract_jobs",

@@ -38,11 +38,21 @@ def test_a_snapshot_without_its_marker_does_not_count(spark, store, rows):
     assert store.exists("t")
 
 
-def test_expire_keeps_the_newest(spark, store):
+def test_a_frame_survives_later_writes(spark, store):
+    first = store.write(spark.range(7), "t")
+    for n in range(10):
+        store.write(spark.range(n), "t")
+    assert first.count() == 7 and len(store._complete("t")) == 11
+
+
+def test_expire_goes_by_age_and_keeps_the_newest(spark, store):
     for n in range(1, 5):
         store.write(spark.range(n), "t")
-    assert store._complete("t") == [2, 3, 4]
-    assert store.expire("t", keep=2) == 1
+    assert store.expire("t", 3600) == 0
+    for n in (2, 3):
+        os.utime(os.path.join(store.root, "t", f"snapshot={n:08d}", "_SUCCESS"), (1000, 1000))
+    # snapshots 1 and 2 were replaced long ago, 3 only now
+    assert store.expire("t", 3600) == 2
     assert store.read("t").count() == 4 and store._complete("t") == [3, 4]
 
 
@@ -65,11 +75,21 @@ def test_jsonl_keeps_lines_that_do_not_parse(spark, tmp_path, rows):
     assert set(jsonl.read_jsonl(spark, str(tmp_path)).columns) >= {"job_id", "job_title", "extra"}
 
 
-def test_ingest_drops_broken_lines_and_repeats(spark, store, tmp_path, rows):
-    (tmp_path / "in.jsonl").write_text('{"job_id":"1","t":"b"}\n{"job_id":"1","t":"a"}\nbroken\n')
-    df = steps.run_ingest(store, "topcv", "recruit", str(tmp_path / "in.jsonl"), "job_id string, t string")
-    assert rows(df) == [("1", "a")]
-    assert store.exists("raw/topcv/recruit")
+@pytest.mark.parametrize("ddl", ["job_id string, t string", None])
+def test_ingest_loses_no_line(spark, store, tmp_path, rows, ddl):
+    lines = ['{"job_id":"1"}', '{"job_id":"1","t":"b"}', '{"job_id":"1","t":"a"}', "broken", '{"t":"x"}', '{"t":"x"}', '{"job_id":" "}']
+    (tmp_path / "in.jsonl").write_text("\n".join(lines) + "\n")
+    df = steps.run_ingest(store, "topcv", "recruit", str(tmp_path / "in.jsonl"), ddl)
+    assert rows(df.select("job_id", "t")) == [("1", "a")]
+    assert rows(store.read("raw/topcv/recruit_rejected")) == [
+        ("no id", '{"job_id":" "}'), ("no id", '{"t":"x"}'), ("no id", '{"t":"x"}'), ("unreadable", "broken")
+    ]
+
+
+def test_ingest_of_broken_lines_only(spark, store, tmp_path, rows):
+    (tmp_path / "in.jsonl").write_text("broken\nagain\n")
+    assert steps.run_ingest(store, "topcv", "recruit", str(tmp_path / "in.jsonl")).count() == 0
+    assert rows(store.read("raw/topcv/recruit_rejected")) == [("unreadable", "again"), ("unreadable", "broken")]
 
 
 def test_dated_landing(spark, tmp_path):
