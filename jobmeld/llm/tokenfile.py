@@ -299,7 +299,8 @@ def fetch(spark: SparkSession, out: str, keys: DataFrame) -> DataFrame:
     kind = keys.schema["doc_id"].dataType.simpleString()
     wide = blocks.select((F.octet_length("ids") > 2 * F.element_at("offsets", -1)).alias("w")).agg(F.max("w")).first()[0]
     # ids before a block: in earlier parts, a row per part, and in earlier blocks of its part
-    sizes = blocks.select("part", "number", F.element_at("offsets", -1).alias("n"))
+    numbered = [F.col(c).cast("long").alias(c) for c in ("part", "number")]
+    sizes = blocks.select(*numbered, F.element_at("offsets", -1).alias("n"))
     parts = sizes.groupBy("part").agg(F.sum("n").alias("n"))
     ahead = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("ahead"))
     inner = F.sum("n").over(Window.partitionBy("part").orderBy("number")) - F.col("n")
@@ -312,19 +313,16 @@ def fetch(spark: SparkSession, out: str, keys: DataFrame) -> DataFrame:
         ids = np.frombuffer(found["ids"][0].as_py(), "<u4" if wide else "<u2")
         spans = zip(wanted["at"].to_pylist(), wanted["to"].to_pylist())
         got = pa.array([ids[i:j].astype("<u4").tobytes() for i, j in spans], pa.binary())
-        return wanted.select(["doc_id", "nth", "part", "number", "at"]).append_column("ids", got).cast(shape)
+        return wanted.select(["doc_id", "nth", "start"]).append_column("ids", got).cast(shape)
 
     shape = pa.schema(
-        [("doc_id", _arrow_type(keys, "doc_id"))]
-        + [(c, pa.int64()) for c in ("nth", "part", "number", "at")]
-        + [("ids", pa.binary())]
+        [("doc_id", _arrow_type(keys, "doc_id")), ("nth", pa.int64()), ("start", pa.int64()), ("ids", pa.binary())]
     )
-    places = locate(spark, out, keys).groupBy("part", "number")
-    payload = blocks.select(F.col("part").cast("long"), F.col("number").cast("long"), "ids").groupBy("part", "number")
-    got = places.cogroup(payload).applyInArrow(
-        cut, f"doc_id {kind}, nth bigint, part bigint, number bigint, at bigint, ids binary"
-    )
-    return got.join(bases, ["part", "number"]).select("doc_id", "nth", (F.col("base") + F.col("at")).alias("start"), "ids")
+    # the bases join the places, which are narrow, on the keys that the blocks are grouped by
+    places = locate(spark, out, keys).join(bases, ["part", "number"])
+    places = places.withColumn("start", F.col("base") + F.col("at")).drop("base").groupBy("part", "number")
+    payload = blocks.select(*numbered, "ids").groupBy("part", "number")
+    return places.cogroup(payload).applyInArrow(cut, f"doc_id {kind}, nth bigint, start bigint, ids binary")
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
