@@ -21,7 +21,7 @@ from jobmeld.session import scratch_path
 
 BLOCK_IDS = 1 << 19  # a block ends with the document that fills it
 BUCKET_KEYS = 20_000
-_CACHED = 400_000
+_CACHED = 200_000
 _JOINED = 5000  # runs that the library gets at once
 _LEVEL_ROOM = 2  # places per key on each level of the hash
 
@@ -94,7 +94,7 @@ def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib, end = encoder(path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for start, texts in chunks(batch.column(1)):
+            for start, texts in chunks(batch.column(1), 1 << 20):
                 ids = [x + end for x in lib.encode(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(ids)), pa.array(ids, pa.binary())], ["doc_id", "ids"]
