@@ -144,29 +144,36 @@ def read_jobs(store: SnapshotStore) -> DataFrame:
     return consolidate(parts)
 
 
-def enrich_jobs(jobs: DataFrame) -> DataFrame:
+def enrich_jobs(
+    jobs: DataFrame, categories: enrich.Rules = enrich.CATEGORY_RULES, skill_rules: enrich.Rules = enrich.SKILL_RULES
+) -> DataFrame:
     """Add category, expertise and edu; filled expertise is kept (ENR1, ENR2, ENR4)."""
     had = [c for c in jobs.columns if c not in ("category", "expertise", "edu")]
-    skills = enrich.classify_multi(F.col("description"), enrich.SKILL_RULES)
+    skills = enrich.classify_multi(F.col("description"), skill_rules)
     if "expertise" in jobs.columns:
         skills = F.coalesce(F.col("expertise"), skills)
     return jobs.select(
         *had,
-        enrich.classify_single(F.col("industries"), enrich.CATEGORY_RULES).alias("category"),
+        enrich.classify_single(F.col("industries"), categories).alias("category"),
         skills.alias("expertise"),
         enrich.education(F.col("requirements")).alias("edu"),
     )
 
 
-def run_enrich(store: SnapshotStore) -> DataFrame:
+def run_enrich(
+    store: SnapshotStore,
+    categories: enrich.Rules = enrich.CATEGORY_RULES,
+    skill_rules: enrich.Rules = enrich.SKILL_RULES,
+    industries: enrich.Rules = enrich.INDUSTRY_RULES,
+) -> DataFrame:
     """Enrich jobs per source, and companies with their industry class (PIP5)."""
     for m in SOURCES:
         name = f"master/recruit/{m}"
         if store.exists(name):
-            store.write(enrich_jobs(store.read(name)), name)
+            store.write(enrich_jobs(store.read(name), categories, skill_rules), name)
     company = store.read("master/company")
     kept = [c for c in company.columns if c != "category"]
-    industry = enrich.classify_single(F.col("description"), enrich.INDUSTRY_RULES).alias("category")
+    industry = enrich.classify_single(F.col("description"), industries).alias("category")
     store.write(company.select(*kept, industry), "master/company")
     return read_jobs(store)
 

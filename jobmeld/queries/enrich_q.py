@@ -8,12 +8,12 @@ from jobmeld.operators import enrich
 from jobmeld.queries.base import query, table
 
 
-def _sql_case(rules, default) -> str:
+def sql_case(rules, default) -> str:
     arms = " ".join(f"WHEN regexp_matches(text, '(?i){p}') THEN '{l}'" for l, p in rules)
     return f"CASE {arms} ELSE '{default}' END"
 
 
-_EDU = _sql_case(enrich.EDUCATION_RULES, enrich.EDUCATION_DEFAULT)
+_EDU = sql_case(enrich.EDUCATION_RULES, enrich.EDUCATION_DEFAULT)
 
 
 @query("enr1_education", f"SELECT doc_id, {_EDU} AS edu FROM documents")
@@ -23,7 +23,7 @@ def _(spark, sf):
 
 @query(
     "flt5_case_chain",
-    f"SELECT conv_id, turn, {_sql_case([('THPT', 'th.n|ph')], 'Đại học')} AS edu FROM conversations",
+    f"SELECT conv_id, turn, {sql_case([('THPT', 'th.n|ph')], 'Đại học')} AS edu FROM conversations",
 )
 def _(spark, sf):
     return table(spark, sf, "conversations").select(
@@ -34,35 +34,47 @@ def _(spark, sf):
 _WORDS = "SELECT doc_id, concat(' ', trim(regexp_replace(lower(text), '[^\\p{L}\\p{M}\\p{N}]+', ' ', 'g')), ' ') AS w FROM documents"
 
 
+# rules over words that the given texts hold; the default rules are about job posts
+LANGUAGE_RULES: enrich.Rules = {
+    "English": ["the", "of", "and", "that", "with"],
+    "German": ["der", "die", "und", "nicht"],
+    "French": ["le", "les", "des", "une"],
+    "Spanish": ["el", "los", "que", "una"],
+}
+CATEGORIES = {**enrich.CATEGORY_RULES, **LANGUAGE_RULES}
+INDUSTRIES = {**enrich.INDUSTRY_RULES, **LANGUAGE_RULES}
+SKILLS = {**enrich.SKILL_RULES, **LANGUAGE_RULES}
+
+
 def _hits(keywords) -> str:
     return "(" + " + ".join(f"contains(w, ' {k} ')::INT" for k in keywords) + ")"
 
 
-def _sql_single(rules) -> str:
+def sql_single(rules) -> str:
     h = ", ".join(f"{_hits(k)} AS h{i}" for i, k in enumerate(rules.values()))
     top = "greatest(" + ", ".join(f"h{i}" for i in range(len(rules))) + ")"
     arms = " ".join(f"WHEN h{i} = {top} THEN '{l}'" for i, l in enumerate(rules))
     return f"SELECT doc_id, CASE WHEN {top} = 0 THEN NULL {arms} END AS label FROM (SELECT doc_id, {h} FROM ({_WORDS}))"
 
 
-def _sql_multi(rules) -> str:
+def sql_multi(rules) -> str:
     parts = ", ".join(f"CASE WHEN {_hits(k)} > 0 THEN '{l}' END" for l, k in rules.items())
     return f"SELECT doc_id, nullif(concat_ws(', ', {parts}), '') AS skills FROM ({_WORDS})"
 
 
-@query("enr2_category", _sql_single(enrich.CATEGORY_RULES))
+@query("enr2_category", sql_single(CATEGORIES))
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", enrich.classify_single(F.col("text"), enrich.CATEGORY_RULES).alias("label"))
+    return table(spark, sf, "documents").select("doc_id", enrich.classify_single(F.col("text"), CATEGORIES).alias("label"))
 
 
-@query("enr3_industry", _sql_single(enrich.INDUSTRY_RULES))
+@query("enr3_industry", sql_single(INDUSTRIES))
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", enrich.classify_single(F.col("text"), enrich.INDUSTRY_RULES).alias("label"))
+    return table(spark, sf, "documents").select("doc_id", enrich.classify_single(F.col("text"), INDUSTRIES).alias("label"))
 
 
-@query("enr4_skills", _sql_multi(enrich.SKILL_RULES))
+@query("enr4_skills", sql_multi(SKILLS))
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", enrich.classify_multi(F.col("text"), enrich.SKILL_RULES).alias("skills"))
+    return table(spark, sf, "documents").select("doc_id", enrich.classify_multi(F.col("text"), SKILLS).alias("skills"))
 
 
 @query(

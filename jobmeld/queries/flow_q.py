@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F, types as T
 
+from jobmeld.operators.enrich import EDUCATION_DEFAULT, EDUCATION_RULES
 from jobmeld.plans import specs, steps
 from jobmeld.queries.base import AS_OF, LATER, query, store, table, when
+from jobmeld.queries.enrich_q import CATEGORIES, SKILLS, sql_case, sql_multi, sql_single
 from jobmeld.queries.identity_q import BOTH, _sql_cascade, texts
 from jobmeld.queries.lookalikes import (
     HELD_SQL,
@@ -217,16 +219,36 @@ def _(spark, sf):
     )
 
 
+# job ads with the documents as text, and companies whose descriptions name an industry or none
+_DEGREE_ASKED = "concat(CASE doc_id % 3 WHEN 0 THEN 'Tốt nghiệp THPT. ' WHEN 1 THEN 'Cấp 2. ' ELSE '' END, coalesce(text, ''))"
+_BUSINESS = """CASE CAST(corporate_number AS INT) % 4 WHEN 0 THEN 'Nhà máy gia công' WHEN 1 THEN 'Ngân hàng, bảo hiểm'
+  WHEN 2 THEN 'Xử lý nước' ELSE 'Khác' END"""
+
+
 @query(
     "pip5_enrich",
-    f"""WITH {_FEED_SRC}, {_STEP_FEED}, j AS ({_MEDIA_JOBS['topcv'].format(s='VARCHAR')})
-        SELECT job_id AS media_internal_id, CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS expertise, 'Đại học' AS edu
-        FROM j JOIN feed ON feed.company_id = j.job_company_id""",
+    f"""WITH {BOTH}, c AS ({sql_single(CATEGORIES)}), e AS ({sql_multi(SKILLS)}), d AS (SELECT doc_id, {_DEGREE_ASKED} AS text FROM documents)
+        SELECT CAST(doc_id AS VARCHAR) AS media_internal_id, label AS category, skills AS expertise,
+          {sql_case(EDUCATION_RULES, EDUCATION_DEFAULT)} AS edu,
+          CASE CAST(corporate_number AS INT) % 4 WHEN 0 THEN 'Sản xuất' WHEN 1 THEN 'Tài chính và ngân hàng'
+            WHEN 2 THEN 'Môi trường và bảo vệ thiên nhiên' END AS industry
+        FROM d JOIN c USING (doc_id) JOIN e USING (doc_id) JOIN master ON corporate_number = CAST(1 + doc_id % 100 AS VARCHAR)""",
 )
 def _(spark, sf):
-    s = _store_with_raw(spark, sf, "pip5")
-    steps.run_master(s, "topcv", when())
-    return steps.run_enrich(s).select("media_internal_id", "category", "expertise", "edu")
+    s = store(spark, "pip5")
+    companies = master_companies(spark, sf).selectExpr(
+        "corporate_number", "company_name", "province", "corporate_number AS timviec365_company_id", f"{_BUSINESS} AS description"
+    )
+    ads = table(spark, sf, "documents").selectExpr(
+        "CAST(doc_id AS STRING) AS job_id", "CAST(1 + doc_id % 100 AS STRING) AS job_company_id",
+        "text AS job_description", "array(text) AS industries", f"{_DEGREE_ASKED} AS requirements",
+    )
+    s.write(companies, "master/company")
+    s.write(ads, "raw/timviec365/recruit")
+    steps.upsert_jobs(s, "timviec365", when())
+    jobs = steps.run_enrich(s, CATEGORIES, SKILLS).select("media_internal_id", "category", "expertise", "edu", "corporate_number")
+    industry = s.read("master/company").select(F.col("corporate_number").alias("number"), F.col("category").alias("industry"))
+    return jobs.join(industry, F.col("corporate_number") == F.col("number")).drop("corporate_number", "number")
 
 
 # ---- streams ------------------------------------------------------------------------------------------
