@@ -75,8 +75,8 @@ def _job_columns(media: str) -> dict[str, Column]:
         return {
             "type": F.lit("job"),
             "job_id": urls.page_id(url),
-            "job_title": tag_text_within(html, "div", "job-desc", "h1"),
-            "job_company_name": tag_text(html, "a", "employer job-company-name"),
+            "job_title": tx.unescape(tag_text_within(html, "div", "job-desc", "h1")),
+            "job_company_name": tx.unescape(tag_text(html, "a", "employer job-company-name")),
             "job_company_url": employer,
             "job_benefits": blank(at("jobBenefits")),
             "job_industry": blank(at("industry")),
@@ -336,10 +336,14 @@ def api_companies(answers: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-def page_numbers(answers: DataFrame, body: str = "body") -> DataFrame:
-    """Pages still to fetch, 0 to the stated count inclusive, one row each; 1 when not stated (EXT7)."""
+def page_numbers(answers: DataFrame, body: str = "body", plausible: int = 100_000) -> DataFrame:
+    """Pages still to fetch, 0 to the stated count inclusive, one row each; 1 when not stated (EXT7).
+
+    An answer that states more than `plausible` pages is taken for broken: it keeps one row, with a null page.
+    """
     stated = F.coalesce(F.get_json_object(body, "$.meta.nbPages").try_cast("int"), F.lit(1))
-    return answers.select("*", F.explode(F.sequence(F.lit(0), F.greatest(stated, F.lit(0)))).alias("page"))
+    pages = F.when(stated <= plausible, F.sequence(F.lit(0), F.greatest(stated, F.lit(0))))
+    return answers.select("*", F.explode(F.coalesce(pages, F.array(F.lit(None).cast("int")))).alias("page"))
 
 
 # ---- markup -------------------------------------------------------------------------------------
@@ -357,8 +361,12 @@ def tag_text(html: Column, tag: str, css: str | None = None, attr: str = "class"
 
 
 def tag_text_within(html: Column, outer: str, css: str, tag: str) -> Column:
-    """Text of the first `tag` that follows the opening of an `outer` element (EXT9)."""
-    return F.nullif(F.regexp_extract(html, _open(outer, css) + rf".*?<{tag}(?=[\s>])[^>]*>([^<]*)", 1), F.lit(""))
+    """Text of the first `tag` between the opening of an `outer` element and the next closing tag of that kind (EXT9).
+
+    Null where there is none; nothing is taken from behind the element.
+    """
+    rest = F.regexp_extract(html, _open(outer, css) + "(.*)$", 1)
+    return tag_text(F.split(rest, rf"(?i)</{outer}(?=[\s>])", 2)[0], tag)
 
 
 def tag_attr(html: Column, tag: str, name: str, css: str | None = None, attr: str = "class") -> Column:
@@ -525,14 +533,13 @@ def page_companies(pages: DataFrame, media: str) -> DataFrame:
         read = element_texts(
             pages.select("url", "html"),
             [
-                Field("_about", "div", value="content", exact=True, inside="p"),
+                Field("_about", "div", value="content", exact=True, inside="p", direct=True),
                 Field("_facts", "span", value="company-subdetail-info-text", exact=True),
+                Field("_site", "div", value="company-subdetail-info website", inside="a", take="href"),
             ],
         )
-        name = tag_text(html, "h1", "company-detail-name text-highlight")
-        site = F.regexp_extract(
-            html, r'(?is)<div(?=[\s>])(?=[^>]*\sclass="[^"]*company-subdetail-info[^"]*website).*?<a(?=[\s>])[^>]*?\shref="([^"]*)"', 1
-        )
+        name = tx.unescape(tag_text(html, "h1", "company-detail-name text-highlight"))
+        site = F.coalesce(F.try_element_at("_site", F.lit(1)), F.lit(""))
         return read.select(
             url.alias("source_company_url"),
             urls.page_id(url).alias("company_id"),
@@ -544,9 +551,9 @@ def page_companies(pages: DataFrame, media: str) -> DataFrame:
             tx.headcount(F.col("_facts")).alias("company_size"),
         )
     if media == "jobsgo":
-        name = tx.remove_brackets(tag_text_within(html, "div", "company-name", "h1"))
-        globe = rf'(?is)<i(?=[\s>])(?=[^>]*\sclass="[^"]*pb-heroicons-globe-alt)[^>]*>.*?<a(?=[\s>])[^>]*?\shref="([^"]*)"'
-        return pages.select(
+        name = tx.remove_brackets(tx.unescape(tag_text_within(html, "div", "company-name", "h1")))
+        globe = Field("_globe", "li", holds="pb-heroicons-globe-alt", within="get-touch", inside="a", take="href")
+        return element_texts(pages.select("url", "html"), [globe]).select(
             tag_attr(html, "link", "href", "canonical", "rel").alias("source_company_url"),
             urls.last_segment(url).alias("company_id"),
             name.alias("company_name"),
@@ -556,12 +563,12 @@ def page_companies(pages: DataFrame, media: str) -> DataFrame:
                 tag_attr(html, "meta", "content", "og:description", "property"),
             ).alias("company_description"),
             icon_value(html, "pb-heroicons-map-pin").alias("company_address"),
-            F.nullif(F.regexp_extract(html, globe, 1), F.lit("")).alias("company_domain"),
+            F.try_element_at("_globe", F.lit(1)).alias("company_domain"),
             tag_text_within(html, "span", "company-category-list", "span").alias("company_industry"),
         )
     if media == "timviec365":
         labels = list(_DETAIL_LABELS.values())
-        name = tx.clean_text(tag_text_within(html, "a", "name_com", "h1"))
+        name = tx.clean_text(tx.unescape(tag_text_within(html, "a", "name_com", "h1")))
         return labelled_values(pages.select("url", "html"), labels).select(
             urls.last_segment(url).alias("company_id"),
             name.alias("company_name"),

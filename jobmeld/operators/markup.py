@@ -16,10 +16,12 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 class Field(NamedTuple):
     """Which text nodes of a page make up a value.
 
-    Elements named `tag` whose attribute `attr` contains `value` (or equals it, with `exact`).
-    Optional: only text below an `inside` element; only elements in which some text contains
-    `having` (below `having_in`, if given); only the first element that opens after the label
-    `after`, or after the element with the id `after_id`.
+    Elements named `tag` whose attribute `attr` contains each word of `value` (or equals it, with `exact`).
+    Optional: only text below an `inside` element, with `direct` only its own text and only where it is a
+    child; with `take`, that attribute of the `inside` elements instead of text; only elements in which
+    some text contains `having` (below `having_in`, if given), or that hold an element whose class contains
+    `holds`; only below an element whose class contains `within`; only the first element that opens after
+    the label `after`, or after the element with the id `after_id`.
     """
 
     name: str
@@ -32,19 +34,23 @@ class Field(NamedTuple):
     having_in: str | None = None
     after: str | None = None
     after_id: str | None = None
+    direct: bool = False
+    take: str | None = None
+    holds: str | None = None
+    within: str | None = None
 
     def matches(self, tag: str, attrs: dict) -> bool:
         if tag != self.tag:
             return False
         got = attrs.get(self.attr) or ""
-        return got == self.value if self.exact else self.value in got
+        return got == self.value if self.exact else all(w in got for w in self.value.split())
 
 
 class _Match:
     """An element being read: its depth, its text nodes, and whether the wanted text was met."""
 
     def __init__(self, field: Field, depth: int):
-        self.field, self.depth, self.texts, self.met = field, depth, [], field.having is None
+        self.field, self.depth, self.texts, self.met = field, depth, [], field.having is None and field.holds is None
 
 
 class _Reader(HTMLParser):
@@ -58,17 +64,23 @@ class _Reader(HTMLParser):
         if tag in VOID:
             return
         attrs = dict(attrs)
+        css = attrs.get("class") or ""
+        for m in self.active:
+            m.met = m.met or m.field.holds is not None and m.field.holds in css
+            if m.field.take and tag == m.field.inside and attrs.get(m.field.take):
+                m.texts.append(attrs[m.field.take])
         for f in self.fields:
-            if self.ready[f.name] and f.matches(tag, attrs):
+            placed = f.within is None or any(f.within in c for _, _, c in self.open)
+            if self.ready[f.name] and placed and f.matches(tag, attrs):
                 self.active.append(_Match(f, len(self.open)))
                 self.ready[f.name] = not (f.after or f.after_id)
-        self.open.append((tag, attrs.get("id")))
+        self.open.append((tag, attrs.get("id"), css))
 
     def handle_endtag(self, tag):
-        if not any(t == tag for t, _ in self.open):
+        if not any(t == tag for t, _, _ in self.open):
             return
         while True:
-            closed, ident = self.open.pop()
+            closed, ident, _ = self.open.pop()
             for f in self.fields:
                 if f.after_id and f.after_id == ident:
                     self.ready[f.name] = True
@@ -81,10 +93,12 @@ class _Reader(HTMLParser):
             if f.after and data.strip() == f.after:
                 self.ready[f.name] = True
         for m in self.active:
-            below = [t for t, _ in self.open[m.depth:]]
-            if not m.met and m.field.having in data and (m.field.having_in is None or below[-1] == m.field.having_in):
-                m.met = True
-            if data.strip() and (m.field.inside is None or m.field.inside in below):
+            below = [t for t, _, _ in self.open[m.depth:]]
+            if m.field.having is not None and m.field.having in data:
+                m.met = m.met or m.field.having_in is None or below[-1] == m.field.having_in
+            inner = below[1:]
+            wanted = inner == [m.field.inside] if m.field.direct else m.field.inside is None or m.field.inside in inner
+            if data.strip() and wanted and not m.field.take:
                 m.texts.append(data)
 
     def _finish(self, depth):

@@ -185,7 +185,7 @@ def _(spark, sf):
 
 @query(
     "ext9_markup_companies",
-    """SELECT CAST(c_custkey AS VARCHAR) AS company_id, concat('firm ', c_custkey) AS company_only_name, concat('about ', c_custkey, chr(10), 'end') AS company_description,
+    """SELECT CAST(c_custkey AS VARCHAR) AS company_id, concat('firm ', c_custkey) AS company_only_name, 'end' AS company_description,
          concat('street ', c_custkey % 97, ', X') AS company_address, concat('http://d', c_custkey, '.vn') AS company_domain, concat(c_nationkey, '-99') AS company_size FROM customer""",
 )
 def _(spark, sf):

@@ -164,7 +164,7 @@ def test_markup_companies(spark):
     units = spark.createDataFrame([("province", "Hà Nội", None, None)], "level string, name string, district string, province string")
     r = ex.extract_companies(pages(spark, top, url="https://x.vn/cong-ty/may/12.html"), "topcv", units).first().asDict()
     assert (r["company_id"], r["company_only_name"], r["company_domain"], r["company_size"]) == ("12", "mây", "https://may.vn", "25-99")
-    assert (r["company_description"], r["company_address"], r["province"], r["street"]) == ("a\nb", "1 Kim Mã, Hà Nội", "Hà Nội", "1 Kim Mã")
+    assert (r["company_description"], r["company_address"], r["province"], r["street"]) == ("b", "1 Kim Mã, Hà Nội", "Hà Nội", "1 Kim Mã")
 
     go = """<link rel="canonical" href="https://x.vn/c/9"><meta property="og:description" content="about">
       <div class="company-name"><h1>Công ty CP Gió (Gio JSC)</h1></div><span class="company-category-list"><a><span>CNTT</span></a></span>
@@ -177,3 +177,26 @@ def test_markup_companies(spark):
       <div class="element_detail"><span>Quy mô</span><p>10 người</p></div><div class="element_detail"><span>Trụ sở chính</span><p>1 Kim Mã</p></div>"""
     r = ex.extract_companies(pages(spark, tim, url="https://x.vn/may-3"), "timviec365").first().asDict()
     assert (r["company_id"], r["company_only_name"], r["company_scale"], r["company_address"], r["tax_code"]) == ("may-3", "mây", "10 người", "1 Kim Mã", "")
+
+
+def test_values_stay_in_their_element(spark):
+    """No site of its own, but links elsewhere on the page; entities; any quoting; classes in any order."""
+    foot = '<footer><a href="https://facebook.com/board">f</a></footer><h1>Related jobs</h1>'
+    go = """<div class='company-name'></div><div class="company-name"><h1>R&amp;D A &amp; B</h1></div><div class="get-touch">
+      <li><i class="pb-heroicons-globe-alt"></i>none</li><li><a href="https://x.vn/login">l</a></li></div>"""
+    r = ex.extract_companies(pages(spark, go + foot), "jobsgo").first().asDict()
+    assert (r["company_name"], r["company_domain"]) == ("R&D A & B", None)
+    r = ex.extract_companies(pages(spark, '<div class="company-name"></div>' + foot), "jobsgo").first().asDict()
+    assert r["company_name"] is None
+    own = "<div class='get-touch'><li><i class='pb-heroicons-globe-alt'></i><a href='http://a.vn/?x=1&amp;y'>a</a></li></div>"
+    assert ex.extract_companies(pages(spark, own + foot), "jobsgo").first()["company_domain"] == "http://a.vn/?x=1&y"
+    top = "<div class='website company-subdetail-info'>{}</div>" + foot
+    for inner, want in (("", ""), ("<a href=http://t.vn/>t</a>", "http://t.vn")):
+        assert ex.extract_companies(pages(spark, top.format(inner)), "topcv").first()["company_domain"] == want
+
+
+def test_implausible_page_counts_give_no_pages(spark):
+    rows = [(i, f'{{"meta":{{"nbPages":{n}}}}}') for i, n in enumerate([2, 2_000_000_000, 100_001, 0])]
+    got = ex.page_numbers(spark.createDataFrame(rows, "i int, body string")).collect()
+    pages_of = {i: [r["page"] for r in got if r["i"] == i] for i in range(4)}
+    assert pages_of == {0: [0, 1, 2], 1: [None], 2: [None], 3: [0]}
