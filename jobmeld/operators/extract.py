@@ -484,8 +484,8 @@ def page_jobs(pages: DataFrame, media: str) -> DataFrame:
             [
                 Field("_place", "div", "id", "job-location", exact=True),
                 Field("_desc", "div", after_id="job-description"),
-                Field("_gain", "div", value="job-benefit-item", inside="span"),
-                Field("_skill", "div", value="raw-content rich-text-content", exact=True),
+                Field("_gain", "div", value="job-benefit-item", inside="span", within_id="section-job-benefits"),
+                Field("_skill", "div", value="raw-content rich-text-content", exact=True, within_id="section-job-skills"),
                 Field("_class", "div", value="job-summary-item", inside="a", having="Ngành nghề", having_in="div"),
             ],
         )
@@ -606,12 +606,13 @@ def extract_companies(pages: DataFrame, media: str, units: DataFrame | None = No
 
 
 # ---- links --------------------------------------------------------------------------------------
-_HREF = r'(?is)<a(?=[\s>])[^>]*?\shref="([^"]*)"'
+# a value in double quotes, in single ones or in none
+_HREF = r"""(?is)<a(?=[\s>])[^>]*?\shref\s*=\s*["']?((?<=")[^"]*|(?<=')[^']*|[^"'\s>]+)"""
 
 
 def page_links(html: Column) -> Column:
-    """All link targets of a page in order."""
-    return F.regexp_extract_all(html, F.lit(_HREF), F.lit(1))
+    """All link targets of a page in order, ampersands decoded."""
+    return F.transform(F.regexp_extract_all(html, F.lit(_HREF), F.lit(1)), lambda h: F.replace(h, F.lit("&amp;"), F.lit("&")))
 
 
 def outgoing(pages: DataFrame, containing: str = "", *carried: Column) -> DataFrame:

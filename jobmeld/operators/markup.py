@@ -20,8 +20,8 @@ class Field(NamedTuple):
     Optional: only text below an `inside` element, with `direct` only its own text and only where it is a
     child; with `take`, that attribute of the `inside` elements instead of text; only elements in which
     some text contains `having` (below `having_in`, if given), or that hold an element whose class contains
-    `holds`; only below an element whose class contains `within`; only the first element that opens after
-    the label `after`, or after the element with the id `after_id`.
+    `holds`; only below an element whose class contains `within`, or with the id `within_id`; only the first
+    element that opens after the label `after`, or after the element with the id `after_id`.
     """
 
     name: str
@@ -38,6 +38,7 @@ class Field(NamedTuple):
     take: str | None = None
     holds: str | None = None
     within: str | None = None
+    within_id: str | None = None
 
     def matches(self, tag: str, attrs: dict) -> bool:
         if tag != self.tag:
@@ -71,6 +72,7 @@ class _Reader(HTMLParser):
                 m.texts.append(attrs[m.field.take])
         for f in self.fields:
             placed = f.within is None or any(f.within in c for _, _, c in self.open)
+            placed = placed and (f.within_id is None or any(f.within_id == i for _, i, _ in self.open))
             if self.ready[f.name] and placed and f.matches(tag, attrs):
                 self.active.append(_Match(f, len(self.open)))
                 self.ready[f.name] = not (f.after or f.after_id)

@@ -200,3 +200,16 @@ def test_implausible_page_counts_give_no_pages(spark):
     got = ex.page_numbers(spark.createDataFrame(rows, "i int, body string")).collect()
     pages_of = {i: [r["page"] for r in got if r["i"] == i] for i in range(4)}
     assert pages_of == {0: [0, 1, 2], 1: [None], 2: [None], 3: [0]}
+
+
+def test_links_in_any_quoting(spark):
+    html = """<a href='/x?a=1&amp;b=2'>1</a><a class=k href=/y>2</a><A HREF = "/z">3</A><a href="">4</a><a title="href='/no'">5</a>"""
+    assert pages(spark, html).select(ex.page_links(F.col("html")).alias("l")).first()["l"][:4] == ["/x?a=1&b=2", "/y", "/z", ""]
+
+
+def test_sections_of_one_class_stay_apart(spark):
+    box = '<div class="raw-content rich-text-content"><p>{}</p></div>'
+    html = f"""<div id="section-job-description">{box.format("about")}</div><div id="section-job-skills">{box.format("SQL")}</div>
+      <div class="job-benefit-item"><span>no</span></div><div id="section-job-benefits"><div class="job-benefit-item"><span>yes</span></div></div>"""
+    r = ex.extract_jobs(pages(spark, html, url="https://x.vn/tim-viec/dev/301"), "careerlink").first()
+    assert (r["job_skills"], r["job_benefits"]) == (["SQL"], "yes")
