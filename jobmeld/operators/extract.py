@@ -22,8 +22,8 @@ from jobmeld.operators.markup import Field, element_texts, labelled_values
 JOB_MARKER = "JobPosting"
 SERVICE_MARKER = "Professionalservice"
 
-_JSONLD = r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
-_STATE = r'(?is)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>'
+_JSONLD = r"""(?is)<script[^>]*\stype\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script>"""
+_STATE = r"""(?is)<script[^>]*\sid\s*=\s*["']?__NEXT_DATA__["']?[^>]*>(.*?)</script>"""
 
 
 # ---- structured blocks --------------------------------------------------------------------------
@@ -92,7 +92,7 @@ def _job_columns(media: str) -> dict[str, Column]:
             "job_exp_requirement": blank(at("experienceRequirements.monthsOfExperience")),
             "job_salary_currency": blank(at("baseSalary.value.currency")),
             "job_employment_type": F.coalesce(at("employmentType", "array<string>"), as_array(at("employmentType"))),
-            "job_skills": blank(at("skills")),
+            "job_skills": blank(text_at("skills")),
             "job_working_hours": blank(at("workHours")),
             "job_education_requirement": blank(at("educationRequirements.credentialCategory")),
             "job_street_address": blank(location("streetAddress")),

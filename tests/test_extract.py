@@ -213,3 +213,10 @@ def test_sections_of_one_class_stay_apart(spark):
       <div class="job-benefit-item"><span>no</span></div><div id="section-job-benefits"><div class="job-benefit-item"><span>yes</span></div></div>"""
     r = ex.extract_jobs(pages(spark, html, url="https://x.vn/tim-viec/dev/301"), "careerlink").first()
     assert (r["job_skills"], r["job_benefits"]) == (["SQL"], "yes")
+
+
+def test_blocks_in_any_quoting(spark):
+    block = '{"@type":"JobPosting","title":"Dev","skills":["a","b"]}'
+    html = "".join(f"<script class='x' type={t}>{block}</script>" for t in ("'application/ld+json'", "application/ld+json", '"application/ld+json" id="q"'))
+    assert ex.jsonld_blocks(pages(spark, html)).count() == 3
+    assert ex.job_postings(pages(spark, html), "careerviet").first()["job_skills"] == "a, b"
