@@ -140,10 +140,10 @@ def _job_columns(media: str) -> dict[str, Column]:
             "job_salary_currency": at("baseSalary.currency"),
             "job_posted_date": at("datePosted"),
             "job_valid_date": at("validThrough"),
-            "job_employment_type": at("employmentType"),
+            "job_employment_type": text_at("employmentType"),
             "job_level": at("occupationalCategory"),
             "job_experience_requirements": at("experienceRequirements.monthsOfExperience"),
-            "job_skills": at("skills"),
+            "job_skills": text_at("skills"),
             "job_total_openings": at("totalJobOpenings"),
             "job_benefits": tx.clean_html(blank(at("jobBenefits"))),
         }
@@ -153,7 +153,7 @@ def _job_columns(media: str) -> dict[str, Column]:
             "source_job_url": url,
             "job_title": blank(at("title")),
             "job_id": urls.page_id(url),
-            "job_employment_type": blank(at("employmentType")),
+            "job_employment_type": blank(text_at("employmentType")),
             "job_date_posted": blank(at("datePosted")),
             "job_valid_through": blank(at("validThrough")),
             "job_industry": blank(at("industry")),
