@@ -16,7 +16,7 @@ LEAST_SCORE = 0.5  # a language less probable than that is none
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules, and the strict ones where their source fails too often."""
+    """Documents that pass the base rules, and the strict ones unless their source fails less often than all for sure."""
     rejected = quality.judge(docs).filter(~F.col("kept"))
     return without(docs, rejected, "doc_id", "text", "source")
 

@@ -1,8 +1,8 @@
 """Quality rules per document, and a verdict on the hosts the documents come from.
 
-Each document's rule failures are counted; failures are summed by host, and each host's failure rate is
-shrunk towards all hosts by a beta prior fitted to their rates. Documents of a host whose rate is high for
-sure must also pass the stricter rules; elsewhere only the base rules reject.
+Each document's rule failures are counted; failures of any rule are summed by host, and each host's failure rate
+is shrunk towards all hosts by a beta prior fitted to their rates. The base rules reject everywhere; the stricter
+ones reject unless the document's host fails less often than the corpus for sure.
 """
 
 from __future__ import annotations
@@ -93,11 +93,12 @@ def strict_failed() -> Column:
 
 
 def shrunk_hosts(outcomes: DataFrame, z: float = 2.0) -> DataFrame:
-    """(host, n, failed, rate, sure_rate) from `outcomes` (host, failed boolean).
+    """(host, n, failed, rate, sure_rate, most_rate, mean_rate) from `outcomes` (host, failed boolean).
 
     The prior is the beta distribution with the mean of all rows and the spread of the hosts' rates beyond
     chance, by the method of moments; only its five sums reach the driver. `rate` is a host's posterior mean,
-    `sure_rate` lies `z` posterior standard deviations below. Rows without a host form one host of their own.
+    `sure_rate` and `most_rate` lie `z` posterior standard deviations below and above, and `mean_rate` is the mean
+    of all rows. Rows without a host form one host of their own.
     """
     hosts = outcomes.groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("failed").cast("long")).alias("failed")
@@ -109,8 +110,9 @@ def shrunk_hosts(outcomes: DataFrame, z: float = 2.0) -> DataFrame:
     a, b = beta_prior(rows or 0, bad or 0, squares or 0.0, n_hosts, spread or 0.0)
     up, down = F.col("failed") + a, F.col("n") - F.col("failed") + b
     rate = up / (up + down)
-    return hosts.withColumn("rate", rate).withColumn(
-        "sure_rate", rate - z * F.sqrt(rate * (1 - rate) / (up + down + 1))
+    off = z * F.sqrt(rate * (1 - rate) / (up + down + 1))
+    return hosts.withColumns(
+        {"rate": rate, "sure_rate": rate - off, "most_rate": rate + off, "mean_rate": F.lit(a / (a + b))}
     )
 
 
@@ -126,20 +128,47 @@ def beta_prior(rows: int, bad: int, squares: float, hosts: int, spread: float) -
     return mean * strength, (1 - mean) * strength
 
 
-def judge(docs: DataFrame, host: str = "source", bad_rate: float = 0.5) -> DataFrame:
-    """(doc_id, r1, r2, counts, base_failed, host_failed, kept), one row per input row.
+def judge(docs: DataFrame, host: str = "source") -> DataFrame:
+    """(doc_id, r1, r2, counts, base_failed, strict_failed, host_failed, host_trusted, kept), one row per input row.
 
-    `kept` is false for what fails the base rules, and for what fails a strict rule and comes from a host whose
-    `sure_rate` is above `bad_rate`. Texts are read once; counts go through the shared folder. A document
+    A host fails if its `sure_rate` of documents that fail any rule is above the rate of all documents, and is trusted
+    if its `most_rate` is below. `kept` is false for what fails the base rules, and for what fails a strict rule and
+    comes from a host that is not trusted. Texts are read once; counts go through the shared folder. A document
     without a host belongs to the host of all such. Hosts are joined back one row per host; a hot host's
     documents are split by adaptive execution.
     """
     found = stored(counts(docs, host), "quality")
+    hosts = shrunk_hosts(found.select("host", (base_failed() | strict_failed()).alias("failed")))
+    flagged = _flagged(
+        found, hosts, host_failed=F.col("sure_rate") > F.col("mean_rate"), host_trusted=F.col("most_rate") < F.col("mean_rate")
+    )
+    return flagged.select(
+        "doc_id", "r1", "r2", *COUNTS, base_failed().alias("base_failed"), strict_failed().alias("strict_failed"),
+        "host_failed", "host_trusted",
+        (~base_failed() & (F.col("host_trusted") | ~strict_failed())).alias("kept"),
+    )
+
+
+def judge_by_majority(docs: DataFrame, host: str = "source", bad_rate: float = 0.5) -> DataFrame:
+    """(doc_id, r1, r2, counts, base_failed, host_failed, kept) as the SQL of op7_quality_hosts defines them.
+
+    Only failures of the base rules count for a host, and the strict rules bind only where its `sure_rate` is above
+    `bad_rate`; a host that passes the base rules keeps whatever fails the strict ones.
+    """
+    found = stored(counts(docs, host), "quality")
     hosts = shrunk_hosts(found.select("host", base_failed().alias("failed")))
-    bad = hosts.filter(F.col("sure_rate") > bad_rate).select(detached(F.struct("host")).alias("bad_host"))
-    flagged = found.join(bad, F.struct(found["host"]) == F.col("bad_host"), "left")
-    flagged = flagged.withColumn("host_failed", F.col("bad_host").isNotNull())
+    flagged = _flagged(found, hosts, host_failed=F.col("sure_rate") > bad_rate)
     return flagged.select(
         "doc_id", "r1", "r2", *COUNTS, base_failed().alias("base_failed"), "host_failed",
         (~base_failed() & ~(F.col("host_failed") & strict_failed())).alias("kept"),
     )
+
+
+def _flagged(found: DataFrame, hosts: DataFrame, **flags: Column) -> DataFrame:
+    """`found` with each flag of its host; only hosts with a flag are joined."""
+    any_flag = F.greatest(*flags.values()) if len(flags) > 1 else next(iter(flags.values()))
+    marked = hosts.filter(any_flag).select(
+        detached(F.struct("host")).alias("of_host"), *[flag.alias(f"of_{name}") for name, flag in flags.items()]
+    )
+    joined = found.join(marked, F.struct(found["host"]) == F.col("of_host"), "left")
+    return joined.withColumns({name: F.coalesce(f"of_{name}", F.lit(False)) for name in flags})

@@ -119,7 +119,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
     """,
 )
 def _(spark, sf):
-    return quality.judge(table(spark, sf, "documents")).drop("r1", "r2")
+    return quality.judge_by_majority(table(spark, sf, "documents")).drop("r1", "r2")
 
 
 _TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

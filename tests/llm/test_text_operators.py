@@ -228,6 +228,24 @@ def test_quality_hosts(spark, docs):
     assert quality.judge(docs([])).collect() == []
 
 
+def test_quality_junk_of_ordinary_hosts(docs):
+    """No host fails the base rules; symbol and repeated-line junk goes, from a mixed host and from one of junk only."""
+    good = " ".join(f"word{i}" for i in range(60))
+    symbols = " ".join(f"w{i} #" for i in range(60))
+    lines = "\n".join(["the same line again"] * 4 + [good])
+    rows = [(100 * h + i, good, None, f"h{h}") for h in range(5) for i in range(36)]
+    rows += [(100 * h + 50 + i, (symbols, lines)[i % 2], None, f"h{h}") for h in range(5) for i in range(4)]
+    rows += [(900 + i, symbols, None, "junk") for i in range(40)]
+    got = {r.doc_id: r for r in quality.judge(docs(rows)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    clean = {i for i, text, *_ in rows if text == good}
+    assert all(got[i].kept for i in clean) and not any(got[900 + i].kept for i in range(40))
+    assert got[900].host_failed
+    rows = [(i, t, None, f"h{i % 5}") for i, t, *_ in rows if i < 900]
+    got = {r.doc_id: r for r in quality.judge(docs(rows)).collect()}
+    assert {i for i, r in got.items() if r.kept} == clean
+
+
 # language
 
 
