@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from jobmeld.llm import bpe, decontam, langid, quality, simhash
 from jobmeld.llm.common import stored, without
 
-LEAST_SCORE = 0.5  # a language less probable than that is none
+LEAST_SCORE = 0.5  # a language less probable or less fitting than that is none
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Language of a text: multinomial naive Bayes over hashed character n-grams."""
+"""Language of a text: multinomial naive Bayes over hashed character n-grams.
+
+The class's probability says which of the learnt languages is the nearest, and is 1 for any longer text. Whether a
+text is in that language at all is told by its mean log probability per n-gram, against the learnt texts'.
+"""
 
 from __future__ import annotations
 
@@ -9,12 +13,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobmeld.llm.common import chunks, row_keys
+from jobmeld.llm.common import chunks, row_keys, stored
 
 BITS = 15
 ORDERS = 3
 MAX_LANGS = 500  # the model has MAX_LANGS * 2**BITS numbers at most
 UNKNOWN = "und"
+LEAST_FIT = 8.0  # standard deviations below the learnt texts at which the score is halved
+_PRIOR_ROWS = 10  # so many texts with a variance of 1 are added to those of a language
 _LETTER = regex.compile(r"\p{L}")
 _FACTORS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
 
@@ -79,7 +85,15 @@ def learn(docs: DataFrame, text: Column, lang: Column) -> tuple[list[str], np.nd
 
 def classify(texts: list[bytes], langs: list[str], logs: np.ndarray) -> tuple[list[str], list[float]]:
     """Language and probability of each text, scored together as one sparse matrix."""
+    return fitted(texts, langs, logs)[:2]
+
+
+def fitted(
+    texts: list[bytes], langs: list[str], logs: np.ndarray
+) -> tuple[list[str], list[float], list[float], list[int]]:
+    """Language, probability, mean log probability per n-gram in that language, and n-grams of each text."""
     names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    fits, sizes = [0.0] * len(texts), [0] * len(texts)
     rows, at, n = [], [], []
     for i, t in enumerate(texts):
         text = t.decode()
@@ -91,12 +105,39 @@ def classify(texts: list[bytes], langs: list[str], logs: np.ndarray) -> tuple[li
     if rows:
         starts = np.cumsum([0, *map(len, at[:-1])])
         each = logs[np.concatenate(at) + 1] * np.concatenate(n)[:, None]
-        total = np.add.reduceat(each, starts, axis=0) + logs[0]
+        sums = np.add.reduceat(each, starts, axis=0)
+        total = sums + logs[0]
         best = total.argmax(1)
         share = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-        for i, k, p in zip(rows, best.tolist(), share.tolist()):
-            names[i], scores[i] = langs[k], p
-    return names, scores
+        grams = np.array([c.sum() for c in n])
+        fit = sums[np.arange(len(rows)), best] / grams
+        for i, k, p, f, g in zip(rows, best.tolist(), share.tolist(), fit.tolist(), grams.tolist()):
+            names[i], scores[i], fits[i], sizes[i] = langs[k], p, f, g
+    return names, scores, fits, sizes
+
+
+def spread(found: DataFrame) -> dict[str, tuple[float, float, float]]:
+    """Per language (mean, variance between texts, variance per n-gram) of the texts' mean log probabilities.
+
+    `found` has (lang, fit, grams) of learnt texts. A text of n n-grams varies by the second plus the third over n;
+    both follow from the squared distances, summed plainly and by n-grams. One row per language reaches the driver.
+    """
+    v, n = F.col("fit"), F.col("grams").cast("double")
+    sums = {"n": n, "x": 1 / n, "v": v, "vv": v * v, "nv": n * v, "nvv": n * v * v}
+    rows = found.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.sum(c.cast("decimal(28,9)")).cast("double").alias(k) for k, c in sums.items()],  # in any order the same
+    )
+    out = {}
+    for r in rows.collect():
+        mean = r.nv / r.n
+        plain = max(r.vv - 2 * mean * r.v + mean * mean * r.rows, 0.0)
+        weighted = max(r.nvv - mean * r.nv, 0.0)
+        room = r.n * r.x - r.rows**2
+        per_gram = max((plain * r.n - weighted * r.rows) / room, 0.0) if room > 1e-6 * r.rows**2 else 0.0
+        between = max((weighted - per_gram * r.rows) / r.n, 0.0)
+        out[r.lang] = (mean, (r.rows * between + _PRIOR_ROWS) / (r.rows + _PRIOR_ROWS), per_gram)
+    return out
 
 
 def held_out(doc_id: Column) -> Column:
@@ -108,8 +149,11 @@ def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, r1, r2, held_out, lang_pred, score) of every row of `docs` (doc_id, text, lang).
 
     Learns from rows that are not held out and have a text and a language; only the text enters a prediction.
+    `score` is the probability of the language among the learnt ones, times how well the text fits it: near 1 for
+    texts like the learnt ones, a half at `LEAST_FIT` standard deviations below them, 0 for other scripts or codes.
     `und` with score 0 where the text is null or has no letter, or nothing was learnt. Equal scores go to the
-    language that sorts first. Two passes over the texts, no shuffle of them; the matrix is broadcast.
+    language that sorts first. Two passes over the texts, no shuffle of them; the matrix is broadcast, the narrow
+    results are stored while the learnt texts' fits are summed.
     """
     spark = docs.sparkSession
     langs, logs = learn(docs.filter(~held_out(F.col("doc_id"))), F.col("text"), F.col("lang"))
@@ -118,19 +162,32 @@ def identify(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs_, logs_ = model.value
         for batch in batches:
-            for start, texts in chunks(batch.column(4), 1 << 20):
-                names, scores = classify(texts, langs_, logs_)
-                kept = [batch.column(i).slice(start, len(texts)) for i in range(4)]
+            for start, texts in chunks(batch.column(5), 1 << 20):
+                names, scores, fits, sizes = fitted(texts, langs_, logs_)
+                kept = [batch.column(i).slice(start, len(texts)) for i in range(5)]
+                found = [pa.array(names), pa.array(scores, pa.float64()), pa.array(fits, pa.float64()), pa.array(sizes, pa.int64())]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(names), pa.array(scores, pa.float64())],
-                    ["doc_id", "r1", "r2", "held_out", "lang_pred", "score"],
+                    [*kept, *found],
+                    ["doc_id", "r1", "r2", "held_out", "lang", "lang_pred", "share", "fit", "grams"],
                 )
 
     narrow = docs.select(
         "doc_id", *row_keys("doc_id", "text"),
-        held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("binary").alias("text"),
+        held_out(F.col("doc_id")).alias("held_out"), F.col("lang").cast("string").alias("lang"),
+        F.col("text").cast("binary").alias("text"),
     )
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(
-        run, f"doc_id {kind}, r1 bigint, r2 int, held_out boolean, lang_pred string, score double"
+    found = narrow.mapInArrow(
+        run,
+        f"doc_id {kind}, r1 bigint, r2 int, held_out boolean, lang string, lang_pred string, share double, fit double, grams bigint",
     )
+    found = stored(found, "languages")
+    usual = spread(found.filter("not held_out and lang = lang_pred and grams > 0"))
+    known = [x for k, v in sorted(usual.items()) for x in (F.lit(k), F.array(*map(F.lit, v)))]
+    of = F.create_map(*known)[F.col("lang_pred")] if known else F.lit(None).cast("array<double>")
+    below = (F.col("fit") - of[0]) / F.sqrt(of[1] + of[2] / F.col("grams"))
+    fits = F.when(F.col("grams") > 0, 1 / (1 + F.exp(-(below + LEAST_FIT))))
+    return found.select(
+        "doc_id", "r1", "r2", "held_out", "lang_pred",
+        F.when(F.col("grams") > 0, F.col("share") * F.coalesce(fits, F.lit(1.0))).otherwise(0.0).alias("score"),
+    )

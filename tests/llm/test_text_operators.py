@@ -13,6 +13,7 @@ import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from jobmeld.llm import bpe, langid, licenses, lmscore, quality, tokenfile
 
 SF = "/root/testdata/sf0.001"
@@ -288,6 +289,29 @@ def test_language_awkward(spark, docs, awkward):
     assert langid.identify(docs([])).collect() == []
 
 
+def test_language_rejects_what_was_not_learnt(spark):
+    real = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(2)
+    alphabets = {
+        "cyrillic": "абвгдежзийклмнопрстуфхцчшщ", "greek": "αβγδεζηθικλμνξοπρστ", "arabic": "ابتثجحخدذرزسشص",
+        "han": "的一是不了人我在有他这中大来上", "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+        "letters": "abcdefghijklmnopqrstuvwxyz",
+    }
+    junk = {
+        10**6 + i: " ".join("".join(rng.choices(a, k=60 if name == "base64" else rng.randint(3, 9))) for _ in range(80))
+        for i, (name, a) in enumerate(alphabets.items())
+    }
+    frame = real.union(spark.createDataFrame([(i, t, None) for i, t in junk.items()], real.schema))
+    found = langid.identify(frame)
+    assert found.drop("r1", "r2").columns == ["doc_id", "held_out", "lang_pred", "score"]
+    got = {r.doc_id: r.score for r in found.collect()}
+    assert all(got[i] < 0.5 for i in junk)
+    clean = [r.doc_id for r in real.filter("lang is not null and length(text) >= 200").collect()]
+    assert len(clean) > 500 and all(got[i] > 0.5 for i in clean)
+    left = {r.doc_id for r in corpus_pipeline.language_id(spark, frame, None).collect()}
+    assert left >= set(clean) and not left & set(junk)
+
+
 # language model
 
 
