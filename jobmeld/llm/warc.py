@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from jobmeld.functions.binding import detached
-from jobmeld.llm.common import stored
+from jobmeld.llm.common import row_keys, stored
 from jobmeld.session import scratch_path
 
 MARK = "WARC/1.1\r\n"
@@ -111,7 +111,7 @@ def _stretches(spark: SparkSession, path: str) -> DataFrame:
     http = F.octet_length(F.substring_index(F.col("body").cast("string"), _GAP, 1)) + 4
     payload = F.when(whole, F.expr(f"substring(body, octet_length(substring_index(cast(body as string), '{_GAP}', 1)) + 5)"))
     rows = raw.select(
-        "file", "split", "seq", "size", "type", is_head.alias("is_head"), whole.alias("whole"),
+        "file", "split", "seq", *row_keys("value"), "size", "type", is_head.alias("is_head"), whole.alias("whole"),
         (F.lit(len(MARK)) + ends + F.col("length") + 4).alias("step"),
         _header("WARC-Record-ID").alias("record_id"), _header("WARC-Refers-To").alias("refers_to"),
         _header("WARC-Payload-Digest").alias("declared"),
@@ -193,16 +193,26 @@ def _rejoined(spark: SparkSession, path: str, marks: DataFrame, records: DataFra
     )
     torn = records.filter("not whole").select("file", F.col("at").alias("owner"))
     keyed = records.select("file", "at", F.lit(True).alias("is_record"))
-    parts = marks.join(keyed, ["file", "at"], "left").select("file", "split", "seq", "at", owner.alias("owner"))
+    parts = marks.join(keyed, ["file", "at"], "left").select("file", "at", "r1", "r2", "size", owner.alias("owner"))
     parts = stored(parts.join(torn, ["file", "owner"]), "parts")
-    bodies = _raw(spark, path).join(parts, ["file", "split", "seq"])
+    # found again by content: splits and their order may differ between two scans
+    wanted = parts.select("file", "r1", "r2", "size").distinct()
+    again = _raw(spark, path).select("file", *row_keys("value"), F.octet_length("value").cast("long").alias("size"), "value")
+    key = ["file", "r1", "r2", "size"]
+    again = again.join(wanted, key, "left_semi").dropDuplicates(key)
+    again = again.select(*[detached(F.col(c)).alias(c) for c in key], "value")
+    bodies = parts.join(again, key, "left")
     bodies = bodies.select("file", "owner", "at", F.col("value").cast("binary").alias("value"))
 
     def glue(group: pa.Table) -> pa.Table:
         group = group.sort_by("at")
+        if group["value"].null_count:
+            raise ValueError(f"{group['file'][0]} has changed: a part of the record at {group['owner'][0]} is missing")
         whole = MARK.encode().join(group["value"].to_pylist())
         head, _, rest = whole.partition(b"\r\n\r\n")
         length = next(int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:"))
+        if len(rest) < length:
+            raise ValueError(f"{group['file'][0]}: the record at {group['owner'][0]} has {len(rest)} of {length} bytes")
         payload = rest[:length].partition(b"\r\n\r\n")[2]
         row = {"file": group["file"][0].as_py(), "at": group["owner"][0].as_py()}
         row |= {"payload_bytes": len(payload), "payload_sha1": hashlib.sha1(payload).hexdigest()}

@@ -241,6 +241,31 @@ def test_archives_in_splits(spark, tmp_path):
     assert got == brute_pages(PAGES * 3)
 
 
+def test_archives_in_other_splits_when_read_again(spark, tmp_path, monkeypatch):
+    """The second scan, for records torn by marks in their payload, packs the files otherwise than the first."""
+    frame = spark.createDataFrame(PAGES * 3, "page_id long, url string, html string")
+    warc.write(frame, str(tmp_path / "gz"))
+    os.makedirs(tmp_path / "plain")
+    for i, f in enumerate(glob.glob(str(tmp_path / "gz" / "*.gz"))):
+        (tmp_path / "plain" / f"{i}.warc").write_bytes(gzip.open(f).read())
+    conf = {"spark.sql.files.maxPartitionBytes": "1500", "spark.sql.files.openCostInBytes": "100"}
+    before, rejoined = {k: spark.conf.get(k) for k in conf}, warc._rejoined
+
+    def otherwise(*args):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2500")
+        return rejoined(*args)
+
+    monkeypatch.setattr(warc, "_rejoined", otherwise)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = Counter(tuple(r) for r in warc.read(spark, str(tmp_path / "plain")).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == brute_pages(PAGES * 3)
+
+
 # URLs
 
 
