@@ -1,25 +1,28 @@
 """Masked pseudo-likelihood of texts under a bidirectional window network.
 
 Every token is predicted from the two tokens on either side: their embeddings go through one hidden layer to a
-softmax over token classes, and the token's share of its class in the corpus completes its probability. A
+softmax over token classes, and the word's share of its class in the corpus completes its probability. A
 document's score is the sum of these conditional log-probabilities.
 
-Tokens are words hashed to a fixed number of buckets, so the model has a fixed size whatever the corpus. It is
+The network sees words hashed to a fixed number of buckets, so it has a fixed size whatever the corpus. It is
 trained on every token of the corpus: in each round every task trains on its share from the same start, and
-Spark averages the results, weighted by tokens.
+Spark averages the results, weighted by tokens. The shares come from exact counts of all words, in a table that
+grows with the corpus: its most frequent words are broadcast, the others joined to the documents that hold them.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from jobmeld.llm.common import chunks
+from jobmeld.functions.binding import detached
+from jobmeld.llm.common import chunks, row_keys, stored
 from jobmeld.session import written
 
 BUCKETS = 4096  # 0 stands outside a text
@@ -30,6 +33,9 @@ BATCH = 4096
 RATE = 0.15
 _SCALE = 1 << 10  # weighted changes are summed as integers, so that their order does not matter
 _CACHED = 500_000
+_COUNTED = 200_000  # words that a task counts before it hands them on
+_FREQUENT, _FREQUENT_BYTES = 1 << 16, 1 << 22  # words that are broadcast, at most
+_LOG_SCALE = 1 << 24  # logarithms of counts are summed as integers too
 
 
 class _Buckets(dict):
@@ -43,28 +49,119 @@ class _Buckets(dict):
 
 
 def tokens(docs: DataFrame) -> DataFrame:
-    """(doc_id, r1, ids): buckets of the lower-case words between white space, as little-endian 16-bit integers."""
+    """(doc_id, r1, r2, ids): buckets of the lower-case words between white space, as little-endian 16-bit integers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket = _Buckets()
         for batch in batches:
-            for start, texts in chunks(batch.column(2)):
+            for start, texts in chunks(batch.column(3)):
                 cut = [t.lower().split() for t in texts]
                 ids = [np.fromiter(map(bucket.__getitem__, w), "<u2", len(w)).tobytes() for w in cut]
-                kept = [batch.column(i).slice(start, len(ids)) for i in range(2)]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(ids, pa.binary())], ["doc_id", "r1", "ids"])
+                kept = [batch.column(i).slice(start, len(ids)) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(ids, pa.binary())], ["doc_id", "r1", "r2", "ids"])
 
-    narrow = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("r1"), F.col("text").cast("binary").alias("text"))
+    narrow = docs.select("doc_id", *row_keys("doc_id", "text"), F.col("text").cast("binary").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, r1 bigint, ids binary")
+    return narrow.mapInArrow(run, f"doc_id {kind}, r1 bigint, r2 int, ids binary")
+
+
+def vocabulary(docs: DataFrame) -> DataFrame:
+    """(word, n) of every lower-case word of all texts, counted exactly; a table."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, seen = Counter(), 0
+        for batch in batches:
+            for _, texts in chunks(batch.column(0)):
+                for t in texts:
+                    found.update(t.lower().split())
+                seen += sum(map(len, texts))
+                if len(found) > _COUNTED or seen > 1 << 26:
+                    yield _counted(found)
+                    found, seen = Counter(), 0
+        yield _counted(found)
+
+    def _counted(found: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "n"]
+        )
+
+    rows = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word binary, n bigint")
+    return stored(rows.groupBy("word").agg(F.sum("n").alias("n")), "lm-vocabulary")
+
+
+def frequent(words: DataFrame) -> tuple[int, dict[bytes, int]]:
+    """(least count, scaled log count by word) of the words that are broadcast: as many powers of two as have room."""
+    kinds = words.groupBy(F.length(F.bin("n")).alias("bits")).agg(
+        F.count(F.lit(1)).alias("words"), F.sum(F.octet_length("word")).alias("bytes")
+    )
+    least, n, size = 1 << 62, 0, 0
+    for r in sorted(kinds.collect(), key=lambda r: -r.bits):
+        n, size = n + r.words, size + r.bytes
+        if n > _FREQUENT or size > _FREQUENT_BYTES:
+            break
+        least = 1 << (r.bits - 1)
+    top = words.filter(F.col("n") >= least).toArrow()
+    logs = np.rint(np.log(top["n"].to_numpy()) * _LOG_SCALE).astype(np.int64).tolist()
+    return least, dict(zip(top["word"].to_pylist(), logs))
+
+
+def word_logs(docs: DataFrame) -> DataFrame:
+    """(r1, r2, n_words, logs): words of each key's rows, and the scaled sum of the logarithms of their counts.
+
+    Words too rare to be broadcast are shuffled with their documents' keys and meet their counts in a join; none of
+    them holds more than a small share of the corpus.
+    """
+    words = vocabulary(docs)
+    least, top = frequent(words)
+    known = docs.sparkSession.sparkContext.broadcast(top)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        logs = known.value
+        for batch in batches:
+            r1, r2 = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for start, texts in chunks(batch.column(2)):
+                at, word, n, value = [], [], [], []
+                for i, t in enumerate(texts, start):
+                    count = total = 0
+                    for w, c in Counter(t.lower().split()).items():
+                        if (log := logs.get(w)) is None:
+                            at.append(i)
+                            word.append(w)
+                            n.append(c)
+                            value.append(None)
+                        else:
+                            count += c
+                            total += c * log
+                    at.append(i)
+                    word.append(None)
+                    n.append(count)
+                    value.append(total)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([r1[i] for i in at], pa.int64()), pa.array([r2[i] for i in at], pa.int32()),
+                        pa.array(word, pa.binary()), pa.array(n, pa.int64()), pa.array(value, pa.int64()),
+                    ],
+                    ["r1", "r2", "word", "n", "logs"],
+                )
+
+    narrow = docs.select(*row_keys("doc_id", "text"), F.col("text").cast("binary").alias("text"))
+    found = stored(narrow.mapInArrow(run, "r1 bigint, r2 int, word binary, n bigint, logs bigint"), "lm-words")
+    rare = words.filter(F.col("n") < least).select(
+        F.col("word").alias("of"), F.round(F.log("n") * _LOG_SCALE).cast("long").alias("log")
+    )
+    met = found.filter("word is not null").join(rare, F.col("word") == F.col("of"))
+    rows = found.filter("word is null").select("r1", "r2", "n", "logs").union(
+        met.select("r1", "r2", "n", F.col("n") * F.col("log"))
+    )
+    return rows.groupBy("r1", "r2").agg(F.sum("n").alias("n_words"), F.sum("logs").alias("logs"))
 
 
 @dataclass
 class Model:
-    """Parameters in one flat vector, and the classes with each token's log share of its class."""
+    """Parameters in one flat vector, the classes with each token's log share of its class, and their tokens."""
 
     flat: np.ndarray
     class_of: np.ndarray
     log_share: np.ndarray
+    class_count: np.ndarray
 
     def parts(self) -> list[np.ndarray]:
         """Embeddings, hidden weights and bias, output weights and bias, as views."""
@@ -76,7 +173,7 @@ class Model:
 
 def new_model(counts: np.ndarray) -> Model:
     """Half of the classes hold one of the most frequent tokens each; the others share the rest by equal mass."""
-    counts = counts.astype(np.float64) + 1
+    exact, counts = counts, counts.astype(np.float64) + 1
     order = np.argsort(-counts, kind="stable")
     single = CLASSES // 2
     class_of = np.zeros(BUCKETS, np.int64)
@@ -86,7 +183,7 @@ def new_model(counts: np.ndarray) -> Model:
     class_of[rest] = single + np.minimum((mass * (CLASSES - single)).astype(np.int64), CLASSES - single - 1)
     totals = np.bincount(class_of, counts, CLASSES)
     size = BUCKETS * WIDTH + WIDTH * len(REACH) * HIDDEN + HIDDEN + HIDDEN * CLASSES + CLASSES
-    model = Model(np.zeros(size, np.float32), class_of, np.log(counts / totals[class_of]))
+    model = Model(np.zeros(size, np.float32), class_of, np.log(counts / totals[class_of]), np.bincount(class_of, exact, CLASSES))
     rng = np.random.default_rng(7)
     embed, hidden, _, out, bias = model.parts()
     embed[:] = rng.normal(0, 0.3, embed.shape)
@@ -188,7 +285,7 @@ def train(dealt: DataFrame) -> Model:
 
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = start.value
-            own = Model(base.flat.copy(), base.class_of, base.log_share)
+            own = replace(base, flat=base.flat.copy())
             state, seen = np.full(size, 1e-8, np.float32), 0
             for batch in batches:
                 for _, ids in chunks(batch.column(0), 1 << 20):
@@ -208,25 +305,36 @@ def score(docs: DataFrame) -> DataFrame:
 
     Learns from and scores all rows. A text without words, or null, has 0 tokens, 0.0 and a null mean. Token ids
     are shuffled once by row key, so that every round and task has a fair share of the corpus, and stored; a
-    source or a group of copies is spread over all tasks. The model has a fixed size and is broadcast.
+    source or a group of copies is spread over all tasks. The network has a fixed size and is broadcast; a word's
+    share is its exact count over that of its class.
     """
     spark = docs.sparkSession
     ids = tokens(docs).withColumn("round", F.pmod(F.shiftright("r1", 20), F.lit(ROUNDS)).cast("int"))
     dealt = written(ids.repartition("r1").sortWithinPartitions("r1"), "lm-tokens", "round")
-    model = spark.sparkContext.broadcast(train(dealt))
+    net = train(dealt)
+    # the words' own counts, the other half of the shares, are added below
+    net.log_share = -np.log(np.maximum(net.class_count, 1))[net.class_of]
+    model = spark.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, own in chunks(batch.column(1), 1 << 20):
+            for start, own in chunks(batch.column(3), 1 << 20):
                 n, total = score_texts(model.value, own)
-                mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-                kept = batch.column(0).slice(start, len(own))
+                kept = [batch.column(i).slice(start, len(own)) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(
-                    [kept, pa.array(n, pa.int64()), pa.array(total), mean],
-                    ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
+                    [*kept, pa.array(n, pa.int64()), pa.array(total)], ["doc_id", "r1", "r2", "n_tokens", "total"]
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return dealt.select("doc_id", "ids").mapInArrow(
-        run, f"doc_id {kind}, n_tokens bigint, log_likelihood double, mean_log_likelihood double"
+    scored = dealt.select("doc_id", "r1", "r2", "ids").mapInArrow(
+        run, f"doc_id {kind}, r1 bigint, r2 int, n_tokens bigint, total double"
     )
+    logs = word_logs(docs).select(detached(F.col("r1")).alias("k1"), F.col("r2").alias("k2"), "n_words", "logs")
+    scored = scored.join(logs, (F.col("r1") == F.col("k1")) & (F.col("r2") == F.col("k2")), "left")
+    # rows with the same key share one sum, of as many times their words
+    own = F.col("logs") / F.lit(float(_LOG_SCALE)) * F.col("n_tokens") / F.col("n_words")
+    total = F.when(F.col("n_tokens") > 0, F.col("total") + own).otherwise(0.0)
+    return scored.select(
+        "doc_id", "n_tokens", total.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"),
+    )

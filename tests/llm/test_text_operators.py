@@ -360,3 +360,18 @@ def test_scores_awkward_and_again(docs, awkward):
     empty = [r for r in first if not r[1]]
     assert len(empty) == 4 and all(r[2] == 0 and r[3] is None for r in empty)
     assert lmscore.score(docs([])).collect() == []
+
+
+@pytest.mark.parametrize("room", [1 << 16, 2, 0])
+def test_words_of_a_bucket_have_counts_of_their_own(docs, monkeypatch, room):
+    """Two words that share a bucket differ by their counts, whether those are broadcast or joined."""
+    monkeypatch.setattr(lmscore, "_FREQUENT", room)
+    bucket = lmscore._Buckets()
+    rare = next(w for i in range(10**6) if bucket[w := b"x%d" % i] == bucket[b"frequent"])
+    rows = [(i, "frequent words and more of these words") for i in range(40)] + [(40, "frequent"), (41, rare.decode()), (41, rare.decode())]
+    frame = docs([*rows, (42, None)])
+    counts = Counter(w for _, t in rows for w in t.split())
+    assert {bytes(r.word).decode(): r.n for r in lmscore.vocabulary(frame).collect()} == counts
+    got = {r.doc_id: r for r in lmscore.score(frame).collect()}
+    assert (got[41].n_tokens, got[42].n_tokens, got[42].log_likelihood) == (1, 0, 0.0)
+    assert got[40].log_likelihood - got[41].log_likelihood == pytest.approx(np.log(41 / 2), abs=1e-5)
