@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobmeld.llm import bpe, decontam, hosts, langid, licenses, lmscore, quality, simhash, tokenfile, warc
+from jobmeld.llm import bpe, decontam, hosts, langid, lexical, licenses, lmscore, quality, simhash, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -204,3 +204,30 @@ def _(spark, sf):
 def _(spark, sf):
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(bpe.encode_decode(table(spark, sf, "documents"), path))
+
+
+_RANKED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+@query(
+    "op11_lexical_search",
+    rf"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_RANKED}') AS ws FROM documents),
+    c AS (SELECT count(*)::BIGINT AS nn, sum(len(ws))::BIGINT AS ll FROM d WHERE len(ws) > 0),
+    t AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, w, count(*)::BIGINT AS tf
+          FROM (SELECT r, doc_id, len(ws)::BIGINT AS n, unnest(ws) AS w FROM d) GROUP BY r, w),
+    i AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all({_LOWER}, '{_RANKED}') AS ws FROM benchmark),
+    it AS (SELECT q, any_value(item_id) AS item_id, w, count(*)::BIGINT AS k
+           FROM (SELECT q, item_id, unnest(ws) AS w FROM i) GROUP BY q, w),
+    f AS (SELECT w, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+          FROM (SELECT w, count(*)::BIGINT AS df FROM t WHERE w IN (SELECT w FROM it) GROUP BY w), c),
+    s AS (SELECT q, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id,
+            sum(k * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))))::BIGINT AS score
+          FROM it JOIN f USING (w) JOIN t USING (w), c GROUP BY q, r)
+    SELECT item_id, rank::INT AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+    WHERE rank <= 20
+    """,
+)
+def _(spark, sf):
+    return lexical.rank(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
