@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobmeld.llm import bpe, decontam, hosts, langid, lexical, licenses, lmscore, quality, simhash, tokenfile, warc
+from jobmeld.functions.binding import bind
+from jobmeld.llm import bpe, decontam, hosts, langid, lexical, licenses, lmscore, periodic, quality, sharding, simhash, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -231,3 +232,93 @@ _RANKED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 )
 def _(spark, sf):
     return lexical.rank(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def _crc(codes: str) -> str:
+    """SQL: unsigned CRC-32 of a list of byte values."""
+    bit = "xor(c >> 1, 3988292384 * (c & 1))"
+    byte = f"list_reduce(list_prepend(xor(c, b), range(8)), lambda c, k: {bit})"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+def _digits(column: str) -> str:
+    return f"list_transform(string_split({column}::VARCHAR, ''), lambda x: ascii(x)::BIGINT)"
+
+
+def with_repeats(text: Column, doc_id: Column) -> Column:
+    """The text op12 looks at: for ids whose CRC-32 ends in 0, the words from some place on repeat there."""
+    crc = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(crc / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        place = F.sequence(F.lit(0).cast("bigint"), (n - 1).cast("bigint"))
+        again = F.transform(place, lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(again, " ")).otherwise(text)
+
+    words = F.regexp_extract_all(text, F.lit(f"({_WORD})"), F.lit(1))
+    return F.when((crc % 10 == 0) & text.isNotNull(), bind(words, repeated)).otherwise(text)
+
+
+@query(
+    "op12_periodic_runs",
+    rf"""
+    WITH h AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS o, {_crc(_digits("doc_id"))} AS h FROM documents),
+    g AS (SELECT *, h // 10 AS g, len(o)::BIGINT AS n FROM h),
+    a AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM g),
+    d AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+            o[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) ELSE o END AS ws FROM a),
+    w AS (SELECT doc_id, n, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS i FROM d),
+    e AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+    s AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM e),
+    r AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM s GROUP BY doc_id, q, island
+          HAVING count(*) + q >= greatest(6, 4 * q)),
+    m AS (SELECT doc_id, start, length, min(q) AS period FROM r GROUP BY doc_id, start, length),
+    best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS k FROM m) WHERE k = 1),
+    lines AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+              FROM m GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM m),
+    kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+      (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+      sha256(coalesce(text, '')) AS collapsed_sha256
+    FROM d LEFT JOIN best USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+)
+def _(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", with_repeats(F.col("text"), F.col("doc_id")).alias("text"))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    return periodic.find_runs(docs).select(
+        "doc_id", "n_runs", "start", "length", "period",
+        F.expr("1000 * length div period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")).cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    "op13_histogram_shards",
+    rf"""
+    WITH s AS (SELECT doc_id, (octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS size,
+            {_crc("list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)")} AS text_crc32
+          FROM documents),
+    c AS (SELECT *, sum(size) OVER (ORDER BY doc_id) - size AS before, sum(size) OVER () AS total,
+            row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM s),
+    ends AS (SELECT before, total, pos FROM c UNION ALL SELECT max(total), max(total), count(*) FROM c),
+    b AS (SELECT k, arg_min(pos, (abs(8 * before - k * total), before)) AS first
+          FROM ends, (SELECT unnest(range(1, 8)) AS k) GROUP BY k),
+    f AS (SELECT 0 AS k, 0 AS first UNION ALL SELECT k, first FROM b),
+    p AS (SELECT doc_id, size, text_crc32, pos, max(k) AS shard, max(first) AS first FROM c JOIN f ON first <= pos GROUP BY ALL)
+    SELECT doc_id, size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard::INT AS shard, (pos - first)::BIGINT AS slot,
+      NULL::INT AS grown_shard FROM p
+    """,
+)
+def _(spark, sf):
+    return sharding.shard(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", "size",
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
