@@ -1,7 +1,8 @@
 """The steps of a run, each a function over a table store.
 
 Tables: `raw/{media}/{company|recruit}`, `uuid/{media}`, `master/company`, `master/recruit/{media}`.
-Jobs are kept per source, so an upsert reads and rewrites one source's rows only.
+Jobs are kept per source, so an upsert reads and rewrites one source's rows only. Both master tables are
+kept in buckets of their key, so a merge reads and writes what its batch touches.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from jobmeld.sources.schema import conform, consolidate, empty_like
 from jobmeld.sources.store import SnapshotStore
 
 KEYS = {"company": "company_id", "recruit": "job_id"}
+# of the master tables, which are kept in buckets of them
+COMPANY_KEYS, JOB_KEYS = ["corporate_number"], ["media_internal_id"]
 
 
 def run_ingest(store: SnapshotStore, media: str, kind: str, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -118,22 +121,17 @@ def _feed(store: SnapshotStore, media: str, as_of: Column) -> DataFrame:
 
 def _merge_companies(store: SnapshotStore, feeds: Sequence[DataFrame], as_of: Column) -> DataFrame:
     batch = feeds[0] if len(feeds) == 1 else survivorship.fold(feeds)
-    if store.exists("master/company"):
-        dest = store.read("master/company")
-    else:
-        # start from every canonical column, so that matchers find their keys whichever source came first
-        dest = empty_like(store.spark, _scored_schema(as_of, store))
-    return store.write(survivorship.survive(dest, batch), "master/company")
+    # start from every canonical column, so that matchers find their keys whichever source came first
+    start = empty_like(store.spark, _scored_schema(as_of, store))
+    return store.merge("master/company", batch, COMPANY_KEYS, survivorship.survive, start)
 
 
 def upsert_jobs(store: SnapshotStore, media: str, as_of: Column) -> DataFrame:
     spec = SOURCES[media]
     feed = job_feed(store.read(f"raw/{media}/recruit"), store.read("master/company"), spec, as_of)
-    name = f"master/recruit/{media}"
-    dest = store.read(name) if store.exists(name) else empty_like(store.spark, feed.schema)
     # the table holds one source, so its media_code adds nothing to the key; without it, reducing the
     # batch and joining it share one shuffle
-    return store.write(upsert.upsert(dest, feed, ["media_internal_id"]), name)
+    return store.merge(f"master/recruit/{media}", feed, JOB_KEYS, lambda d, s: upsert.upsert(d, s, JOB_KEYS))
 
 
 def read_jobs(store: SnapshotStore) -> DataFrame:
@@ -170,11 +168,11 @@ def run_enrich(
     for m in SOURCES:
         name = f"master/recruit/{m}"
         if store.exists(name):
-            store.write(enrich_jobs(store.read(name), categories, skill_rules), name)
+            store.write_buckets(enrich_jobs(store.read(name), categories, skill_rules), name, JOB_KEYS)
     company = store.read("master/company")
     kept = [c for c in company.columns if c != "category"]
     industry = enrich.classify_single(F.col("description"), industries).alias("category")
-    store.write(company.select(*kept, industry), "master/company")
+    store.write_buckets(company.select(*kept, industry), "master/company", COMPANY_KEYS)
     return read_jobs(store)
 
 

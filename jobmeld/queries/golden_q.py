@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobmeld.operators import survivorship, upsert
-from jobmeld.queries.base import AS_OF, LATER, query, table, when
+from jobmeld.queries.base import AS_OF, LATER, query, store, table, when
 
 # ---- survivorship ---------------------------------------------------------------------------------
 _D = """dst AS (SELECT c_custkey AS corporate_number, c_name AS company_name,
@@ -67,7 +67,10 @@ def _src(spark, sf):
 
 
 def _survived(spark, sf):
-    merged = survivorship.survive(_dest(spark, sf), _src(spark, sf))
+    return _plain_times(survivorship.survive(_dest(spark, sf), _src(spark, sf)))
+
+
+def _plain_times(merged):
     return merged.select(
         "corporate_number", "company_name", "company_name_quality", "industry", "industry_quality", "province", "province_quality",
         F.col("updated_at").cast("string").alias("updated_at"), F.col("created_at").cast("string").alias("created_at"),
@@ -84,6 +87,14 @@ def _(spark, sf):
     return _survived(spark, sf).select("corporate_number", "industry", "created_at")
 
 
+@query("ups1_touched_buckets", _sql_survive())
+def _(spark, sf):
+    tables = store(spark, "golden")
+    tables.buckets = 256
+    tables.write_buckets(_dest(spark, sf), "master", ["corporate_number"])
+    return _plain_times(tables.merge("master", _src(spark, sf), ["corporate_number"], survivorship.survive))
+
+
 @query("ups2_quality", f"WITH {_S} SELECT corporate_number, company_name_quality, industry_quality, province_quality FROM src")
 def _(spark, sf):
     return _src(spark, sf).select("corporate_number", "company_name_quality", "industry_quality", "province_quality")
@@ -105,22 +116,36 @@ _ONE = """j1 AS (SELECT media_internal_id, media_code, max(title) AS title, max(
     max(skills) AS skills, min(created_at) AS created_at, max(updated_at) AS updated_at FROM js GROUP BY media_internal_id, media_code)"""
 
 
-@query(
-    "ups3_coalesce",
-    f"""WITH {_JOBS}, {_BATCH}, {_ONE} SELECT coalesce(s.media_internal_id, d.media_internal_id) AS media_internal_id,
+def _sql_upsert(where: str = "") -> str:
+    return f"""WITH {_JOBS}, {_BATCH.replace(" FROM lineitem", " FROM lineitem " + where)}, {_ONE}
+        SELECT coalesce(s.media_internal_id, d.media_internal_id) AS media_internal_id,
           coalesce(s.media_code, d.media_code) AS media_code, coalesce(s.title, d.title) AS title,
           coalesce(s.benefits, d.benefits) AS benefits, coalesce(d._ingest_id, s._ingest_id) AS _ingest_id, s.skills AS skills,
           coalesce(d.created_at, s.created_at) AS created_at, coalesce(s.updated_at, d.updated_at) AS updated_at
-        FROM jd d FULL JOIN j1 s ON d.media_internal_id = s.media_internal_id AND d.media_code = s.media_code""",
-)
-def _(spark, sf):
-    merged = upsert.upsert(_job_table(spark, sf), _job_batch(spark, sf))
+        FROM jd d FULL JOIN j1 s ON d.media_internal_id = s.media_internal_id AND d.media_code = s.media_code"""
+
+
+def _upserted(merged):
     return merged.select(
         "media_internal_id", "media_code", "title", "benefits", "_ingest_id", "skills",
         F.col("created_at").cast("string").alias("created_at"), F.col("updated_at").cast("string").alias("updated_at"),
     )
 
 
+@query("ups3_coalesce", _sql_upsert())
+def _(spark, sf):
+    return _upserted(upsert.upsert(_job_table(spark, sf), _job_batch(spark, sf)))
+
+
+# a batch of one supplier's lines, as a source sends a few jobs of a large table; all of the table is the result
+@query("ups3_touched_buckets", _sql_upsert("WHERE l_suppkey = 1"))
+def _(spark, sf):
+    tables, keys = store(spark, "jobs"), list(upsert.JOB_KEYS)
+    tables.buckets = 256
+    tables.write_buckets(_job_table(spark, sf), "jobs", keys)
+    return _upserted(tables.merge("jobs", _job_batch(spark, sf, "l_suppkey = 1"), keys, upsert.upsert))
+
+
 # titles and benefits of a line come as two records of one key, each without the other's value
 _HALVES = """h AS (SELECT media_internal_id, media_code, title, CAST(NULL AS {s}) AS benefits, nth FROM l
     UNION ALL SELECT media_internal_id, media_code, NULL, benefits, nth FROM l)"""
@@ -154,8 +179,8 @@ def _job_table(spark, sf):
     )
 
 
-def _job_batch(spark, sf):
-    return table(spark, sf, "lineitem").selectExpr(
+def _job_batch(spark, sf, where="true"):
+    return table(spark, sf, "lineitem").filter(where).selectExpr(
         "CAST(l_orderkey AS STRING) AS media_internal_id",
         "CASE WHEN l_linenumber <= 4 THEN 'topcv' ELSE 'vieclam24h' END AS media_code",
         "CASE WHEN l_partkey % 3 = 0 THEN NULL ELSE l_returnflag END AS title", "l_linestatus AS benefits",

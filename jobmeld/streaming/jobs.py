@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from jobmeld.operators.upsert import JOB_KEYS, fold, upsert
 from jobmeld.sources.jsonl import dated
-from jobmeld.sources.schema import empty_like
 from jobmeld.sources.store import SnapshotStore
 
 # the batch number as a column of the changes put aside
@@ -75,8 +74,8 @@ def upsert_stream(
     and among the values of one batch the largest is taken as the last.
 
     Each micro-batch is only written aside, to a folder of its number, so a batch that runs again
-    after a failure replaces itself. At the end all batches are folded and merged in one rewrite of
-    the table, whatever their number.
+    after a failure replaces itself. At the end all batches are folded and merged in one rewrite of the
+    table's buckets that they have keys of, whatever their number.
     """
     pending = f"{checkpoint.rstrip('/')}-changes"
 
@@ -108,8 +107,6 @@ def merge_pending(
     changes = store.spark.read.option("basePath", pending).parquet(*batches)
     # the order column stays a column of the table
     changes = changes.withColumn(SEQ, F.col(order) if order else F.col(SEQ).cast("bigint"))
-    src = fold(changes, SEQ, keys)
-    dest = store.read(table) if store.exists(table) else empty_like(store.spark, src.schema)
-    merged = store.write(upsert(dest, src, keys), table)
+    merged = store.merge(table, fold(changes, SEQ, keys), keys, lambda dest, src: upsert(dest, src, keys))
     store.drop_folders(batches)
     return merged
