@@ -21,7 +21,7 @@ from jobmeld.llm.common import LOWER, UPPER, stored
 
 TOP = 20
 LEAF = 32  # documents in a leaf at most
-ENTRIES = 3_000_000  # terms of documents in one trie, about
+ENTRIES = 1_000_000  # terms of documents in one trie, about
 BLOCK_BYTES = 1 << 22  # text of the items searched for together, or one item that holds more
 BLOCK_ITEMS = 2048
 _NO_ID = 1 << 63  # behind every id
