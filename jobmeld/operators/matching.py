@@ -70,10 +70,10 @@ def mutual_unique(pairs: DataFrame, left: str, right: str) -> DataFrame:
     )
 
 
-def _keyed(df: DataFrame, ident: str, out: str, matchers: Sequence[Matcher], columns: Mapping[str, str]) -> DataFrame:
-    """One narrow row per record and usable matcher: method code, key parts, id.
+def key_entries(df: DataFrame, matchers: Sequence[Matcher], columns: Mapping[str, str]) -> Column:
+    """A record's keys, one per usable matcher: method code and key parts.
 
-    Rows with a blank key part are left out, so blanks never match one another.
+    Keys with a blank part are left out, so blanks never match one another.
     """
     def entry(m: Matcher) -> Column:
         parts = [F.col(columns[k]).cast("string") for k in m.keys]
@@ -87,8 +87,12 @@ def _keyed(df: DataFrame, ident: str, out: str, matchers: Sequence[Matcher], col
     usable = [m for m in matchers if all(columns.get(k) in df.columns for k in m.keys)]
     if not usable:
         raise ValueError("no matcher has all its key columns")
-    entries = F.filter(F.array(*[entry(m) for m in usable]), lambda e: e.isNotNull())
-    return df.select(F.col(ident).cast("string").alias(out), F.inline(entries))
+    return F.filter(F.array(*[entry(m) for m in usable]), lambda e: e.isNotNull())
+
+
+def _keyed(df: DataFrame, ident: str, out: str, matchers: Sequence[Matcher], columns: Mapping[str, str]) -> DataFrame:
+    """One narrow row per record and key: method code, key parts, id."""
+    return df.select(F.col(ident).cast("string").alias(out), F.inline(key_entries(df, matchers, columns)))
 
 
 def candidates(

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from jobmeld.operators import dedupe, enrich, extract, identity, lookup, matching, survivorship, upsert
+from jobmeld.operators import dedupe, enrich, extract, identity, incremental, lookup, matching, survivorship, upsert
 from jobmeld.plans.specs import COMPANY_TYPES, IDENTITY_SCHEMA, JOB_SCHEMA, SOURCES, SourceSpec, fixed
 from jobmeld.sources.jsonl import CORRUPT, read_jsonl
 from jobmeld.sources.schema import conform, consolidate, empty_like
@@ -79,6 +79,26 @@ def run_identify(store: SnapshotStore, media: str, as_of: Column, conflict: str
     return store.write(conform(identity.cascade(held, pairs, conflict=conflict), IDENTITY_SCHEMA), name)
 
 
+def run_identify_changes(
+    store: SnapshotStore,
+    media: str,
+    as_of: Column,
+    raw: DataFrame | None = None,
+    master: DataFrame | None = None,
+    gone: DataFrame | None = None,
+    conflict: str = "parity",
+) -> DataFrame:
+    """Identification of what changed only (IDR9, PIP3): `raw` companies crawled since the last call, `master` rows that
+    were merged since, `gone` raw company ids. Returns the map over all companies so far, which is kept below
+    `identified/{media}` and does not depend on how they were divided into calls.
+    """
+    if raw is not None:
+        spec = SOURCES[media]
+        wanted = ["company_id", *matching.RAW_KEYS.values()]
+        raw = dedupe.one_per_id(fixed(raw, spec.fix_company, wanted).select(*wanted), "company_id")
+    return incremental.identify_changes(store, f"identified/{media}", as_of, raw, master, gone, conflict=conflict)
+
+
 def company_feed(raw: DataFrame, idmap: DataFrame | None, spec: SourceSpec, as_of: Column) -> DataFrame:
     """One source's companies, identified and scored, one row per corporate_number (UPS4)."""
     one = dedupe.keep_first(raw, ["company_id"])

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobmeld.operators import dedupe, identity, lookup, matching
-from jobmeld.queries.base import AS_OF, query, table, when
+from jobmeld.operators import dedupe, identity, incremental, lookup, matching
+from jobmeld.queries.base import AS_OF, LATER, query, store, table, when
 from jobmeld.queries.lookalikes import (
     CLAIM_SQL,
     HELD_SQL,
@@ -321,6 +321,23 @@ def _(spark, sf):
     return _cascade(spark, sf, "replace")
 
 
+# a first batch in which two of three master companies are missing or have another's name and address, and some raw
+# companies that will be gone; then what puts it right
+@query("idr9_incremental", f"WITH whole AS ({_sql_cascade('parity')}) SELECT company_id, corporate_number, identify_method FROM whole")
+def _(spark, sf):
+    tables, raw, master = store(spark, "incremental"), raw_companies(spark, sf), master_companies(spark, sf)
+    tables.buckets = 8
+    number = F.col("corporate_number").try_cast("int")
+    wrong = [F.concat(F.lit("other "), c).alias(c) for c in ("standard_name", "domain", "street")]
+    early = master.select("corporate_number", "ward", "province", *wrong).filter(number % 3 == 1)
+    early = early.unionByName(master.filter(number % 3 == 0).select(*early.columns))
+    extra = raw.withColumn("company_id", F.concat(F.lit("gone "), "company_id")).filter("company_id LIKE '%1'")
+    incremental.identify_changes(tables, "id", when(), raw.unionByName(extra), early)
+    late = master.filter(number % 3 != 0)
+    found = incremental.identify_changes(tables, "id", when(LATER), None, late, gone_raw=extra)
+    return found.select("company_id", "corporate_number", "identify_method")
+
+
 @query("idr10_better_only", f"WITH {HELD_SQL}, {CLAIM_SQL} {_BETTER}")
 def _(spark, sf):
     return identity.better_only(claims(spark, sf), held(spark, sf)).select("company_id", "corporate_number", "identify_method")

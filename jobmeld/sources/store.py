@@ -97,6 +97,15 @@ class SnapshotStore:
             return empty_like(self.spark, schema)
         return self.spark.read.format(self.fmt).schema(schema).load(list(folders))
 
+    def read_touched(self, name: str, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The buckets of the table in which keys of `batch` belong; reads the whole of a table that has none."""
+        folders = self.bucket_folders(name)
+        if not folders:
+            return self.read(name)
+        labels = batch.select(_bucket(keys, self._bucket_count(name)).alias(BUCKET)).distinct()
+        # at most one row per bucket
+        return self._load(name, [folders[r[0]] for r in labels.collect() if r[0] in folders])
+
     def _schema(self, name: str) -> T.StructType:
         schema = self.spark.read.format(self.fmt).load(self._layers(name)[0]).schema
         return T.StructType([f for f in schema.fields if f.name != BUCKET])
@@ -117,7 +126,7 @@ class SnapshotStore:
         writer.save(self._path(name, number))
         if partition_by and not self._has_data(name, number):
             # partitions of no rows leave no file, and so no schema to read back
-            return self.write(empty_like(self.spark, df.schema), name)
+            return self.write(empty_like(self.spark, T.StructType([f for f in df.schema.fields if f.name != BUCKET])), name)
         return self.read(name)
 
     def _has_data(self, name: str, number: int) -> bool:
