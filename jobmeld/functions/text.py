@@ -105,7 +105,11 @@ def headcount(arr: Column, unit: str = "nhân viên") -> Column:
 
 def months_text(json: Column, path: str, unknown: str = "Không rõ", unit: str = "tháng") -> Column:
     """Experience that is an object with months, a plain string, or absent (NRM14)."""
-    doc = F.try_parse_json(json)
+    return months_of(F.try_parse_json(json), path, unknown, unit)
+
+
+def months_of(doc: Column, path: str, unknown: str = "Không rõ", unit: str = "tháng") -> Column:
+    """`months_text` of a parsed document."""
     kind = F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
     months = F.try_variant_get(doc, f"{path}.monthsOfExperience", "string")
     usable = months.isNotNull() & ~months.isin("0", "", "0.0", "false")

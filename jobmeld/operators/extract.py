@@ -6,8 +6,8 @@ read by path; a path that is absent or of another shape gives null.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,7 +16,7 @@ from jobmeld.functions.address import split_address
 from jobmeld.functions.binding import bind, detached
 from jobmeld.functions.names import name_key
 from jobmeld.functions.numbers import as_array
-from jobmeld.operators.markup import Field, element_texts, labelled_values
+from jobmeld.operators.markup import El, Field, elements, labelled, only, read_fields, with_fields, without_label
 
 # What marks a block as a job or as a company profile
 JOB_MARKER = "JobPosting"
@@ -27,18 +27,22 @@ _STATE = r"""(?is)<script[^>]*\sid\s*=\s*["']?__NEXT_DATA__["']?[^>]*>(.*?)</scr
 
 
 # ---- structured blocks --------------------------------------------------------------------------
-def jsonld_blocks(pages: DataFrame, marker: str | None = JOB_MARKER) -> DataFrame:
+def jsonld_blocks(pages: DataFrame, marker: str | None = JOB_MARKER, fields: Mapping[str, Field] | None = None) -> DataFrame:
     """One row per JSON-LD block that contains `marker`, parsed into `doc` (EXT1, FLT7, NRM9).
 
-    Line breaks and tabs are removed first: sites put them inside strings, where JSON forbids them.
+    Line breaks and tabs are removed first: sites put them inside strings, where JSON forbids them. `fields`
+    of the page's markup come as columns beside.
     """
     blocks = F.regexp_extract_all("html", F.lit(_JSONLD), F.lit(1))
-    rows = pages.select("page_id", "url", "html", F.posexplode(blocks).alias("block_no", "raw"))
     if marker:
-        rows = rows.filter(F.col("raw").contains(marker))
-    return rows.select(
-        "page_id", "url", "html", "block_no", F.try_parse_json(tx.strip_controls(F.col("raw"))).alias("doc")
-    )
+        blocks = F.transform(blocks, lambda b: F.when(b.contains(marker), b))
+    beside = list(fields or {})
+    read = [read_fields(F.col("html"), fields).alias("_read")] if fields else []
+    rows = pages.select("page_id", "url", "html", *read, F.posexplode(blocks).alias("block_no", "raw"))
+    return rows.filter(F.col("raw").isNotNull()).select(
+        "page_id", "url", "html", "block_no", F.try_parse_json(tx.strip_controls(F.col("raw"))).alias("doc"),
+        *[F.col("_read")[f].alias(f) for f in beside],
+    )
 
 
 def at(path: str, dtype: str = "string", doc: str = "doc") -> Column:
@@ -68,15 +72,15 @@ def blank(col: Column) -> Column:
 
 def _job_columns(media: str) -> dict[str, Column]:
     """Where a source's job columns are found, in its JobPosting block or its page."""
-    url, html = F.col("url"), F.col("html")
+    url = F.col("url")
     org = "hiringOrganization"
     if media == "careerviet":
-        employer = tag_attr(html, "a", "href", "employer job-company-name")
+        employer = only(F.col("_employer_url"))
         return {
             "type": F.lit("job"),
             "job_id": urls.page_id(url),
-            "job_title": tx.unescape(tag_text_within(html, "div", "job-desc", "h1")),
-            "job_company_name": tx.unescape(tag_text(html, "a", "employer job-company-name")),
+            "job_title": only(F.col("_title")),
+            "job_company_name": only(F.col("_employer")),
             "job_company_url": employer,
             "job_benefits": blank(at("jobBenefits")),
             "job_industry": blank(at("industry")),
@@ -106,7 +110,7 @@ def _job_columns(media: str) -> dict[str, Column]:
             "posted_at": at("datePosted"),
             "end_at": at("validThrough"),
             "job_employment_type": text_at("employmentType"),
-            "job_exp_requirement": tx.months_text(F.to_json("doc"), "$.experienceRequirements"),
+            "job_exp_requirement": tx.months_of(F.col("doc"), "$.experienceRequirements"),
             "job_edu_requirement": at("educationRequirements.credentialCategory"),
             "job_min_salary": at("baseSalary.minValue"),
             "job_max_salary": at("baseSalary.maxValue"),
@@ -174,13 +178,24 @@ def _job_columns(media: str) -> dict[str, Column]:
     raise KeyError(media)
 
 
+_EMPLOYER = El("a", css="employer job-company-name")
+# what a source's job columns take from the markup beside the block
+_BESIDE_BLOCKS = {
+    "careerviet": {
+        "_title": Field(El("h1", within=El("div", css="job-desc")), "own"),
+        "_employer": Field(_EMPLOYER, "own"),
+        "_employer_url": Field(_EMPLOYER, "href"),
+    }
+}
+
+
 def _fields(columns: Mapping[str, Column]) -> list[Column]:
     return [c.alias(n) for n, c in columns.items()]
 
 
 def job_postings(pages: DataFrame, media: str) -> DataFrame:
     """Job rows from the JobPosting blocks of a source's pages (EXT2)."""
-    return jsonld_blocks(pages).select(*_fields(_job_columns(media)))
+    return jsonld_blocks(pages, fields=_BESIDE_BLOCKS.get(media)).select(*_fields(_job_columns(media)))
 
 
 def posting_companies(pages: DataFrame) -> DataFrame:
@@ -223,13 +238,14 @@ def service_companies(pages: DataFrame) -> DataFrame:
         "company_logo": "logo",
         "company_price_range": "priceRange",
     }
-    return jsonld_blocks(pages, SERVICE_MARKER).select(
+    place_mark = {"_address": Field(El("i", css="cli-map-pin-line d-flex mr-2"), "own")}
+    return jsonld_blocks(pages, SERVICE_MARKER, place_mark).select(
         urls.last_segment(F.col("url")).alias("company_id"),
         blank(name).alias("company_name"),
         F.when(name != "", name_key(name)).alias("company_only_name"),
         *[blank(at(p)).alias(c) for c, p in plain.items()],
         *[blank(at(f"location.address.{p}")).alias(c) for c, p in place.items()],
-        tag_text(F.col("html"), "i", "cli-map-pin-line d-flex mr-2").alias("company_address"),
+        only(F.col("_address")).alias("company_address"),
         F.coalesce(at("sameAs", "array<string>"), F.array().cast("array<string>")).alias("company_social_url"),
         at("open_hours").alias("company_open_hour"),
         tx.opening_hours(hours).alias("company_working_hours"),
@@ -237,12 +253,17 @@ def service_companies(pages: DataFrame) -> DataFrame:
 
 
 # ---- embedded state and API answers ---------------------------------------------------------------
-def app_state(pages: DataFrame) -> DataFrame:
-    """Pages with their embedded application state parsed into `doc`; pages without it fall out."""
+def app_state(pages: DataFrame, fields: Mapping[str, Field] | None = None) -> DataFrame:
+    """Pages with their embedded application state parsed into `doc`; pages without it fall out.
+
+    `fields` of the page's markup come as columns beside.
+    """
     raw = F.regexp_extract("html", _STATE, 1)
-    return pages.select("page_id", "url", "html", F.nullif(raw, F.lit("")).alias("raw")).filter(
-        "raw IS NOT NULL"
-    ).select("page_id", "url", "html", F.try_parse_json("raw").alias("doc"))
+    with_state = pages.select("page_id", "url", "html", F.nullif(raw, F.lit("")).alias("raw")).filter("raw IS NOT NULL")
+    read = [read_fields(F.col("html"), fields).alias("_read")] if fields else []
+    return with_state.select("page_id", "url", "html", F.try_parse_json("raw").alias("doc"), *read).select(
+        "page_id", "url", "html", "doc", *[F.col("_read")[f].alias(f) for f in fields or {}]
+    )
 
 
 def state_companies(pages: DataFrame) -> DataFrame:
@@ -257,12 +278,12 @@ def state_companies(pages: DataFrame) -> DataFrame:
         "company_tax_code": "tax_code",
     }
     name = blank(at(f"{base}.name"))
-    site = r'(?is)<div(?=[\s>])(?=[^>]*\sclass="truncate")[^>]*?\stitle="([^"]*https[^"]*)"'
-    return app_state(pages).select(
+    site = {"_site": Field(El("div", css="truncate", attr_part=("title", "https")), "title")}
+    return app_state(pages, site).select(
         blank(at(f"{base}.id")).alias("company_id"),
         F.col("url").alias("source_company_url"),
         name.alias("company_name"),
-        F.nullif(F.regexp_extract("html", site, 1), F.lit("")).alias("company_domain"),
+        only(F.col("_site")).alias("company_domain"),
         name_key(name).alias("company_only_name"),
         *[blank(at(f"{base}.{p}")).alias(c) for c, p in plain.items()],
     )
@@ -347,169 +368,174 @@ def page_numbers(answers: DataFrame, body: str = "body", plausible: int = 100_00
 
 
 # ---- markup -------------------------------------------------------------------------------------
-def _open(tag: str, css: str | None, attr: str = "class") -> str:
-    mark = "" if css is None else rf'(?=[^>]*\s{attr}="{re.escape(css)}")'
-    return rf"(?is)<{tag}(?=[\s>]){mark}[^>]*>"
+def _el(tag: str, css: str | None, attr: str) -> El:
+    if css is None:
+        return El(tag)
+    return El(tag, css=css) if attr == "class" else El(tag, attrs=((attr, css),))
 
 
 def tag_text(html: Column, tag: str, css: str | None = None, attr: str = "class") -> Column:
-    """First piece of text directly after the opening tag of the first such element (EXT9).
+    """First text of the first such element that is its own, not that of elements in it (EXT9).
 
-    Elements are picked by the whole value of an attribute. Null when there is none.
+    Elements are picked by class words, or by the whole value of another attribute. Null when there is none.
+    Each of these functions reads the page; `with_fields` reads it once for all its fields.
     """
-    return F.nullif(F.regexp_extract(html, _open(tag, css, attr) + r"([^<]*)", 1), F.lit(""))
+    return only(elements(html, _el(tag, css, attr), "own"))
 
 
 def tag_text_within(html: Column, outer: str, css: str, tag: str) -> Column:
-    """Text of the first `tag` between the opening of an `outer` element and the next closing tag of that kind (EXT9).
-
-    Null where there is none; nothing is taken from behind the element.
-    """
-    rest = F.regexp_extract(html, _open(outer, css) + "(.*)$", 1)
-    return tag_text(F.split(rest, rf"(?i)</{outer}(?=[\s>])", 2)[0], tag)
+    """First text of the first `tag` in an `outer` element of the class (EXT9)."""
+    return only(elements(html, El(tag, within=El(outer, css=css)), "own"))
 
 
 def tag_attr(html: Column, tag: str, name: str, css: str | None = None, attr: str = "class") -> Column:
-    """An attribute of the first such element (EXT9)."""
-    mark = "" if css is None else rf'(?=[^>]*\s{attr}="{re.escape(css)}")'
-    return F.nullif(F.regexp_extract(html, rf'(?is)<{tag}(?=[\s>]){mark}[^>]*?\s{name}="([^"]*)"', 1), F.lit(""))
+    """An attribute of the first such element that has it (EXT9)."""
+    return only(elements(html, _el(tag, css, attr), name))
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
     """Title, first heading, canonical link, description and language of each page (EXT9)."""
-    html = F.col("html")
-    return pages.select(
-        "page_id",
-        "url",
-        tx.unescape(tag_text(html, "title")).alias("title"),
-        tx.unescape(tag_text(html, "h1")).alias("heading"),
-        tag_attr(html, "link", "href", "canonical", "rel").alias("canonical"),
-        F.coalesce(
-            tag_attr(html, "meta", "content", "description", "name"),
-            tag_attr(html, "meta", "content", "og:description", "property"),
-        ).alias("description"),
-        tag_attr(html, "html", "lang").alias("lang"),
-    )
+    fields = {
+        "title": Field(El("title"), "own"),
+        "heading": Field(El("h1"), "own"),
+        "canonical": Field(El("link", attrs=(("rel", "canonical"),)), "href"),
+        "_plain": Field(El("meta", attrs=(("name", "description"),)), "content"),
+        "_social": Field(El("meta", attrs=(("property", "og:description"),)), "content"),
+        "lang": Field(El("html"), "lang"),
+    }
+    first = {f: only(F.col(f)) for f in fields}
+    return with_fields(pages, fields, "page_id", "url").select(
+        "page_id", "url", *[first[f].alias(f) for f in ("title", "heading", "canonical")],
+        F.coalesce(first["_plain"], first["_social"]).alias("description"), first["lang"].alias("lang"),
+    )
 
 
-def sibling_value(html: Column, label: str, label_tag: str = "p", value_tag: str = "span", exact: bool = True) -> Column:
-    """Text of the element that directly follows the one holding the label (EXT8)."""
-    around = r"\s*" if exact else "[^<]*"
-    return element_text(
-        F.regexp_extract(
-            html,
-            rf"(?is)<{label_tag}(?=[\s>])[^>]*>{around}{re.escape(label)}{around}</{label_tag}>\s*(<{value_tag}(?=[\s>]).*)$",
-            1,
-        ),
-        value_tag,
-    )
+def beside(label: str, label_tag: str = "p", value_tag: str = "span", exact: bool = True, css: str | None = None) -> El:
+    """The first `value_tag` behind an element that names the label: its text is the label, or its own text holds it."""
+    named = El(label_tag, css=css, text=label) if exact else El(label_tag, css=css, own_has=label)
+    return El(value_tag, after=named)
+
+
+def sibling_value(
+    html: Column, label: str, label_tag: str = "p", value_tag: str = "span", exact: bool = True, css: str | None = None
+) -> Column:
+    """Text of the first sibling behind the element with the label; name its class where others bear the label too (EXT8)."""
+    return _cleaned(elements(html, beside(label, label_tag, value_tag, exact, css)))
 
 
 def icon_value(html: Column, icon: str, tag: str = "span") -> Column:
-    """Text of the element that directly follows an icon (EXT9)."""
-    return element_text(
-        F.regexp_extract(html, rf'(?is)<i(?=[\s>])(?=[^>]*\sclass="[^"]*{re.escape(icon)})[^>]*>\s*</i>\s*(<{tag}(?=[\s>]).*)$', 1), tag
-    )
+    """Text of the first sibling behind an icon (EXT9)."""
+    return _cleaned(elements(html, El(tag, after=El("i", css_part=icon))))
 
 
 def element_text(html: Column, tag: str, css: str | None = None) -> Column:
-    """All text of the first such element, tags removed, white space collapsed; blank if none (EXT9).
+    """All text of the first such element, white space collapsed; blank if none (EXT9). The class has to contain `css`."""
+    return _cleaned(elements(html, El(tag, css_part=css)))
 
-    For elements that do not contain one of their own kind. The class has to contain `css`.
-    """
-    mark = "" if css is None else rf'(?=[^>]*\sclass="[^"]*{re.escape(css)})'
-    inner = F.regexp_extract(html, rf"(?is)<{tag}(?=[\s>]){mark}[^>]*>(.*?)</{tag}>", 1)
-    return tx.clean_text(tx.unescape(F.regexp_replace(inner, "<[^>]*>", "")))
 
-
-def tagged_texts(html: Column, outer: str, css: str, naming: str, tag: str, exact: str) -> Column:
-    """Texts of `tag` elements inside the `outer` elements that name something (EXT9)."""
-    blocks = F.regexp_extract_all(
-        html, F.lit(rf'(?is)<{outer}(?=[\s>])(?=[^>]*\sclass="[^"]*{re.escape(css)})[^>]*>(.*?)</{outer}>'), F.lit(1)
-    )
-    inner = rf'(?is)<{tag}(?=[\s>])(?=[^>]*\sclass="{re.escape(exact)}")[^>]*>([^<]*)'
-    return F.flatten(
-        F.transform(F.filter(blocks, lambda b: b.contains(naming)), lambda b: F.regexp_extract_all(b, F.lit(inner), F.lit(1)))
-    )
+def _cleaned(texts: Column) -> Column:
+    return tx.clean_text(only(texts))
 
 
-def attr_like(html: Column, tag: str, name: str, attr: str, part: str) -> Column:
-    """An attribute of the first element whose `attr` contains a text (EXT9)."""
-    return F.nullif(
-        F.regexp_extract(
-            html, rf'(?is)<{tag}(?=[\s>])(?=[^>]*\s{attr}="[^"]*{re.escape(part)})[^>]*?\s{name}="([^"]*)"', 1
-        ),
-        F.lit(""),
-    )
+# ---- records of sources without structured blocks --------------------------------------------------
+_TIMVIEC_LABELS = {
+    "job_employment_type": "Hình thức làm việc",
+    "probation": "Thời gian thử việc",
+    "degree": "Bằng cấp",
+    "gender": "Giới tính",
+    "age": "Độ tuổi",
+}
+_COM_NAME, _EMPLOYER_LINK = El("a", css_part="com_name"), El("a", attr_part=("href", "/viec-lam-cua/"))
+
+
+def _section(title: str) -> El:
+    return El("div", css_part="text_content", after=El("div", parent_of=El("h2", text=title)))
+
+
+def _tagged(naming: str) -> El:
+    return El("a", css="tag", within=El("p", css_part="index", has=naming))
+
+
+# Where a source's job pages and company pages hold what
+_JOB_FIELDS: dict[str, dict[str, Field]] = {
+    "timviec365": {
+        "_id": Field(El("h1", css_part="com_post"), "data-id"),
+        "_title": Field(El("h1", css_part="com_post")),
+        "_pay_range": Field(El("p", css_part="mluong_mbi")),
+        "_pay": Field(El("p", css_part="mluong")),
+        "_company": Field(El("p", css_part="com_name_text")),
+        "_company_url": Field(_COM_NAME, "href"),
+        "_industries": Field(_tagged("Ngành nghề"), "own"),
+        "_fields": Field(_tagged("Lĩnh vực"), "own"),
+        "_address": Field(El(css="diachi"), "texts"),
+        "_headcount": Field(beside("Số lượng cần tuyển", exact=False, css="item_if")),
+        "_desc": Field(_section("Mô tả công việc"), "texts"),
+        "_need": Field(El("div", css_part="ycau_tdung"), "texts"),
+        "_gain": Field(_section("Quyền lợi"), "texts"),
+        **{f"_{c}": Field(beside(label, css="item_if")) for c, label in _TIMVIEC_LABELS.items()},
+    },
+    "careerlink": {
+        "_title": Field(El("h1", ident="job-title"), "own"),
+        "_company": Field(_EMPLOYER_LINK, "title"),
+        "_company_url": Field(_EMPLOYER_LINK, "href"),
+        "_pay": Field(El("span", css="text-primary"), "own"),
+        "_place": Field(El("div", ident="job-location"), "texts"),
+        "_experience": Field(El("span", after=El("i", css_part="cli-suitcase-simple"))),
+        "_desc": Field(El("div", after=El("div", ident="job-description")), "texts"),
+        "_gain": Field(El("span", within=El("div", css_part="job-benefit-item", within=El(ident="section-job-benefits"))), "texts"),
+        "_skill": Field(El("div", css="raw-content rich-text-content", within=El(ident="section-job-skills")), "texts"),
+        "_class": Field(El("a", within=El("div", css_part="job-summary-item", holds=El("div", own_has="Ngành nghề"))), "texts"),
+        "_type": Field(beside("Loại công việc", "div", "div", exact=False)),
+        "_position": Field(beside("Cấp bậc", "div", "div", exact=False)),
+        "_education": Field(beside("Học vấn", "div", "div", exact=False)),
+    },
+}
 
 
-# ---- records of sources without structured blocks --------------------------------------------------
 def page_jobs(pages: DataFrame, media: str) -> DataFrame:
     """Job rows from the markup of detail pages (EXT8, EXT9)."""
-    html, url = F.col("html"), F.col("url")
+    read = with_fields(pages, _JOB_FIELDS[media], "url")
+    url, one = F.col("url"), {f: only(F.col(f)) for f in _JOB_FIELDS[media]}
+    clean = {f: tx.clean_text(c) for f, c in one.items()}
     if media == "timviec365":
-        read = element_texts(
-            pages.select("url", "html"),
-            [
-                Field("_desc", "div", value="text_content", after="Mô tả công việc"),
-                Field("_need", "div", value="ycau_tdung"),
-                Field("_gain", "div", value="text_content", after="Quyền lợi"),
-            ],
-        )
-        company_url = blank(attr_like(html, "a", "href", "class", "com_name"))
+        company_url = blank(one["_company_url"])
         return read.select(
-            tx.clean_text(attr_like(html, "h1", "data-id", "class", "com_post")).alias("job_id"),
-            element_text(html, "h1", "com_post").alias("job_title"),
-            tx.first_filled(element_text(html, "p", "mluong_mbi"), element_text(html, "p", "mluong")).alias("job_salary"),
-            element_text(html, "p", "com_name_text").alias("job_company_name"),
+            clean["_id"].alias("job_id"),
+            clean["_title"].alias("job_title"),
+            tx.first_filled(clean["_pay_range"], clean["_pay"]).alias("job_salary"),
+            clean["_company"].alias("job_company_name"),
             company_url.alias("job_company_url"),
             urls.last_segment(company_url).alias("job_company_id"),
-            tagged_texts(html, "p", "index", "Ngành nghề", "a", "tag").alias("industries"),
-            tagged_texts(html, "p", "index", "Lĩnh vực", "a", "tag").alias("fields"),
-            tx.clean_text(tag_text(html, r"\w+", "diachi")).alias("address"),
-            sibling_value(html, "Hình thức làm việc").alias("job_employment_type"),
-            sibling_value(html, "Số lượng cần tuyển", exact=False).alias("headcount"),
-            sibling_value(html, "Thời gian thử việc").alias("probation"),
-            sibling_value(html, "Bằng cấp").alias("degree"),
-            sibling_value(html, "Giới tính").alias("gender"),
-            sibling_value(html, "Độ tuổi").alias("age"),
+            F.col("_industries").alias("industries"),
+            F.col("_fields").alias("fields"),
+            clean["_address"].alias("address"),
+            clean["_job_employment_type"].alias("job_employment_type"),
+            clean["_headcount"].alias("headcount"),
+            *[clean[f"_{c}"].alias(c) for c in ("probation", "degree", "gender", "age")],
             F.array_join("_desc", "\n").alias("job_description"),
             F.array_join("_need", "\n").alias("requirements"),
             F.array_join("_gain", "\n").alias("benefits"),
             url.alias("source_url"),
         )
-    if media == "careerlink":
-        read = element_texts(
-            pages.select("url", "html"),
-            [
-                Field("_place", "div", "id", "job-location", exact=True),
-                Field("_desc", "div", after_id="job-description"),
-                Field("_gain", "div", value="job-benefit-item", inside="span", within_id="section-job-benefits"),
-                Field("_skill", "div", value="raw-content rich-text-content", exact=True, within_id="section-job-skills"),
-                Field("_class", "div", value="job-summary-item", inside="a", having="Ngành nghề", having_in="div"),
-            ],
-        )
-        company_url = attr_like(html, "a", "href", "href", "/viec-lam-cua/")
-        return read.select(
-            F.lit("job").alias("type"),
-            urls.last_segment(url).alias("job_id"),
-            url.alias("source_job_url"),
-            tag_text(html, "h1", "job-title", "id").alias("job_title"),
-            attr_like(html, "a", "title", "href", "/viec-lam-cua/").alias("job_company_name"),
-            company_url.alias("job_company_url"),
-            urls.last_segment(company_url).alias("job_company_id"),
-            tag_text(html, "span", "text-primary").alias("job_salary"),
-            tx.squeeze(F.array_join("_place", " ")).alias("job_location"),
-            icon_value(html, "cli-suitcase-simple").alias("job_experience_requirement"),
-            F.array_join("_desc", "\n").alias("job_description"),
-            F.array_join("_gain", " ").alias("job_benefits"),
-            tx.drop_tokens(F.col("_skill"), "*").alias("job_skills"),
-            sibling_value(html, "Loại công việc", "div", "div", exact=False).alias("job_employment_type"),
-            sibling_value(html, "Cấp bậc", "div", "div", exact=False).alias("job_position"),
-            sibling_value(html, "Học vấn", "div", "div", exact=False).alias("job_education_requirements"),
-            F.array_join("_class", ", ").alias("job_industry"),
-        )
-    raise KeyError(media)
+    return read.select(
+        F.lit("job").alias("type"),
+        urls.last_segment(url).alias("job_id"),
+        url.alias("source_job_url"),
+        one["_title"].alias("job_title"),
+        one["_company"].alias("job_company_name"),
+        one["_company_url"].alias("job_company_url"),
+        urls.last_segment(one["_company_url"]).alias("job_company_id"),
+        one["_pay"].alias("job_salary"),
+        tx.squeeze(F.array_join("_place", " ")).alias("job_location"),
+        clean["_experience"].alias("job_experience_requirement"),
+        F.array_join("_desc", "\n").alias("job_description"),
+        F.array_join("_gain", " ").alias("job_benefits"),
+        tx.drop_tokens(F.col("_skill"), "*").alias("job_skills"),
+        clean["_type"].alias("job_employment_type"),
+        clean["_position"].alias("job_position"),
+        clean["_education"].alias("job_education_requirements"),
+        F.array_join("_class", ", ").alias("job_industry"),
+    )
 
 
 # Detail labels of one source's company pages
@@ -526,57 +552,71 @@ _DETAIL_LABELS = {
 }
 
 
+def _contact(icon: str) -> El:
+    return El("li", parent_of=El("i", css_part=icon), within=El("div", css_part="get-touch"))
+
+
+_COMPANY_FIELDS: dict[str, dict[str, Field]] = {
+    "topcv": {
+        "_name": Field(El("h1", css="company-detail-name text-highlight"), "own"),
+        "_about": Field(El("p", child_of=El("div", css="content")), "own"),
+        "_address": Field(El("div", css="desc"), "own"),
+        "_facts": Field(El("span", css="company-subdetail-info-text"), "own"),
+        "_site": Field(El("a", within=El("div", css="company-subdetail-info website")), "href"),
+    },
+    "jobsgo": {
+        "_name": Field(El("h1", child_of=El("div", css="company-name")), "own"),
+        "_canonical": Field(El("link", attrs=(("rel", "canonical"),)), "href"),
+        "_plain": Field(El("meta", attrs=(("name", "description"),)), "content"),
+        "_social": Field(El("meta", attrs=(("property", "og:description"),)), "content"),
+        "_address": Field(El("span", child_of=_contact("pb-heroicons-map-pin"))),
+        "_site": Field(El("a", within=_contact("pb-heroicons-globe-alt")), "href"),
+        "_industry": Field(El("span", within=El("span", css="company-category-list")), "own"),
+    },
+    "timviec365": {
+        "_name": Field(El("h1", child_of=El("a", css="name_com")), "own"),
+        "_url": Field(El("a", css="name_com"), "href"),
+        **{f"_{c}": labelled(label) for c, label in _DETAIL_LABELS.items()},
+    },
+}
+
+
 def page_companies(pages: DataFrame, media: str) -> DataFrame:
     """Company rows from the markup of profile pages (EXT8, EXT9)."""
-    html, url = F.col("html"), F.col("url")
+    read = with_fields(pages, _COMPANY_FIELDS[media], "url")
+    url, one = F.col("url"), {f: only(F.col(f)) for f in _COMPANY_FIELDS[media]}
     if media == "topcv":
-        read = element_texts(
-            pages.select("url", "html"),
-            [
-                Field("_about", "div", value="content", exact=True, inside="p", direct=True),
-                Field("_facts", "span", value="company-subdetail-info-text", exact=True),
-                Field("_site", "div", value="company-subdetail-info website", inside="a", take="href"),
-            ],
-        )
-        name = tx.unescape(tag_text(html, "h1", "company-detail-name text-highlight"))
-        site = F.coalesce(F.try_element_at("_site", F.lit(1)), F.lit(""))
+        name = one["_name"]
         return read.select(
             url.alias("source_company_url"),
             urls.page_id(url).alias("company_id"),
             name.alias("company_name"),
             name_key(name).alias("company_only_name"),
             F.array_join("_about", "\n").alias("company_description"),
-            tx.clean_text(tag_text(html, "div", "desc")).alias("company_address"),
-            urls.strip_slashes(site).alias("company_domain"),
+            tx.clean_text(one["_address"]).alias("company_address"),
+            urls.strip_slashes(one["_site"]).alias("company_domain"),
             tx.headcount(F.col("_facts")).alias("company_size"),
         )
     if media == "jobsgo":
-        name = tx.remove_brackets(tx.unescape(tag_text_within(html, "div", "company-name", "h1")))
-        globe = Field("_globe", "li", holds="pb-heroicons-globe-alt", within="get-touch", inside="a", take="href")
-        return element_texts(pages.select("url", "html"), [globe]).select(
-            tag_attr(html, "link", "href", "canonical", "rel").alias("source_company_url"),
-            urls.last_segment(url).alias("company_id"),
-            name.alias("company_name"),
-            name_key(name).alias("company_only_name"),
-            F.coalesce(
-                tag_attr(html, "meta", "content", "description", "name"),
-                tag_attr(html, "meta", "content", "og:description", "property"),
-            ).alias("company_description"),
-            icon_value(html, "pb-heroicons-map-pin").alias("company_address"),
-            F.try_element_at("_globe", F.lit(1)).alias("company_domain"),
-            tag_text_within(html, "span", "company-category-list", "span").alias("company_industry"),
-        )
-    if media == "timviec365":
-        labels = list(_DETAIL_LABELS.values())
-        name = tx.clean_text(tx.unescape(tag_text_within(html, "a", "name_com", "h1")))
-        return labelled_values(pages.select("url", "html"), labels).select(
+        name = tx.remove_brackets(one["_name"])
+        return read.select(
+            one["_canonical"].alias("source_company_url"),
             urls.last_segment(url).alias("company_id"),
             name.alias("company_name"),
             name_key(name).alias("company_only_name"),
-            tx.clean_text(tag_attr(html, "a", "href", "name_com")).alias("company_url"),
-            *[F.col(label).alias(c) for c, label in _DETAIL_LABELS.items()],
+            F.coalesce(one["_plain"], one["_social"]).alias("company_description"),
+            tx.clean_text(one["_address"]).alias("company_address"),
+            one["_site"].alias("company_domain"),
+            one["_industry"].alias("company_industry"),
         )
-    raise KeyError(media)
+    name = tx.clean_text(one["_name"])
+    return read.select(
+        urls.last_segment(url).alias("company_id"),
+        name.alias("company_name"),
+        name_key(name).alias("company_only_name"),
+        tx.clean_text(one["_url"]).alias("company_url"),
+        *[without_label(F.col(f"_{c}"), label).alias(c) for c, label in _DETAIL_LABELS.items()],
+    )
 
 
 def extract_jobs(pages: DataFrame, media: str) -> DataFrame:
@@ -606,52 +646,108 @@ def extract_companies(pages: DataFrame, media: str, units: DataFrame | None = No
 
 
 # ---- links --------------------------------------------------------------------------------------
-# a value in double quotes, in single ones or in none
-_HREF = r"""(?is)<a(?=[\s>])[^>]*?\shref\s*=\s*["']?((?<=")[^"]*|(?<=')[^']*|[^"'\s>]+)"""
+_ANY_LINK = El("a")
+
+
+class Listing(NamedTuple):
+    """A source's list pages: which links lead on, how many of them at most, and the pager; `last` of the pager's links."""
+
+    links: El
+    pager: El | None = None
+    first: int | None = None
+    last: bool = False
+
+
+def _href(part: str, **more) -> El:
+    return El("a", attr_part=("href", part), **more)
+
+
+_NEXT_ITEM, _NEXT_STEP = El("a", child_of=El("li", css="next-page")), El("a", child_of=El("li", css="pagi_pre"))
+_NEXT_REL = El("a", attr_part=("rel", "next"))
+_ROUND = El("a", css="h-8 w-8 rounded-full bg-white border border-se-blue-10 flex justify-center items-center cursor-pointer")
+# the index of a source's categories, its lists of jobs or of companies
+# The elements of each source's pages
+LISTINGS: dict[tuple[str, str], Listing] = {
+    ("careerviet", "recruit"): Listing(El("a", css="job_link"), _NEXT_ITEM),
+    ("careerviet", "company"): Listing(El("a", css="job_link", within=El("div", css="caption")), _NEXT_ITEM),
+    ("jobsgo", "index"): Listing(_href("/viec-lam-")),
+    ("jobsgo", "recruit"): Listing(El(within=El("div", css="col-grid"))),
+    ("jobsgo", "company"): Listing(_href("/tuyen-dung/")),
+    ("timviec365", "index"): Listing(_href("/viec-lam-")),
+    ("timviec365", "recruit"): Listing(El("a", css="tag_th title_cate"), _NEXT_STEP),
+    ("timviec365", "company"): Listing(El(within=El("h2", css="box_mb box_new_left_mb")), _NEXT_STEP),
+    ("topcv", "index"): Listing(El("a", child_of=El("div", child_of=El("div", within=El("div", css="ctn-list-jobs", first=True))))),
+    ("topcv", "recruit"): Listing(_href("/viec-lam/", within=El("div", attrs=(("data-box", "BoxSearchResult"),)))),
+    ("topcv", "company"): Listing(El("a", css="company")),
+    ("vieclam24h", "recruit"): Listing(El("a", attrs=(("target", "_blank"),)), _ROUND, 30, True),
+    ("vieclam24h", "company"): Listing(_href("/danh-sach-tin-tuyen-dung"), first=1),
+    ("careerlink", "index"): Listing(El("a", within=El("div", css="jobs-quick-category"))),
+    ("careerlink", "recruit"): Listing(El("a", css="job-link clickable-outside"), _NEXT_REL),
+    ("careerlink", "company"): Listing(_href("/viec-lam-cua/"), _NEXT_REL),
+}
 
 
-def page_links(html: Column) -> Column:
-    """All link targets of a page in order, ampersands decoded."""
-    return F.transform(F.regexp_extract_all(html, F.lit(_HREF), F.lit(1)), lambda h: F.replace(h, F.lit("&amp;"), F.lit("&")))
+def page_links(html: Column, select: El = _ANY_LINK) -> Column:
+    """Targets of the links that a selector means, in page order; none out of scripts and comments."""
+    return elements(html, select, "href")
 
 
-def outgoing(pages: DataFrame, containing: str = "", *carried: Column) -> DataFrame:
-    """Distinct outgoing links per page, absolute, optionally only those containing a text (EXT10, DD4).
+def outgoing(pages: DataFrame, containing: str = "", *carried: Column, select: El = _ANY_LINK, first: int | None = None) -> DataFrame:
+    """Distinct outgoing links per page, absolute, of the elements `select` means, optionally only those containing
+    a text, and the first so many (EXT10, LIM2, DD4).
 
     `carried` columns of the page are repeated on each of its links.
     """
-    hrefs = page_links(F.col("html"))
+    hrefs = page_links(F.col("html"), select)
     if containing:
         hrefs = F.filter(hrefs, lambda h: h.contains(containing))
-    full = F.array_distinct(F.transform(hrefs, lambda h: urls.resolve(F.col("url"), h)))
-    return pages.select("page_id", "url", *carried, F.explode(full).alias("link"))
+    if first:
+        hrefs = F.slice(hrefs, 1, first)
+    read = pages.select("page_id", "url", *carried, hrefs.alias("_hrefs"))
+    full = F.array_distinct(F.transform("_hrefs", lambda h: urls.resolve(F.col("url"), h)))
+    return read.select(*[c for c in read.columns if c != "_hrefs"], F.explode(full).alias("link"))
 
 
-def first_links(html: Column, n: int = 30) -> Column:
-    """The first links of a page (LIM2)."""
-    return F.slice(page_links(html), 1, n)
+def listed(pages: DataFrame, media: str, kind: str) -> DataFrame:
+    """Where a source's list pages lead: page_id, url and link of each entry (EXT10, LIM2)."""
+    spec = LISTINGS[media, kind]
+    return outgoing(pages, select=spec.links, first=spec.first)
 
 
-def next_page(url: Column, html: Column) -> Column:
-    """Absolute address of the next list page: the rel=next link, else a pager's last link (EXT11, LIM3)."""
-    rel = tag_attr(html, "a", "href", "next", "rel")
-    listed = F.regexp_extract(html, r'(?is)<li(?=[\s>])[^>]*class="(?:next-page|pagi_pre)"[^>]*>\s*<a[^>]*?href="([^"]*)"', 1)
-    target = F.coalesce(rel, F.nullif(listed, F.lit("")))
+def first_links(html: Column, n: int = 30, select: El = _ANY_LINK) -> Column:
+    """The first links of a page, or of what a selector means (LIM2)."""
+    return F.slice(page_links(html, select), 1, n)
+
+
+def next_page(url: Column, html: Column, media: str | None = None, kind: str = "recruit") -> Column:
+    """Absolute address of the next list page, by the pager of a source, or by any known one: a rel=next link, an item
+    of a class for it, or the last of a row of page numbers (EXT11, LIM3). Null without one.
+    """
+    if media:
+        spec = LISTINGS[media, kind]
+        if spec.pager is None:
+            return F.lit(None).cast("string")
+        found = elements(html, spec.pager, "href")
+        target = F.try_element_at(found, F.lit(-1 if spec.last else 1))
+    else:
+        pagers = {"rel": _NEXT_REL, "item": _NEXT_ITEM, "step": _NEXT_STEP, "number": _ROUND}
+        read = read_fields(html, {n: Field(p, "href") for n, p in pagers.items()})
+        target = F.coalesce(*[only(read[n]) for n in ("rel", "item", "step")], F.try_element_at(read["number"], F.lit(-1)))
     return bind(target, lambda t: F.when(t.isNotNull(), urls.resolve(url, t)))
 
 
-def last_link(html: Column) -> Column:
-    """The last link of a page or pager (LIM3)."""
-    return F.try_element_at(page_links(html), F.lit(-1))
+def last_link(html: Column, select: El = _ANY_LINK) -> Column:
+    """The last link of a page, or of the pager that a selector means (LIM3)."""
+    return F.try_element_at(page_links(html, select), F.lit(-1))
 
 
-def with_parent_context(pages: DataFrame, context: Column, containing: str = "") -> DataFrame:
+def with_parent_context(pages: DataFrame, context: Column, containing: str = "", select: El = _ANY_LINK) -> DataFrame:
     """Child pages with a value of the page that links to them (EXT12).
 
     Links to pages not fetched keep their context with a null child; a page fetched several times is
     one child, the first by id.
     """
-    links = outgoing(pages, containing, context.alias("context")).select(
+    links = outgoing(pages, containing, context.alias("context"), select=select).select(
         F.col("page_id").alias("parent_id"), "link", "context"
     )
     child = (

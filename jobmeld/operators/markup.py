@@ -1,157 +1,311 @@
-"""Texts out of page markup that regular expressions can not delimit: elements that nest."""
+"""Values out of page markup: a page is read once into a flat element table, selectors are tests over it.
+
+Elements are numbered in the order they open, so those below an element are an interval of numbers, as are the
+texts below it. Script, style and comments hold no elements. Only the fields asked for leave the reader.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
+import html as entities
+import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
+from collections.abc import Mapping, Sequence
+from functools import lru_cache
+from itertools import accumulate
 from typing import NamedTuple
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 # elements without an end tag
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+# elements whose content is text up to their own end tag
+RAW = {"script", "style", "textarea", "title"}
+# an open element of the second kind ends where one of the first kind starts
+_BLOCKS = "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul"
+ENDS = {"li": {"li"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+ENDS |= {block: {"p"} for block in _BLOCKS.split()}
+
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""",
+    re.DOTALL,
+)
+_ATTR = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+
+
+@lru_cache
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.IGNORECASE)
+
+
+class El(NamedTuple):
+    """A selector: elements named `tag` (any, without one) for which everything that is given holds.
+
+    `css`: all these words are among its classes; `css_part`: its class text contains this; `ident`: its id; `attrs`: (name,
+    value) pairs, equal; `attr_part`: (name, text), contained; `text`: all its text, single-blanked, is this; `has`: its text
+    contains this; `own_has`: its own first text does. `holds`: one such element below it, `parent_of`: among its
+    children. `within`: below such an element, `child_of`: a child of one, `after`: the first such sibling
+    behind one. `first`: only the page's first one.
+    """
+
+    tag: str | None = None
+    css: str | None = None
+    css_part: str | None = None
+    ident: str | None = None
+    attrs: tuple[tuple[str, str], ...] = ()
+    attr_part: tuple[str, str] | None = None
+    text: str | None = None
+    has: str | None = None
+    own_has: str | None = None
+    holds: El | None = None
+    parent_of: El | None = None
+    within: El | None = None
+    child_of: El | None = None
+    after: El | None = None
+    first: bool = False
 
 
 class Field(NamedTuple):
-    """Which text nodes of a page make up a value.
-
-    Elements named `tag` whose attribute `attr` contains each word of `value` (or equals it, with `exact`).
-    Optional: only text below an `inside` element, with `direct` only its own text and only where it is a
-    child; with `take`, that attribute of the `inside` elements instead of text; only elements in which
-    some text contains `having` (below `having_in`, if given), or that hold an element whose class contains
-    `holds`; only below an element whose class contains `within`, or with the id `within_id`; only the first
-    element that opens after the label `after`, or after the element with the id `after_id`.
+    """What to take of the elements that a selector finds, in page order.
+
+    `take`: "text", all text of each; "own", its own texts, blank ones left out; "texts", all texts below each, blank ones left
+    out; else the name of an attribute, of those that have it.
     """
 
-    name: str
-    tag: str
-    attr: str = "class"
-    value: str = ""
-    exact: bool = False
-    inside: str | None = None
-    having: str | None = None
-    having_in: str | None = None
-    after: str | None = None
-    after_id: str | None = None
-    direct: bool = False
-    take: str | None = None
-    holds: str | None = None
-    within: str | None = None
-    within_id: str | None = None
-
-    def matches(self, tag: str, attrs: dict) -> bool:
-        if tag != self.tag:
-            return False
-        got = attrs.get(self.attr) or ""
-        return got == self.value if self.exact else all(w in got for w in self.value.split())
-
-
-class _Match:
-    """An element being read: its depth, its text nodes, and whether the wanted text was met."""
-
-    def __init__(self, field: Field, depth: int):
-        self.field, self.depth, self.texts, self.met = field, depth, [], field.having is None and field.holds is None
-
-
-class _Reader(HTMLParser):
-    def __init__(self, fields: Sequence[Field]):
-        super().__init__(convert_charrefs=True)
-        self.fields, self.open, self.active = fields, [], []
-        self.found = {f.name: [] for f in fields}
-        self.ready = {f.name: not (f.after or f.after_id) for f in fields}
-
-    def handle_starttag(self, tag, attrs):
-        if tag in VOID:
-            return
-        attrs = dict(attrs)
-        css = attrs.get("class") or ""
-        for m in self.active:
-            m.met = m.met or m.field.holds is not None and m.field.holds in css
-            if m.field.take and tag == m.field.inside and attrs.get(m.field.take):
-                m.texts.append(attrs[m.field.take])
-        for f in self.fields:
-            placed = f.within is None or any(f.within in c for _, _, c in self.open)
-            placed = placed and (f.within_id is None or any(f.within_id == i for _, i, _ in self.open))
-            if self.ready[f.name] and placed and f.matches(tag, attrs):
-                self.active.append(_Match(f, len(self.open)))
-                self.ready[f.name] = not (f.after or f.after_id)
-        self.open.append((tag, attrs.get("id"), css))
-
-    def handle_endtag(self, tag):
-        if not any(t == tag for t, _, _ in self.open):
-            return
-        while True:
-            closed, ident, _ = self.open.pop()
-            for f in self.fields:
-                if f.after_id and f.after_id == ident:
-                    self.ready[f.name] = True
-            if closed == tag:
+    select: El
+    take: str = "text"
+
+
+class Page:
+    """The element table of a page: per element its tag, attributes, parent, and where its elements and texts end."""
+
+    def __init__(self, html: str):
+        self.tags: list[str] = []
+        self.raw: list[str] = []
+        self.parent: list[int] = []
+        self.end: list[int] = []
+        self.text_start: list[int] = []
+        self.text_end: list[int] = []
+        self.texts: list[str] = []
+        self.owner: list[int] = []
+        self.by_tag: dict[str, list[int]] = {}
+        self._attrs: dict[int, dict[str, str]] = {}
+        self._found: dict[El, list[int]] = {}
+        self._sets: dict[tuple[El, bool], set[int]] = {}
+        self._covers: dict[El, tuple[list[int], list[int]]] = {}
+        self._read(html)
+
+    def _read(self, html: str) -> None:
+        open_, at, n = [-1], 0, len(html)
+        # how often a tag is open, and where the last token can start: no search runs to the end in vain
+        depth_of: Counter[str] = Counter()
+        search, last = _TOKEN.search, max(html.rfind(">"), html.rfind("<!--"))
+
+        def close(down_to: int) -> None:
+            while len(open_) > down_to:
+                element = open_.pop()
+                depth_of[self.tags[element]] -= 1
+                self.end[element], self.text_end[element] = len(self.tags), len(self.texts)
+
+        def text(upto: int) -> None:
+            if at < upto:
+                self.texts.append(html[at:upto])
+                self.owner.append(open_[-1])
+
+        while at < n:
+            token = search(html, at) if at <= last else None
+            if token is None:
+                text(n)
                 break
-        self._finish(len(self.open))
-
-    def handle_data(self, data):
-        for f in self.fields:
-            if f.after and data.strip() == f.after:
-                self.ready[f.name] = True
-        for m in self.active:
-            below = [t for t, _, _ in self.open[m.depth:]]
-            if m.field.having is not None and m.field.having in data:
-                m.met = m.met or m.field.having_in is None or below[-1] == m.field.having_in
-            inner = below[1:]
-            wanted = inner == [m.field.inside] if m.field.direct else m.field.inside is None or m.field.inside in inner
-            if data.strip() and wanted and not m.field.take:
-                m.texts.append(data)
-
-    def _finish(self, depth):
-        for m in [m for m in self.active if m.depth >= depth]:
-            self.active.remove(m)
-            if m.met:
-                self.found[m.field.name] += m.texts
-
-    def read(self, html):
-        self.feed(html or "")
-        self.close()
-        self._finish(0)
-        return self.found
-
-
-def element_texts(pages: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """The page table with one `array<string>` column of text nodes per field, blank ones left out.
-
-    One pass over each page reads all fields.
+            text(token.start())
+            at = token.end()
+            slash, tag, raw = token.group(1, 2, 3) if token.group(2) else token.group(4, 5, 6)
+            if not tag:
+                continue
+            tag = tag.lower()
+            if slash:
+                if depth_of[tag]:
+                    depth = len(open_) - 1
+                    while self.tags[open_[depth]] != tag:
+                        depth -= 1
+                    close(depth)
+                continue
+            ended = ENDS.get(tag)
+            while ended and len(open_) > 1 and self.tags[open_[-1]] in ended:
+                close(len(open_) - 1)
+            element = len(self.tags)
+            self.tags.append(tag)
+            self.raw.append(raw)
+            self.parent.append(open_[-1])
+            self.end.append(element + 1)
+            self.text_start.append(len(self.texts))
+            self.text_end.append(len(self.texts))
+            self.by_tag.setdefault(tag, []).append(element)
+            if tag in VOID:
+                continue
+            open_.append(element)
+            depth_of[tag] += 1
+            if tag in RAW:
+                stop = _end_of(tag).search(html, at)
+                if tag in ("textarea", "title"):
+                    text(stop.start())
+                at = stop.end()
+                close(len(open_) - 1)
+        close(1)
+
+    # ---- of an element -------------------------------------------------------------------------
+    def attrs(self, e: int) -> dict[str, str]:
+        found = self._attrs.get(e)
+        if found is None:
+            found = {}
+            for name, *values in _ATTR.findall(self.raw[e]):
+                found.setdefault(name.lower(), entities.unescape("".join(values)))
+            self._attrs[e] = found
+        return found
+
+    def text_of(self, e: int) -> str:
+        return entities.unescape("".join(self.texts[self.text_start[e] : self.text_end[e]]))
+
+    def own(self, e: int) -> list[str]:
+        return [self.texts[t] for t in range(self.text_start[e], self.text_end[e]) if self.owner[t] == e]
+
+    def _fits(self, e: int, el: El) -> bool:
+        if el.css is not None or el.css_part is not None or el.ident is not None or el.attrs or el.attr_part:
+            attrs = self.attrs(e)
+            css = attrs.get("class", "")
+            if el.css is not None and not set(el.css.split()) <= set(css.split()):
+                return False
+            if el.css_part is not None and el.css_part not in css:
+                return False
+            if el.ident is not None and attrs.get("id") != el.ident:
+                return False
+            if any(attrs.get(name) != value for name, value in el.attrs):
+                return False
+            if el.attr_part and el.attr_part[1] not in attrs.get(el.attr_part[0], ""):
+                return False
+        if el.text is not None and " ".join(self.text_of(e).split()) != el.text:
+            return False
+        if el.has is not None and el.has not in self.text_of(e):
+            return False
+        if el.own_has is not None and el.own_has not in entities.unescape((self.own(e) or [""])[0]):
+            return False
+        if el.holds:
+            below = self.find(el.holds)
+            at = bisect_right(below, e)
+            if at == len(below) or below[at] >= self.end[e]:
+                return False
+        if el.parent_of and e not in self._set(el.parent_of, parents=True):
+            return False
+        if el.within:
+            starts, ends = self._cover(el.within)
+            at = bisect_left(starts, e)
+            # the one that reaches furthest of those that start before
+            if not at or ends[at - 1] <= e:
+                return False
+        return el.child_of is None or self.parent[e] in self._set(el.child_of)
+
+    def _set(self, el: El, parents: bool = False) -> set[int]:
+        key = el, parents
+        if key not in self._sets:
+            self._sets[key] = {self.parent[e] if parents else e for e in self.find(el)}
+        return self._sets[key]
+
+    def _cover(self, el: El) -> tuple[list[int], list[int]]:
+        if el not in self._covers:
+            found = self.find(el)
+            self._covers[el] = found, list(accumulate((self.end[e] for e in found), max))
+        return self._covers[el]
+
+    # ---- of a page -----------------------------------------------------------------------------
+    def find(self, el: El) -> list[int]:
+        """The elements a selector means, in page order; each selector is looked for once."""
+        found = self._found.get(el)
+        if found is None:
+            if el.after:
+                found = sorted({x for e in self.find(el.after) for x in self._next(e, el)})
+            else:
+                among = range(len(self.tags)) if el.tag is None else self.by_tag.get(el.tag, ())
+                found = [e for e in among if self._fits(e, el)]
+            found = self._found[el] = found[:1] if el.first else found
+        return found
+
+    def _next(self, e: int, el: El) -> list[int]:
+        behind, above = self.end[e], self.parent[e]
+        last = self.end[above] if above >= 0 else len(self.tags)
+        while behind < last:
+            if el.tag in (None, self.tags[behind]) and self._fits(behind, el):
+                return [behind]
+            behind = self.end[behind]
+        return []
+
+    def take(self, field: Field) -> list[str]:
+        found = self.find(field.select)
+        if field.take == "text":
+            return [self.text_of(e) for e in found]
+        if field.take == "own":
+            return [entities.unescape(t) for e in found for t in self.own(e) if t.strip()]
+        if field.take == "texts":
+            # nested finds share their texts: each counts once
+            places = sorted({t for e in found for t in range(self.text_start[e], self.text_end[e])})
+            return [entities.unescape(self.texts[t]) for t in places if self.texts[t].strip()]
+        return [value for e in found if (value := self.attrs(e).get(field.take)) is not None]
+
+
+def read_fields(html: Column, fields: Mapping[str, Field]) -> Column:
+    """A struct with an `array<string>` per field, empty where nothing is found; one reading of the page for all (EXT8, EXT9).
+
+    A null page is an empty one.
     """
-    fields = list(fields)
-    schema = T.StructType(pages.schema.fields + [T.StructField(f.name, T.ArrayType(T.StringType())) for f in fields])
+    names, wanted = list(fields), list(fields.values())
+    kind = f"struct<{','.join(f'`{n}`:array<string>' for n in names)}>"
+
+    @F.arrow_udf(kind)
+    def read(pages: pa.Array) -> pa.Array:
+        columns: list[list] = [[] for _ in wanted]
+        for page in pages:
+            table = Page(page.as_py() or "")
+            for column, field in zip(columns, wanted):
+                column.append(table.take(field))
+        return pa.StructArray.from_arrays([pa.array(c, pa.list_(pa.string())) for c in columns], names)
+
+    return read(html)
+
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [_Reader(fields).read(html) for html in pdf["html"]]
-            for f in fields:
-                pdf[f.name] = pd.Series([r[f.name] for r in found], index=pdf.index, dtype=object)
-            yield pdf
+def elements(html: Column, select: El, take: str = "text") -> Column:
+    """One field of a page, as an array (EXT9)."""
+    return read_fields(html, {"found": Field(select, take)})["found"]
 
-    return pages.mapInPandas(run, schema)
 
+def with_fields(pages: DataFrame, fields: Mapping[str, Field], *kept: str) -> DataFrame:
+    """Columns `kept` of the page table and one column per field; the markup itself goes no further."""
+    read = pages.select(*kept, read_fields(F.col("html"), fields).alias("_read"))
+    return read.select(*kept, *[F.col("_read")[n].alias(n) for n in fields])
 
-def without_label(texts, label: str):
-    """Text nodes joined, each node that holds the label taken out, white space collapsed."""
+
+def only(texts: Column) -> Column:
+    """The first entry of a field, null without one."""
+    return F.try_element_at(texts, F.lit(1))
+
+
+def without_label(texts: Column, label: str) -> Column:
+    """Texts joined, each that holds the label taken out, white space collapsed."""
     named = F.filter(texts, lambda t: t.contains(label))
     rest = F.aggregate(named, F.array_join(texts, " "), lambda acc, t: F.replace(acc, t, F.lit("")))
     return F.trim(F.regexp_replace(rest, r"[\s\p{Z}]+", " "))
 
 
+def labelled(label: str, css: str = "element_detail") -> Field:
+    """The paragraph texts of the blocks of a class in which a span names the label."""
+    return Field(El("p", within=El("div", css=css, holds=El("span", own_has=label))), "texts")
+
+
 def labelled_values(pages: DataFrame, labels: Sequence[str], css: str = "element_detail") -> DataFrame:
     """Values next to labels, one column per label (EXT8).
 
     A value is the paragraph text of the `<div class=css>` blocks in which a `<span>` names the
-    label, without the nodes that hold the label itself; blank when the label is absent.
+    label, without the texts that hold the label itself; blank when the label is absent.
     """
-    fields = [
-        Field(f"_t{i}", "div", value=css, exact=True, inside="p", having=label, having_in="span")
-        for i, label in enumerate(labels)
-    ]
-    read = element_texts(pages, fields)
-    return read.select(
-        *pages.columns, *[without_label(F.col(f.name), label).alias(label) for f, label in zip(fields, labels)]
-    )
+    kept = [c for c in pages.columns if c != "html"]
+    read = with_fields(pages, {f"_t{i}": labelled(label, css) for i, label in enumerate(labels)}, *kept)
+    return read.select(*kept, *[without_label(F.col(f"_t{i}"), label).alias(label) for i, label in enumerate(labels)])

@@ -6,7 +6,17 @@ from pyspark.sql import functions as F
 
 from jobmeld.operators import extract as ex, markup
 from jobmeld.queries.base import query, table
-from jobmeld.queries.lookalikes import SITE, answers, job_pages, markup_pages, profile_pages
+from jobmeld.queries.lookalikes import (
+    SITE,
+    answers,
+    job_pages,
+    list_pages,
+    list_pages_sql,
+    markup_pages,
+    profile_pages,
+    trap_pages,
+)
+from jobmeld.sources.schema import consolidate
 
 _MIN = "CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR)"
 _MAX = "CAST(CAST(floor(o_totalprice) AS BIGINT) + 1000 AS VARCHAR)"
@@ -161,7 +171,7 @@ def _(spark, sf):
     """SELECT c_custkey AS page_id, concat(c_nationkey, '–99 người') AS "Quy mô", concat('e', c_custkey, '@x.vn') AS "Email", '' AS "Website" FROM customer""",
 )
 def _(spark, sf):
-    return markup.labelled_values(profile_pages(spark, sf), ["Quy mô", "Email", "Website"]).drop("url", "html")
+    return markup.labelled_values(profile_pages(spark, sf), ["Quy mô", "Email", "Website"]).drop("url")
 
 
 @query("ext8_sibling_value", "SELECT c_custkey AS page_id, concat('Đại học ', c_custkey % 7) AS degree FROM customer")
@@ -228,6 +238,46 @@ def _(spark, sf):
     return links.select("link").distinct()
 
 
+@query("ext10_by_class", list_pages_sql(False))
+def _(spark, sf):
+    pages, parts = list_pages(spark, sf), []
+    for media, kind in ex.LISTINGS:
+        mine = pages.filter(F.col("source") == f"{media} {kind}")
+        parts.append(ex.listed(mine, media, kind).select("page_id", F.lit(f"{media} {kind}").alias("source"), "link"))
+    return consolidate(parts)
+
+
+@query("ext11_pager", list_pages_sql(True))
+def _(spark, sf):
+    pages, parts = list_pages(spark, sf), []
+    for media, kind in ex.LISTINGS:
+        mine = pages.filter(F.col("source") == f"{media} {kind}")
+        parts.append(mine.select("page_id", "source", ex.next_page(F.col("url"), F.col("html"), media, kind).alias("link")))
+    return consolidate(parts)
+
+
+@query(
+    "ext8_traps",
+    """SELECT CAST(c_custkey AS VARCHAR) AS job_id, concat('A & B ', c_nationkey) AS job_title, concat('/cong-ty/', c_nationkey, '?a=1&b=2') AS job_company_url,
+         'R&D' AS job_company_name, concat('Nam ', c_custkey % 3) AS gender, 'Đại học' AS degree, '' AS age FROM customer""",
+)
+def _(spark, sf):
+    return ex.extract_jobs(trap_pages(spark, sf), "timviec365").select(
+        "job_id", "job_title", "job_company_url", "job_company_name", "gender", "degree", "age"
+    )
+
+
+@query(
+    "ext9_traps",
+    """SELECT CAST(c_custkey AS VARCHAR) AS job_id, concat(' C &amp; D ', c_custkey) AS job_title, concat('Firm "', c_custkey, '"') AS job_company_name,
+         CAST(c_custkey AS VARCHAR) AS job_company_id, 'Trưởng & phó' AS job_position FROM customer""",
+)
+def _(spark, sf):
+    return ex.extract_jobs(trap_pages(spark, sf), "careerlink").select(
+        "job_id", "job_title", "job_company_name", "job_company_id", "job_position"
+    )
+
+
 @query("lim2_first_links", """SELECT page_id, len(list_slice(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1, 4)) AS n,
   array_to_string(list_slice(regexp_extract_all(html, '<a href="([^"]*)"', 1), 1, 4), ' ') AS links FROM pages""")
 def _(spark, sf):

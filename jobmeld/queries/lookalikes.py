@@ -224,3 +224,64 @@ def markup_pages(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").selectExpr(
         "c_custkey AS page_id", "concat('https://x.vn/p/', c_custkey, '.html') AS url", f"{html} AS html"
     )
+
+
+# one list page per customer, of one of these sources: entries, pager, links that are meant, next page
+_TAIL = "<!-- <a class=\"job_link company\" rel=\"next\" target=\"_blank\" href=\"/comment\">c</a> --><script>var a = '<a class=\"job_link company\" target=\"_blank\" href=\"/viec-lam/script\">';</script>"
+_ROUND = "h-8 w-8 rounded-full bg-white border border-se-blue-10 flex justify-center items-center cursor-pointer"
+LISTS = [
+    ("careerviet", "recruit", "<a class='job_link big' href='/j/{c}?a=1&amp;b=2'>x</a><a href='/menu'>m</a>", '<li class="page-item next-page"><a href="?page=2&#38;c={c}">2</a></li>', ["/j/{c}?a=1&b=2"], "?page=2&c={c}"),
+    ("careerviet", "company", '<div class="caption"><a class="company-name">n</a><a href="/e/{c}" class=job_link>x</a></div><a class="job_link" href="/other">o</a>', "", ["/e/{c}"], None),
+    ("jobsgo", "index", '<a href="/viec-lam-{c}.html">x</a><a href="/cong-ty">y</a>', "", ["/viec-lam-{c}.html"], None),
+    ("jobsgo", "recruit", '<a href="/no">n</a><div class="col-grid x"><div><a href="/j/{c}">x</a><a href="/j/{c}">x</a></div></div><a href="/after">a</a>', "", ["/j/{c}"], None),
+    ("jobsgo", "company", "<p><a href='/tuyen-dung/{c}'>x</a><p><a href='/blog'>b</a>", "", ["/tuyen-dung/{c}"], None),
+    ("timviec365", "recruit", '<a class="title_cate tag_th" href=/j/{c}>x</a><a class="tag_th" href="/tag">t</a>', "<ul><li><a href='/p/1'>1</a><li class='pagi_pre on'><a href='/p/{c}'>next</a></ul>", ["/j/{c}"], "/p/{c}"),
+    ("timviec365", "company", '<h2 class="box_mb box_new_left_mb"><a href="/c/{c}">x</a></h2><h2 class="box_mb"><a href="/d">d</a></h2>', "", ["/c/{c}"], None),
+    ("topcv", "index", '<div class="ctn-list-jobs"><div><div><a href="/i/{c}">x</a></div></div><a href="/direct">d</a></div><div class="ctn-list-jobs"><div><div><a href="/second">x</a></div></div></div>', "", ["/i/{c}"], None),
+    ("topcv", "recruit", '<a href="/viec-lam/menu">m</a><div data-box="BoxSearchResult"><a href="/viec-lam/{c}">x</a><a href="/cong-ty/{c}">y</a></div>', "", ["/viec-lam/{c}"], None),
+    ("topcv", "company", '<a class="company" href="/cong-ty/{c}">x</a><a class="company" href="/cong-ty/{c}">again</a><a class="companies" href="/all">y</a>', "", ["/cong-ty/{c}"], None),
+    ("vieclam24h", "recruit", "".join(f'<a target="_blank" href="/v/{i}-{{c}}">x</a>' for i in range(32)) + '<a href="/same">s</a>', f'<a class="{_ROUND}" href="?page=1">1</a><a class="{_ROUND} on" href="?page=2&amp;c={{c}}">2</a>', [f"/v/{i}-{{c}}" for i in range(30)], "?page=2&c={c}"),
+    ("careerlink", "index", '<div class="jobs-quick-category"><ul><li><a href="/k/{c}">x</a></ul></div><a href="/no">n</a>', "", ["/k/{c}"], None),
+    ("careerlink", "recruit", '<a class="job-link clickable-outside" href="/tim-viec-lam/{c}">x</a><a class="job-link" href="/no">n</a>', "<a rel='next' href='/trang/{c}'>next</a>", ["/tim-viec-lam/{c}"], "/trang/{c}"),
+    ("careerlink", "company", '<a href="/viec-lam-cua/{c}">x</a>', '<a href="/trang/{c}" rel="next nofollow">next</a>', ["/viec-lam-cua/{c}"], "/trang/{c}"),
+]
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _with_key(template: str | None, text: str) -> str:
+    return "NULL" if template is None else f"replace({_quoted(template)}, '{{c}}', CAST(c_custkey AS {text}))"
+
+
+def list_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """List pages with links in comments, scripts and menus, in any quoting, with more than one class."""
+    html = " ".join(f"WHEN {i} THEN {_with_key(x[2] + x[3] + _TAIL, 'STRING')}" for i, x in enumerate(LISTS)).replace("''", "\\'")
+    source = " ".join(f"WHEN {i} THEN '{x[0]} {x[1]}'" for i, x in enumerate(LISTS))
+    turn = f"CASE c_custkey % {len(LISTS)}"
+    return table(spark, sf, "customer").selectExpr(
+        "c_custkey AS page_id", f"concat('{SITE}/list/', c_custkey) AS url", f"{turn} {source} END AS source", f"{turn} {html} END AS html"
+    )
+
+
+def list_pages_sql(next_page: bool) -> str:
+    """The links that are meant, or the next pages."""
+    parts = []
+    for i, (media, kind, _, _, links, after) in enumerate(LISTS):
+        for link in [after] if next_page else links:
+            base = f"'{SITE}/list/' || c_custkey" if link and link.startswith("?") else f"'{SITE}'"
+            parts.append(f"SELECT c_custkey AS page_id, '{media} {kind}' AS source, {base} || {_with_key(link, 'VARCHAR')} AS link FROM customer WHERE c_custkey % {len(LISTS)} = {i}")
+    return " UNION ALL ".join(parts)
+
+
+def trap_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Detail pages whose labels also stand in menus, with breaks, entities and single quotes."""
+    html = """concat("<ul><li><p>Giới tính</p><span>Trang chủ</span></li><li><div>Cấp bậc</div></li></ul>",
+      "<h1 class='x com_post' data-id='", c_custkey, "'>A &amp; B <b>", c_nationkey, "</b></h1><!-- <h1 id='job-title'>no</h1> -->",
+      "<h1 id='job-title'> C &amp;amp; D ", c_custkey, "</h1><a class='com_name' href='/cong-ty/", c_nationkey, "?a=1&amp;b=2'><p class='com_name_text'>R&amp;D</p></a>",
+      "<p class='item_if one'>Giới tính</p><br><!-- x --><i></i><span>Nam ", c_custkey % 3, "</span><span>no</span>",
+      "<p class='item_if'> Bằng  cấp\n</p><br/><span>Đại học</span><p class='item_if'>Độ tuổi</p></div>",
+      "<script>document.write('<p class=item_if>Độ tuổi</p><span>99</span>')</script>",
+      "<div><div>Cấp bậc</div><br><p>x</p><div>Trưởng &amp; phó</div></div><a title='Firm &quot;", c_custkey, "&quot;' href='/viec-lam-cua/f/", c_custkey, "'>f</a>")"""
+    return table(spark, sf, "customer").selectExpr("c_custkey AS page_id", f"concat('{SITE}/p/', c_custkey) AS url", f"{html} AS html")
