@@ -199,6 +199,19 @@ def test_split_address(spark):
     df = spark.createDataFrame([(a,) for a in cases], "a string")
     got = {r["a"]: tuple(r["addr"]) for r in address.split_address(df, "a", units).collect()}
     assert got == cases
+    loose = units.unionByName(
+        spark.createDataFrame([("district", "Phú Quốc", None, None), ("ward", "An Thới", "Phú Quốc", None), ("ward", "Thổ Châu", None, None)], units.schema)
+    )
+    more = {
+        **cases,
+        "1 A, An Thới, Phú Quốc": ("1 A", "An Thới", "Phú Quốc", None),
+        "1 A, xã Thổ Châu": ("1 A", "Thổ Châu", None, None),
+        "An Thới, Huế": ("An Thới", None, None, "Huế"),
+        " , ,": (None, None, None, None),
+        None: (None, None, None, None),
+    }
+    df_more = spark.createDataFrame([(a,) for a in more], "a string")
+    assert {r["a"]: tuple(r["addr"]) for r in address.split_address(df_more, "a", loose).collect()} == more
     part = address.split_address(df, "a", units).select(
         address.address_part(F.col("addr"), "ward").alias("w"), address.address_part(F.col("addr"), "planet").alias("p")
     )

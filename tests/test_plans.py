@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from jobmeld.functions import address
 from jobmeld.operators import dedupe, extract, identity, lookup, matching, survivorship
 from jobmeld.queries.lookalikes import claims, held
 
@@ -141,3 +142,20 @@ def test_job_upsert_reduces_and_joins_on_one_shuffle(spark, tmp_path):
     dest = spark.read.parquet(str(tmp_path / "t"))
     src = upsert.tag_source(dest.drop("media_code"), "topcv")
     assert exchanges(upsert.upsert(dest, src.select(*cols), ["media_internal_id"])) == 2
+
+
+def test_an_address_takes_one_exchange_of_the_wide_side(spark, hot_settings, tmp_path):
+    wide = spark.range(1000).select(
+        F.concat(F.lit("no "), F.col("id").cast("string"), F.lit(", Ba Đình, Hà Nội")).alias("address"), F.repeat(F.lit("x"), 50).alias("description")
+    )
+    wide.write.parquet(str(tmp_path / "wide"))
+    units = spark.createDataFrame(
+        [("province", "Hà Nội", None, None), ("district", "Ba Đình", None, "Hà Nội")], "level string, name string, district string, province string"
+    )
+    df = address.split_address(spark.read.parquet(str(tmp_path / "wide")), "address", units)
+    text = plan(df)
+    assert text.count("SortMergeJoin") == 1
+    # the side with the description: below the join, one exchange; the others are of units
+    wide_side = [part for part in text.split("Exchange ")[1:] if "description" in part.split("\n")[0] + part.split("\n")[1]]
+    assert len(wide_side) == 1
+    assert {tuple(r.addr)[1:] for r in df.collect()} == {(None, "Ba Đình", "Hà Nội")}
