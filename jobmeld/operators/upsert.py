@@ -10,6 +10,8 @@ from jobmeld.operators.dedupe import orderable
 from jobmeld.sources.schema import backfill, evolve
 
 JOB_KEYS = ("media_internal_id", "media_code")
+# the version of each value, where a table keeps them
+VERSIONS = "_versions"
 
 
 def rename_select(df: DataFrame, columns: Sequence[tuple[str, str | None]]) -> DataFrame:
@@ -43,17 +45,76 @@ def fold(
     values = [c for c in changes.columns if c not in keys and c != seq]
     if not values:
         return changes.select(*keys).distinct()
-    picks = []
-    for c in values:
-        first = c == created or c in first_wins
-        # maps and variants have no order; their text has
-        tie = F.col(c) if orderable(changes.schema[c].dataType) else F.to_json(c)
-        rank = F.struct(*([F.col(seq)] if seq else []), tie)
-        by = F.when(F.col(c).isNotNull(), rank)
-        picks.append((F.min_by if first else F.max_by)(F.col(c), by).alias(c))
+    picks = _picks(changes, values, seq, created, first_wins)
     return changes.groupBy(*keys).agg(*picks).select(*[c for c in changes.columns if c != seq])
 
 
+def _tie(df: DataFrame, c: str, side: str = "") -> Column:
+    # maps and variants have no order; their text has
+    col = F.col(side + c)
+    return col if orderable(df.schema[c].dataType) else F.to_json(col)
+
+
+def _picks(
+    changes: DataFrame, values: Sequence[str], seq: str | None, created: str, first_wins: Sequence[str], what: str | None = None
+) -> list[Column]:
+    """Per column its last value, or the first one; or `what` stands beside it."""
+    out = []
+    for c in values:
+        pick = F.min_by if c == created or c in first_wins else F.max_by
+        rank = F.struct(*([F.col(seq)] if seq else []), _tie(changes, c))
+        out.append(pick(F.col(what or c), F.when(F.col(c).isNotNull(), rank)).alias(c))
+    return out
+
+
+def fold_versions(
+    changes: DataFrame,
+    seq: str,
+    keys: Sequence[str] = JOB_KEYS,
+    created: str = "created_at",
+    first_wins: Sequence[str] = ("_ingest_id",),
+) -> DataFrame:
+    """`fold` that also keeps, as a map in `_versions`, the `seq` of every value."""
+    values = [c for c in changes.columns if c not in keys and c != seq]
+    versions = [c.alias(f"_v{i}") for i, c in enumerate(_picks(changes, values, seq, created, first_wins, seq))]
+    one = changes.groupBy(*keys).agg(*_picks(changes, values, seq, created, first_wins), *versions)
+    entries = F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"_v{i}").alias("value")) for i, c in enumerate(values)])
+    known = F.filter(entries, lambda e: e["value"].isNotNull())
+    return one.select(*[c for c in changes.columns if c != seq], F.map_from_entries(known).alias(VERSIONS))
+
+
+def upsert_versions(
+    dest: DataFrame,
+    src: DataFrame,
+    keys: Sequence[str] = JOB_KEYS,
+    created: str = "created_at",
+    first_wins: Sequence[str] = ("_ingest_id",),
+) -> DataFrame:
+    """Merge rows of `fold_versions` into a table that keeps versions as well.
+
+    A value gives way to one of a later version only, whichever of them arrives later; `created` and `first_wins`
+    columns to one of an earlier version. Of the same version the larger value counts as the later one. A value without a
+    version, as of a table that kept none so far, is older than any. So any division of records into merges, and any order of these, gives one table.
+    """
+    dest = evolve(dest, src)
+    src = backfill(src, dest)
+    out, versions = [F.coalesce(F.col(f"d.{k}"), F.col(f"s.{k}")).alias(k) for k in keys], []
+    for c in dest.columns:
+        if c in keys or c == VERSIONS:
+            continue
+        old, new = F.col(f"d.{c}"), F.col(f"s.{c}")
+        at = {side: F.try_element_at(F.col(f"{side}.{VERSIONS}"), F.lit(c)) for side in "ds"}
+        had, comes = (F.struct(at[side], _tie(dest, c, f"{side}.")) for side in "ds")
+        wins = comes < had if c == created or c in first_wins else comes > had
+        takes = new.isNotNull() & (old.isNull() | wins)
+        out.append(F.when(takes, new).otherwise(old).alias(c))
+        versions.append(F.struct(F.lit(c).alias("key"), F.when(takes, at["s"]).otherwise(at["d"]).alias("value")))
+    known = F.map_from_entries(F.filter(F.array(*versions), lambda e: e["value"].isNotNull()))
+    cond = [F.col(f"d.{k}") == F.col(f"s.{k}") for k in keys]
+    merged = dest.alias("d").join(src.alias("s"), cond, "full").select(*out, known.alias(VERSIONS))
+    return merged.select(*dest.columns)
+
+
 def upsert(
     dest: DataFrame,
     src: DataFrame,

@@ -331,6 +331,28 @@ def _(spark, sf):
     return _st3(spark, sf, None, whole=True)
 
 
+# every second line of an order arrives in a run of its own, the later lines of an order first
+@query(
+    "st3_late_run",
+    """WITH l AS (SELECT l_orderkey, l_linenumber AS n, CASE WHEN l_partkey % 3 > 0 THEN l_returnflag END AS title,
+           CASE WHEN l_partkey % 2 = 0 THEN l_linestatus END AS benefits, CAST(l_suppkey AS VARCHAR) AS i FROM lineitem)
+       SELECT CAST(l_orderkey AS VARCHAR) AS media_internal_id, (max(struct_pack(n := n, v := title)) FILTER (WHERE title IS NOT NULL)).v AS title,
+         (max(struct_pack(n := n, v := benefits)) FILTER (WHERE benefits IS NOT NULL)).v AS benefits,
+         (min(struct_pack(n := n, v := i))).v AS _ingest_id, max(n)::BIGINT AS nth FROM l GROUP BY l_orderkey""",
+)
+def _(spark, sf):
+    root, s = scratch_path(spark, "st3late"), store(spark, "st3late")
+    lines = table(spark, sf, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS media_internal_id", "'topcv' AS media_code", "CASE WHEN l_partkey % 3 > 0 THEN l_returnflag END AS title",
+        "CASE WHEN l_partkey % 2 = 0 THEN l_linestatus END AS benefits", "CAST(l_suppkey AS STRING) AS _ingest_id", "CAST(l_linenumber AS BIGINT) AS nth",
+    )
+    for part in (0, 1):
+        lines.filter(F.col("nth") % 2 == part).write.mode("append").parquet(f"{root}/landed")
+        items = st.read_stream(spark, f"{root}/landed", lines.schema, "parquet")
+        jobs = st.upsert_stream(items, s, "master/recruit", f"{root}/checkpoint", order="nth")
+    return jobs.select("media_internal_id", "title", "benefits", "_ingest_id", "nth")
+
+
 # ---- pages straight to raw tables ----------------------------------------------------------------------
 @query(
     "pip1_extract_jobs",

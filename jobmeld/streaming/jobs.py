@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from jobmeld.operators.upsert import JOB_KEYS, fold, upsert
+from jobmeld.operators.upsert import JOB_KEYS, VERSIONS, fold, fold_versions, upsert, upsert_versions
 from jobmeld.sources.jsonl import dated
 from jobmeld.sources.store import SnapshotStore
 
@@ -69,9 +69,10 @@ def upsert_stream(
 ) -> DataFrame:
     """Upsert what has arrived into a stored table and return the table (ST3).
 
-    Later values win, nulls never do. What is later within a run is said by the records' column `order`;
-    then the result is the same for any division into micro-batches. Without one it is the batch number,
-    and among the values of one batch the largest is taken as the last.
+    Later values win, nulls never do. What is later is said by the records' column `order`; then the table keeps,
+    in `_versions`, the order of every value beside it, and the result is the same for any division into micro-batches and
+    runs: a record that arrives late changes nothing that a later one said. Without such a column the batch number
+    counts, and among the values of one batch the largest is taken as the last.
 
     Each micro-batch is only written aside, to a folder of its number, so a batch that runs again
     after a failure replaces itself. At the end all batches are folded and merged in one rewrite of the
@@ -103,10 +104,13 @@ def merge_pending(
     """
     batches = store.folders(pending)
     if not batches:
-        return store.read(table)
+        return store.read(table).drop(VERSIONS)
     changes = store.spark.read.option("basePath", pending).parquet(*batches)
     # the order column stays a column of the table
     changes = changes.withColumn(SEQ, F.col(order) if order else F.col(SEQ).cast("bigint"))
-    merged = store.merge(table, fold(changes, SEQ, keys), keys, lambda dest, src: upsert(dest, src, keys))
+    if order:
+        merged = store.merge(table, fold_versions(changes, SEQ, keys), keys, lambda dest, src: upsert_versions(dest, src, keys))
+    else:
+        merged = store.merge(table, fold(changes, SEQ, keys), keys, lambda dest, src: upsert(dest, src, keys))
     store.drop_folders(batches)
-    return merged
+    return merged.drop(VERSIONS)

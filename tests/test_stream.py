@@ -1,4 +1,5 @@
 import os
+import random
 
 from pyspark.sql import functions as F, types as T
 
@@ -37,6 +38,38 @@ def test_upsert_stream_continues_and_repeats_safely(spark, tmp_path, rows):
     assert len(store._complete("jobs")) <= 3
 
 
+ORDERED = T.StructType([*JOB.fields[:3], T.StructField("created_at", T.StringType()), T.StructField("nth", T.LongType())])
+
+
+def test_order_counts_across_runs(spark, tmp_path, rows):
+    """Any division into runs, in any order of these, gives the table of one run."""
+    rnd = random.Random(5)
+    records = [(str(rnd.randrange(6)), "topcv", rnd.choice([None, "a", "b", "c"]), rnd.choice([None, f"c{n}"]), rnd.choice([n // 2, None])) for n in range(40)]
+    tables = []
+    for case, parts in enumerate([[records], [records[::2], records[1::2]], [records[25:], records[:12], records[12:25]]]):
+        store, src = SnapshotStore(spark, str(tmp_path / f"tables{case}"), buckets=2), str(tmp_path / f"in{case}")
+        for part in parts:
+            spark.createDataFrame(part, ORDERED).coalesce(1).write.mode("append").parquet(src)
+            items = st.read_stream(spark, src, ORDERED, "parquet")
+            got = st.upsert_stream(items, store, "jobs", str(tmp_path / f"cp{case}"), order="nth")
+        tables.append(rows(got.drop("_versions")))
+    assert tables[0] == tables[1] == tables[2]
+    last = {}
+    for i, _, title, _, nth in sorted(records, key=lambda r: (-1 if r[4] is None else r[4], r[2] or "")):
+        if title is not None:
+            last[i] = title
+    assert {r[0]: r[2] for r in tables[0] if r[2]} == last
+
+
+def test_a_table_without_versions_gives_way(spark, tmp_path, rows):
+    store = SnapshotStore(spark, str(tmp_path / "tables"))
+    store.write(spark.createDataFrame([("1", "topcv", "old", "c0", None)], ORDERED), "jobs")
+    for title, nth in (("new", 5), ("late", 3), (None, 9)):
+        spark.createDataFrame([("1", "topcv", title, "c1", nth)], ORDERED).write.parquet(str(tmp_path / "changes" / "_batch=0"))
+        got = st.merge_pending(store, "jobs", str(tmp_path / "changes"), order="nth")
+    assert rows(got.select("title", "created_at", "nth")) == [("new", "c0", 9)]
+
+
 def test_many_batches_are_merged_in_one_rewrite(spark, tmp_path, rows):
     src = tmp_path / "in"
     store = SnapshotStore(spark, str(tmp_path / "tables"))
