@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from jobmeld.operators import dedupe, enrich, extract, identity, incremental, lookup, matching, survivorship, upsert
 from jobmeld.plans.specs import COMPANY_TYPES, IDENTITY_SCHEMA, JOB_SCHEMA, SOURCES, SourceSpec, fixed
@@ -29,6 +29,16 @@ def run_ingest(store: SnapshotStore, media: str, kind: str, path: str, schema: T
     so nothing is lost and nothing without an id counts as a repeat. Give the source's schema
     (`specs.raw_schema`) to spare the pass that infers one.
     """
+    return ingest(store, media, kind, path, schema)[0]
+
+
+def ingest(
+    store: SnapshotStore, media: str, kind: str, path: str, schema: T.StructType | str | None = None
+) -> tuple[DataFrame, dict[str, int]]:
+    """`run_ingest` and its counts: records read, kept, repeated, without an id, unreadable (UPS6, AGG4).
+
+    The input is read once: its records are landed by outcome in `raw/{media}/{kind}_landed`, and counted on the way.
+    """
     df = read_jsonl(store.spark, path, schema)
     if df.columns == [CORRUPT]:
         # not one line parses; Spark refuses to read this column alone
@@ -36,22 +46,31 @@ def run_ingest(store: SnapshotStore, media: str, kind: str, path: str, schema: T
     return _land_raw(store, df, media, kind)
 
 
-def _land_raw(store: SnapshotStore, df: DataFrame, media: str, kind: str) -> DataFrame:
-    key = KEYS[kind]
+def _land_raw(store: SnapshotStore, df: DataFrame, media: str, kind: str) -> tuple[DataFrame, dict[str, int]]:
+    key, name = KEYS[kind], f"raw/{media}/{kind}"
     values = [c for c in df.columns if c != CORRUPT]
     line = F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None).cast("string")
+    # no record names the id, as in a file of broken lines
+    has_id = dedupe.with_id(df, key) if key in values else F.lit(False)
+    outcome = F.when(line.isNotNull(), "unreadable").when(has_id, "kept").otherwise("no id")
+    as_text = F.to_json(F.struct(*values)) if values else line
+    tagged = df.select(*values, F.coalesce(line, F.when(~has_id, as_text)).alias("_record"), outcome.alias("_outcome"))
+    seen, written = Observation(), Observation()
+    counts = {"kept": "kept", "no_id": "no id", "unreadable": "unreadable"}
+    tagged = tagged.observe(seen, *[F.count_if(F.col("_outcome") == o).alias(c) for c, o in counts.items()])
+    landed = store.write(tagged, f"{name}_landed", ["_outcome"])
+
+    rejected = landed.filter(F.col("_outcome") != "kept").select(F.col("_outcome").alias("reason"), F.col("_record").alias("record"))
+    store.write(rejected, f"{name}_rejected")
+    kept = landed.filter(F.col("_outcome") == "kept")
     if key in values:
-        usable = dedupe.with_id(df, key) & line.isNull()
-        kept = dedupe.one_per_id(df.filter(usable).select(*values), key)
+        kept = dedupe.one_per_id(kept.select(*values), key)
     else:
-        # no record names the id, as in a file of broken lines
-        usable = F.lit(False)
-        kept = df.filter(usable).select(*values, F.lit(None).cast("string").alias(key))
-    reason = F.when(line.isNotNull(), "unreadable").otherwise("no id")
-    as_text = F.to_json(F.struct(*values)) if values else line
-    rejected = df.filter(~usable).select(reason.alias("reason"), F.coalesce(line, as_text).alias("record"))
-    store.write(rejected, f"raw/{media}/{kind}_rejected")
-    return store.write(kept, f"raw/{media}/{kind}")
+        kept = kept.select(*values, F.lit(None).cast("string").alias(key))
+    raw = store.write(kept.observe(written, F.count(F.lit(1)).alias("rows")), name)
+    found = {c: int(n) for c, n in seen.get.items()}
+    rows = int(written.get["rows"])
+    return raw, {"records": sum(found.values()), **found, "kept": rows, "repeated": found["kept"] - rows}
 
 
 def run_extract(
@@ -59,19 +78,18 @@ def run_extract(
 ) -> DataFrame:
     """Crawled pages -> one row per id -> `raw/{media}/{kind}` (PIP1, PIP2 from pages).
 
-    The records are written once before they are parted, as for `run_ingest`, into those with an id and
-    the others, so a page is read once.
+    The records are landed by outcome, as for `run_ingest`, so a page is read once.
     """
     if kind == "company":
         df = extract.extract_companies(pages, media, units)
     else:
         df = extract.extract_jobs(pages, media)
-    return _land_raw(store, store.write(df, f"raw/{media}/{kind}_extracted"), media, kind)
+    return _land_raw(store, df, media, kind)[0]
 
 
 def run_identify(store: SnapshotStore, media: str, as_of: Column, conflict: str = "parity") -> DataFrame:
     """All matchers of one source against the master, merged into `uuid/{media}` (IDR9, PIP3)."""
-    raw = dedupe.keep_first(_companies(store, SOURCES[media]), ["company_id"])
+    raw = dedupe.one_per_id(_companies(store, SOURCES[media]), "company_id")
     master = store.read("master/company")
     name = f"uuid/{media}"
     held = store.read(name) if store.exists(name) else None
@@ -101,7 +119,7 @@ def run_identify_changes(
 
 def company_feed(raw: DataFrame, idmap: DataFrame | None, spec: SourceSpec, as_of: Column) -> DataFrame:
     """One source's companies, identified and scored, one row per corporate_number (UPS4)."""
-    one = dedupe.keep_first(raw, ["company_id"])
+    one = dedupe.one_per_id(raw, "company_id")
     if idmap is not None:
         one = lookup.attach_number(one, idmap)
     numbered = identity.mint(one, spec.media)
@@ -111,12 +129,12 @@ def company_feed(raw: DataFrame, idmap: DataFrame | None, spec: SourceSpec, as_o
     return survivorship.scored(text, spec.company, spec.quality, as_of)
 
 
-def job_feed(raw: DataFrame, master: DataFrame, spec: SourceSpec, as_of: Column) -> DataFrame:
-    """One source's jobs in the canonical layout, with their company (UPS5)."""
+def job_feed(raw: DataFrame, master: DataFrame, spec: SourceSpec, as_of: Column, lost: Observation | None = None) -> DataFrame:
+    """One source's jobs in the canonical layout, with their company (UPS5); `lost` counts the values that do not fit it."""
     df = fixed(raw, spec.fix_job, [c for c, _ in spec.job if c not in ("media_code", "corporate_number", "province")])
     known = lookup.company_lookup(master, spec.id_column)
     jobs = lookup.attach_company(upsert.tag_source(df, spec.media), known, "job_company_id")
-    return upsert.stamped(conform(upsert.rename_select(jobs, spec.job), JOB_SCHEMA), as_of)
+    return upsert.stamped(conform(upsert.rename_select(jobs, spec.job), JOB_SCHEMA, lost), as_of)
 
 
 def run_master(store: SnapshotStore, media: str, as_of: Column) -> tuple[DataFrame, DataFrame]:
@@ -146,9 +164,10 @@ def _merge_companies(store: SnapshotStore, feeds: Sequence[DataFrame], as_of: Co
     return store.merge("master/company", batch, COMPANY_KEYS, survivorship.survive, start)
 
 
-def upsert_jobs(store: SnapshotStore, media: str, as_of: Column) -> DataFrame:
+def upsert_jobs(store: SnapshotStore, media: str, as_of: Column, lost: Observation | None = None) -> DataFrame:
+    """One source's jobs into its table; `lost` counts, per column, the values that do not fit (SC3, FN5)."""
     spec = SOURCES[media]
-    feed = job_feed(store.read(f"raw/{media}/recruit"), store.read("master/company"), spec, as_of)
+    feed = job_feed(store.read(f"raw/{media}/recruit"), store.read("master/company"), spec, as_of, lost)
     # the table holds one source, so its media_code adds nothing to the key; without it, reducing the
     # batch and joining it share one shuffle
     return store.merge(f"master/recruit/{media}", feed, JOB_KEYS, lambda d, s: upsert.upsert(d, s, JOB_KEYS))

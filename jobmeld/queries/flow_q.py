@@ -144,6 +144,14 @@ def _(spark, sf):
     return steps.run_ingest(store(spark, "ups6"), "topcv", "recruit", _land_lines(spark, sf, "ups6"), _LINE_SCHEMA)
 
 
+def _mixed_lines(spark, sf):
+    """Broken lines, records without an id and whole records."""
+    return table(spark, sf, "lineitem").selectExpr(
+        """CASE l_linenumber % 3 WHEN 0 THEN concat('cut ', l_orderkey)
+             ELSE concat('{', if(l_linenumber % 3 = 2, concat('"job_id":"', l_orderkey, '",'), ''), '"job_title":"', l_linestatus, '","amount":', l_partkey, '}') END AS value"""
+    )
+
+
 @query(
     "ups6_rejected",
     """SELECT CASE l_linenumber % 3 WHEN 0 THEN 'unreadable' ELSE 'no id' END AS reason,
@@ -151,17 +159,27 @@ def _(spark, sf):
        FROM lineitem WHERE l_linenumber % 3 < 2""",
 )
 def _(spark, sf):
-    # broken lines, records without an id and whole records in one file
     path = scratch_path(spark, "ups6r")
-    table(spark, sf, "lineitem").selectExpr(
-        """CASE l_linenumber % 3 WHEN 0 THEN concat('cut ', l_orderkey)
-             ELSE concat('{', if(l_linenumber % 3 = 2, concat('"job_id":"', l_orderkey, '",'), ''), '"job_title":"', l_linestatus, '","amount":', l_partkey, '}') END AS value"""
-    ).write.text(path)
+    _mixed_lines(spark, sf).write.text(path)
     s = store(spark, "ups6r")
     steps.run_ingest(s, "topcv", "recruit", path, _LINE_SCHEMA)
     return s.read("raw/topcv/recruit_rejected")
 
 
+@query(
+    "ups6_counts",
+    """SELECT count(*)::BIGINT AS records, count(DISTINCT l_orderkey) FILTER (WHERE l_linenumber % 3 = 2)::BIGINT AS kept,
+         (count(*) FILTER (WHERE l_linenumber % 3 = 1))::BIGINT AS no_id, (count(*) FILTER (WHERE l_linenumber % 3 = 0))::BIGINT AS unreadable,
+         (count(*) FILTER (WHERE l_linenumber % 3 = 2) - count(DISTINCT l_orderkey) FILTER (WHERE l_linenumber % 3 = 2))::BIGINT AS repeated FROM lineitem""",
+)
+def _(spark, sf):
+    path = scratch_path(spark, "ups6c")
+    _mixed_lines(spark, sf).write.text(path)
+    counts = steps.ingest(store(spark, "ups6c"), "topcv", "recruit", path, _LINE_SCHEMA)[1]
+    columns = ["records", "kept", "no_id", "unreadable", "repeated"]
+    return spark.createDataFrame([tuple(counts[c] for c in columns)], ", ".join(f"{c} bigint" for c in columns))
+
+
 @query("pip1_ingest_jobs", _FIRST_LINE.format(order="amount, job_company_id, job_title"))
 def _(spark, sf):
     # without a schema the columns come out in alphabetical order, and so does the order of preference

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Observation, functions as F, types as T
 
 from jobmeld.operators import dedupe
 from jobmeld.queries.base import query, store, table
@@ -177,6 +177,25 @@ def _(spark, sf):
     return schema.backfill(src, table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_acctbal"))
 
 
+@query(
+    "sc3_cast_counts",
+    """SELECT unnest(['min_salary', 'max_salary', 'posted_at']) AS column_name, unnest([
+         count(*) FILTER (WHERE o_orderkey % 5 = 0), count(*) FILTER (WHERE o_orderkey % 4 = 0 AND o_orderkey % 3 <> 0),
+         count(*) FILTER (WHERE o_orderkey % 2 = 0)]) AS lost FROM orders""",
+)
+def _(spark, sf):
+    lost = Observation()
+    jobs = table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS id", "IF(o_orderkey % 5 = 0, 'Thỏa thuận', CAST(o_custkey AS STRING)) AS min_salary",
+        "CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 4 = 0 THEN 1e20 ELSE 1.5D END AS max_salary",
+        "IF(o_orderkey % 2 = 0, 'soon', CAST(o_orderdate AS STRING)) AS posted_at",
+    )
+    wanted = T.StructType.fromDDL("id bigint, min_salary decimal(18,2), max_salary decimal(18,2), posted_at timestamp, skills array<string>")
+    schema.conform(jobs, wanted, lost).write.format("noop").mode("overwrite").save()
+    counts = [(c, int(lost.get[c])) for c in ("min_salary", "max_salary", "posted_at")]
+    return spark.createDataFrame(counts, "column_name string, lost bigint")
+
+
 @query("sc4_all_nullable", "SELECT p_partkey, p_name, 'none' AS required FROM part")
 def _(spark, sf):
     part = table(spark, sf, "part").select("p_partkey", "p_name").withColumn("size", F.lit(1))

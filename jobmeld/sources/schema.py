@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 
 class SchemaConflict(ValueError):
@@ -57,10 +57,13 @@ def backfill(src: DataFrame, dest: DataFrame) -> DataFrame:
     )
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Exactly the columns of `schema`; values that do not fit its type become null."""
+def conform(df: DataFrame, schema: T.StructType, lost: Observation | None = None) -> DataFrame:
+    """Exactly the columns of `schema`; values that do not fit its type become null.
+
+    `lost` counts these values per column in the pass that computes the frame: `lost.get` after its first action.
+    """
     known = {f.name: f.dataType for f in df.schema.fields}
-    cols = []
+    cols, cast = [], []
     for f in schema.fields:
         if f.name not in known:
             cols.append(typed_null(f.dataType).alias(f.name))
@@ -68,7 +71,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             cols.append(F.col(f.name))
         else:
             cols.append(_fit(F.col(f.name), known[f.name], f.dataType).alias(f.name))
-    return df.select(*cols)
+            cast.append(f.name)
+    if lost is None:
+        return df.select(*cols)
+    flags = {c: F.col(c).isNotNull().alias(f"_had{i}") for i, c in enumerate(cast)}
+    both = df.select(*cols, *flags.values())
+    gone = [F.count_if(F.col(f"_had{i}") & F.col(c).isNull()).alias(c) for i, c in enumerate(cast)]
+    observed = both.observe(lost, *(gone or [F.lit(0).alias("_none")]))
+    return observed.select(*schema.names)
 
 
 def _fit(col: Column, have: T.DataType, want: T.DataType) -> Column:

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Observation, functions as F, types as T
 
 from jobmeld import session
 from jobmeld.plans import specs, steps
@@ -86,6 +86,44 @@ def test_ingest_loses_no_line(spark, store, tmp_path, rows, ddl):
     ]
 
 
+def test_ingest_reads_its_input_once_and_counts(spark, store, tmp_path, monkeypatch):
+    lines = ['{"job_id":"1"}', '{"job_id":"1","t":"b"}', '{"job_id":"2","t":"a"}', "broken", '{"t":"x"}', '{"job_id":" "}']
+    (tmp_path / "in.jsonl").write_text("\n".join(lines) + "\n")
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(t):
+        read.add(1)
+        return t
+
+    whole = steps.read_jsonl
+    monkeypatch.setattr(steps, "read_jsonl", lambda *a: whole(*a).withColumn("t", seen("t")))
+    df, counts = steps.ingest(store, "topcv", "recruit", str(tmp_path / "in.jsonl"), "job_id string, t string")
+    assert counts == {"records": 6, "kept": 2, "no_id": 2, "unreadable": 1, "repeated": 1}
+    assert df.count() == 2 and read.value == 6
+    assert steps.ingest(store, "topcv", "recruit", str(tmp_path / "in.jsonl"))[1] == counts
+
+
+def test_ingest_of_nothing(spark, store, tmp_path):
+    (tmp_path / "in.jsonl").write_text("")
+    df, counts = steps.ingest(store, "topcv", "company", str(tmp_path / "in.jsonl"), "company_id string, t string")
+    assert df.count() == 0 and set(counts.values()) == {0}
+
+
+@pytest.mark.parametrize("rows_", [[], [("1", "x", 1.5), ("2", None, 1e30), ("x", "2024-01-01", None)]])
+def test_conform_counts_what_it_loses(spark, rows_):
+    df = spark.createDataFrame(rows_, "id string, day string, pay double")
+    lost = Observation()
+    wanted = T.StructType.fromDDL("id bigint, day date, pay decimal(10,2), more string")
+    out = schema.conform(df, wanted, lost)
+    assert out.schema == schema.conform(df, wanted).schema
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, schema.conform(df, wanted).collect()), key=repr)
+    assert lost.get == ({"id": 1, "day": 1, "pay": 1} if rows_ else {"id": 0, "day": 0, "pay": 0})
+    same = Observation()
+    schema.conform(df, df.schema, same).collect()
+    assert set(same.get) == {"_none"}
+
+
 def test_ingest_of_broken_lines_only(spark, store, tmp_path, rows):
     (tmp_path / "in.jsonl").write_text("broken\nagain\n")
     assert steps.run_ingest(store, "topcv", "recruit", str(tmp_path / "in.jsonl")).count() == 0
