@@ -13,25 +13,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from jobmeld.llm.common import chunks
 from jobmeld.session import scratch_path
 
 BLOCK_IDS = 1 << 19  # a block ends with the document that fills it
 BUCKET_KEYS = 20_000
-_CACHED = 200_000
-_JOINED = 5000  # runs that the library gets at once
+_BYTES = 1 << 23  # of texts that are encoded together, or one text that holds more
+_JOINED = 100  # words that the library gets as one text
+_LETTERS = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+$"
+_NUMBERED = 10_000
 _LEVEL_ROOM = 2  # places per key on each level of the hash
 
 
 class Encoder:
-    """The tokenizers library over runs without ASCII white space, which no token crosses; runs are remembered.
+    """The tokenizers library, asked for the distinct runs of a batch only; ids are gathered by their places.
 
-    Stops and commas behind a letter or digit are tokens of their own, so a run is encoded without them and they
-    are added; a run of ASCII letters is encoded in lower case. Holds for vocabularies that drop white space and
-    case, as the word-end kind does.
+    No token crosses ASCII white space, so a run without it is encoded by itself, and so are stops and commas behind
+    a letter or digit. Words of Latin letters go to the library many to a text, in which a token at a word's end
+    tells it from the next. Where a vocabulary turns out not to drop white space and case, texts are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -39,49 +41,79 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.cores: dict[bytes, bytes] = {b"": b""}
-
-    def _encode_cores(self, cores: set[bytes]) -> dict[bytes, bytes]:
-        """Cores new to the worker, many in one text with blanks between; the tokens' places tell whose they are."""
-        new = list(cores.difference(self.cores))
-        fresh = {}
-        for i in range(0, len(new), _JOINED):
-            part = new[i : i + _JOINED]
-            got = self.library.encode(b" ".join(part).decode(), add_special_tokens=False)
-            ids = np.array(got.ids, "<u4")
-            starts = np.array([a for a, _ in got.offsets], np.int64)
-            ends = np.cumsum([len(c if c.isascii() else c.decode()) + 1 for c in part])
-            cuts = [0, *(4 * np.searchsorted(starts, ends)).tolist()]
-            data = ids.tobytes()
-            fresh.update(zip(part, [data[x:y] for x, y in zip(cuts, cuts[1:])]))
-        self.cores.update(fresh if max(map(len, new), default=0) <= 64 else {c: x for c, x in fresh.items() if len(c) <= 64})
-        return fresh
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        if len(self.known) > _CACHED:
-            self.known.clear()
-        if len(self.cores) > 2 * _CACHED:
-            self.cores = {b"": b""}
-        cut = [t.split() for t in texts]
-        new = list(set().union(*cut).difference(self.known))
-        parts = [_parted(r) for r in new]
-        cores = self._encode_cores({p[0] for p in parts} | {p[1] for p in parts})
-        long = max(map(len, new), default=0) > 64
-        cores = {**self.cores, **cores} if long else self.cores
-        fresh = {run: cores[core] + cores[tail] if tail else cores[core] for run, (core, tail) in zip(new, parts)}
-        self.known.update({r: ids for r, ids in fresh.items() if len(r) <= 64} if long else fresh)
-        known = {**self.known, **fresh} if long else self.known
-        return [b"".join(map(known.__getitem__, runs)) for runs in cut]
-
-
-def _parted(run: bytes) -> tuple[bytes, bytes]:
-    """(what is encoded, stops and commas behind it)."""
-    core = run.rstrip(b".,;:!?")
-    if core.isalpha():
-        return core.lower(), run[len(core) :]
-    return (core, run[len(core) :]) if core[-1:].isalnum() else (run, b"")
+        self.library.no_truncation()
+        self.library.no_padding()
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.size = max(vocabulary.values(), default=-1) + 1
+        self.ends = np.zeros(self.size, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.separable = self._drops_white_space_and_case()
+
+    def _drops_white_space_and_case(self) -> bool:
+        whole = self._ids(["  Ab, cd.\t\nEFG;h i9. \x0bÉtÉ!? "])[0]
+        parts = self._ids(["ab", ",", "cd", ".", "efg", ";h", "i9", ".", "ÉtÉ", "!?"])
+        words = self._ids(["ab efg été"])[0]
+        return whole.tolist() == np.concatenate(parts).tolist() and int(self.ends[words].sum()) == 3
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _pool(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of distinct runs one behind the other; where each one's start, and how many they are."""
+        plain = pc.match_substring_regex(runs, _LETTERS).to_numpy(zero_copy_only=False)
+        words, others = runs.filter(pa.array(plain)).to_pylist(), runs.filter(pa.array(~plain)).to_pylist()
+        ids = self._ids([" ".join(words[i : i + _JOINED]) for i in range(0, len(words), _JOINED)])
+        apart = self._ids(others)
+        pool = np.concatenate([*ids, *apart, np.zeros(0, np.uint32)])
+        size = np.empty(len(runs), np.int32)
+        last = np.flatnonzero(self.ends[pool[: sum(map(len, ids))]]) if ids else np.zeros(0, np.int64)
+        if len(last) != len(words):
+            raise ValueError("the vocabulary's tokens do not tell where a word ends")
+        size[plain] = np.diff(last, prepend=-1)
+        size[~plain] = [len(x) for x in apart]
+        start = np.empty(len(runs), np.int32)
+        sizes = np.concatenate([size[plain], size[~plain]])
+        start[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.cumsum(sizes) - sizes
+        return pool, start, size
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, an `end_id` behind each, and where each text's stop."""
+        if not self.separable:
+            ids = [np.append(x, np.uint32(end_id)) for x in self._ids(texts.to_pylist())]
+            return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.cumsum([len(x) for x in ids])
+        cut = pc.ascii_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        runs, of_run = coded.dictionary, coded.indices.to_numpy()
+        core = pc.ascii_rtrim(runs, characters=".,;:!?")
+        word = pc.match_substring_regex(core, _LETTERS)
+        core = pc.if_else(pc.or_(word, pc.match_substring_regex(core, "[0-9A-Za-z]$")), core, runs)
+        stripped = pc.not_equal(pc.binary_length(core), pc.binary_length(runs))
+        lengths = pc.utf8_length(core.filter(stripped)).to_pylist()
+        tail = np.full(len(runs), "", object)
+        tail[stripped.to_numpy(zero_copy_only=False)] = [r[n:] for r, n in zip(runs.filter(stripped).to_pylist(), lengths)]
+        cores = pc.if_else(word, pc.ascii_lower(core), core).dictionary_encode()
+        tails = pa.array(tail, pa.string()).dictionary_encode()
+
+        pool, start, size = self._pool(cores.dictionary)
+        behind, tail_start, tail_size = self._pool(tails.dictionary)
+        in_tail = tails.indices.to_numpy()
+        in_core = cores.indices.to_numpy()
+        pool = np.concatenate([pool, behind, np.array([end_id], np.uint32)])
+        # per text: a piece for each run and one for what stands behind it, then the end
+        ends = np.cumsum(pc.list_value_length(cut).to_numpy())
+        pieces = 2 * len(of_run) + len(texts)
+        piece_start, piece_size = np.empty(pieces, np.int32), np.empty(pieces, np.int32)
+        of_text = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(ends, prepend=0))
+        at = 2 * np.arange(len(of_run), dtype=np.int64) + of_text
+        last = 2 * ends + np.arange(len(texts))
+        piece_start[at], piece_size[at] = start[in_core][of_run], size[in_core][of_run]
+        piece_start[at + 1] = (tail_start + len(pool) - 1 - len(behind))[in_tail][of_run]
+        piece_size[at + 1] = tail_size[in_tail][of_run]
+        piece_start[last], piece_size[last] = len(pool) - 1, 1
+        stops = np.cumsum(piece_size, dtype=np.int64)
+        total = int(stops[-1]) if pieces else 0
+        gather = np.repeat(piece_start - (stops - piece_size).astype(np.int32), piece_size) + np.arange(total, dtype=np.int32)
+        return pool[gather], stops[last]
 
 
 @functools.lru_cache(maxsize=2)
@@ -90,19 +122,30 @@ def encoder(path: str) -> Encoder:
 
 
 def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(doc_id, ids): ids of each whole text and the end id, little-endian 32-bit; a null text has the end id only."""
+    """The columns of `docs` but text, and ids: those of each whole text and the end id, little-endian 32-bit.
+
+    A null text has the end id only.
+    """
+    kept = [f for f in docs.schema.fields if f.name != "text"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lib, end = encoder(path), np.array([end_id], "<u4").tobytes()
+        lib = encoder(path)
         for batch in batches:
-            for start, texts in chunks(batch.column(1), 1 << 20):
-                ids = [x + end for x in lib.encode(texts)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(ids)), pa.array(ids, pa.binary())], ["doc_id", "ids"]
-                )
-
-    narrow = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, ids binary")
+            texts = pc.fill_null(batch.column(len(kept)), "")
+            ends = np.cumsum(pc.binary_length(texts).to_numpy())
+            start = 0
+            while start < len(texts):
+                begun = int(ends[start - 1]) if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, begun + _BYTES, side="right")))
+                ids, stops = lib.encode(texts.slice(start, stop - start), end_id)
+                offsets = pa.py_buffer(np.concatenate([[0], 4 * stops]).astype(np.int32))
+                column = pa.BinaryArray.from_buffers(pa.binary(), stop - start, [None, offsets, pa.py_buffer(ids.astype("<u4"))])
+                columns = [batch.column(i).slice(start, stop - start) for i in range(len(kept))]
+                yield pa.RecordBatch.from_arrays([*columns, column], [*[f.name for f in kept], "ids"])
+                start = stop
+
+    shape = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
+    return docs.select(*[f.name for f in kept], "text").mapInArrow(run, shape + "ids binary")
 
 
 def _mixed(a: np.ndarray, b: np.ndarray, level: int) -> np.ndarray:
@@ -166,7 +209,7 @@ class PerfectHash:
 
 
 def _blocks(tokens: DataFrame, wide: bool) -> DataFrame:
-    """Blocks of sorted documents: keys, occurrence numbers, offsets within the block, raw ids."""
+    """Blocks of sorted documents: keys, occurrence numbers within the part, offsets within the block, raw ids."""
     kind = tokens.schema["doc_id"].dataType.simpleString()
     store = "<u4" if wide else "<u2"
 
@@ -176,7 +219,10 @@ def _blocks(tokens: DataFrame, wide: bool) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).tolist()
-            payload = np.frombuffer(b"".join(ids), "<u4").astype(store).tobytes()
+            whole = np.frombuffer(b"".join(ids), "<u4")
+            if not wide and len(whole) and int(whole.max()) >= 1 << 16:
+                raise ValueError(f"id {int(whole.max())} does not fit 16 bits")
+            payload = whole.astype(store).tobytes()
             cols = {"part": [part], "number": [number], "keys": [keys], "nth": [nth], "offsets": [offsets]}
             return pa.RecordBatch.from_pylist([{k: v[0] for k, v in cols.items()} | {"ids": payload}], schema)
 
@@ -210,17 +256,40 @@ def _blocks(tokens: DataFrame, wide: bool) -> DataFrame:
 _HASHES = ["pmod(xxhash64(doc_id, nth), buckets) as bucket", "xxhash64(nth, doc_id, 1) as a", "xxhash64(doc_id, 2, nth) as b"]
 
 
-def write(docs: DataFrame, path: str, out: str, end_id: int = 1, wide: bool = False) -> None:
+def _before(blocks: DataFrame) -> list[tuple]:
+    """(part, key, n) of parts that go on with a key of earlier ones, of which these hold n rows."""
+    last = F.struct(F.element_at("keys", -1).alias("key"), (F.element_at("nth", -1) + 1).alias("n"))
+    edges = blocks.groupBy("part").agg(
+        F.min_by(F.struct(F.element_at("keys", 1).alias("key")), "number").alias("first"), F.max_by(last, "number").alias("last")
+    )
+    out, held, n = [], None, 0
+    # a row per part, which is a task
+    for part, first, end in sorted(edges.collect(), key=lambda r: r["part"]):
+        going_on = n > 0 and first["key"] == held
+        if going_on:
+            out.append((part, first["key"], n))
+        n = end["n"] + (n if going_on and end["key"] == held else 0)
+        held = end["key"]
+    return out
+
+
+def write(docs: DataFrame, path: str, out: str, end_id: int = 1, wide: bool | None = None) -> None:
     """Encode `docs` (doc_id, text) and write the tables `out`/blocks and `out`/index.
 
-    Documents stand in ascending order of doc_id, nulls first; rows that share a doc_id follow one another by
-    length and content and are told apart by an occurrence number. `wide` stores 32-bit ids, else 16-bit.
-    One shuffle of the texts, by ranges of doc_id; blocks are cut from the sorted stream, never from a group.
+    Documents stand in ascending order of doc_id, nulls first; rows that share a doc_id follow one another in the order of
+    a hash of their text and are told apart by an occurrence number. `wide` stores 32-bit ids, else 16-bit; without it the
+    size of the vocabulary decides, and an id that does not fit raises. A null or empty text has the end id only; texts are read whole, of any length;
+    an empty table writes empty ones; other columns, whatever their names, are not read.
+    One shuffle of the texts, by ranges of doc_id, hash and place, so that a frequent id or text is divided among
+    tasks; blocks are cut from the sorted stream, never from a group.
     """
     spark = docs.sparkSession
+    if wide is None:
+        wide = max(encoder(path).size, end_id + 1) > 1 << 16
     # texts are dealt out, not ids: dealing by range looks at its input twice
-    ranges = docs.select("doc_id", "text").repartitionByRange("doc_id")
-    sorted_ = tokenise(ranges, path, end_id).sortWithinPartitions("doc_id", F.length("ids"), "ids")
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_place"), "text")
+    ranges = keyed.repartitionByRange("doc_id", "_hash", "_place").drop("_place")
+    sorted_ = tokenise(ranges, path, end_id).sortWithinPartitions("doc_id", "_hash", "ids").drop("_hash")
     _blocks(sorted_, wide).write.parquet(f"{out}/blocks")
 
     places = (
@@ -233,6 +302,10 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 1, wide: bool = Fa
             F.element_at("offsets", F.col("i") + 2).alias("to"),
         )
     )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    before = spark.createDataFrame(_before(spark.read.parquet(f"{out}/blocks")), f"part int, _key {kind}, _n bigint")
+    going_on = F.when(F.col("doc_id").eqNullSafe(F.col("_key")), F.col("_n")).otherwise(0)
+    places = places.join(before, "part", "left").withColumn("nth", F.col("nth") + F.coalesce(going_on, F.lit(0))).drop("_key", "_n")
     buckets = -(-places.count() // BUCKET_KEYS) or 1
     keyed = places.withColumn("buckets", F.lit(buckets)).selectExpr("*", *_HASHES)
 
@@ -326,13 +399,19 @@ def fetch(spark: SparkSession, out: str, keys: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(doc_id, nth): a key for each row; rows that share a doc_id are numbered from 0."""
+    """(doc_id, nth): a key for each row; rows that share a doc_id are numbered from 0, by many tasks if they are many."""
     counted = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select("doc_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("nth"))
+    zero, step = F.lit(0).cast("long"), F.lit(_NUMBERED).cast("long")
+    parts = counted.select("doc_id", "n", F.explode(F.sequence(zero, F.col("n") - 1, step)).alias("at")).repartition("doc_id", "at")
+    last = F.least(F.col("at") + (_NUMBERED - 1), F.col("n") - 1)
+    return parts.select("doc_id", F.explode(F.sequence("at", last)).alias("nth"))
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int = 1) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every row, from files written and read back by key."""
+    """(doc_id, start, n_tokens, ids_crc32) of every row, from files written and read back by key.
+
+    `start` counts the ids of all rows before, in the order of the files; awkward rows as for `write`.
+    """
     spark = docs.sparkSession
     out = scratch_path(spark, "tokens")
     write(docs, path, out, end_id)

@@ -102,12 +102,12 @@ def test_bpe_query_columns(spark, awkward, library):
 def test_token_files_round_trip(spark, awkward):
     lib, docs = Tokenizer.from_file(WORDS), everything(spark, awkward)
     rows = []
-    for r in docs.collect():
+    for r in docs.withColumn("h", F.xxhash64("text")).collect():
         ids = np.array(lib.encode(r.text or "", add_special_tokens=False).ids + [1], "<u4").tobytes()
-        rows.append((r.doc_id, ids))
-    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, len(r[1]), r[1]))
+        rows.append((r.doc_id, r.h, ids))
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     want, start = Counter(), 0
-    for key, ids in rows:
+    for key, _, ids in rows:
         want[(key, start, len(ids) // 4, zlib.crc32(ids))] += 1
         start += len(ids) // 4
     assert bag(tokenfile.round_trip(docs, WORDS), "doc_id", "start", "n_tokens", "ids_crc32") == want
@@ -126,6 +126,56 @@ def test_token_files_many_blocks_and_unknown_keys(spark, docs, tmp_path, monkeyp
     assert got == {i: (starts[i], i % 17 + 1) for i in range(0, 400, 3)}
 
 
+@pytest.mark.parametrize("key", [7, None])
+def test_token_files_of_a_frequent_key(spark, docs, tmp_path, monkeypatch, request, key):
+    """A third of all rows share an id, half of them the text as well: tasks share them, and each keeps a key of its own."""
+    monkeypatch.setattr(tokenfile, "BLOCK_IDS", 200)
+    monkeypatch.setattr(tokenfile, "_NUMBERED", 70)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before))
+    rows = [(i, "word " * (i % 5)) for i in range(800)] + [(key, f"text {i}" if i % 2 else "a copy") for i in range(400)]
+    made = docs(rows).withColumn("nth", F.lit("own")).withColumn("ids", F.lit("own")).repartition(6)
+    got = tokenfile.round_trip(made, WORDS).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    ordered = sorted(got, key=lambda r: r.start)
+    assert [r.start for r in ordered] == np.cumsum([0, *(r.n_tokens for r in ordered)]).tolist()[:-1]
+    assert [r.doc_id for r in ordered] == sorted((r.doc_id for r in got), key=lambda k: -1 if k is None else k)
+    lib = Tokenizer.from_file(WORDS)
+    digests = Counter(zlib.crc32(np.array(lib.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes()) for _, t in rows)
+    assert Counter(r.ids_crc32 for r in got) == digests
+    tokenfile.write(made, WORDS, str(tmp_path / "out"))
+    parts = spark.read.parquet(str(tmp_path / "out" / "blocks")).select("part", F.explode("keys").alias("k"))
+    assert parts.filter(F.col("k").eqNullSafe(F.lit(key))).select("part").distinct().count() > 1
+
+
+def test_token_ids_that_do_not_fit_raise(spark, docs, tmp_path):
+    made = docs([(1, "a word")])
+    with pytest.raises(Exception, match="does not fit 16 bits"):
+        tokenfile.write(made, WORDS, str(tmp_path / "narrow"), end_id=70_000, wide=False)
+    tokenfile.write(made, WORDS, str(tmp_path / "wide"), end_id=70_000)
+    got = tokenfile.fetch(spark, str(tmp_path / "wide"), docs([(1, None)]).select("doc_id", F.lit(0).alias("nth"))).first()
+    assert np.frombuffer(got.ids, "<u4")[-1] == 70_000
+
+
+def test_encoder_equals_library():
+    import pyarrow as pa
+
+    rnd = random.Random(8)
+    spans = [(32, 126), (160, 0x600), (0x4E00, 0x9FFF), (0x10000, 0x1FFFF), (0x80, 0xA0), (0x2000, 0x200F), (0x300, 0x36F), (0xC0, 0x100)]
+    texts = ["".join(rnd.choice("aeiouthnrs \n'.,;!?AÉéß-\"9") for _ in range(rnd.randint(0, 60))) for _ in range(1500)]
+    texts += ["".join(chr(rnd.randint(*rnd.choice(spans))) for _ in range(rnd.randint(1, 25))) for _ in range(1500)]
+    texts += ["", " ", "\x1c\x85", "<|endoftext|>x", "we'll x.\n\n y,, İİ ﬁ.. Ǆ é. É, a\xa0b", "word " * 20_000]
+    for path in (WORDS, BYTES):
+        lib, model = Tokenizer.from_file(path), tokenfile.Encoder(path)
+        assert model.separable == (path == WORDS)
+        for some in (texts, [""], []):
+            ids, stops = model.encode(pa.array(some, pa.string()), 1)
+            cuts = [0, *stops.tolist()]
+            for t, a, b in zip(some, cuts, cuts[1:], strict=True):
+                assert ids[a:b].tolist() == [*lib.encode(t, add_special_tokens=False).ids, 1], t
+
+
 def test_perfect_hash_is_minimal():
     rng = np.random.default_rng(1)
     a, b = rng.integers(0, 1 << 63, (2, 5000)).astype(np.uint64)
