@@ -21,7 +21,8 @@ from jobmeld.session import scratch_path
 
 BLOCK_IDS = 1 << 19  # a block ends with the document that fills it
 BUCKET_KEYS = 20_000
-_BYTES = 1 << 23  # of texts that are encoded together, or one text that holds more
+_BYTES = 1 << 23  # of texts whose runs are encoded together, or one text that holds more
+_RUNS = 1 << 17  # whose ids are laid out together, or those of one text
 _JOINED = 100  # words that the library gets as one text
 _LETTERS = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+$"
 _NUMBERED = 10_000
@@ -76,11 +77,15 @@ class Encoder:
         start[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.cumsum(sizes) - sizes
         return pool, start, size
 
-    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, an `end_id` behind each, and where each text's stop."""
+    def encode(self, texts: pa.Array, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of the texts, an `end_id` behind each, and where each text's stop; for some texts at a time.
+
+        Runs are made distinct over all texts, ids are laid out for few of them together, so that little is held at once.
+        """
         if not self.separable:
             ids = [np.append(x, np.uint32(end_id)) for x in self._ids(texts.to_pylist())]
-            return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.cumsum([len(x) for x in ids])
+            yield np.concatenate([*ids, np.zeros(0, np.uint32)]), np.cumsum([len(x) for x in ids])
+            return
         cut = pc.ascii_split_whitespace(texts)
         coded = cut.flatten().dictionary_encode()
         runs, of_run = coded.dictionary, coded.indices.to_numpy()
@@ -96,24 +101,24 @@ class Encoder:
 
         pool, start, size = self._pool(cores.dictionary)
         behind, tail_start, tail_size = self._pool(tails.dictionary)
-        in_tail = tails.indices.to_numpy()
-        in_core = cores.indices.to_numpy()
+        # of every run its two pieces: start and size of what is encoded, and of what stands behind it
+        in_core, in_tail = cores.indices.to_numpy(), tails.indices.to_numpy()
+        starts = np.stack([start[in_core], (tail_start + len(pool))[in_tail]], 1)
+        sizes = np.stack([size[in_core], tail_size[in_tail]], 1)
         pool = np.concatenate([pool, behind, np.array([end_id], np.uint32)])
-        # per text: a piece for each run and one for what stands behind it, then the end
-        ends = np.cumsum(pc.list_value_length(cut).to_numpy())
-        pieces = 2 * len(of_run) + len(texts)
-        piece_start, piece_size = np.empty(pieces, np.int32), np.empty(pieces, np.int32)
-        of_text = np.repeat(np.arange(len(texts), dtype=np.int64), np.diff(ends, prepend=0))
-        at = 2 * np.arange(len(of_run), dtype=np.int64) + of_text
-        last = 2 * ends + np.arange(len(texts))
-        piece_start[at], piece_size[at] = start[in_core][of_run], size[in_core][of_run]
-        piece_start[at + 1] = (tail_start + len(pool) - 1 - len(behind))[in_tail][of_run]
-        piece_size[at + 1] = tail_size[in_tail][of_run]
-        piece_start[last], piece_size[last] = len(pool) - 1, 1
-        stops = np.cumsum(piece_size, dtype=np.int64)
-        total = int(stops[-1]) if pieces else 0
-        gather = np.repeat(piece_start - (stops - piece_size).astype(np.int32), piece_size) + np.arange(total, dtype=np.int32)
-        return pool[gather], stops[last]
+        last = np.cumsum(pc.list_value_length(cut).to_numpy())
+        at = first = 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(last, first + _RUNS, side="right")))
+            some, ends = of_run[first : last[stop - 1]], last[at:stop] - first
+            # the end id is a piece behind those of each text
+            where = 2 * ends
+            piece_start = np.insert(starts[some].ravel(), where, len(pool) - 1)
+            piece_size = np.insert(sizes[some].ravel(), where, 1)
+            stops = np.cumsum(piece_size, dtype=np.int64)
+            shift = (piece_start - (stops - piece_size)).astype(np.int32)
+            yield pool[np.repeat(shift, piece_size) + np.arange(stops[-1], dtype=np.int32)], stops[where + np.arange(stop - at)]
+            at, first = stop, last[stop - 1]
 
 
 @functools.lru_cache(maxsize=2)
@@ -121,10 +126,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """The columns of `docs` but text, and ids: those of each whole text and the end id, little-endian 32-bit.
-
-    A null text has the end id only.
+def tokenise(docs: DataFrame, path: str, end_id: int, wide: bool = True) -> DataFrame:
+    """The columns of `docs` but text, and ids: those of each whole text and the end id, little-endian 32-bit, or 16-bit
+    unless `wide`; an id that does not fit raises. A null text has the end id only.
     """
     kept = [f for f in docs.schema.fields if f.name != "text"]
 
@@ -132,22 +136,31 @@ def tokenise(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         lib = encoder(path)
         for batch in batches:
             texts = pc.fill_null(batch.column(len(kept)), "")
-            ends = np.cumsum(pc.binary_length(texts).to_numpy())
-            start = 0
+            ends, start = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
             while start < len(texts):
                 begun = int(ends[start - 1]) if start else 0
                 stop = max(start + 1, int(np.searchsorted(ends, begun + _BYTES, side="right")))
-                ids, stops = lib.encode(texts.slice(start, stop - start), end_id)
-                offsets = pa.py_buffer(np.concatenate([[0], 4 * stops]).astype(np.int32))
-                column = pa.BinaryArray.from_buffers(pa.binary(), stop - start, [None, offsets, pa.py_buffer(ids.astype("<u4"))])
-                columns = [batch.column(i).slice(start, stop - start) for i in range(len(kept))]
-                yield pa.RecordBatch.from_arrays([*columns, column], [*[f.name for f in kept], "ids"])
-                start = stop
+                for ids, stops in lib.encode(texts.slice(start, stop - start), end_id):
+                    n = len(stops)
+                    offsets = pa.py_buffer(np.concatenate([[0], stops * (4 if wide else 2)]).astype(np.int32))
+                    column = pa.BinaryArray.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(_packed(ids, wide))])
+                    columns = [batch.column(i).slice(start, n) for i in range(len(kept))]
+                    yield pa.RecordBatch.from_arrays([*columns, column], [*[f.name for f in kept], "ids"])
+                    start += n
+                pa.default_memory_pool().release_unused()
 
     shape = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
     return docs.select(*[f.name for f in kept], "text").mapInArrow(run, shape + "ids binary")
 
 
+def _packed(ids: np.ndarray, wide: bool) -> np.ndarray:
+    if wide:
+        return ids.astype("<u4")
+    if len(ids) and int(ids.max()) >= 1 << 16:
+        raise ValueError(f"id {int(ids.max())} does not fit 16 bits")
+    return ids.astype("<u2")
+
+
 def _mixed(a: np.ndarray, b: np.ndarray, level: int) -> np.ndarray:
     """64 well-mixed bits of a 128-bit key, others on each level."""
     x = a + np.uint64((0x9E3779B97F4A7C15 * (level + 1)) % (1 << 64)) * (b | np.uint64(1))
@@ -211,20 +224,16 @@ class PerfectHash:
 def _blocks(tokens: DataFrame, wide: bool) -> DataFrame:
     """Blocks of sorted documents: keys, occurrence numbers within the part, offsets within the block, raw ids."""
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    store = "<u4" if wide else "<u2"
+    width = 4 if wide else 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, ids, keys, nth, size = TaskContext.get().partitionId(), 0, [], [], [], 0
         last, again = object(), 0
 
         def block() -> pa.RecordBatch:
-            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)]).tolist()
-            whole = np.frombuffer(b"".join(ids), "<u4")
-            if not wide and len(whole) and int(whole.max()) >= 1 << 16:
-                raise ValueError(f"id {int(whole.max())} does not fit 16 bits")
-            payload = whole.astype(store).tobytes()
-            cols = {"part": [part], "number": [number], "keys": [keys], "nth": [nth], "offsets": [offsets]}
-            return pa.RecordBatch.from_pylist([{k: v[0] for k, v in cols.items()} | {"ids": payload}], schema)
+            offsets = np.cumsum([0, *(len(x) // width for x in ids)]).tolist()
+            row = {"part": part, "number": number, "keys": keys, "nth": nth, "offsets": offsets, "ids": b"".join(ids)}
+            return pa.RecordBatch.from_pylist([row], schema)
 
         schema = None
         for batch in batches:
@@ -240,7 +249,7 @@ def _blocks(tokens: DataFrame, wide: bool) -> DataFrame:
                 keys.append(key)
                 nth.append(again)
                 ids.append(x.as_py())
-                size += len(ids[-1]) // 4
+                size += len(ids[-1]) // width
                 if size >= BLOCK_IDS:
                     yield block()
                     number, ids, keys, nth, size = number + 1, [], [], [], 0
@@ -289,7 +298,7 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 1, wide: bool | No
     # texts are dealt out, not ids: dealing by range looks at its input twice
     keyed = docs.select("doc_id", F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_place"), "text")
     ranges = keyed.repartitionByRange("doc_id", "_hash", "_place").drop("_place")
-    sorted_ = tokenise(ranges, path, end_id).sortWithinPartitions("doc_id", "_hash", "ids").drop("_hash")
+    sorted_ = tokenise(ranges, path, end_id, wide).sortWithinPartitions("doc_id", "_hash", "ids").drop("_hash")
     _blocks(sorted_, wide).write.parquet(f"{out}/blocks")
 
     places = (
