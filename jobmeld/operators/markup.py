@@ -23,9 +23,12 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 # elements whose content is text up to their own end tag
 RAW = {"script", "style", "textarea", "title"}
 # an open element of the second kind ends where one of the first kind starts
-_BLOCKS = "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul"
+_BLOCKS = [
+    "address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
+    "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul",
+]
 ENDS = {"li": {"li"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-ENDS |= {block: {"p"} for block in _BLOCKS.split()}
+ENDS |= {block: {"p"} for block in _BLOCKS}
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""",

@@ -57,10 +57,10 @@ JOB_SCHEMA = _struct(
 
 COMPANY_TYPES = {
     name: T.StringType()
-    for name in (
-        "company_name standard_name address description domain company_url province ward street district "
-        "industry company_industry company_size email establish_date representative"
-    ).split()
+    for name in [
+        "company_name", "standard_name", "address", "description", "domain", "company_url", "province", "ward", "street",
+        "district", "industry", "company_industry", "company_size", "email", "establish_date", "representative",
+    ]
 }
 
 
@@ -291,42 +291,69 @@ def fixed(df: DataFrame, fixes: Mapping[str, Callable[[DataFrame], Column]], wan
 
 # Columns of the raw tables. Text unless listed below; a value of another JSON shape is
 # read as its JSON text.
-RAW_COMPANY_COLUMNS = "company_id company_name company_only_name company_address province district ward street".split()
+RAW_COMPANY_COLUMNS = [
+    "company_id", "company_name", "company_only_name", "company_address", "province", "district", "ward", "street",
+]
 RAW_COLUMNS = {
-    ("careerviet", "recruit"): """type job_id job_title job_company_name job_company_url job_benefits job_industry job_created_at
-        job_valid_through job_description source_job_url job_company_id job_salary job_min_salary job_max_salary job_salary_level
-        job_exp_requirement job_salary_currency job_employment_type job_skills job_working_hours job_education_requirement
-        job_street_address""",
-    ("jobsgo", "recruit"): """source_job_url job_id job_title posted_at end_at job_employment_type job_exp_requirement
-        job_edu_requirement job_min_salary job_max_salary job_salary_unit job_industry job_description job_benefit job_company_name
-        job_company_url job_company_id postal_code""",
-    ("timviec365", "recruit"): """job_id job_title job_salary job_company_name job_company_url job_company_id industries fields address
-        job_employment_type headcount probation degree gender age job_description requirements benefits source_url""",
-    ("topcv", "recruit"): """job_id source_job_url job_company_id job_title job_company_name job_company_url job_company_logo
-        job_description job_industry job_street_address job_district_address job_city_address job_postal_code job_country_address
-        job_min_salary job_max_salary job_salary_currency job_posted_date job_valid_date job_employment_type job_level
-        job_experience_requirements job_skills job_total_openings job_benefits""",
-    ("vieclam24h", "recruit"): """type source_job_url job_title job_id job_employment_type job_date_posted job_valid_through
-        job_industry job_education_requirements job_min_salary job_max_salary job_currency job_description job_benefits job_skills
-        job_street_address job_postal_code job_company_name job_company_url job_company_id job_company_logo""",
-    ("vietnamworks", "recruit"): """type job_id job_url job_title job_company_name job_company_id job_locations job_address
-        job_language_vi job_salary_min job_salary_max job_salary_display job_salary_text job_level job_level_vi job_skills job_benefits
-        job_description job_requirement job_posted_at job_expired_at type_working_id job_industry visibility_display""",
-    ("careerlink", "recruit"): """type job_id source_job_url job_title job_company_name job_company_url job_company_id job_salary
-        job_location job_experience_requirement job_description job_benefits job_skills job_employment_type job_position
-        job_education_requirements job_industry""",
-    ("careerviet", "company"): """type company_domain company_description company_url company_logo source_company_url
-        company_postal_code""",
-    ("jobsgo", "company"): "source_company_url company_description company_domain company_industry",
-    ("timviec365", "company"): """company_url company_industry company_scale tax_code company_domain company_established_date
-        company_representative company_phone company_email""",
-    ("topcv", "company"): "source_company_url company_description company_domain company_size",
-    ("vieclam24h", "company"): """source_company_url company_domain company_slug company_province_id company_description
-        company_description_html company_tax_code""",
-    ("vietnamworks", "company"): "type company_profile company_size company_logo industry",
-    ("careerlink", "company"): """company_representative company_description company_email company_phone company_homepage_url
-        company_logo company_price_range company_street_address company_adrress_district company_address_address
-        company_address_country company_postal_code company_social_url company_open_hour company_working_hours""",
+    ("careerviet", "recruit"): [
+        "type", "job_id", "job_title", "job_company_name", "job_company_url", "job_benefits", "job_industry", "job_created_at",
+        "job_valid_through", "job_description", "source_job_url", "job_company_id", "job_salary", "job_min_salary",
+        "job_max_salary", "job_salary_level", "job_exp_requirement", "job_salary_currency", "job_employment_type", "job_skills",
+        "job_working_hours", "job_education_requirement", "job_street_address",
+    ],
+    ("jobsgo", "recruit"): [
+        "source_job_url", "job_id", "job_title", "posted_at", "end_at", "job_employment_type", "job_exp_requirement",
+        "job_edu_requirement", "job_min_salary", "job_max_salary", "job_salary_unit", "job_industry", "job_description",
+        "job_benefit", "job_company_name", "job_company_url", "job_company_id", "postal_code",
+    ],
+    ("timviec365", "recruit"): [
+        "job_id", "job_title", "job_salary", "job_company_name", "job_company_url", "job_company_id", "industries", "fields",
+        "address", "job_employment_type", "headcount", "probation", "degree", "gender", "age", "job_description",
+        "requirements", "benefits", "source_url",
+    ],
+    ("topcv", "recruit"): [
+        "job_id", "source_job_url", "job_company_id", "job_title", "job_company_name", "job_company_url", "job_company_logo",
+        "job_description", "job_industry", "job_street_address", "job_district_address", "job_city_address", "job_postal_code",
+        "job_country_address", "job_min_salary", "job_max_salary", "job_salary_currency", "job_posted_date", "job_valid_date",
+        "job_employment_type", "job_level", "job_experience_requirements", "job_skills", "job_total_openings", "job_benefits",
+    ],
+    ("vieclam24h", "recruit"): [
+        "type", "source_job_url", "job_title", "job_id", "job_employment_type", "job_date_posted", "job_valid_through",
+        "job_industry", "job_education_requirements", "job_min_salary", "job_max_salary", "job_currency", "job_description",
+        "job_benefits", "job_skills", "job_street_address", "job_postal_code", "job_company_name", "job_company_url",
+        "job_company_id", "job_company_logo",
+    ],
+    ("vietnamworks", "recruit"): [
+        "type", "job_id", "job_url", "job_title", "job_company_name", "job_company_id", "job_locations", "job_address",
+        "job_language_vi", "job_salary_min", "job_salary_max", "job_salary_display", "job_salary_text", "job_level",
+        "job_level_vi", "job_skills", "job_benefits", "job_description", "job_requirement", "job_posted_at", "job_expired_at",
+        "type_working_id", "job_industry", "visibility_display",
+    ],
+    ("careerlink", "recruit"): [
+        "type", "job_id", "source_job_url", "job_title", "job_company_name", "job_company_url", "job_company_id", "job_salary",
+        "job_location", "job_experience_requirement", "job_description", "job_benefits", "job_skills", "job_employment_type",
+        "job_position", "job_education_requirements", "job_industry",
+    ],
+    ("careerviet", "company"): [
+        "type", "company_domain", "company_description", "company_url", "company_logo", "source_company_url",
+        "company_postal_code",
+    ],
+    ("jobsgo", "company"): ["source_company_url", "company_description", "company_domain", "company_industry"],
+    ("timviec365", "company"): [
+        "company_url", "company_industry", "company_scale", "tax_code", "company_domain", "company_established_date",
+        "company_representative", "company_phone", "company_email",
+    ],
+    ("topcv", "company"): ["source_company_url", "company_description", "company_domain", "company_size"],
+    ("vieclam24h", "company"): [
+        "source_company_url", "company_domain", "company_slug", "company_province_id", "company_description",
+        "company_description_html", "company_tax_code",
+    ],
+    ("vietnamworks", "company"): ["type", "company_profile", "company_size", "company_logo", "industry"],
+    ("careerlink", "company"): [
+        "company_representative", "company_description", "company_email", "company_phone", "company_homepage_url",
+        "company_logo", "company_price_range", "company_street_address", "company_adrress_district", "company_address_address",
+        "company_address_country", "company_postal_code", "company_social_url", "company_open_hour", "company_working_hours",
+    ],
 }
 _LIST = T.ArrayType(_TEXT)
 RAW_TYPES = {
@@ -350,7 +377,7 @@ RAW_TYPES = {
 
 def raw_schema(media: str, kind: str) -> T.StructType:
     """Schema of a source's landed records: reading with it needs no inference pass."""
-    names = RAW_COLUMNS[media, kind].split()
+    names = RAW_COLUMNS[media, kind]
     if kind == "company":
         names = RAW_COMPANY_COLUMNS + names
     return T.StructType([T.StructField(n, RAW_TYPES.get((media, n), _TEXT)) for n in names])

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
+from jobmeld.functions.dates import to_time
 from jobmeld.operators import dedupe, enrich, extract, identity, incremental, lookup, matching, survivorship, upsert
 from jobmeld.plans.specs import COMPANY_TYPES, IDENTITY_SCHEMA, JOB_SCHEMA, SOURCES, SourceSpec, fixed
 from jobmeld.sources.jsonl import CORRUPT, read_jsonl
@@ -181,6 +182,11 @@ def read_jobs(store: SnapshotStore) -> DataFrame:
     return consolidate(parts)
 
 
+def dated_jobs(jobs: DataFrame) -> DataFrame:
+    """Jobs with `posted_on` and `ends_on`, the times that their texts say; the texts stay as the sources wrote them."""
+    return jobs.select("*", to_time(F.col("posted_at")).alias("posted_on"), to_time(F.col("end_at")).alias("ends_on"))
+
+
 def enrich_jobs(
     jobs: DataFrame, categories: enrich.Rules = enrich.CATEGORY_RULES, skill_rules: enrich.Rules = enrich.SKILL_RULES
 ) -> DataFrame:

@@ -349,6 +349,23 @@ def _(spark, sf):
     return _st3(spark, sf, None, whole=True)
 
 
+@query(
+    "prj1_dated_jobs",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 6 < 5 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS posted_on,
+         CASE o_orderkey % 3 WHEN 0 THEN '2024-02-29' WHEN 1 THEN NULL ELSE '2001-09-09' END AS ends_on FROM orders""",
+)
+def _(spark, sf):
+    day = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
+    jobs = table(spark, sf, "orders").selectExpr(
+        "o_orderkey",
+        f"""CASE o_orderkey % 6 WHEN 0 THEN {day} WHEN 1 THEN concat({day}, 'T10:20:30+00:00') WHEN 2 THEN concat({day}, ' 23:59:59')
+              WHEN 3 THEN date_format(o_orderdate, 'dd/MM/yyyy') WHEN 4 THEN concat(' ', date_format(o_orderdate, 'dd-MM-yyyy')) ELSE 'hôm qua' END AS posted_at""",
+        "CASE o_orderkey % 3 WHEN 0 THEN '29/02/2024 08:30' WHEN 1 THEN '30/02/2024' ELSE '1000000000000' END AS end_at",
+    )
+    on = steps.dated_jobs(jobs)
+    return on.select("o_orderkey", *[F.col(c).cast("date").cast("string").alias(c) for c in ("posted_on", "ends_on")])
+
+
 # every second line of an order arrives in a run of its own, the later lines of an order first
 @query(
     "st3_late_run",

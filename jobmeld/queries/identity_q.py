@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobmeld.operators import dedupe, identity, incremental, lookup, matching
+from jobmeld.operators import dedupe, identity, incremental, known, lookup, matching
 from jobmeld.queries.base import AS_OF, LATER, query, store, table, when
 from jobmeld.queries.lookalikes import (
     CLAIM_SQL,
@@ -129,6 +129,15 @@ def _(spark, sf):
     return dedupe.unseen(items, known, "item")
 
 
+@query("src4_known_ids", "SELECT c_custkey AS item, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey * 3 FROM supplier)")
+def _(spark, sf):
+    # the ids come in two batches that overlap
+    ids = known.KnownIds(store(spark, "known"), "customer", places=1 << 16)
+    for part in ("s_suppkey % 3 < 2", "s_suppkey % 3 > 0"):
+        ids.add(table(spark, sf, "supplier").filter(part).select((F.col("s_suppkey") * 3).alias("id")), "id")
+    return ids.unseen(table(spark, sf, "customer").select(F.col("c_custkey").alias("item"), "c_name"), "item")
+
+
 _LOOKUP_MASTER = """lm AS (SELECT CAST(c_custkey AS VARCHAR) AS corporate_number, c_name AS company_name, n_name AS province,
   CAST(c_custkey - c_custkey % 2 AS VARCHAR) AS topcv_company_id FROM customer JOIN nation ON n_nationkey = c_nationkey)"""
 _LOOKUP = f"""{_LOOKUP_MASTER}, lk AS (SELECT topcv_company_id AS company_id, min(corporate_number) AS corporate_number,

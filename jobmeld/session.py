@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Mapping
 
@@ -70,6 +71,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/jobmeld-scratch/{label}-{uuid.uuid4().hex}"
 
 
+def expire_scratch(spark: SparkSession, age_seconds: float) -> int:
+    """Delete scratch tables last written `age_seconds` ago or earlier; returns how many went.
+
+    Never called by a query. The age must exceed the longest time a frame over one stays in use.
+    """
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/jobmeld-scratch")
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return 0
+    limit = (time.time() - age_seconds) * 1000
+    old = [s.getPath() for s in fs.listStatus(base) if s.getModificationTime() <= limit]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor."""
     shared_dir(df.sparkSession)

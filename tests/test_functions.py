@@ -5,7 +5,7 @@ from urllib.parse import urljoin
 import pytest
 from pyspark.sql import functions as F
 
-from jobmeld.functions import address, names, numbers, predicates, text as tx, urls
+from jobmeld.functions import address, dates, names, numbers, predicates, text as tx, urls
 
 
 def one(spark, value, fn, ddl="v string"):
@@ -216,3 +216,15 @@ def test_split_address(spark):
         address.address_part(F.col("addr"), "ward").alias("w"), address.address_part(F.col("addr"), "planet").alias("p")
     )
     assert {r["p"] for r in part.collect()} == {None}
+
+
+TIMES = [
+    ("2024-05-06", "2024-05-06 00:00:00"), ("2024-05-06T07:08:09", "2024-05-06 07:08:09"), ("2024-05-06T07:08:09.123+07:00", "2024-05-06 00:08:09.123"),
+    ("06/05/2024", "2024-05-06 00:00:00"), ("06-05-2024", "2024-05-06 00:00:00"), ("06/05/2024 09:10", "2024-05-06 09:10:00"),
+    ("1714953600", "2024-05-06 00:00:00"), ("1714953600000", "2024-05-06 00:00:00"), ("31/02/2024", None), ("2024-05-06 x", None), ("", None),
+    ("soon", None), (None, None), ("12", None),
+]
+
+
+def test_to_time(spark):
+    assert many(spark, TIMES, lambda c: dates.to_time(c).cast("string")) == TIMES

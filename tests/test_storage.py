@@ -162,6 +162,14 @@ def test_session_takes_storage_settings_from_the_environment(spark, monkeypatch)
     assert session.build_session().conf.get("spark.hadoop.fs.s3a.endpoint") == "http://store.example:9000"
 
 
+def test_scratch_expires_by_age_and_on_request_only(spark):
+    path = session.scratch_path(spark, "old")
+    spark.range(3).write.parquet(path)
+    assert session.expire_scratch(spark, 3600) == 0 and spark.read.parquet(path).count() == 3
+    os.utime(path, (1, 1))
+    assert session.expire_scratch(spark, 10**8) >= 1 and not os.path.exists(path)
+
+
 def test_scratch_is_below_the_shared_folder_of_the_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert session.shared_dir(spark) == shared
