@@ -129,7 +129,7 @@ def _(spark, sf):
     return dedupe.unseen(items, known, "item")
 
 
-@query("src4_known_ids", "SELECT c_custkey AS item, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey * 3 FROM supplier)")
+@query("src4_unseen_ids", "SELECT c_custkey AS item, c_name FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey * 3 FROM supplier)")
 def _(spark, sf):
     # the ids come in two batches that overlap
     ids = known.KnownIds(store(spark, "known"), "customer", places=1 << 16)
