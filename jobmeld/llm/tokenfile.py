@@ -23,7 +23,8 @@ BLOCK_IDS = 1 << 19  # a block ends with the document that fills it
 BUCKET_KEYS = 20_000
 _BYTES = 1 << 23  # of texts whose runs are encoded together, or one text that holds more
 _RUNS = 1 << 17  # whose ids are laid out together, or those of one text
-_JOINED = 100  # words that the library gets as one text
+_JOINED, _ASKED = 100, 50  # words that the library gets as one text, and texts at a time
+_REMEMBERED = 600_000  # words whose ids a worker keeps
 _LETTERS = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}]+$"
 _NUMBERED = 10_000
 _LEVEL_ROOM = 2  # places per key on each level of the hash
@@ -48,6 +49,9 @@ class Encoder:
         self.size = max(vocabulary.values(), default=-1) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # the first words met, in Arrow, and where their ids stand
+        self.words, self.start, self.size_of = pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, np.uint32)
         self.separable = self._drops_white_space_and_case()
 
     def _drops_white_space_and_case(self) -> bool:
@@ -57,25 +61,44 @@ class Encoder:
         return whole.tolist() == np.concatenate(parts).tolist() and int(self.ends[words].sum()) == 3
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [
+            np.array(e.ids, np.uint32)
+            for i in range(0, len(texts), _ASKED)
+            for e in self.library.encode_batch_fast(texts[i : i + _ASKED], add_special_tokens=False)
+        ]
+
+    def _known(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(pool, start, size) of words of Latin letters; those met before come from memory."""
+        at = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy()
+        new = np.flatnonzero(at < 0)
+        asked = words.take(pa.array(new)).to_pylist()
+        ids = np.concatenate([*self._ids([" ".join(asked[i : i + _JOINED]) for i in range(0, len(asked), _JOINED)]), np.zeros(0, np.uint32)])
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(asked):
+            raise ValueError("the vocabulary's tokens do not tell where a word ends")
+        size, start = np.empty(len(words), np.int32), np.empty(len(words), np.int32)
+        held = at >= 0
+        size[held], start[held] = self.size_of[at[held]], self.start[at[held]]
+        size[new] = np.diff(last, prepend=-1)
+        start[new] = len(self.pool) + last + 1 - size[new]
+        pool = np.concatenate([self.pool, ids])
+        if len(asked) and len(self.words) + len(asked) <= _REMEMBERED:
+            self.words = pa.concat_arrays([self.words, pa.array(asked, pa.string())])
+            self.start, self.size_of = np.append(self.start, start[new]), np.append(self.size_of, size[new])
+            self.pool = pool
+        return pool, start, size
 
     def _pool(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids of distinct runs one behind the other; where each one's start, and how many they are."""
         plain = pc.match_substring_regex(runs, _LETTERS).to_numpy(zero_copy_only=False)
-        words, others = runs.filter(pa.array(plain)).to_pylist(), runs.filter(pa.array(~plain)).to_pylist()
-        ids = self._ids([" ".join(words[i : i + _JOINED]) for i in range(0, len(words), _JOINED)])
+        words, others = runs.filter(pa.array(plain)), runs.filter(pa.array(~plain)).to_pylist()
+        pool, known_start, known_size = self._known(words)
         apart = self._ids(others)
-        pool = np.concatenate([*ids, *apart, np.zeros(0, np.uint32)])
-        size = np.empty(len(runs), np.int32)
-        last = np.flatnonzero(self.ends[pool[: sum(map(len, ids))]]) if ids else np.zeros(0, np.int64)
-        if len(last) != len(words):
-            raise ValueError("the vocabulary's tokens do not tell where a word ends")
-        size[plain] = np.diff(last, prepend=-1)
-        size[~plain] = [len(x) for x in apart]
-        start = np.empty(len(runs), np.int32)
-        sizes = np.concatenate([size[plain], size[~plain]])
-        start[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.cumsum(sizes) - sizes
-        return pool, start, size
+        size, start = np.empty(len(runs), np.int32), np.empty(len(runs), np.int32)
+        size[plain], start[plain] = known_size, known_start
+        sizes = np.array([len(x) for x in apart], np.int32)
+        size[~plain], start[~plain] = sizes, len(pool) + np.cumsum(sizes) - sizes
+        return np.concatenate([pool, *apart]), start, size
 
     def encode(self, texts: pa.Array, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids of the texts, an `end_id` behind each, and where each text's stop; for some texts at a time.
@@ -135,7 +158,8 @@ def tokenise(docs: DataFrame, path: str, end_id: int, wide: bool = True) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = encoder(path)
         for batch in batches:
-            texts = pc.fill_null(batch.column(len(kept)), "")
+            texts = batch.column(len(kept))
+            texts = pc.fill_null(texts, "") if texts.null_count else texts
             ends, start = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
             while start < len(texts):
                 begun = int(ends[start - 1]) if start else 0

@@ -2,11 +2,13 @@
 
 import base64
 import glob
-import gzip
 import hashlib
+import math
 import os
 import random
 import re
+import shutil
+import time
 from collections import Counter
 
 import numpy as np
@@ -65,7 +67,9 @@ def signed(x):
     return int(np.uint64(x).astype(np.int64))
 
 
-def test_links_lose_nothing(spark):
+@pytest.mark.parametrize("large", [1000, 3])
+def test_links_lose_nothing(spark, monkeypatch, large):
+    monkeypatch.setattr(simhash, "LARGE", large)
     rnd, fps = random.Random(4), set()
     for _ in range(60):
         centre = rnd.getrandbits(64)
@@ -86,6 +90,19 @@ def test_links_lose_nothing(spark):
         simhash.links(spark.createDataFrame([(1,)], "fp long"), 4)
 
 
+def test_a_large_variant_is_not_compared_in_pairs():
+    """A hundred thousand fingerprints with one half, few of them linked: no quadratic time, no link lost."""
+    rng = np.random.default_rng(2)
+    fps = np.unique(rng.integers(0, 1 << 32, 100_000).astype(np.uint64))
+    near = fps[:300] ^ np.uint64(0b100010000000000001)
+    start = time.perf_counter()
+    a, b = simhash._divided(np.unique(np.concatenate([fps, near])), False, 3)
+    assert time.perf_counter() - start < 60
+    linked = roots({int(x) for x in [*fps, *near]}, zip(a, b))
+    assert all((x ^ y).bit_count() <= 3 for x, y in zip(a, b))
+    assert all(linked[int(x)] == linked[int(y)] for x, y in zip(fps[:300], near))
+
+
 def brute_fingerprint(text):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", lower)
@@ -180,6 +197,17 @@ def test_proximity(spark, docs):
     text = "red fox jumps high over some lazy dogs while seven quick birds sing very loudly"
     found = {r.doc_id: r for r in decontam.search(docs([(1, text), (2, text[::-1])]), spark.createDataFrame(item, "item_id long, text string")).collect()}
     assert (found[1].n_near_items, found[1].n_items, found[2].n_near_items) == (1, 0, 0)
+    assert (found[1].near_ids, found[2].near_ids, found[1].spans) == (["1"], [], [])
+
+
+def test_places_of_exact_runs(spark, docs):
+    """Clashing columns on either side; spans lie where the words are."""
+    items = [(1, " ".join(f"w{i}" for i in range(20))), (2, "Short one"), (None, "no id here")]
+    text = "x short ONE, y. " + " ".join(f"w{i}" for i in range(3, 18)) + " z no id here short one"
+    frame = docs([(1, text), (2, None), (3, "w3 w4")]).withColumn("n_hit", F.lit("own")).withColumn("item", F.lit("own")).withColumn("pos", F.lit("own"))
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit("own")).withColumn("w", F.lit("own"))
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in decontam.search(frame, benchmark).collect()}
+    assert found == {1: [(1, 2, "2"), (4, 15, "1"), (20, 3, None), (23, 2, "2")], 2: [], 3: []}
 
 
 def test_decontamination_runs_no_python(spark):
@@ -225,10 +253,10 @@ def test_archives(spark):
 def test_archives_in_splits(spark, tmp_path):
     """Files of many splits, with marks in payloads across their borders."""
     frame = spark.createDataFrame(PAGES * 3, "page_id long, url string, html string")
-    warc.write(frame, str(tmp_path / "gz"))
+    warc.write(frame, str(tmp_path / "written"))
     os.makedirs(tmp_path / "plain")
-    for i, f in enumerate(glob.glob(str(tmp_path / "gz" / "*.gz"))):
-        (tmp_path / "plain" / f"{i}.warc").write_bytes(gzip.open(f).read())
+    for i, f in enumerate(glob.glob(str(tmp_path / "written" / "*.txt"))):
+        shutil.copy(f, tmp_path / "plain" / f"{i}.warc")
     conf = {"spark.sql.files.maxPartitionBytes": "1500", "spark.sql.files.openCostInBytes": "100"}
     before = {k: spark.conf.get(k) for k in conf}
     try:
@@ -244,10 +272,10 @@ def test_archives_in_splits(spark, tmp_path):
 def test_archives_in_other_splits_when_read_again(spark, tmp_path, monkeypatch):
     """The second scan, for records torn by marks in their payload, packs the files otherwise than the first."""
     frame = spark.createDataFrame(PAGES * 3, "page_id long, url string, html string")
-    warc.write(frame, str(tmp_path / "gz"))
+    warc.write(frame, str(tmp_path / "written"))
     os.makedirs(tmp_path / "plain")
-    for i, f in enumerate(glob.glob(str(tmp_path / "gz" / "*.gz"))):
-        (tmp_path / "plain" / f"{i}.warc").write_bytes(gzip.open(f).read())
+    for i, f in enumerate(glob.glob(str(tmp_path / "written" / "*.txt"))):
+        shutil.copy(f, tmp_path / "plain" / f"{i}.warc")
     conf = {"spark.sql.files.maxPartitionBytes": "1500", "spark.sql.files.openCostInBytes": "100"}
     before, rejoined = {k: spark.conf.get(k) for k in conf}, warc._rejoined
 
@@ -275,7 +303,8 @@ def test_urls(spark):
         "http://net/", "http://internet/", None, "no url", "", "a://b://c/d", "http://h.example.com?x=/de/", "http:///de/",
         "HTTP://WWW.EXAMPLE.NET/EN/", "http://user@x.example.com:80/de/a",
     ]
-    frame = spark.createDataFrame([(i, u, "clash") for i, u in enumerate([*urls, urls[0]])], "page_id long, url string, rule string")
+    frame = spark.createDataFrame([(i, u, "clash", None) for i, u in enumerate([*urls, urls[0]])], "page_id long, url string, rule string, html string")
+    frame = frame.withColumn("host", F.lit("own")).withColumn("bad", F.lit("own"))
     got = {r.page_id: r for r in hosts.judge(frame, URL_RULES).collect()}
     assert len(got) == len(urls) + 1
     for i, u in enumerate(urls):
@@ -291,6 +320,67 @@ def test_urls(spark):
     assert hosts.judge(frame.limit(0), URL_RULES).collect() == []
 
 
+def shrunk(levels, overall):
+    """Posterior means down a tree of (children by node, n, bad), one level after the other, as the text book has them."""
+    means = {"": overall}
+    for nodes in levels:  # node -> (parent, n, bad)
+        full = [(n, bad, means[up]) for up, n, bad in nodes.values() if n]
+        total, off = sum(n for n, _, _ in full), sum(n * (bad / n - m) ** 2 for n, bad, m in full)
+        chance = sum(m * (1 - m) for _, _, m in full)
+        k = 1.0
+        if full:
+            beyond = (off - chance) / total
+            k = min(max(chance / len(full) / beyond - 1, 1.0), float(total)) if beyond > 0 else float(total)
+        sizes = {x: n + k for x, (_, n, _) in nodes.items()}
+        means = {x: (bad + k * means[up]) / (n + k) for x, (up, n, bad) in nodes.items()}
+    return means, sizes
+
+
+def test_url_verdicts_equal_brute_force(spark):
+    rnd = random.Random(6)
+    good = "<p>" + "word " * 60 + "</p><script>no no</script>"
+    thin = "<html><style>" + "x " * 90 + "</style><!-- " + "y " * 90 + "--><p>short</p></html>"
+    names = [f"h{i}.{d}" for i in range(12) for d in ("a.example", "b.example", "c.co.uk", "d.co.uk", "e.vn")] + ["", "vn", "co.uk"]
+    rows = []
+    for h in names:
+        share = rnd.choice([0, 0, 0.1, 0.9, 1])
+        for _ in range(rnd.randint(1, 25)):
+            url = rnd.choice([None, "no url"]) if not h else f"http://{h}/{rnd.choice(['de/', 'en/', 'spam/', 'spamming/'])}{rnd.randint(0, 99)}"
+            rows.append((len(rows), url, rnd.choice([thin, None]) if rnd.random() < share else good))
+    rules = [("a.example/de/", "block"), ("h1.b.example/", "allow")]
+    got = {r.page_id: r for r in hosts.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), rules).collect()}
+    assert len(got) == len(rows)
+    seen = {}
+    for i, url, html in rows:
+        bad = None if url is None else bool(re.search(r"(^|[^a-z])spam([^a-z]|$)", url)) or html != good
+        n, b = seen.get(got[i].host, (0, 0))
+        seen[got[i].host] = (n + (bad is not None), b + bool(bad))
+    suffix = {h: "co.uk" if h.endswith(".co.uk") else h.split(".")[-1] for h in seen}
+    domain = {h: ".".join(h.split(".")[-1 - suffix[h].count(".") - 1 :]) for h in seen}
+
+    def level(name, up):
+        out = {}
+        for h, (n, b) in seen.items():
+            p, m, c = out.get(name(h), (up(h), 0, 0))
+            out[name(h)] = (p, m + n, c + b)
+        return out
+
+    n, b = (sum(x) for x in zip(*seen.values()))
+    levels = [level(suffix.get, lambda h: ""), level(domain.get, suffix.get), level(lambda h: h, domain.get)]
+    means, sizes = shrunk(levels, (b + 0.5) / (n + 1))
+    blocked = {h for h, r in means.items() if r - 2 * math.sqrt(r * (1 - r) / (sizes[h] + 1)) > 0.5}
+    assert blocked and len(blocked) < len(means) / 2
+    for r in got.values():
+        want = {"a.example/de/": "block", "h1.b.example/": "allow"}.get(r.rule, "block" if r.host in blocked else "allow")
+        assert r.verdict == want, r
+
+
+def test_a_path_rule_is_no_evidence_against_its_host(spark):
+    rows = [(i, f"http://example.com/{'de' if i < 80 else 'en'}/{i}", "word " * 60) for i in range(100)]
+    got = hosts.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), URL_RULES).collect()
+    assert {(r.rule, r.verdict) for r in got} == {("example.com/de/", "block"), (None, "allow")}
+
+
 def test_reputation(spark):
     rows = [("bad.example.com", i >= 2) for i in range(40)] + [("good.example.com", i < 1) for i in range(40)]
     rows += [("few.example.com", True)] * 2 + [(f"h{i}.other.org", i % 2 == 0) for i in range(20)] + [("new.example.com", None)]

@@ -158,9 +158,11 @@ def test_token_ids_that_do_not_fit_raise(spark, docs, tmp_path):
     assert np.frombuffer(got.ids, "<u4")[-1] == 70_000
 
 
-def test_encoder_equals_library():
+def test_encoder_equals_library(monkeypatch):
     import pyarrow as pa
 
+    monkeypatch.setattr(tokenfile, "_RUNS", 500)
+
     rnd = random.Random(8)
     spans = [(32, 126), (160, 0x600), (0x4E00, 0x9FFF), (0x10000, 0x1FFFF), (0x80, 0xA0), (0x2000, 0x200F), (0x300, 0x36F), (0xC0, 0x100)]
     texts = ["".join(rnd.choice("aeiouthnrs \n'.,;!?AÉéß-\"9") for _ in range(rnd.randint(0, 60))) for _ in range(1500)]
@@ -170,10 +172,9 @@ def test_encoder_equals_library():
         lib, model = Tokenizer.from_file(path), tokenfile.Encoder(path)
         assert model.separable == (path == WORDS)
         for some in (texts, [""], []):
-            ids, stops = model.encode(pa.array(some, pa.string()), 1)
-            cuts = [0, *stops.tolist()]
-            for t, a, b in zip(some, cuts, cuts[1:], strict=True):
-                assert ids[a:b].tolist() == [*lib.encode(t, add_special_tokens=False).ids, 1], t
+            found = [part for ids, stops in model.encode(pa.array(some, pa.string()), 1) for part in np.split(ids, stops[:-1]) if len(stops)]
+            for t, got in zip(some, found, strict=True):
+                assert got.tolist() == [*lib.encode(t, add_special_tokens=False).ids, 1], t
 
 
 def test_perfect_hash_is_minimal():
@@ -279,6 +280,28 @@ def test_quality_hosts(spark, docs):
     assert quality.judge(docs([])).collect() == []
 
 
+def test_quality_verdicts_by_planted_hosts(spark, docs, awkward):
+    """In a whole table, two planted hosts turn the verdicts of their documents, and only theirs; as SQL has it, too."""
+    odd, good = " ".join(f"w{i} #" for i in range(60)), " ".join(f"word{i}" for i in range(60))
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    planted = [(10_000 + i, odd if i < 3 else good, None, "trusted") for i in range(400)]
+    planted += [(20_000 + i, odd if i < 300 else good, None, "junk") for i in range(400)]
+    frame = table.union(docs(planted)).union(awkward).withColumn("kept", F.lit("own")).withColumn("host", F.lit("own")).withColumn("n_words", F.lit(1))
+    got = quality.judge(frame).collect()
+    assert len(got) == frame.count()
+    by_id = {r.doc_id: r for r in got}
+    assert all(by_id[10_000 + i].kept and by_id[10_000 + i].strict_failed for i in range(3))
+    assert not any(by_id[20_000 + i].kept for i in range(300)) and all(by_id[20_000 + i].kept for i in range(300, 400))
+    assert by_id[10_000].host_trusted and by_id[20_000].host_failed
+    # brute force over the hosts' shares
+    rows = [(r.source, by_id.get(r.doc_id)) for r in frame.filter("doc_id is not null").dropDuplicates(["doc_id"]).collect()]
+    hosts = {h: [r.base_failed or r.strict_failed for g, r in rows if g == h] for h, _ in rows}
+    assert sum(hosts["trusted"]) == 3 and sum(hosts["junk"]) == 300
+    for r in got:
+        assert r.kept == (not r.base_failed and (r.host_trusted or not r.strict_failed))
+    assert quality.judge(frame.limit(0)).collect() == []
+
+
 def test_quality_junk_of_ordinary_hosts(docs):
     """No host fails the base rules; symbol and repeated-line junk goes, from a mixed host and from one of junk only."""
     good = " ".join(f"word{i}" for i in range(60))
@@ -404,6 +427,53 @@ def test_text_scores_above_its_shuffled_words(spark):
     assert np.mean([a.mean_log_likelihood - b.mean_log_likelihood for a, b in pairs]) > 0
 
 
+def test_scores_equal_brute_force(docs, awkward, monkeypatch):
+    """Every token of every row, one by one, under the trained network and the words' exact counts."""
+    monkeypatch.setattr(lmscore, "_BYTES", 200)
+    monkeypatch.setattr(lmscore, "_FREQUENT", 6)
+    rnd = random.Random(3)
+    words = [*"abcdefgh", "Été", "x" * 90, "X" * 90, "y" * 90]
+    rows = [(i, " ".join(rnd.choices(words, k=rnd.randint(0, 25)))) for i in range(60)] + [(5, "a b"), (5, "a b"), (None, "a\x0bb\x1cc")]
+    frame = docs(rows).withColumn("r1", F.lit("own")).withColumn("ids", F.lit("own")).withColumn("n", F.lit(1))
+    seen = lmscore.tokens(frame).filter("round >= 0").select("round", "r1", "r2", "ids")
+    model = lmscore.train(seen)
+    cut = {k: lower(t).replace("\x0b", " ").split(" ") for k, (_, t) in enumerate(rows)}
+    cut = {k: [w for w in ws if w] for k, ws in cut.items()}
+    counts = Counter(w for ws in cut.values() for w in ws)
+    in_class = Counter()
+    for w, c in counts.items():
+        in_class[model.class_of[lmscore.bucket(lmscore._short(w))]] += c
+    embed, w1, b1, w2, b2 = model.parts()
+    want = []
+    for k, (i, _) in enumerate(rows):
+        total, ids = 0.0, [lmscore.bucket(lmscore._short(w)) for w in cut[k]]
+        padded = [0, 0, *ids, 0, 0]
+        for at, (w, own) in enumerate(zip(cut[k], ids)):
+            x = np.concatenate([embed[padded[at + 2 + r]] for r in lmscore.REACH])
+            z = np.tanh(x @ w1 + b1) @ w2 + b2
+            c = model.class_of[own]
+            total += z[c] - np.log(np.exp(z).sum()) + np.log(counts[w] / in_class[c])
+        want.append((i, len(ids), total))
+    got = [(r.doc_id, r.n_tokens, r.log_likelihood) for r in lmscore.score(frame).collect()]
+    key = lambda r: (-1 if r[0] is None else r[0], r[1], round(r[2], 2))
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key), strict=True):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], abs=2e-3)
+
+
+def test_model_does_not_depend_on_the_layout(spark, monkeypatch):
+    """Same model, bit by bit, from other partitions, files and tasks, with rows that repeat."""
+    monkeypatch.setattr(lmscore, "SHARD_TOKENS", 5000)
+    monkeypatch.setattr(lmscore, "_COPIES", 7)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.filter("doc_id = 3").withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(60)))).drop("k"))
+    models = [
+        lmscore.train(lmscore.tokens(docs.repartition(n, *by)).filter("round >= 0").select("round", "r1", "r2", "ids"))
+        for n, by in ((1, ()), (7, ("text",)), (3, ("doc_id",)))
+    ]
+    assert np.array_equal(models[0].flat, models[1].flat) and np.array_equal(models[0].flat, models[2].flat)
+    assert np.abs(models[0].flat - lmscore.new_model(models[0].class_count[models[0].class_of]).flat).max() > 0
+
+
 def test_scores_awkward_and_again(docs, awkward):
     first, second = ([tuple(r) for r in lmscore.score(awkward).collect()] for _ in range(2))
     assert sorted(first, key=repr) == sorted(second, key=repr)
@@ -416,12 +486,11 @@ def test_scores_awkward_and_again(docs, awkward):
 def test_words_of_a_bucket_have_counts_of_their_own(docs, monkeypatch, room):
     """Two words that share a bucket differ by their counts, whether those are broadcast or joined."""
     monkeypatch.setattr(lmscore, "_FREQUENT", room)
-    bucket = lmscore._Buckets()
-    rare = next(w for i in range(10**6) if bucket[w := b"x%d" % i] == bucket[b"frequent"])
+    rare = next(w for i in range(10**6) if lmscore.bucket(w := b"x%d" % i) == lmscore.bucket(b"frequent"))
     rows = [(i, "frequent words and more of these words") for i in range(40)] + [(40, "frequent"), (41, rare.decode()), (41, rare.decode())]
     frame = docs([*rows, (42, None)])
     counts = Counter(w for _, t in rows for w in t.split())
-    assert {bytes(r.word).decode(): r.n for r in lmscore.vocabulary(frame).collect()} == counts
+    assert {bytes(r.word).decode(): r.n for r in lmscore.vocabulary(lmscore.tokens(frame)).collect()} == counts
     got = {r.doc_id: r for r in lmscore.score(frame).collect()}
     assert (got[41].n_tokens, got[42].n_tokens, got[42].log_likelihood) == (1, 0, 0.0)
     assert got[40].log_likelihood - got[41].log_likelihood == pytest.approx(np.log(41 / 2), abs=1e-5)
