@@ -5,20 +5,22 @@ softmax over token classes, and the word's share of its class in the corpus comp
 document's score is the sum of these conditional log-probabilities.
 
 The network sees words hashed to a fixed number of buckets, so it has a fixed size whatever the corpus. It is
-trained on every token of the corpus: in each round every task trains on its share from the same start, and
-Spark averages the results, weighted by tokens. The shares come from exact counts of all words, in a table that
+trained on every token of the corpus: in each round a number of shards that grows with the corpus train from the
+same start, and Spark averages the results, weighted by tokens. What a shard holds, and in which order, depends on the
+rows alone, so the model is the same on any cluster. The shares come from exact counts of all words, in a table that
 grows with the corpus: its most frequent words are broadcast, the others joined to the documents that hold them.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from jobmeld.functions.binding import detached
@@ -32,59 +34,81 @@ ROUNDS = 3
 BATCH = 4096
 RATE = 0.15
 _SCALE = 1 << 10  # weighted changes are summed as integers, so that their order does not matter
-_CACHED = 500_000
-_COUNTED = 200_000  # words that a task counts before it hands them on
+_BYTES = 1 << 23  # of texts that are split together, or one text that holds more
+_WORD = 64  # bytes; a longer word is kept as its digest
 _FREQUENT, _FREQUENT_BYTES = 1 << 16, 1 << 22  # words that are broadcast, at most
 _LOG_SCALE = 1 << 24  # logarithms of counts are summed as integers too
+SHARD_TOKENS = 1 << 20  # that a shard trains on, about
+_COPIES = 1000
 
 
-class _Buckets(dict):
-    """Word to bucket; remembers."""
+def bucket(word: bytes) -> int:
+    return 1 + zlib.crc32(word) % (BUCKETS - 1)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _CACHED:
-            self.clear()
-        out = self[word] = 1 + zlib.crc32(word) % (BUCKETS - 1)
-        return out
 
+def _short(word: str) -> bytes:
+    raw = word.encode()
+    return raw if len(raw) <= _WORD else b"\0" + xxhash.xxh3_128_digest(raw)
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """(doc_id, r1, r2, ids): buckets of the lower-case words between white space, as little-endian 16-bit integers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket = _Buckets()
-        for batch in batches:
-            for start, texts in chunks(batch.column(3)):
-                cut = [t.lower().split() for t in texts]
-                ids = [np.fromiter(map(bucket.__getitem__, w), "<u2", len(w)).tobytes() for w in cut]
-                kept = [batch.column(i).slice(start, len(ids)) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(ids, pa.binary())], ["doc_id", "r1", "r2", "ids"])
 
-    narrow = docs.select("doc_id", *row_keys("doc_id", "text"), F.col("text").cast("binary").alias("text"))
-    kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, r1 bigint, r2 int, ids binary")
+def _split(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct words, the word at each place, its text): lower-case words between ASCII white space."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = cut.flatten().dictionary_encode()
+    places, owners = coded.indices.to_numpy(), np.repeat(np.arange(len(texts)), pc.list_value_length(cut).to_numpy())
+    blank = pc.index(coded.dictionary, "").as_py()
+    if blank >= 0:
+        there = places != blank
+        places, owners = places[there], owners[there]
+    return [_short(w) for w in coded.dictionary.to_pylist()], places, owners
 
 
-def vocabulary(docs: DataFrame) -> DataFrame:
-    """(word, n) of every lower-case word of all texts, counted exactly; a table."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, seen = Counter(), 0
-        for batch in batches:
-            for _, texts in chunks(batch.column(0)):
-                for t in texts:
-                    found.update(t.lower().split())
-                seen += sum(map(len, texts))
-                if len(found) > _COUNTED or seen > 1 << 26:
-                    yield _counted(found)
-                    found, seen = Counter(), 0
-        yield _counted(found)
+def _together(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """(first row, texts) of runs of rows that hold some `_BYTES` together, or one row that holds more; no nulls."""
+    texts = pc.fill_null(texts, "")
+    ends, start = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
+    while start < len(texts):
+        begun = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, begun + _BYTES, side="right")))
+        yield start, texts.slice(start, stop - start)
+        start = stop
+
+
+def tokens(docs: DataFrame) -> DataFrame:
+    """Two kinds of rows, from one pass over the texts, as a table by round.
 
-    def _counted(found: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "n"]
-        )
+    (doc_id, r1, r2, ids): buckets of a text's words, as little-endian 16-bit integers; its round is 0 or more.
+    (word, n): how often some texts hold a word, with round -1.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["round", "doc_id", "r1", "r2", "ids", "word", "n"]
 
-    rows = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "word binary, n bigint")
-    return stored(rows.groupBy("word").agg(F.sum("n").alias("n")), "lm-vocabulary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in _together(batch.column(3)):
+                words, places, owners = _split(texts)
+                own = np.array([bucket(w) for w in words], "<u2")[places]
+                ends = np.searchsorted(owners, np.arange(len(texts) + 1)).astype(np.int32)
+                ids = pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(2 * ends), pa.py_buffer(own)])
+                kept = [batch.column(i).slice(start, len(texts)) for i in range(3)]
+                rounds = (np.asarray(kept[1].to_numpy(), np.int64) >> 20) % ROUNDS
+                empty = [pa.nulls(len(texts), pa.binary()), pa.nulls(len(texts), pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(rounds, pa.int32()), *kept, ids, *empty], names)
+                counts = np.bincount(places, minlength=len(words))
+                used = np.flatnonzero(counts)
+                none = [pa.nulls(len(used), c.type) for c in (*kept, ids)]
+                found = [pa.array([words[i] for i in used.tolist()], pa.binary()), pa.array(counts[used], pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), -1, np.int32)), *none, *found], names)
+
+    narrow = docs.select("doc_id", *row_keys("doc_id", "text"), "text")
+    rows = narrow.mapInArrow(run, f"round int, doc_id {kind}, r1 bigint, r2 int, ids binary, word binary, n bigint")
+    return written(rows, "lm-tokens", "round")
+
+
+def vocabulary(read: DataFrame) -> DataFrame:
+    """(word, n) of every lower-case word of all texts, counted exactly; a table."""
+    found = read.filter("round = -1").groupBy("word").agg(F.sum("n").alias("n"))
+    return stored(found, "lm-vocabulary")
 
 
 def frequent(words: DataFrame) -> tuple[int, dict[bytes, int]]:
@@ -103,46 +127,37 @@ def frequent(words: DataFrame) -> tuple[int, dict[bytes, int]]:
     return least, dict(zip(top["word"].to_pylist(), logs))
 
 
-def word_logs(docs: DataFrame) -> DataFrame:
-    """(r1, r2, n_words, logs): words of each key's rows, and the scaled sum of the logarithms of their counts.
+def word_logs(docs: DataFrame, words: DataFrame) -> DataFrame:
+    """(r1, r2, n_words, logs): words of each key's rows, and the scaled sum of the logarithms of their counts in `words`.
 
     Words too rare to be broadcast are shuffled with their documents' keys and meet their counts in a join; none of
     them holds more than a small share of the corpus.
     """
-    words = vocabulary(docs)
     least, top = frequent(words)
     known = docs.sparkSession.sparkContext.broadcast(top)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = known.value
+        find = known.value.get
         for batch in batches:
-            r1, r2 = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for start, texts in chunks(batch.column(2)):
-                at, word, n, value = [], [], [], []
-                for i, t in enumerate(texts, start):
-                    count = total = 0
-                    for w, c in Counter(t.lower().split()).items():
-                        if (log := logs.get(w)) is None:
-                            at.append(i)
-                            word.append(w)
-                            n.append(c)
-                            value.append(None)
-                        else:
-                            count += c
-                            total += c * log
-                    at.append(i)
-                    word.append(None)
-                    n.append(count)
-                    value.append(total)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r1[i] for i in at], pa.int64()), pa.array([r2[i] for i in at], pa.int32()),
-                        pa.array(word, pa.binary()), pa.array(n, pa.int64()), pa.array(value, pa.int64()),
-                    ],
-                    ["r1", "r2", "word", "n", "logs"],
-                )
-
-    narrow = docs.select(*row_keys("doc_id", "text"), F.col("text").cast("binary").alias("text"))
+            for start, texts in _together(batch.column(2)):
+                found, places, owners = _split(texts)
+                logs = np.array([find(w, -1) for w in found], np.int64)
+                value = logs[places]
+                common = value >= 0
+                n = np.bincount(owners[common], minlength=len(texts))
+                total = np.zeros(len(texts), np.int64)
+                np.add.at(total, owners[common], value[common])
+                # a rare word once per text, with how often it stands there
+                pairs, times = np.unique(owners[~common].astype(np.int64) * len(found) + places[~common], return_counts=True)
+                at, which = np.divmod(pairs, max(len(found), 1))
+                rows = np.concatenate([np.arange(len(texts)), at]) + start
+                keys = [batch.column(i).take(pa.array(rows)) for i in range(2)]
+                blank = [pa.array([None] * len(texts) + [found[i] for i in which.tolist()], pa.binary())]
+                blank += [pa.array(np.concatenate([n, times]), pa.int64())]
+                blank += [pa.array(total.tolist() + [None] * len(at), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*keys, *blank], ["r1", "r2", "word", "n", "logs"])
+
+    narrow = docs.select(*row_keys("doc_id", "text"), "text")
     found = stored(narrow.mapInArrow(run, "r1 bigint, r2 int, word binary, n bigint, logs bigint"), "lm-words")
     rare = words.filter(F.col("n") < least).select(
         F.col("word").alias("of"), F.round(F.log("n") * _LOG_SCALE).cast("long").alias("log")
@@ -265,11 +280,28 @@ def _sparse(values: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(at), pa.array(values[at])], ["i", "n"])
 
 
-def train(dealt: DataFrame) -> Model:
-    """A model of all texts in `dealt` (round, ids): counts first, then one round after the other.
+def _numbered(texts: DataFrame) -> DataFrame:
+    """`texts` (round, r1, r2, ids) with a column `copy`: rows that are equal are numbered, others have 0."""
+    again = stored(texts.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "lm-repeated")
+    plain = texts.withColumn("copy", F.lit(0).cast("bigint"))
+    if again.isEmpty():
+        return plain
+    # equal rows are counted and made again from one of them, some by each task
+    keys = again.select(detached(F.col("r1")).alias("r1"), "r2", "rows")
+    one = texts.join(keys, ["r1", "r2"]).groupBy("r1", "r2").agg(*[F.first(c).alias(c) for c in ("round", "ids", "rows")])
+    zero, step = F.lit(0).cast("bigint"), F.lit(_COPIES).cast("bigint")
+    parts = one.select("*", F.explode(F.sequence(zero, F.col("rows") - 1, step)).alias("at")).repartition("r1", "at")
+    copies = F.explode(F.sequence("at", F.least(F.col("at") + (_COPIES - 1), F.col("rows") - 1)))
+    return plain.join(keys, ["r1", "r2"], "left_anti").select(plain.columns).union(
+        parts.select(*[copies.alias(c) if c == "copy" else F.col(c) for c in plain.columns])
+    )
+
+
+def train(texts: DataFrame) -> Model:
+    """A model of all `texts` (round, r1, r2, ids): counts first, then one round after the other.
 
-    A text is trained on in one round. Its order within a task is that of the stored files, so a task that is
-    run again gives the same result.
+    A text is trained on in one round and one shard. Shards hold the texts of their hashes in the order of their keys, so
+    the model depends on the rows alone: neither on files or tasks, nor on how often one of these is run.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
@@ -278,22 +310,26 @@ def train(dealt: DataFrame) -> Model:
                 total += np.bincount(np.frombuffer(b"".join(ids), "<u2"), minlength=BUCKETS)
         yield _sparse(total)
 
-    model = new_model(_sums(dealt.select("ids").mapInArrow(count, "i bigint, n bigint"), BUCKETS))
+    counts = _sums(texts.select("ids").mapInArrow(count, "i bigint, n bigint"), BUCKETS)
+    model = new_model(counts)
     size = len(model.flat)
+    shards = max(1, int(counts.sum()) // (ROUNDS * SHARD_TOKENS))
+    dealt = _numbered(texts).withColumn("shard", F.pmod(F.xxhash64("r1", "r2", "copy"), F.lit(shards)))
     for k in range(ROUNDS):
         start = dealt.sparkSession.sparkContext.broadcast(model)
 
-        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def learn(table: pa.Table) -> pa.Table:
             base = start.value
             own = replace(base, flat=base.flat.copy())
             state, seen = np.full(size, 1e-8, np.float32), 0
-            for batch in batches:
-                for _, ids in chunks(batch.column(0), 1 << 20):
-                    seen += train_on(own, ids, state)
+            ids = table.sort_by([("r1", "ascending"), ("r2", "ascending"), ("copy", "ascending")])["ids"].combine_chunks()
+            for _, some in chunks(ids, 1 << 20):
+                seen += train_on(own, some, state)
             change = np.rint((own.flat - base.flat).astype(np.float64) * seen * _SCALE).astype(np.int64)
-            yield _sparse(np.append(change, seen))
+            return pa.Table.from_batches([_sparse(np.append(change, seen))])
 
-        rows = dealt.filter(F.col("round") == k).select("ids").mapInArrow(learn, "i bigint, n bigint")
+        mine = dealt.filter(F.col("round") == k).select("shard", "r1", "r2", "copy", "ids")
+        rows = mine.groupBy("shard").applyInArrow(learn, "i bigint, n bigint")
         total = _sums(rows, size + 1)
         if total[-1]:
             model.flat = (model.flat + total[:-1] / (_SCALE * float(total[-1]))).astype(np.float32)
@@ -303,15 +339,16 @@ def train(dealt: DataFrame) -> Model:
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood), one row per row of `docs` (doc_id, text).
 
-    Learns from and scores all rows. A text without words, or null, has 0 tokens, 0.0 and a null mean. Token ids
-    are shuffled once by row key, so that every round and task has a fair share of the corpus, and stored; a
-    source or a group of copies is spread over all tasks. The network has a fixed size and is broadcast; a word's
+    Learns from and scores all rows. A text without words, or null, has 0 tokens, 0.0 and a null mean; repeated rows and
+    null ids are rows like others; an empty table gives no rows; other columns, whatever their names, are not read. Texts are read whole, of
+    any length; a word of more than 64 bytes is told apart by a digest. Token ids are shuffled once per round by shard, so
+    a source or a group of copies is spread over all shards. The network has a fixed size and is broadcast; a word's
     share is its exact count over that of its class.
     """
     spark = docs.sparkSession
-    ids = tokens(docs).withColumn("round", F.pmod(F.shiftright("r1", 20), F.lit(ROUNDS)).cast("int"))
-    dealt = written(ids.repartition("r1").sortWithinPartitions("r1"), "lm-tokens", "round")
-    net = train(dealt)
+    read = tokens(docs)
+    texts = read.filter("round >= 0").select("round", "doc_id", "r1", "r2", "ids")
+    net = train(texts.drop("doc_id"))
     # the words' own counts, the other half of the shares, are added below
     net.log_share = -np.log(np.maximum(net.class_count, 1))[net.class_of]
     model = spark.sparkContext.broadcast(net)
@@ -322,14 +359,14 @@ def score(docs: DataFrame) -> DataFrame:
                 n, total = score_texts(model.value, own)
                 kept = [batch.column(i).slice(start, len(own)) for i in range(3)]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(n, pa.int64()), pa.array(total)], ["doc_id", "r1", "r2", "n_tokens", "total"]
+                    [*kept, pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "r1", "r2", "n_tokens", "total"]
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = dealt.select("doc_id", "r1", "r2", "ids").mapInArrow(
+    scored = texts.select("doc_id", "r1", "r2", "ids").mapInArrow(
         run, f"doc_id {kind}, r1 bigint, r2 int, n_tokens bigint, total double"
     )
-    logs = word_logs(docs).select(detached(F.col("r1")).alias("k1"), F.col("r2").alias("k2"), "n_words", "logs")
+    logs = word_logs(docs, vocabulary(read)).select(detached(F.col("r1")).alias("k1"), F.col("r2").alias("k2"), "n_words", "logs")
     scored = scored.join(logs, (F.col("r1") == F.col("k1")) & (F.col("r2") == F.col("k2")), "left")
     # rows with the same key share one sum, of as many times their words
     own = F.col("logs") / F.lit(float(_LOG_SCALE)) * F.col("n_tokens") / F.col("n_words")
