@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from jobmeld.functions.binding import detached
 from jobmeld.llm.common import ascii_lower, row_keys, stored
 
 WINDOW = 13
@@ -65,13 +66,15 @@ def _windows(places: DataFrame, window: int) -> DataFrame:
 
 
 def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest: int = RAREST, slop: int = SLOP) -> DataFrame:
-    """(doc_id, r1, r2, n_words, n_hit, n_items, n_near_items, item_ids), one row per row of `docs`.
+    """(doc_id, r1, r2, n_words, n_hit, n_items, n_near_items, item_ids, spans, near_ids), one row per row of `docs`.
 
     `n_hit` counts the words inside occurrences of a window of `window` item words, or of a whole shorter item.
     `item_ids` are the sorted ids, as strings, of items with an occurrence; an item without an id still hits words
-    but is not listed. `n_near_items` counts items that have a window whose rarest terms, each moved back by its
-    offset, fall into one stretch of 2 * `slop` words, stretches beginning every `slop` words. A null text has no
-    words; rows equal in id and text get equal results; empty tables give no row, or no hits.
+    but is not listed. `spans` has each stretch of an item's words that its occurrences make up: (first, words, item_id).
+    `n_near_items` counts items that have a window whose rarest terms, each moved back by its
+    offset, fall into one stretch of 2 * `slop` words, stretches beginning every `slop` words; `near_ids` lists their ids. A null or
+    empty text has no words; texts are read whole, of any length; rows equal in id and text get equal results; empty tables give no row, or no hits;
+    columns other than doc_id and text, item_id and text, whatever their names, are not read.
     """
     item_words = stored(_items(benchmark), "items")
     terms = item_words.select("word").distinct().withColumn("term", F.monotonically_increasing_id())
@@ -121,11 +124,16 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest:
 
     covered = runs.select("r1", "r2", F.explode(F.expr("sequence(a, a + cast(n as int) - 1)")).alias("pos")).distinct()
     covered = covered.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("n_hit"))
-    listed = runs.groupBy("r1", "r2").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
+    span = F.struct(F.col("a").cast("long").alias("first"), F.col("n").cast("long").alias("words"), F.col("item_id").cast("string").alias("item_id"))
+    listed = runs.groupBy("r1", "r2").agg(
+        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"), F.sort_array(F.collect_set(span)).alias("spans")
+    )
     bins = F.explode(F.array(F.floor(F.col("shift") / (2 * slop)) * 2, F.floor((F.col("shift") + slop) / (2 * slop)) * 2 + 1))
     near = met.select("r1", "r2", "item", "w", "k", "bit", bins.alias("bin"))
     near = near.groupBy("r1", "r2", "item", "w", "bin").agg(together.alias("all_met")).filter("all_met")
-    near = near.groupBy("r1", "r2").agg(F.count_distinct("item").alias("n_near_items"))
+    ids_of = lengths.select(detached(F.col("item")).alias("of"), F.col("item_id").cast("string").alias("near_id"))
+    near = near.select("r1", "r2", "item").distinct().join(_bounded(ids_of, F.lit(32)), F.col("item") == F.col("of"))
+    near = near.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("n_near_items"), F.sort_array(F.collect_set("near_id")).alias("near_ids"))
 
     base = index.filter(F.col("term") == _LENGTH_TERM).select("doc_id", "r1", "r2", F.col("pos").cast("long").alias("n_words"))
     out = base.join(covered, ["r1", "r2"], "left").join(listed, ["r1", "r2"], "left").join(near, ["r1", "r2"], "left")
@@ -134,6 +142,8 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest:
     return out.select(
         "doc_id", "r1", "r2", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.coalesce("n_near_items", zero).alias("n_near_items"), ids.alias("item_ids"),
+        F.coalesce("spans", F.array().cast("array<struct<first:bigint,words:bigint,item_id:string>>")).alias("spans"),
+        F.coalesce("near_ids", F.array().cast("array<string>")).alias("near_ids"),
     )
 
 

@@ -135,7 +135,9 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     if its `most_rate` is below. `kept` is false for what fails the base rules, and for what fails a strict rule and
     comes from a host that is not trusted. Texts are read once; counts go through the shared folder. A document
     without a host belongs to the host of all such. Hosts are joined back one row per host; a hot host's
-    documents are split by adaptive execution.
+    documents are split by adaptive execution. A null or empty text has no words and fails; a very long one is
+    read whole; repeated rows and null ids are rows like others; an empty table gives no rows. Columns other than doc_id, text and
+    the host's, whatever their names, are not read.
     """
     found = stored(counts(docs, host), "quality")
     hosts = shrunk_hosts(found.select("host", (base_failed() | strict_failed()).alias("failed")))
@@ -149,21 +151,6 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     )
 
 
-def judge_by_majority(docs: DataFrame, host: str = "source", bad_rate: float = 0.5) -> DataFrame:
-    """(doc_id, r1, r2, counts, base_failed, host_failed, kept) as the SQL of op7_quality_hosts defines them.
-
-    Only failures of the base rules count for a host, and the strict rules bind only where its `sure_rate` is above
-    `bad_rate`; a host that passes the base rules keeps whatever fails the strict ones.
-    """
-    found = stored(counts(docs, host), "quality")
-    hosts = shrunk_hosts(found.select("host", base_failed().alias("failed")))
-    flagged = _flagged(found, hosts, host_failed=F.col("sure_rate") > bad_rate)
-    return flagged.select(
-        "doc_id", "r1", "r2", *COUNTS, base_failed().alias("base_failed"), "host_failed",
-        (~base_failed() & ~(F.col("host_failed") & strict_failed())).alias("kept"),
-    )
-
-
 def _flagged(found: DataFrame, hosts: DataFrame, **flags: Column) -> DataFrame:
     """`found` with each flag of its host; only hosts with a flag are joined."""
     any_flag = F.greatest(*flags.values()) if len(flags) > 1 else next(iter(flags.values()))

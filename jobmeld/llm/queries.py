@@ -105,22 +105,23 @@ _WORD = r"[^\x20\x09-\x0D]+"
             length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
             coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(h.n, 0)::BIGINT AS n_repeat_words
           FROM t JOIN s USING (doc_id) LEFT JOIN h USING (doc_id) LEFT JOIN l USING (doc_id)),
-    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c),
-    hosts AS (SELECT source, count(*)::DOUBLE AS n, sum(base_failed::INT)::DOUBLE AS f FROM b GROUP BY source),
+    b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 10 * n_symbols > n_words OR word_chars > 15 * n_words
+        OR word_chars < 2 * n_words OR 20 * n_dup_lines > n_words OR 5 * n_repeat_words > n_words AS strict_failed FROM c),
+    hosts AS (SELECT source, count(*)::DOUBLE AS n, sum((base_failed OR strict_failed)::INT)::DOUBLE AS f FROM b GROUP BY source),
     sums AS (SELECT sum(n) AS nn, sum(f) AS ff, sum(n * n) AS qq, count(*) AS hh, sum(f * f / n) AS ss FROM hosts),
     prior AS (SELECT nn, ff, (ff + 0.5) / (nn + 1) AS m, nn - qq / nn AS room, hh, ss FROM sums),
     beyond AS (SELECT *, CASE WHEN room > 0 THEN (ss - ff * ff / nn - (hh - 1) * m * (1 - m)) / room ELSE 0 END AS v FROM prior),
     beta AS (SELECT m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), nn) ELSE nn END AS k FROM beyond),
-    rates AS (SELECT source, (f + m * k) / (n + k) AS rate, n + k AS size FROM hosts, beta),
-    bad AS (SELECT source FROM rates WHERE rate - 2 * sqrt(rate * (1 - rate) / (size + 1)) > 0.5)
-    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, bad.source IS NOT NULL AS host_failed,
-      NOT base_failed AND NOT (bad.source IS NOT NULL AND (10 * n_symbols > n_words OR word_chars > 15 * n_words
-        OR word_chars < 2 * n_words OR 20 * n_dup_lines > n_words OR 5 * n_repeat_words > n_words)) AS kept
-    FROM b LEFT JOIN bad ON b.source IS NOT DISTINCT FROM bad.source
+    rates AS (SELECT source, m, (f + m * k) / (n + k) AS rate, n + k AS size FROM hosts, beta),
+    marks AS (SELECT source, rate - 2 * sqrt(rate * (1 - rate) / (size + 1)) > m AS host_failed,
+                rate + 2 * sqrt(rate * (1 - rate) / (size + 1)) < m AS host_trusted FROM rates)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, strict_failed, host_failed, host_trusted,
+      NOT base_failed AND (host_trusted OR NOT strict_failed) AS kept
+    FROM b JOIN marks ON b.source IS NOT DISTINCT FROM marks.source
     """,
 )
 def _(spark, sf):
-    return quality.judge_by_majority(table(spark, sf, "documents")).drop("r1", "r2")
+    return quality.judge(table(spark, sf, "documents")).drop("r1", "r2")
 
 
 _TERM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -160,6 +161,7 @@ _RULE_CASE = " ".join(
     f"WHEN (host = '{r.partition('/')[0]}' OR ends_with(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}') THEN '{r}'"
     for r, _ in sorted(URL_RULES, key=lambda r: (len(r[0]), r[0]), reverse=True)
 )
+_SUFFIX_CASE = " ".join(f"WHEN ends_with(host, '.{s}') THEN '{s}'" for s in sorted(hosts.SUFFIXES, key=len, reverse=True))
 _BLOCKING = ", ".join(f"'{r}'" for r, v in URL_RULES if v == "block")
 
 
@@ -176,10 +178,14 @@ def _sql_level(name: str, children: str) -> str:
     rf"""
     WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-          coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+          coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
+          CASE WHEN url IS NOT NULL THEN regexp_matches(translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '(^|[^a-z])({"|".join(hosts.BAD_WORDS)})([^a-z]|$)') OR len(regexp_extract_all(
+              regexp_replace(coalesce(html, ''), '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'g'), '{_WORD}')) < 50 END AS bad FROM pages),
     seen AS (SELECT *, CASE {_RULE_CASE} END AS rule FROM u),
-    h AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
-            count(rule)::DOUBLE AS n, coalesce(sum((rule IN ({_BLOCKING}))::INT), 0)::DOUBLE AS bad FROM seen GROUP BY host),
+    x AS (SELECT host, CASE {_SUFFIX_CASE} ELSE string_split(host, '.')[-1] END AS suffix, count(bad)::DOUBLE AS n,
+            coalesce(sum(bad::INT), 0)::DOUBLE AS bad FROM seen GROUP BY host),
+    h AS (SELECT *, array_to_string(list_slice(string_split(host, '.'), -1 - len(string_split(suffix, '.')), -1), '.') AS domain FROM x),
     top AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1) AS m FROM h),
     s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(m) AS mean FROM h, top GROUP BY suffix),
     {_sql_level("ks", "s0")},

@@ -24,6 +24,7 @@ SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 _HALF = 32
+LARGE = 1000  # fingerprints of a variant that are compared without dividing them first
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 _UNIT_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
@@ -89,6 +90,27 @@ def forest(fps: np.ndarray, most: int) -> tuple[list[int], list[int]]:
     return a, b
 
 
+def _divided(fps: np.ndarray, low: bool, most: int) -> tuple[list[int], list[int]]:
+    """`forest` of a large variant, whose members differ in one bit of their low (or high) half at most.
+
+    On the other half they differ in three bits at most, so on one quarter in one bit at most: members are compared
+    where such a quarter agrees but for one blanked bit. Sorting takes the place of most comparisons.
+    """
+    other = (fps >> np.uint64(_HALF if low else 0)) & np.uint64(0xFFFFFFFF)
+    a, b = [], []
+    for v in range(_HALF):
+        quarter = (other >> np.uint64(16 * (v // 16))) & np.uint64(0xFFFF)
+        key = quarter & ~np.uint64(1 << (v % 16))
+        order = np.argsort(key, kind="stable")
+        cuts = np.flatnonzero(np.diff(key[order])) + 1
+        for some in np.split(order, cuts):
+            if len(some) > 1:
+                x, y = forest(fps[some], most)
+                a += x
+                b += y
+    return a, b
+
+
 def _links(keys: np.ndarray, fps: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within the runs of equal variants.
 
@@ -105,8 +127,9 @@ def _links(keys: np.ndarray, fps: np.ndarray, most: int) -> tuple[np.ndarray, np
     near = np.bitwise_count(fps[pairs] ^ fps[pairs + 1]) <= most
     a, b = fps[pairs[near]].tolist(), fps[pairs[near] + 1].tolist()
     large = todo & (sizes > 2)
-    for at, n in zip(starts[large].tolist(), sizes[large].tolist()):
-        x, y = forest(fps[at : at + n], most)
+    for at, n, kind in zip(starts[large].tolist(), sizes[large].tolist(), v[large].tolist()):
+        some = fps[at : at + n]
+        x, y = forest(some, most) if n <= LARGE else _divided(some, kind < _HALF, most)
         a += x
         b += y
     return np.array(a, np.uint64).view(np.int64), np.array(b, np.uint64).view(np.int64)
@@ -116,7 +139,8 @@ def links(fps: DataFrame, most: int = MAX_BITS) -> DataFrame:
     """(a, b): links between the distinct fingerprints `fps` that connect what is connected at `most` bits.
 
     One shuffle of 64 narrow rows per fingerprint, sorted and read as a stream; what a task holds is one batch
-    and the fingerprints of one variant, 8 bytes each.
+    and the fingerprints of one variant, 8 bytes each. A variant of many is divided by the other half, so that
+    the comparisons do not grow with the square of its size.
     """
     if most > MAX_BITS:
         raise ValueError(f"two halves with one blanked bit find {MAX_BITS} bits at most")
@@ -150,7 +174,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BIT
     Documents whose fingerprints differ in `most` bits or fewer are linked, whatever their length; texts without
     words share fingerprint zero. `group` names the component by a fingerprint, `component_id` is the smallest
     doc_id in it, null if none has one. Exact copies and repeated rows meet as one fingerprint before the search;
-    nothing is collected.
+    nothing is collected. A null or empty text has no words; texts are read whole, of any length; an empty table gives no rows;
+    columns other than doc_id and text, whatever their names, are not read.
     """
     found = stored(fingerprints(docs, shingle), "fingerprints")
     first = stored(found.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")

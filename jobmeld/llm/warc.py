@@ -39,11 +39,13 @@ def _one_line(col: Column) -> Column:
 
 
 def write(pages: DataFrame, out: str, date: str = "2024-01-01T00:00:00Z", least: int = 0) -> None:
-    """One record per row of `pages` (page_id, url, html) in gzip files below `out`; a null html is empty.
+    """One record per row of `pages` (page_id, url, html) in plain files below `out`, which readers can split; a null html is empty.
 
     Of rows with equal payloads of `least` bytes or more, those with the largest page_id are written as response,
     the others as revisit without the payload; a row without a page_id counts as smaller than any. Payloads are
-    grouped by digest in narrow rows; the pages themselves are shuffled once, hot digests split by adaptive execution.
+    grouped by digest in narrow rows; the repeated digests are stored, so that Spark knows their size: few are broadcast, for many the
+    pages are shuffled once, hot digests split by adaptive execution. Very long pages are records like others, repeated rows
+    give records of their own, an empty table gives no record; other columns, whatever their names, are not read.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(
@@ -53,7 +55,7 @@ def write(pages: DataFrame, out: str, date: str = "2024-01-01T00:00:00Z", least:
     copies = rows.filter(F.col("size") >= least).groupBy("sha1", "size").agg(
         F.max("page_id").alias("chosen"), F.count(F.lit(1)).alias("n")
     )
-    copies = copies.filter("n > 1").select(
+    copies = stored(copies.filter("n > 1"), "copies").select(
         detached(F.col("sha1")).alias("of"), F.col("size").alias("of_size"), "chosen"
     )
     rows = rows.join(copies, (F.col("sha1") == F.col("of")) & (F.col("size") == F.col("of_size")), "left")
@@ -78,7 +80,7 @@ def write(pages: DataFrame, out: str, date: str = "2024-01-01T00:00:00Z", least:
     ]
     head = [F.coalesce(F.concat(F.lit(f"{k}: "), v, F.lit("\r\n")), F.lit("")) for k, v in lines]
     record = F.concat(F.lit(MARK), *head, F.lit("\r\n"), block)
-    rows.select(record.alias("value")).write.option("lineSep", _GAP).option("compression", "gzip").text(out)
+    rows.select(record.alias("value")).write.option("lineSep", _GAP).text(out)
 
 
 def _raw(spark: SparkSession, path: str) -> DataFrame:
