@@ -149,32 +149,16 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def tokenise(docs: DataFrame, path: str, end_id: int, wide: bool = True) -> DataFrame:
-    """The columns of `docs` but text, and ids: those of each whole text and the end id, little-endian 32-bit, or 16-bit
-    unless `wide`; an id that does not fit raises. A null text has the end id only.
-    """
-    kept = [f for f in docs.schema.fields if f.name != "text"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lib = encoder(path)
-        for batch in batches:
-            texts = batch.column(len(kept))
-            texts = pc.fill_null(texts, "") if texts.null_count else texts
-            ends, start = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
-            while start < len(texts):
-                begun = int(ends[start - 1]) if start else 0
-                stop = max(start + 1, int(np.searchsorted(ends, begun + _BYTES, side="right")))
-                for ids, stops in lib.encode(texts.slice(start, stop - start), end_id):
-                    n = len(stops)
-                    offsets = pa.py_buffer(np.concatenate([[0], stops * (4 if wide else 2)]).astype(np.int32))
-                    column = pa.BinaryArray.from_buffers(pa.binary(), n, [None, offsets, pa.py_buffer(_packed(ids, wide))])
-                    columns = [batch.column(i).slice(start, n) for i in range(len(kept))]
-                    yield pa.RecordBatch.from_arrays([*columns, column], [*[f.name for f in kept], "ids"])
-                    start += n
-                pa.default_memory_pool().release_unused()
-
-    shape = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    return docs.select(*[f.name for f in kept], "text").mapInArrow(run, shape + "ids binary")
+def encoded(texts: pa.Array, path: str, end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The ids of whole texts, an `end_id` behind each, and where each text's stop; for some texts at a time, nulls as empty."""
+    texts, lib = pc.fill_null(texts, "") if texts.null_count else texts, encoder(path)
+    ends, start = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), 0
+    while start < len(texts):
+        begun = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, begun + _BYTES, side="right")))
+        yield from lib.encode(texts.slice(start, stop - start), end_id)
+        pa.default_memory_pool().release_unused()
+        start = stop
 
 
 def _packed(ids: np.ndarray, wide: bool) -> np.ndarray:
@@ -245,42 +229,50 @@ class PerfectHash:
         return cls(levels)
 
 
-def _blocks(tokens: DataFrame, wide: bool) -> DataFrame:
-    """Blocks of sorted documents: keys, occurrence numbers within the part, offsets within the block, raw ids."""
-    kind = tokens.schema["doc_id"].dataType.simpleString()
-    width = 4 if wide else 2
+def _blocks(docs: DataFrame, path: str, end_id: int, wide: bool) -> DataFrame:
+    """Blocks of sorted documents (doc_id, text): keys, occurrence numbers within the part, offsets within the block, raw ids."""
+    kind, arrow = docs.schema["doc_id"].dataType.simpleString(), _arrow_type(docs, "doc_id")
+    schema = pa.schema(
+        [
+            ("part", pa.int32()), ("number", pa.int32()), ("keys", pa.list_(arrow)), ("nth", pa.list_(pa.int64())),
+            ("offsets", pa.list_(pa.int64())), ("ids", pa.binary()),
+        ]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, ids, keys, nth, size = TaskContext.get().partitionId(), 0, [], [], [], 0
-        last, again = object(), 0
+        part, number, last, again = TaskContext.get().partitionId(), 0, object(), 0
+        keys, nth, sizes, ids, held = [], [], [], [], 0
 
         def block() -> pa.RecordBatch:
-            offsets = np.cumsum([0, *(len(x) // width for x in ids)]).tolist()
+            offsets = np.cumsum([0, *sizes]).tolist()
             row = {"part": part, "number": number, "keys": keys, "nth": nth, "offsets": offsets, "ids": b"".join(ids)}
             return pa.RecordBatch.from_pylist([row], schema)
 
-        schema = None
         for batch in batches:
-            schema = schema or pa.schema(
-                [
-                    ("part", pa.int32()), ("number", pa.int32()), ("keys", pa.list_(batch.schema.field(0).type)),
-                    ("nth", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())), ("ids", pa.binary()),
-                ]
-            )
-            for key, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                again = again + 1 if key == last else 0
-                last = key
-                keys.append(key)
-                nth.append(again)
-                ids.append(x.as_py())
-                size += len(ids[-1]) // width
-                if size >= BLOCK_IDS:
-                    yield block()
-                    number, ids, keys, nth, size = number + 1, [], [], [], 0
-        if ids:
+            names, first = batch.column(0).to_pylist(), 0
+            for found, stops in encoded(batch.column(1), path, end_id):
+                found, at, n = _packed(found, wide), 0, len(stops)
+                while at < n:
+                    # up to the document that fills the block
+                    begun = int(stops[at - 1]) if at else 0
+                    stop = min(int(np.searchsorted(stops, begun + BLOCK_IDS - held)) + 1, n)
+                    for key in names[first + at : first + stop]:
+                        again = again + 1 if key == last else 0
+                        last = key
+                        keys.append(key)
+                        nth.append(again)
+                    sizes += np.diff(stops[at:stop], prepend=begun).tolist()
+                    ids.append(found[begun : stops[stop - 1]].tobytes())
+                    held += int(stops[stop - 1]) - begun
+                    if held >= BLOCK_IDS:
+                        yield block()
+                        number, keys, nth, sizes, ids, held = number + 1, [], [], [], [], 0
+                    at = stop
+                first += n
+        if keys:
             yield block()
 
-    return tokens.mapInArrow(
+    return docs.select("doc_id", "text").mapInArrow(
         run,
         f"part int, number int, keys array<{kind}>, nth array<bigint>, offsets array<bigint>, ids binary",
     )
@@ -309,12 +301,12 @@ def _before(blocks: DataFrame) -> list[tuple]:
 def write(docs: DataFrame, path: str, out: str, end_id: int = 1, wide: bool | None = None) -> None:
     """Encode `docs` (doc_id, text) and write the tables `out`/blocks and `out`/index.
 
-    Documents stand in ascending order of doc_id, nulls first; rows that share a doc_id follow one another in the order of
-    a hash of their text and are told apart by an occurrence number. `wide` stores 32-bit ids, else 16-bit; without it the
-    size of the vocabulary decides, and an id that does not fit raises. A null or empty text has the end id only; texts are read whole, of any length;
-    an empty table writes empty ones; other columns, whatever their names, are not read.
-    One shuffle of the texts, by ranges of doc_id, hash and place, so that a frequent id or text is divided among
-    tasks; blocks are cut from the sorted stream, never from a group.
+    Documents stand in ascending order of doc_id, nulls first; rows that share a doc_id follow one another in the
+    order of a hash of their text and are told apart by an occurrence number. `wide` stores 32-bit ids, else 16-bit;
+    without it the size of the vocabulary decides, and an id that does not fit raises. A null or empty text has the
+    end id only; texts are read whole, of any length; an empty table writes empty ones; other columns, whatever their
+    names, are not read. One shuffle of the texts, by ranges of doc_id, hash and place, so that a frequent id or text
+    is divided among tasks; blocks are cut from the sorted stream, never from a group.
     """
     spark = docs.sparkSession
     if wide is None:
@@ -322,8 +314,8 @@ def write(docs: DataFrame, path: str, out: str, end_id: int = 1, wide: bool | No
     # texts are dealt out, not ids: dealing by range looks at its input twice
     keyed = docs.select("doc_id", F.xxhash64("text").alias("_hash"), F.monotonically_increasing_id().alias("_place"), "text")
     ranges = keyed.repartitionByRange("doc_id", "_hash", "_place").drop("_place")
-    sorted_ = tokenise(ranges, path, end_id, wide).sortWithinPartitions("doc_id", "_hash", "ids").drop("_hash")
-    _blocks(sorted_, wide).write.parquet(f"{out}/blocks")
+    sorted_ = ranges.sortWithinPartitions("doc_id", "_hash", "text")
+    _blocks(sorted_, path, end_id, wide).write.parquet(f"{out}/blocks")
 
     places = (
         spark.read.parquet(f"{out}/blocks")

@@ -1,6 +1,7 @@
 """Operators that read a text at a time, against brute force, a library or held-out rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -331,10 +332,71 @@ def test_language_of_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_more_languages_than_a_matrix_holds(spark, awkward, monkeypatch):
+    """Blocks of languages give what one matrix gives, for rows that repeat, ties and texts without a letter as well."""
+    docs = everything(spark, awkward).withColumn("best", F.lit("own")).withColumn("share", F.lit("own"))
+    twice = docs.filter("lang = 'en' and doc_id < 60").withColumn("lang", F.lit("en again"))
+    docs = docs.union(twice).union(docs.filter("doc_id = 5"))
+    want = {(r.doc_id, r.r1): r for r in langid.identify(docs).collect()}
+    monkeypatch.setattr(langid, "_CELLS", 5000)
+    for size in (1, 2):
+        monkeypatch.setattr(langid, "BLOCK_LANGS", size)
+        got = langid.identify(docs).collect()
+        assert len(got) == docs.count()
+        for r in got:
+            a = want[r.doc_id, r.r1]
+            assert r.lang_pred == a.lang_pred and r.score == pytest.approx(a.score, abs=1e-6)
+
+
+def test_score_equals_brute_force(docs):
+    """The whole score: share among the languages, times the fit against the learnt texts of the language."""
+    rnd = random.Random(2)
+    rows = [(i, "".join(rnd.choice("abc " if i % 2 else "cde ") for _ in range(rnd.randint(5, 90))), "xy"[i % 2]) for i in range(80)]
+    rows += [(100, "zzz qqq", None), (101, "aé", "x"), (102, None, "x"), (103, "12", "y")]
+    frame = docs(rows)
+    fold = {r.doc_id: r.h for r in frame.select("doc_id", langid.held_out(F.col("doc_id")).alias("h")).collect()}
+    learnt = [(t, lang) for i, t, lang in rows if not fold[i] and t is not None and lang]
+    counts = {x: Counter() for x in "xy"}
+    for t, lang in learnt:
+        a, c = langid.features(t)
+        counts[lang].update(dict(zip(a.tolist(), c.tolist())))
+    size = {x: sum(c.values()) + (1 << langid.BITS) for x, c in counts.items()}
+
+    def scores(t):
+        a, c = langid.features(t)
+        sums = {x: sum(m * math.log((counts[x][k] + 1) / size[x]) for k, m in zip(a.tolist(), c.tolist())) for x in "xy"}
+        prior = {x: math.log(sum(lang == x for _, lang in learnt) / len(learnt)) for x in "xy"}
+        best = max("xy", key=lambda x: (sums[x] + prior[x], -ord(x)))
+        share = 1 / sum(math.exp(sums[x] + prior[x] - sums[best] - prior[best]) for x in "xy")
+        return best, share, sums[best] / int(c.sum()), int(c.sum())
+
+    fits = {x: [] for x in "xy"}
+    for t, lang in learnt:
+        if re.search(r"[^\W\d_]", t) and scores(t)[0] == lang:
+            fits[lang].append(scores(t)[2:])
+    usual = {}
+    for x, seen in fits.items():
+        n = sum(g for _, g in seen)
+        mean, rows_, inverse = sum(v * g for v, g in seen) / n, len(seen), sum(1 / g for _, g in seen)
+        plain, weighted = sum((v - mean) ** 2 for v, _ in seen), sum(g * (v - mean) ** 2 for v, g in seen)
+        room = n * inverse - rows_**2
+        per = max((plain * n - weighted * rows_) / room, 0.0) if room > 1e-6 * rows_**2 else 0.0
+        usual[x] = mean, (rows_ * max((weighted - per * rows_) / n, 0.0) + 10) / (rows_ + 10), per
+    for r in langid.identify(frame).collect():
+        t = next(t for i, t, _ in rows if i == r.doc_id)
+        if t is None or not re.search(r"[^\W\d_]", t):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+            continue
+        best, share, fit, grams = scores(t)
+        mean, between, per = usual[best]
+        below = (fit - mean) / math.sqrt(between + per / grams)
+        assert r.lang_pred == best and r.score == pytest.approx(share / (1 + math.exp(-(below + langid.LEAST_FIT))), abs=1e-5)
+
+
 def test_language_scores_equal_brute_force(docs):
     frame = docs([(i, t, lang) for i, (t, lang) in enumerate([("aaa bbb", "x"), ("ccc ddd", "y"), ("aab", None), ("12", "x")] * 9)])
     learnt = frame.filter(~langid.held_out(F.col("doc_id")))
-    langs, logs = langid.learn(learnt, F.col("text"), F.col("lang"))
+    [(langs, logs)] = langid.learn(learnt, F.col("text"), F.col("lang"))
     assert langs == ["x", "y"]
     totals, n = {x: Counter() for x in langs}, Counter()
     for r in learnt.collect():
