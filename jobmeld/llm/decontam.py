@@ -69,12 +69,12 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest:
     """(doc_id, r1, r2, n_words, n_hit, n_items, n_near_items, item_ids, spans, near_ids), one row per row of `docs`.
 
     `n_hit` counts the words inside occurrences of a window of `window` item words, or of a whole shorter item.
-    `item_ids` are the sorted ids, as strings, of items with an occurrence; an item without an id still hits words
-    but is not listed. `spans` has each stretch of an item's words that its occurrences make up: (first, words, item_id).
-    `n_near_items` counts items that have a window whose rarest terms, each moved back by its
-    offset, fall into one stretch of 2 * `slop` words, stretches beginning every `slop` words; `near_ids` lists their ids. A null or
-    empty text has no words; texts are read whole, of any length; rows equal in id and text get equal results; empty tables give no row, or no hits;
-    columns other than doc_id and text, item_id and text, whatever their names, are not read.
+    `item_ids` are the sorted ids, as strings, of items with an occurrence; an item without an id still hits words but
+    is not listed. `spans` has each stretch of an item's words that its occurrences make up: (first, words, item_id).
+    `n_near_items` counts items that have a window whose rarest terms, each moved back by its offset, fall into one
+    stretch of 2 * `slop` words, stretches beginning every `slop` words; `near_ids` lists their ids. A null or empty
+    text has no words; texts are read whole, of any length; rows equal in id and text get equal results; empty tables
+    give no row, or no hits; columns other than doc_id and text, item_id and text, whatever their names, are not read.
     """
     item_words = stored(_items(benchmark), "items")
     terms = item_words.select("word").distinct().withColumn("term", F.monotonically_increasing_id())

@@ -131,11 +131,11 @@ def judge(
     """(page_id, host, path, rule, verdict), one row per row of `pages` (page_id, url, html).
 
     `rules` are (`host/path…`, block or allow), a list the caller writes; the longest that fits decides. Other pages
-    are blocked where the host's `sure_rate` is above `limit`, else allowed. The outcomes are `bad`, a boolean of a page that
-    may be null, by default `outcome` of its URL and text; they count whether a rule fits the page or not, and no rule is evidence. Rows without a
-    host share the empty one. Hosts are joined back one row per blocked host; a hot host's pages are split by
-    adaptive execution. Repeated rows and null ids give results of their own, very long texts are read whole, an empty table gives no
-    rows; other columns, whatever their names, are not read.
+    are blocked where the host's `sure_rate` is above `limit`, else allowed. The outcomes are `bad`, a boolean of a
+    page that may be null, by default `outcome` of its URL and text; they count whether a rule fits the page or not,
+    and no rule is evidence. Rows without a host share the empty one. Hosts are joined back one row per blocked host;
+    a hot host's pages are split by adaptive execution. Repeated rows and null ids give results of their own, very
+    long texts are read whole, an empty table gives no rows; other columns, whatever their names, are not read.
     """
     bad = outcome(F.col("url"), F.col("html")) if bad is None else bad
     seen = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), bad.alias("bad"))

@@ -339,11 +339,11 @@ def train(texts: DataFrame) -> Model:
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood), one row per row of `docs` (doc_id, text).
 
-    Learns from and scores all rows. A text without words, or null, has 0 tokens, 0.0 and a null mean; repeated rows and
-    null ids are rows like others; an empty table gives no rows; other columns, whatever their names, are not read. Texts are read whole, of
-    any length; a word of more than 64 bytes is told apart by a digest. Token ids are shuffled once per round by shard, so
-    a source or a group of copies is spread over all shards. The network has a fixed size and is broadcast; a word's
-    share is its exact count over that of its class.
+    Learns from and scores all rows. A text without words, or null, has 0 tokens, 0.0 and a null mean; repeated rows
+    and null ids are rows like others; an empty table gives no rows; other columns, whatever their names, are not
+    read. Texts are read whole, of any length; a word of more than 64 bytes is told apart by a digest. Token ids are
+    shuffled once per round by shard, so a source or a group of copies is spread over all shards. The network has a
+    fixed size and is broadcast; a word's share is its exact count over that of its class.
     """
     spark = docs.sparkSession
     read = tokens(docs)

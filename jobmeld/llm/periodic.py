@@ -260,10 +260,10 @@ def _strongest(found: list[Run]) -> Run:
 def find_runs(docs: DataFrame, least: int = LEAST_WORDS, exponent: int = LEAST_EXPONENT) -> DataFrame:
     """(doc_id, n_runs, start, length, period, runs, collapsed) of every whole text.
 
-    Words are maximal runs of other characters than blanks and \\x09 to \\x0D, numbered from 0. A run is a stretch of words
-    with smallest period `period` that no neighbouring word extends, of `least` words and `exponent` periods or more; `start`, `length` and
-    `period` are those of the run with the most periods, null without one. `runs` lists all by start and period, `collapsed`
-    is the text's words without the repeats.
+    Words are maximal runs of other characters than blanks and \\x09 to \\x0D, numbered from 0. A run is a stretch of
+    words with smallest period `period` that no neighbouring word extends, of `least` words and `exponent` periods or
+    more; `start`, `length` and `period` are those of the run with the most periods, null without one. `runs` lists
+    all by start and period, `collapsed` is the text's words without the repeats.
 
     A null text has no words, nor has one of blanks; a text without runs keeps its words. Rows are taken one by one, so
     repeated ones, ties and null ids do no harm; columns other than doc_id and text are not read. A text is read

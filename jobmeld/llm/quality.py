@@ -134,10 +134,10 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     A host fails if its `sure_rate` of documents that fail any rule is above the rate of all documents, and is trusted
     if its `most_rate` is below. `kept` is false for what fails the base rules, and for what fails a strict rule and
     comes from a host that is not trusted. Texts are read once; counts go through the shared folder. A document
-    without a host belongs to the host of all such. Hosts are joined back one row per host; a hot host's
-    documents are split by adaptive execution. A null or empty text has no words and fails; a very long one is
-    read whole; repeated rows and null ids are rows like others; an empty table gives no rows. Columns other than doc_id, text and
-    the host's, whatever their names, are not read.
+    without a host belongs to the host of all such. Hosts are joined back one row per host; a hot host's documents are
+    split by adaptive execution. A null or empty text has no words and fails; a very long one is read whole; repeated
+    rows and null ids are rows like others; an empty table gives no rows. Columns other than doc_id, text and the
+    host's, whatever their names, are not read.
     """
     found = stored(counts(docs, host), "quality")
     hosts = shrunk_hosts(found.select("host", (base_failed() | strict_failed()).alias("failed")))

@@ -142,10 +142,22 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
     hit AS (SELECT doc_id, k, item_id, dw.size FROM dw JOIN win USING (size, key)),
     pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM hit) GROUP BY doc_id),
     its AS (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS ids
-            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY doc_id)
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY doc_id),
+    dp AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM d),
+    often AS (SELECT word, count(*) AS n FROM dp GROUP BY word),
+    ip AS (SELECT item_id, size, len(ws) AS all_words, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM bl),
+    iw AS (SELECT item_id, size, i, word, coalesce(n, 0) AS n, unnest(range(greatest(i - size + 1, 0), least(i, all_words - size) + 1)) AS w
+           FROM ip LEFT JOIN often USING (word)),
+    few AS (SELECT *, row_number() OVER (PARTITION BY item_id, w ORDER BY n, i) AS nth, min(n) OVER (PARTITION BY item_id, w) AS least_n FROM iw),
+    shifts AS (SELECT doc_id, item_id, w, i, least(size, {decontam.RAREST}) AS k, pos - i AS s FROM few JOIN dp USING (word)
+               WHERE least_n > 0 AND nth <= {decontam.RAREST}),
+    bins AS (SELECT *, unnest([floor(s / {2.0 * decontam.SLOP}) * 2, floor((s + {decontam.SLOP}) / {2.0 * decontam.SLOP}) * 2 + 1]) AS bin FROM shifts),
+    close AS (SELECT doc_id, item_id FROM bins GROUP BY doc_id, item_id, w, bin HAVING count(DISTINCT i) = any_value(k)),
+    near AS (SELECT doc_id, count(DISTINCT item_id) AS n FROM close GROUP BY doc_id)
     SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(pos.n, 0)::BIGINT AS n_hit, coalesce(its.n, 0)::BIGINT AS n_items,
-      sha256(coalesce(ids, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AND 20 * coalesce(pos.n, 0) >= len(ws) AS contaminated
-    FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+      sha256(coalesce(ids, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AND 20 * coalesce(pos.n, 0) >= len(ws) AS contaminated,
+      coalesce(near.n, 0)::BIGINT AS n_near_items
+    FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN near USING (doc_id)
     """,
 )
 def _(spark, sf):
@@ -153,7 +165,7 @@ def _(spark, sf):
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
-        decontam.contaminated().alias("contaminated"),
+        decontam.contaminated().alias("contaminated"), "n_near_items",
     )
 
 

@@ -140,14 +140,16 @@ def shard(
     """The rows of `docs` with their size in bytes, shard and slot, shards holding equal bytes.
 
     Rows stand in the order of `key` (an integer; nulls first), those with one key in the order of a hash of their
-    content, so shards are stretches of keys and a frequent key is divided among shards. A shard ends at the row border that is
-    nearest to its share of all bytes, the lower one on a tie; with a `tolerance` above 0, within that part of a
-    share. Slots count up from 0 in that order. The result depends on the rows alone, not on how they are laid out.
-
-    A null or empty `text` has size 1, a very long one is a row like others and may exceed a share by itself. Rows equal in all
-    columns are interchangeable: a large group of them that lies across a border is counted, not moved, and written out
-    again from one row by many tasks. Fewer rows than shards leave shards empty; an empty table gives no rows. The
-    columns `size`, `shard` and `slot` replace such columns of `docs`; others go through, whatever their names.
+    content, so shards are stretches of keys and a frequent key is divided among shards. A shard ends at the row
+    border that is nearest to its share of all bytes, the lower one on a tie; with a `tolerance` above 0, within that
+    part of a share. Slots count up from 0 in that order. The result depends on the rows alone, not on how they are
+    laid out.
+
+    A null or empty `text` has size 1, a very long one is a row like others and may exceed a share by itself. Rows
+    equal in all columns are interchangeable: a large group of them that lies across a border is counted, not moved,
+    and written out again from one row by many tasks. Fewer rows than shards leave shards empty; an empty table gives
+    no rows. The columns `size`, `shard` and `slot` replace such columns of `docs`; others go through, whatever their
+    names.
     """
     spark = docs.sparkSession
     added = ("size", "shard", "slot")

@@ -171,10 +171,10 @@ def links(fps: DataFrame, most: int = MAX_BITS) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
     """(doc_id, r1, r2, fingerprint, group, component_id), one row per input row.
 
-    Documents whose fingerprints differ in `most` bits or fewer are linked, whatever their length; texts without
-    words share fingerprint zero. `group` names the component by a fingerprint, `component_id` is the smallest
-    doc_id in it, null if none has one. Exact copies and repeated rows meet as one fingerprint before the search;
-    nothing is collected. A null or empty text has no words; texts are read whole, of any length; an empty table gives no rows;
+    Documents whose fingerprints differ in `most` bits or fewer are linked, whatever their length; texts without words
+    share fingerprint zero. `group` names the component by a fingerprint, `component_id` is the smallest doc_id in it,
+    null if none has one. Exact copies and repeated rows meet as one fingerprint before the search; nothing is
+    collected. A null or empty text has no words; texts are read whole, of any length; an empty table gives no rows;
     columns other than doc_id and text, whatever their names, are not read.
     """
     found = stored(fingerprints(docs, shingle), "fingerprints")

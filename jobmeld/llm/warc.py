@@ -39,13 +39,15 @@ def _one_line(col: Column) -> Column:
 
 
 def write(pages: DataFrame, out: str, date: str = "2024-01-01T00:00:00Z", least: int = 0) -> None:
-    """One record per row of `pages` (page_id, url, html) in plain files below `out`, which readers can split; a null html is empty.
-
-    Of rows with equal payloads of `least` bytes or more, those with the largest page_id are written as response,
-    the others as revisit without the payload; a row without a page_id counts as smaller than any. Payloads are
-    grouped by digest in narrow rows; the repeated digests are stored, so that Spark knows their size: few are broadcast, for many the
-    pages are shuffled once, hot digests split by adaptive execution. Very long pages are records like others, repeated rows
-    give records of their own, an empty table gives no record; other columns, whatever their names, are not read.
+    """One record per row of `pages` (page_id, url, html) in plain files below `out`, which readers can split; a null
+    html is empty.
+
+    Of rows with equal payloads of `least` bytes or more, those with the largest page_id are written as response, the
+    others as revisit without the payload; a row without a page_id counts as smaller than any. Payloads are grouped by
+    digest in narrow rows; the repeated digests are stored, so that Spark knows their size: few are broadcast, for
+    many the pages are shuffled once, hot digests split by adaptive execution. Very long pages are records like
+    others, repeated rows give records of their own, an empty table gives no record; other columns, whatever their
+    names, are not read.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(
