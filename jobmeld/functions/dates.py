@@ -16,7 +16,8 @@ DATE_FORMS = [
 
 
 def to_time(col: Column) -> Column:
-    """The time that a text says in one of the known forms, seconds or milliseconds since 1970 among them; null in any other.
+    """The time that a text says in one of the known forms, seconds or milliseconds since 1970 among them; null in any
+    other.
 
     A form counts only if it takes up all of the text, so a day that does not exist is null and not another day.
     """

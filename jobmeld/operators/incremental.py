@@ -116,8 +116,8 @@ def identify_changes(
     """Bring the map below `name` up to date with new, changed and vanished companies; returns it (IDR8, IDR9, PIP3).
 
     `raw` and `master` hold the present state of companies that are new or may have changed, one row per id, with the
-    columns that `matching.candidates` reads; `gone_raw` and `gone_master` the ids of companies that are no more. Rows that
-    nothing changed for keep their times, others get `as_of` as `updated_at`; a company's `created_at` is that of
+    columns that `matching.candidates` reads; `gone_raw` and `gone_master` the ids of companies that are no more. Rows
+    that nothing changed for keep their times, others get `as_of` as `updated_at`; a company's `created_at` is that of
     its first row as long as it stays in the map. Only buckets that the changes touch are read and written, but for
     the narrow `pairs`, which is read whole. A run that stopped half way is made up for by running it again.
     """

@@ -45,11 +45,11 @@ def _end_of(tag: str) -> re.Pattern:
 class El(NamedTuple):
     """A selector: elements named `tag` (any, without one) for which everything that is given holds.
 
-    `css`: all these words are among its classes; `css_part`: its class text contains this; `ident`: its id; `attrs`: (name,
-    value) pairs, equal; `attr_part`: (name, text), contained; `text`: all its text, single-blanked, is this; `has`: its text
-    contains this; `own_has`: its own first text does. `holds`: one such element below it, `parent_of`: among its
-    children. `within`: below such an element, `child_of`: a child of one, `after`: the first such sibling
-    behind one. `first`: only the page's first one.
+    `css`: all these words are among its classes; `css_part`: its class text contains this; `ident`: its id; `attrs`:
+    (name, value) pairs, equal; `attr_part`: (name, text), contained; `text`: all its text, single-blanked, is this;
+    `has`: its text contains this; `own_has`: its own first text does. `holds`: one such element below it,
+    `parent_of`: among its children. `within`: below such an element, `child_of`: a child of one, `after`: the first
+    such sibling behind one. `first`: only the page's first one.
     """
 
     tag: str | None = None
@@ -72,8 +72,8 @@ class El(NamedTuple):
 class Field(NamedTuple):
     """What to take of the elements that a selector finds, in page order.
 
-    `take`: "text", all text of each; "own", its own texts, blank ones left out; "texts", all texts below each, blank ones left
-    out; else the name of an attribute, of those that have it.
+    `take`: "text", all text of each; "own", its own texts, blank ones left out; "texts", all texts below each, blank
+    ones left out; else the name of an attribute, of those that have it.
     """
 
     select: El
@@ -256,7 +256,8 @@ class Page:
 
 
 def read_fields(html: Column, fields: Mapping[str, Field]) -> Column:
-    """A struct with an `array<string>` per field, empty where nothing is found; one reading of the page for all (EXT8, EXT9).
+    """A struct with an `array<string>` per field, empty where nothing is found; one reading of the page for all
+    (EXT8, EXT9).
 
     A null page is an empty one.
     """

@@ -93,8 +93,9 @@ def upsert_versions(
     """Merge rows of `fold_versions` into a table that keeps versions as well.
 
     A value gives way to one of a later version only, whichever of them arrives later; `created` and `first_wins`
-    columns to one of an earlier version. Of the same version the larger value counts as the later one. A value without a
-    version, as of a table that kept none so far, is older than any. So any division of records into merges, and any order of these, gives one table.
+    columns to one of an earlier version. Of the same version the larger value counts as the later one. A value
+    without a version, as of a table that kept none so far, is older than any. So any division of records into merges,
+    and any order of these, gives one table.
     """
     dest = evolve(dest, src)
     src = backfill(src, dest)

@@ -150,10 +150,10 @@ class SnapshotStore:
     ) -> DataFrame:
         """Merge a batch by key, reading and writing the buckets it touches only; returns the whole table.
 
-        `how(dest, batch)` gives the merged rows of the rows it gets; it must take and leave the keys as they
-        are, so that rows of other buckets have no part in it. The batch is written aside once, as its keys are
-        read before its rows are. A table that is not there starts as `start`, or empty with the batch's columns; one that is not in
-        buckets yet is rewritten whole, once. A batch without rows writes a table that is not there, else nothing.
+        `how(dest, batch)` gives the merged rows of the rows it gets; it must take and leave the keys as they are, so
+        that rows of other buckets have no part in it. The batch is written aside once, as its keys are read before
+        its rows are. A table that is not there starts as `start`, or empty with the batch's columns; one that is not
+        in buckets yet is rewritten whole, once. A batch without rows writes a table that is not there, else nothing.
         """
         whole = not self.exists(name)
         count = self._bucket_count(name)
