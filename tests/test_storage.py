@@ -188,6 +188,27 @@ def company(spark, media, data):
     return spark.createDataFrame([(i, n, n.lower(), a, *p) for i, n, a, p in data], cols)
 
 
+@pytest.mark.parametrize("media", sorted(specs.SOURCES))
+def test_every_source_feeds_companies(spark, store, media):
+    """A full and a sparse company of each source, as its raw schema has them: every mapped value, its quality, its number."""
+    spec, schema_ = specs.SOURCES[media], specs.raw_schema(media, "company")
+    text = {f.name for f in schema_.fields if f.dataType == T.StringType()}
+    row = {f.name: f"{f.name} of A" if f.name in text else None for f in schema_.fields}
+    raw = spark.createDataFrame([tuple((row | {"company_id": "a"}).values()), tuple({**dict.fromkeys(row), "company_id": "b"}.values())], schema_)
+    store.write(raw, f"raw/{media}/company")
+    feed = steps.company_feed(steps._companies(store, spec), None, spec, F.lit("2024-01-01").cast("timestamp"))
+    got = {r[spec.id_column]: r for r in feed.collect()}
+    assert set(got) == {"a", "b"} and len({r.corporate_number for r in got.values()}) == 2
+    # what a source derives from other columns is looked at in the tests of its clean-up
+    plain = [(c, m) for c, m in spec.company if c in text and c not in spec.fix_company and c != "company_id"]
+    assert len(plain) >= 5
+    for column, name in plain:
+        assert (got["a"][name], got["a"][f"{name}_quality"]) == (f"{column} of A", spec.quality)
+        assert (got["b"][name], got["b"][f"{name}_quality"]) == (None, 0)
+    store.merge("master/company", feed, steps.COMPANY_KEYS, steps.survivorship.survive)
+    assert store.read("master/company").count() == 2
+
+
 def test_two_sources_end_to_end(spark, store, rows):
     """The second source finds the company of the first, improves it, and its jobs refer to it."""
     t0, t1 = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-01").cast("timestamp")
