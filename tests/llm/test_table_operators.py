@@ -12,13 +12,14 @@ import time
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from compare import connect, spark_rows, sql_rows
-from jobmeld.llm import decontam, hosts, quality, simhash, warc
+from jobmeld.llm import bpe, decontam, hosts, langid, quality, simhash, warc
 from jobmeld.llm.components import components
 from jobmeld.llm.queries import QUERIES, SQL, URL_RULES
 
@@ -393,19 +394,34 @@ def test_reputation(spark):
 # pipeline
 
 
+def stage_keeps(spark, name, docs):
+    """Ids that a stage has to keep of `docs`, by the results of its operator."""
+    if name == "quality_rules":
+        return {r.doc_id for r in quality.judge(docs).collect() if r.kept}
+    if name == "language_id":
+        return {r.doc_id for r in langid.identify(docs).collect() if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_SCORE}
+    if name == "near_dedup":
+        return {r.component_id for r in simhash.near_duplicates(docs).collect()}
+    benchmark = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    return {r[0] for r in brute_hits([(r.doc_id, r.text) for r in docs.collect()], benchmark) if not r[-1]}
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("kept", F.lit("clash")).withColumn("k1", F.lit(1))
     now, sizes = docs, []
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        now = stage(spark, now, SF)
+        before, now = now, stage(spark, now, SF)
         assert now.columns == docs.columns
         now = spark.createDataFrame(now.collect(), docs.schema)
+        ids = [r.doc_id for r in now.collect()]
+        assert len(ids) == len(set(ids)) and set(ids) == stage_keeps(spark, name, before), name
         sizes.append(now.count())
     assert docs.count() > sizes[0] >= sizes[1] > sizes[2] > sizes[3] > 0
     kept = {r.doc_id for r in quality.judge(docs).collect() if r.kept}
     assert sizes[0] == len(kept)
     rows = corpus_pipeline.run(spark, SF).collect()
-    assert {r.doc_id for r in rows} == {r.doc_id for r in now.collect()} and len(rows) == sizes[-1]
+    digests = bpe.digests(bpe.encode_decode(now, public_tokenizers.path("byte_bpe_50k.json"))).collect()
+    assert Counter(map(tuple, rows)) == Counter(map(tuple, digests)) and len(rows) == sizes[-1]
 
 
 def test_pipeline_awkward(spark, docs, awkward):
