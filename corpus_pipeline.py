@@ -1,7 +1,9 @@
 """A corpus pipeline of five operators: quality, language, near-duplicates, decontamination, tokens.
 
 Each stage takes what its predecessor kept, as a table, and all but the last return the columns of `documents`.
-Rows are told apart by id and text, so repeated ids do no harm; columns a stage does not know go through.
+Rows are told apart by id and text, so repeated ids do no harm; columns a stage does not know go through. A null or
+empty text fails the quality rules, a very long one is read whole, an empty table stays one; rows equal in id and text
+share their fate, but for near-duplicates, of which one row stays.
 """
 
 from __future__ import annotations
