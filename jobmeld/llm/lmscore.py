@@ -36,7 +36,8 @@ RATE = 0.15
 _SCALE = 1 << 10  # weighted changes are summed as integers, so that their order does not matter
 _BYTES = 1 << 23  # of texts that are split together, or one text that holds more
 _WORD = 64  # bytes; a longer word is kept as its digest
-_FREQUENT, _FREQUENT_BYTES = 1 << 16, 1 << 22  # words that are broadcast, at most
+_COUNTED = 300_000  # words that a task counts before it hands them on
+_FREQUENT, _FREQUENT_BYTES = 1 << 18, 1 << 24  # words that are broadcast, at most
 _LOG_SCALE = 1 << 24  # logarithms of counts are summed as integers too
 SHARD_TOKENS = 1 << 20  # that a shard trains on, about
 _COPIES = 1000
@@ -63,6 +64,12 @@ def _split(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return [_short(w) for w in coded.dictionary.to_pylist()], places, owners
 
 
+def _merged(found: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """One batch (word, n) with each word once."""
+    whole = pa.Table.from_batches(found).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+    return whole.combine_chunks().to_batches() or [found[0].slice(0, 0)]
+
+
 def _together(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     """(first row, texts) of runs of rows that hold some `_BYTES` together, or one row that holds more; no nulls."""
     texts = pc.fill_null(texts, "")
@@ -84,6 +91,7 @@ def tokens(docs: DataFrame) -> DataFrame:
     names = ["round", "doc_id", "r1", "r2", "ids", "word", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[pa.RecordBatch] = []
         for batch in batches:
             for start, texts in _together(batch.column(3)):
                 words, places, owners = _split(texts)
@@ -94,11 +102,20 @@ def tokens(docs: DataFrame) -> DataFrame:
                 rounds = (np.asarray(kept[1].to_numpy(), np.int64) >> 20) % ROUNDS
                 empty = [pa.nulls(len(texts), pa.binary()), pa.nulls(len(texts), pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(rounds, pa.int32()), *kept, ids, *empty], names)
-                counts = np.bincount(places, minlength=len(words))
-                used = np.flatnonzero(counts)
-                none = [pa.nulls(len(used), c.type) for c in (*kept, ids)]
-                found = [pa.array([words[i] for i in used.tolist()], pa.binary()), pa.array(counts[used], pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(used), -1, np.int32)), *none, *found], names)
+                found.append(pa.RecordBatch.from_arrays(
+                    [pa.array(words, pa.binary()), pa.array(np.bincount(places, minlength=len(words)), pa.int64())], ["word", "n"]
+                ))
+                if sum(map(len, found)) > 2 * _COUNTED:
+                    found = _merged(found)
+                    if len(found[0]) > _COUNTED:
+                        yield counted(found.pop(), batch)
+        if found:
+            yield counted(_merged(found)[0], batch)
+
+    def counted(words: pa.RecordBatch, like: pa.RecordBatch) -> pa.RecordBatch:
+        words = words.filter(pc.greater(words["n"], 0))
+        none = [pa.nulls(len(words), t) for t in (*[like.column(i).type for i in range(3)], pa.binary())]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(words), -1, np.int32)), *none, *words.columns], names)
 
     narrow = docs.select("doc_id", *row_keys("doc_id", "text"), "text")
     rows = narrow.mapInArrow(run, f"round int, doc_id {kind}, r1 bigint, r2 int, ids binary, word binary, n bigint")
