@@ -171,7 +171,7 @@ def upsert_jobs(store: SnapshotStore, media: str, as_of: Column, lost: Observati
     feed = job_feed(store.read(f"raw/{media}/recruit"), store.read("master/company"), spec, as_of, lost)
     # the table holds one source, so its media_code adds nothing to the key; without it, reducing the
     # batch and joining it share one shuffle
-    return store.merge(f"master/recruit/{media}", feed, JOB_KEYS, lambda d, s: upsert.upsert(d, s, JOB_KEYS))
+    return store.merge(f"master/recruit/{media}", feed, JOB_KEYS, lambda d, s: upsert.upsert_stored(d, s, JOB_KEYS))
 
 
 def read_jobs(store: SnapshotStore) -> DataFrame:

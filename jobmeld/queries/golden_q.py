@@ -143,7 +143,7 @@ def _(spark, sf):
     tables, keys = store(spark, "jobs"), list(upsert.JOB_KEYS)
     tables.buckets = 256
     tables.write_buckets(_job_table(spark, sf), "jobs", keys)
-    return _upserted(tables.merge("jobs", _job_batch(spark, sf, "l_suppkey = 1"), keys, upsert.upsert))
+    return _upserted(tables.merge("jobs", _job_batch(spark, sf, "l_suppkey = 1"), keys, upsert.upsert_stored))
 
 
 # titles and benefits of a line come as two records of one key, each without the other's value

@@ -176,3 +176,17 @@ def test_folding_batches_equals_upserting_them_in_turn(spark, rows, seed):
         turn = upsert.upsert(turn, b)
     changes = schema.consolidate([b.withColumn("_batch", F.lit(n)) for n, b in enumerate(batches)])
     assert rows(upsert.fold(changes, "_batch").select(*turn.columns)) == rows(turn)
+
+
+@pytest.mark.parametrize("repeats", [0, 1, 9])
+def test_upsert_of_a_stored_batch_equals_upsert(spark, tmp_path, rows, repeats):
+    ddl = "media_internal_id string, media_code string, title string, benefits string, _ingest_id string, created_at string"
+    dest = spark.createDataFrame([(f"j{i}", "m", f"t{i}", None, f"i{i}", "t0") for i in range(20)], ddl)
+    batch = [(f"j{i}", "m", None if i % 2 else f"n{i}", "x", f"k{i}", "t1") for i in range(10, 30)] + [(None, "m", "no key", None, None, "t1")]
+    batch += [(f"j{10 + k % 3}", "m", rnd_title, "y", f"z{k}", "t2") for k, rnd_title in enumerate(["b", None, "a"] * 3)][:repeats]
+    spark.createDataFrame(batch, ddl).withColumn("skills", F.lit("s")).write.parquet(str(tmp_path / "batch"))
+    src = spark.read.parquet(str(tmp_path / "batch"))
+    got = upsert.upsert_stored(dest, src)
+    assert got.columns == upsert.upsert(dest, src).columns and rows(got) == rows(upsert.upsert(dest, src))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("SortAggregate" in plan) == (repeats > 0)
