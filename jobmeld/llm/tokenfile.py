@@ -88,9 +88,10 @@ class Encoder:
             self.pool = pool
         return pool, start, size
 
-    def _pool(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All ids of distinct runs one behind the other; where each one's start, and how many they are."""
-        plain = pc.match_substring_regex(runs, _LETTERS).to_numpy(zero_copy_only=False)
+    def _pool(self, runs: pa.Array, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of distinct runs one behind the other; where each one's start, and how many they are. `plain` ones are
+        words of Latin letters.
+        """
         words, others = runs.filter(pa.array(plain)), runs.filter(pa.array(~plain)).to_pylist()
         pool, known_start, known_size = self._known(words)
         apart = self._ids(others)
@@ -114,7 +115,9 @@ class Encoder:
         runs, of_run = coded.dictionary, coded.indices.to_numpy()
         core = pc.ascii_rtrim(runs, characters=".,;:!?")
         word = pc.match_substring_regex(core, _LETTERS)
-        core = pc.if_else(pc.or_(word, pc.match_substring_regex(core, "[0-9A-Za-z]$")), core, runs)
+        ends_well = word.to_numpy(zero_copy_only=False).copy()
+        ends_well[~ends_well] = pc.match_substring_regex(core.filter(pc.invert(word)), "[0-9A-Za-z]$").to_numpy(zero_copy_only=False)
+        core = pc.if_else(pa.array(ends_well), core, runs)
         stripped = pc.not_equal(pc.binary_length(core), pc.binary_length(runs))
         lengths = pc.utf8_length(core.filter(stripped)).to_pylist()
         tail = np.full(len(runs), "", object)
@@ -122,28 +125,36 @@ class Encoder:
         cores = pc.if_else(word, pc.ascii_lower(core), core).dictionary_encode()
         tails = pa.array(tail, pa.string()).dictionary_encode()
 
-        pool, start, size = self._pool(cores.dictionary)
-        behind, tail_start, tail_size = self._pool(tails.dictionary)
-        # of every run its two pieces: start and size of what is encoded, and of what stands behind it
         in_core, in_tail = cores.indices.to_numpy(), tails.indices.to_numpy()
-        starts = np.stack([start[in_core], (tail_start + len(pool))[in_tail]], 1)
-        sizes = np.stack([size[in_core], tail_size[in_tail]], 1)
-        pool = np.concatenate([pool, behind, np.array([end_id], np.uint32)])
+        plain = np.zeros(len(cores.dictionary), bool)
+        plain[in_core[word.to_numpy(zero_copy_only=False)]] = True
+        pool, start, size = self._pool(cores.dictionary, plain)
+        behind, tail_start, tail_size = self._pool(tails.dictionary, np.zeros(len(tails.dictionary), bool))
+        # a run's ids: those of what is encoded, and of what stands behind it
+        starts = np.stack([start[in_core], (tail_start + len(pool))[in_tail]], 1).ravel()
+        sizes = np.stack([size[in_core], tail_size[in_tail]], 1).ravel()
+        run_size = size[in_core] + tail_size[in_tail]
+        run_start = (np.cumsum(run_size) - run_size).astype(np.int32)
+        pool = np.append(_laid_out(np.concatenate([pool, behind]), starts, sizes), np.uint32(end_id))
         last = np.cumsum(pc.list_value_length(cut).to_numpy())
         at = first = 0
         while at < len(texts):
             stop = max(at + 1, int(np.searchsorted(last, first + _RUNS, side="right")))
             some, ends = of_run[first : last[stop - 1]], last[at:stop] - first
-            # the end id is a piece behind those of each text
-            where = 2 * ends
-            piece_start = np.insert(starts[some].ravel(), where, len(pool) - 1)
-            piece_size = np.insert(sizes[some].ravel(), where, 1)
-            stops = np.cumsum(piece_size, dtype=np.int64)
-            shift = (piece_start - (stops - piece_size)).astype(np.int32)
-            yield pool[np.repeat(shift, piece_size) + np.arange(stops[-1], dtype=np.int32)], stops[where + np.arange(stop - at)]
+            # the end id is a piece behind the runs of each text
+            piece_size = np.insert(run_size[some], ends, 1)
+            ids = _laid_out(pool, np.insert(run_start[some], ends, len(pool) - 1), piece_size)
+            yield ids, np.cumsum(piece_size, dtype=np.int64)[ends + np.arange(stop - at)]
             at, first = stop, last[stop - 1]
 
 
+def _laid_out(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Pieces of `pool` one behind the other."""
+    stops = np.cumsum(size, dtype=np.int64)
+    total = int(stops[-1]) if len(stops) else 0
+    return pool[np.repeat((start - (stops - size)).astype(np.int32), size) + np.arange(total, dtype=np.int32)]
+
+
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
