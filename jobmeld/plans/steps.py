@@ -213,11 +213,11 @@ def run_enrich(
     for m in SOURCES:
         name = f"master/recruit/{m}"
         if store.exists(name):
-            store.write_buckets(enrich_jobs(store.read(name), categories, skill_rules), name, JOB_KEYS)
-    company = store.read("master/company")
-    kept = [c for c in company.columns if c != "category"]
+            store.rewrite(name, lambda jobs: enrich_jobs(jobs, categories, skill_rules), JOB_KEYS)
     industry = enrich.classify_single(F.col("description"), industries).alias("category")
-    store.write_buckets(company.select(*kept, industry), "master/company", COMPANY_KEYS)
+    store.rewrite(
+        "master/company", lambda c: c.select(*[n for n in c.columns if n != "category"], industry), COMPANY_KEYS
+    )
     return read_jobs(store)
 
 

@@ -120,7 +120,7 @@ class SnapshotStore:
     def write(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Replace the table, schema included (SNK1, SNK2); returns the new snapshot."""
         number = self._next(name)
-        writer = df.write.format(self.fmt).mode("errorifexists")
+        writer = self._writer(df).mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(self._path(name, number))
@@ -129,6 +129,11 @@ class SnapshotStore:
             return self.write(empty_like(self.spark, T.StructType([f for f in df.schema.fields if f.name != BUCKET])), name)
         return self.read(name)
 
+    def _writer(self, df: DataFrame):
+        # texts take two thirds of the room that Parquet's own choice leaves them
+        writer = df.write.format(self.fmt)
+        return writer.option("compression", "zstd") if self.fmt == "parquet" else writer
+
     def _has_data(self, name: str, number: int) -> bool:
         return any(n != "_SUCCESS" for n in self._children(self._path(name, number)))
 
@@ -136,6 +141,16 @@ class SnapshotStore:
         """Replace the table by `df` in buckets of `keys`, so that batches can be merged into it later."""
         return self.write(_dealt(df, keys, self._bucket_count(name)), name, [BUCKET])
 
+    def rewrite(self, name: str, how: Callable[[DataFrame], DataFrame], keys: Sequence[str]) -> DataFrame:
+        """Replace a table by `how` of it, a change row by row that leaves the keys as they are.
+
+        Rows of a table in buckets stay in theirs: a task writes what it read, and nothing is shuffled.
+        """
+        if not self.bucket_folders(name):
+            return self.write_buckets(how(self.read(name)), name, keys)
+        rows = how(self.read(name))
+        return self.write(rows.withColumn(BUCKET, _bucket(keys, self._bucket_count(name))), name, [BUCKET])
+
     def _bucket_count(self, name: str) -> int:
         labels = self.bucket_folders(name) if self.exists(name) else {}
         return int(next(iter(labels)).partition("of")[2]) if labels else self.buckets
@@ -152,31 +167,28 @@ class SnapshotStore:
 
         `how(dest, batch)` gives the merged rows of the rows it gets; it must take and leave the keys as they are, so
         that rows of other buckets have no part in it. The batch is written aside once, as its keys are read before
-        its rows are. A table that is not there starts as `start`, or empty with the batch's columns; one that is not
-        in buckets yet is rewritten whole, once. A batch without rows writes a table that is not there, else nothing.
+        its rows are. A table that is not there starts as `start`, or empty with the batch's columns, and takes
+        the batch as it comes; one that is not in buckets yet is rewritten whole, once. A batch without rows writes a table that is not there, else nothing.
         """
-        whole = not self.exists(name)
         count = self._bucket_count(name)
+        if not self.exists(name):
+            dest = start if start is not None else empty_like(self.spark, batch.schema)
+            return self.write_buckets(how(dest, batch), name, keys)
         aside = scratch_path(self.spark, "batch")
-        batch.select("*", _bucket(keys, count).alias(BUCKET)).write.parquet(aside)
+        batch.select("*", _bucket(keys, count).alias(BUCKET)).write.option("compression", "zstd").parquet(aside)
         rows = self.spark.read.parquet(aside)
         # at most one row per bucket
         touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-        folders = {} if whole else self.bucket_folders(name)
-        if whole:
-            dest = start if start is not None else empty_like(self.spark, batch.schema)
-        elif folders:
-            dest = self._load(name, [folders[t] for t in touched if t in folders])
-        else:
-            whole, dest = True, self.read(name)
-        if whole:
-            out = self.write_buckets(how(dest, rows.drop(BUCKET)), name, keys)
+        folders = self.bucket_folders(name)
+        if not folders:
+            out = self.write_buckets(how(self.read(name), rows.drop(BUCKET)), name, keys)
         elif touched:
+            dest = self._load(name, [folders[t] for t in touched if t in folders])
             merged = _dealt(how(dest, rows.drop(BUCKET)), keys, count)
             # a patch of all buckets is a snapshot, and those before it are read no more
             prefix = PREFIX if set(folders) <= set(touched) else PATCH
             path = self._path(name, self._next(name), prefix)
-            merged.write.format(self.fmt).partitionBy(BUCKET).save(path)
+            self._writer(merged).partitionBy(BUCKET).save(path)
             out = self.read(name)
         else:
             out = self.read(name)
@@ -234,8 +246,8 @@ def _bucket(keys: Sequence[str], count: int) -> Column:
 
 
 def _dealt(df: DataFrame, keys: Sequence[str], count: int) -> DataFrame:
-    """Rows with their bucket, those of a bucket together, so that it is one file."""
-    return df.withColumn(BUCKET, _bucket(keys, count)).repartition(BUCKET)
+    """Rows with their bucket, those of a bucket together, so that it is one file, or several where it is large."""
+    return df.withColumn(BUCKET, _bucket(keys, count)).hint("rebalance", BUCKET)
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
