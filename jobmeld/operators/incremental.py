@@ -75,13 +75,14 @@ def _replaced(keys: Sequence[str], value: str):
 
 def _counted(entries: DataFrame, keys: DataFrame) -> DataFrame:
     """Every one of `keys` with its pair, or with nulls where it is not held once on either side."""
-    here = entries.join(keys, KEY, "left_semi")
     one = F.count_if(F.col("side") == "raw") == 1, F.count_if(F.col("side") == "master") == 1
-    found = here.groupBy(*KEY).agg(
+    both = entries.select(*KEY, *RECORD).unionByName(keys.withColumn("_asked", F.lit(True)), allowMissingColumns=True)
+    found = both.groupBy(*KEY).agg(
         F.when(one[0] & one[1], F.min(F.when(F.col("side") == "raw", F.col("id")))).alias("company_id"),
         F.when(one[0] & one[1], F.min(F.when(F.col("side") == "master", F.col("id")))).alias("corporate_number"),
+        F.bool_or("_asked").alias("_asked"),
     )
-    return keys.join(found, KEY, "left")
+    return found.filter("_asked").drop("_asked")
 
 
 def connected(pairs: DataFrame, companies: DataFrame, numbers: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -144,11 +145,12 @@ def identify_changes(
     changes = cut_lineage(_changes(batch, store.read_touched(records, batch, RECORD)))
     store.merge(entries, changes, KEY, _applied, store.spark.createDataFrame([], _NO_ENTRIES))
 
-    keys = changes.select(*KEY).distinct()
+    keys = cut_lineage(changes.select(*KEY).distinct())
     now = cut_lineage(_counted(store.read_touched(entries, changes, KEY), keys))
     before = store.read_touched(pairs, changes, KEY).join(keys, KEY, "left_semi")
     held = store.read(pairs).join(keys, KEY, "left_anti").unionByName(now.filter("company_id IS NOT NULL"))
-    held = held.select("company_id", "corporate_number", F.col("method").alias("identify_method"))
+    # each round of `connected` reads it
+    held = cut_lineage(held.select("company_id", "corporate_number", F.col("method").alias("identify_method")))
     ends = before.select(*COLUMNS[:2]).union(now.filter("company_id IS NOT NULL").select(*COLUMNS[:2]))
     ends = cut_lineage(ends)
     touched, near = connected(held, ends.select(*OWN).distinct(), ends.select("corporate_number").distinct())
