@@ -46,6 +46,16 @@ MASTER_SQL = f"""master AS (
   FROM customer JOIN nation ON n_nationkey = {_MASTER_M} % 25)"""
 
 
+def dealt(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table, its rows dealt out evenly, three tasks to a core.
+
+    A table of narrow rows may be one small file and so one task, while each row becomes a page or several match keys.
+    Rows go by their place in the file, not by a value, so repeated and null keys spread too, and nothing is sorted.
+    """
+    tasks = 3 * spark.sparkContext.defaultParallelism
+    return table(spark, sf, name).select(*columns).repartition(tasks, F.monotonically_increasing_id())
+
+
 def raw_companies(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
     base = table(spark, sf, "supplier").selectExpr(
@@ -192,7 +202,7 @@ def profile_pages(spark: SparkSession, sf: str) -> DataFrame:
       '<div class="element_detail"><span>Email</span><p>Email</p><p>e', c_custkey, '@x.vn</p></div>',
       '<p class="item_if">Bằng cấp</p> <span>Đại  học <i>', c_custkey % 7, '</i></span>',
       '</body></html>')"""
-    return table(spark, sf, "customer").selectExpr(
+    return dealt(spark, sf, "customer", "c_custkey", "c_nationkey", "c_mktsegment").selectExpr(
         "c_custkey AS page_id", f"concat('{SITE}/viec-lam-cua/', c_custkey) AS url", f"{html} AS html"
     )
 
@@ -221,7 +231,7 @@ def markup_pages(spark: SparkSession, sf: str) -> DataFrame:
       '<div class="content"><div><p>about ', c_custkey, '</p></div><p>end</p>no</div>',
       '<div class="company-subdetail-info website"><a href="http://d', c_custkey, '.vn//">w</a></div>',
       '<span class="company-subdetail-info-text">X</span><span class="company-subdetail-info-text"> ', c_nationkey, '-99 nhân viên </span>')"""
-    return table(spark, sf, "customer").selectExpr(
+    return dealt(spark, sf, "customer", "c_custkey", "c_nationkey", "c_mktsegment").selectExpr(
         "c_custkey AS page_id", "concat('https://x.vn/p/', c_custkey, '.html') AS url", f"{html} AS html"
     )
 
@@ -260,7 +270,7 @@ def list_pages(spark: SparkSession, sf: str) -> DataFrame:
     html = " ".join(f"WHEN {i} THEN {_with_key(x[2] + x[3] + _TAIL, 'STRING')}" for i, x in enumerate(LISTS)).replace("''", "\\'")
     source = " ".join(f"WHEN {i} THEN '{x[0]} {x[1]}'" for i, x in enumerate(LISTS))
     turn = f"CASE c_custkey % {len(LISTS)}"
-    return table(spark, sf, "customer").selectExpr(
+    return dealt(spark, sf, "customer", "c_custkey").selectExpr(
         "c_custkey AS page_id", f"concat('{SITE}/list/', c_custkey) AS url", f"{turn} {source} END AS source", f"{turn} {html} END AS html"
     )
 
@@ -284,4 +294,4 @@ def trap_pages(spark: SparkSession, sf: str) -> DataFrame:
       "<p class='item_if'> Bằng  cấp\n</p><br/><span>Đại học</span><p class='item_if'>Độ tuổi</p></div>",
       "<script>document.write('<p class=item_if>Độ tuổi</p><span>99</span>')</script>",
       "<div><div>Cấp bậc</div><br><p>x</p><div>Trưởng &amp; phó</div></div><a title='Firm &quot;", c_custkey, "&quot;' href='/viec-lam-cua/f/", c_custkey, "'>f</a>")"""
-    return table(spark, sf, "customer").selectExpr("c_custkey AS page_id", f"concat('{SITE}/p/', c_custkey) AS url", f"{html} AS html")
+    return dealt(spark, sf, "customer", "c_custkey", "c_nationkey").selectExpr("c_custkey AS page_id", f"concat('{SITE}/p/', c_custkey) AS url", f"{html} AS html")
