@@ -58,7 +58,7 @@ def dealt(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
 
 def raw_companies(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    base = table(spark, sf, "supplier").selectExpr(
+    base = dealt(spark, sf, "supplier", "s_suppkey").selectExpr(
         "CAST(s_suppkey AS STRING) AS company_id",
         f"{_RAW_NAME} AS company_name",
         f"{_RAW_DOMAIN} AS company_domain",
@@ -79,7 +79,7 @@ def raw_companies(spark: SparkSession, sf: str) -> DataFrame:
 
 def master_companies(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    base = table(spark, sf, "customer").selectExpr(
+    base = dealt(spark, sf, "customer", "c_custkey").selectExpr(
         "CAST(c_custkey AS STRING) AS corporate_number",
         f"{_MASTER_NAME} AS company_name",
         f"{_MASTER_DOMAIN} AS domain",
