@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from jobmeld.operators import incremental
+from jobmeld.operators.markup import El, Field, Page
 from jobmeld.plans import steps
 from jobmeld.queries import lookalikes
 from jobmeld.sources.store import BUCKET, SnapshotStore
@@ -69,3 +70,15 @@ def test_a_new_table_takes_its_batch_without_a_copy(spark, tmp_path, monkeypatch
     assert sorted(map(tuple, out.collect())) == [("a", 1), ("b", 2)]
     files = [p.name for p in tmp_path.rglob("*.parquet")]
     assert files and all(".zstd." in f for f in files)
+
+
+def test_attributes_are_read_only_where_a_selector_can_fit():
+    page = Page("<p class=x id=i>a</p>" * 50 + '<p class="z y">b</p><p class="&#121;">c</p><b>d</b>')
+    assert page.take(Field(El(css="y"))) == ["b", "c"] and len(page._attrs) == 2
+    assert page.take(Field(El("p", css="y", within=El("p", ident="&")))) == [] and len(page._attrs) == 2
+
+
+def test_a_selector_without_words_fits_what_has_no_attributes():
+    page = Page('<p>a</p><p class="x">b</p><p href="">c</p>')
+    assert page.take(Field(El("p", css=""))) == page.take(Field(El("p", css_part=""))) == ["a", "b", "c"]
+    assert page.take(Field(El("p", attr_part=("href", "")))) == ["a", "b", "c"] and page.take(Field(El("p", attrs=(("href", ""),)))) == ["c"]
