@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from jobmeld.operators import incremental
+from jobmeld.operators import extract, incremental
 from jobmeld.operators.markup import El, Field, Page
 from jobmeld.plans import steps
 from jobmeld.queries import lookalikes
@@ -82,3 +82,19 @@ def test_a_selector_without_words_fits_what_has_no_attributes():
     page = Page('<p>a</p><p class="x">b</p><p href="">c</p>')
     assert page.take(Field(El("p", css=""))) == page.take(Field(El("p", css_part=""))) == ["a", "b", "c"]
     assert page.take(Field(El("p", attr_part=("href", "")))) == ["a", "b", "c"] and page.take(Field(El("p", attrs=(("href", ""),)))) == ["c"]
+
+
+def test_labels_sought_among_the_same_elements_read_them_once(monkeypatch):
+    seen = {"attrs": [], "text_of": []}
+    for name, found in seen.items():
+        monkeypatch.setattr(Page, name, lambda self, e, of=getattr(Page, name), found=found: found.append(e) or of(self, e))
+    page = Page('<p class="x item_if"> Độ \n tuổi</p><span>9</span><p class="item_if">Giới <b>tính</b></p><span>Nam</span>' * 50)
+    got = [page.take(Field(extract.beside(label, css="item_if"))) for label in ("Độ tuổi", "Giới tính", "Bằng cấp", "Quy mô")]
+    assert got == [["9"] * 50, ["Nam"] * 50, [], []]
+    # a text that stands in several elements is put together anew, so that what is kept is no more than the page
+    assert len(seen["attrs"]) == 100 and len(seen["text_of"]) == 50 + 4 * 50 + 100 and len(page._flat) == 50
+
+
+def test_a_word_that_the_page_does_not_hold_reads_only_what_is_written_with_entities():
+    page = Page('<p class="a">1</p>' * 50 + '<p class="&#122;">2</p>' + '<b class="&#122;">3</b>')
+    assert page.take(Field(El("p", css="z"))) == ["2"] and page.take(Field(El(css_part="z"))) == ["2", "3"] and len(page._attrs) == 2
